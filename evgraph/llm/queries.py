@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bit_planes, bpe, packing, secret_scan
+from . import bit_planes, bpe, ngram_join, packing, secret_scan
 from .common import table
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
 
