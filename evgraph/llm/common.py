@@ -42,6 +42,11 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def tune(spark: SparkSession) -> None:
+    """Batches between the JVM and Python hold whole texts: fewer rows to a batch bound what a worker holds of long ones."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -155,19 +160,22 @@ def word_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 #: White space as the tokenizers' regular expressions know it (Unicode's White_Space).
 WHITE = "\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SEGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-WORDS = re.compile(f"[^{WHITE}]+")
+_LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+#: Letters of Latin-1 with what stands before them, if an ASCII character that is no letter, or the end, follows.
+_CORE = f"[^{WHITE}{_LETTER}]*[{_LETTER}]+(?=[\x00-@\\[-`{{-\x7f]|\\Z)"
+SEGMENT = re.compile(f"[{WHITE}]*(?:{_CORE}|[^{WHITE}]+)|[{WHITE}]+")
+WORDS = re.compile(f"{_CORE}|[^{WHITE}]+")
 
 
 class SegmentEncoder:
     """Ids of whole texts by the tokenizers library, each distinct segment encoded once while it stays cached.
 
-    A segment is a white-space run with the non-space run after it. Neither the pre-tokenisers nor the normalisers of the
-    two vocabularies look across the start of such a run, so ids of a text are the ids of its segments one after another.
-    With `spaces=False` (a vocabulary that drops white space) segments are the non-space runs alone.
+    A segment ends before white space, or between a letter and an ASCII character that is none. Neither the pre-tokenisers
+    nor the normalisers of the two vocabularies look across such a place, so ids of a text are the ids of its segments one
+    after another. With `spaces=False` (a vocabulary that drops white space) segments have none.
     """
 
-    def __init__(self, name: str, width: str, spaces: bool = True, most: int = 200_000, path: str | None = None):
+    def __init__(self, name: str, width: str, spaces: bool = True, most: int = 700_000, path: str | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -185,10 +193,10 @@ class SegmentEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text; null counts as empty."""
         cut = [self.split(t) if t else [] for t in texts]
-        fresh = list({s for one in cut for s in one} - self.cache.keys()) if cut else []
+        fresh = list(set().union(*cut).difference(self.cache))
         if len(self.cache) + len(fresh) > self.most:
             self.cache.clear()
-            fresh = list({s for one in cut for s in one})
+            fresh = list(set().union(*cut))
         for i in range(0, len(fresh), 2000):
             part = fresh[i : i + 2000]
             for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
