@@ -93,7 +93,7 @@ def id_bounds(docs: DataFrame, n: int, column: str = "doc_id") -> list[int]:
 
 def bucket_of(column: str, bounds: list[int]):
     """The number of bounds that an id isn't below; nulls come first."""
-    return F.coalesce(_steps(column, bounds), F.lit(0))
+    return F.when(F.col(column).isNull(), F.lit(0)).otherwise(_steps(column, bounds))
 
 
 def _steps(column: str, bounds: list[int]):
