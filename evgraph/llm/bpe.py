@@ -13,9 +13,9 @@ text are ignored.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
@@ -38,7 +38,8 @@ class Codec:
         path = name if "/" in name else public_tokenizers.path(name)
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
+        self.encode = lambda text: encode(text, disallowed_special=())
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.pattern = regex.compile(public_tokenizers.PATTERN.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
 
@@ -56,18 +57,23 @@ def codec(name: str) -> Codec:
     return _codecs[name]
 
 
-def _encoded(frame: DataFrame, ranks: str, keys: str) -> DataFrame:
-    """Ids of each row's text, in the text's place."""
+def _encoded(frame: DataFrame, ranks: str, keys: str, raw: bool = False) -> DataFrame:
+    """Ids of each row's text in the text's place; with `raw`, also the bytes that they decode to."""
     names = [k.split()[0] for k in keys.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = codec(ranks).encode
+        own = codec(ranks)
+        none = np.zeros(0, np.uint32)
         for whole in batches:
-            for batch in slices(whole, "text"):
-                ids = [encode(t) if t else [] for t in batch.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(ids, pa.list_(pa.int32()))], names=[*names, "ids"])
+            for batch in slices(whole, "text", 1 << 20):
+                ids = [own.encode(t) if t else none for t in batch.column("text").to_pylist()]
+                ends = np.cumsum([0, *map(len, ids)])
+                cols = [batch.column(n) for n in names] + [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([none, *ids]).astype(np.int32)))]
+                if raw:
+                    cols.append(pa.array([own.decode(x.tolist()) for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, names=[*names, "ids", "raw"][: len(cols)])
 
-    return frame.select(*names, "text").mapInArrow(run, f"{keys}, ids array<int>")
+    return frame.select(*names, "text").mapInArrow(run, f"{keys}, ids array<int>" + ", raw binary" * raw)
 
 
 def _edges(frame: DataFrame, ranks: str, overlap: int) -> DataFrame:
@@ -87,14 +93,7 @@ def _edges(frame: DataFrame, ranks: str, overlap: int) -> DataFrame:
     return frame.mapInArrow(run, f"{schema}, head array<bigint>, tail array<bigint>")
 
 
-def encode(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """doc_id and ids of each row's text, as the library would encode the whole text."""
-    if not 2 * overlap < chunk:
-        raise ValueError("chunks must be longer than two overlaps")
-    base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    short = base.filter(F.coalesce(F.length("text"), F.lit(0)) <= chunk)
-    whole = _encoded(short, ranks, "doc_id bigint")
-
+def _long(base: DataFrame, ranks: str, chunk: int, overlap: int) -> DataFrame:
     # a long row's key: rows of equal id and text are the same work, done once and dealt back by their number
     long = base.filter(F.length("text") > chunk).groupBy("doc_id", F.sha2("text", 256).alias("row")).agg(F.first("text").alias("text"), F.count("*").alias("copies"), F.length(F.first("text")).alias("n"))
     starts = F.sequence(F.lit(0).cast("long"), (F.col("n") - overlap - 1).cast("long"), F.lit(chunk).cast("long"))
@@ -115,7 +114,26 @@ def encode(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", chunk: int = C
     pieces = good.unionByName(joined.withColumn("k", F.lit(0)))
     ids = _encoded(pieces.repartition("doc_id", "row", "k"), ranks, "doc_id bigint, row string, copies bigint, k int")
     back = ids.groupBy("doc_id", "row", "copies").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return whole.unionByName(back.select("doc_id", "ids", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc_id", "ids"))
+    return back.select("doc_id", "ids", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc_id", "ids")
+
+
+def _split(docs: DataFrame, chunk: int, overlap: int) -> tuple[DataFrame, DataFrame]:
+    if not 2 * overlap < chunk:
+        raise ValueError("chunks must be longer than two overlaps")
+    base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return base.filter(F.coalesce(F.length("text"), F.lit(0)) <= chunk), base
+
+
+def encode(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """doc_id and ids of each row's text, as the library would encode the whole text."""
+    short, base = _split(docs, chunk, overlap)
+    return _encoded(short, ranks, "doc_id bigint").unionByName(_long(base, ranks, chunk, overlap))
+
+
+def round_trip(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """`decode` of `encode`; texts of one chunk take both steps in one pass."""
+    short, base = _split(docs, chunk, overlap)
+    return _encoded(short, ranks, "doc_id bigint", True).unionByName(decode(_long(base, ranks, chunk, overlap), ranks))
 
 
 def decode(tokens: DataFrame, ranks: str = "byte_bpe_50k.tiktoken") -> DataFrame:
@@ -133,11 +151,6 @@ def decode(tokens: DataFrame, ranks: str = "byte_bpe_50k.tiktoken") -> DataFrame
 
 
 def digest(decoded: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            said = [hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest() for x in ids]
-            raw = [hashlib.sha256(x).hexdigest() for x in batch.column("raw").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array(said), pa.array(raw)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    """Numbers and SHA-256 digests of the ids (as decimals joined by one space) and of the decoded bytes."""
+    said = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(said, 256).alias("ids_sha256"), F.sha2("raw", 256).alias("decoded_sha256"))
