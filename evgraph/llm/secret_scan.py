@@ -10,7 +10,6 @@ input pass through `scan` untouched unless they bear the name of a result column
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -106,10 +105,6 @@ def _order(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-def _said(spans: list[tuple[int, int, str]]) -> str:
-    return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
-
-
 def scan(docs: DataFrame, text: str = "text", bits: float = 36.0) -> DataFrame:
     """Adds `secret_spans`, an array of (kind, start, end) in code points by start, then kind; null texts get none."""
     kept = [c for c in docs.columns if c != "secret_spans"]
@@ -157,13 +152,12 @@ def redact_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 def digest(docs: DataFrame) -> DataFrame:
     """Counts and digests of the spans of `scan`, a row for each document."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc, spans in zip(batch.column("doc_id").to_pylist(), batch.column("secret_spans").to_pylist(), strict=True):
-                all_of = [(s["start"], s["end"], s["kind"]) for s in spans]
-                base = [s for s in all_of if s[2] != "guess"]
-                rows.append({"doc_id": doc} | {f"n_{k}": sum(s[2] == k for s in base) for k in KINDS[:3]} | {"base_sha256": hashlib.sha256(_said(base).encode()).hexdigest(), "spans": _said(all_of), "n_guess": len(all_of) - len(base)})
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base_sha256", pa.string()), ("spans", pa.string()), ("n_guess", pa.int64())]))
-
-    return docs.select(F.col("doc_id").cast("long"), "secret_spans").mapInArrow(run, "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_guess bigint")
+    def said(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def only(kind: str):
+        return F.filter("secret_spans", lambda s: s["kind"] == kind)
+
+    base = F.filter("secret_spans", lambda s: s["kind"] != "guess")
+    counts = [F.size(only(k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return docs.select(F.col("doc_id").cast("long"), *counts[:3], F.sha2(said(base), 256).alias("base_sha256"), said(F.col("secret_spans")).alias("spans"), counts[3])
