@@ -3,17 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bit_planes, bpe, ngram_join, packing, secret_scan
-from .common import table
+from . import bit_planes, bpe, fingerprints, html_text, language_id, ngram_join, packing, secret_scan, suffix_tree_lm
+from .common import Scratch, remainder, table, tune
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
+    samples = language_id.fit(docs.filter(~F.col("held_out")))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), samples).drop("text")
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
+    return bpe.digest(bpe.round_trip(table(spark, sf_dir, "documents")))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +43,22 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def _tuned(f):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        return f(spark, sf_dir)
+
+    return run
+
+
+def op10_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), "text")
+    scratch = Scratch(spark, "lm")
+    return suffix_tree_lm.score(docs, *suffix_tree_lm.learn(docs.filter(~F.col("held_out")), scratch), scratch)
+
+
 def queries() -> dict:
-    return {k: f for k, f in globals().items() if k.startswith("op")}
+    return {k: _tuned(f) for k, f in globals().items() if k.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
