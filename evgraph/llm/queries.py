@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bit_planes, bpe, fingerprints, html_text, language_id, ngram_join, packing, secret_scan, suffix_tree_lm
+from . import bit_planes, bpe, fingerprints, html_text, language_id, lattice, ngram_join, packing, secret_scan, suffix_tree_lm
 from .common import Scratch, remainder, table, tune
 
 
+def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents"))
 
