@@ -30,7 +30,7 @@ from .common import Scratch, encoder, partitions, slices
 
 MAGIC = b"BPL1"
 BLOCK = 65_536
-SHARD_IDS = 4 << 20
+SHARD_IDS = 1 << 20
 PLANES = {"bit": 32, "byte": 4}
 
 
@@ -74,15 +74,15 @@ def read_planes(file: bytes, blocks: range | None = None) -> np.ndarray:
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None) -> DataFrame:
-    """doc_id and its ids (little-endian unsigned 32-bit), the end id last."""
+    """doc_id, its ids (little-endian) with the end id last, and how many bytes wide an id is: two where all ids fit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = encoder(tokenizer, "<u4", path=path).encode, np.array([end_id], "<u4").tobytes()
+        own = encoder(tokenizer, path=path)
         for whole in batches:
-            for batch in slices(whole, "text"):
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x + end for x in ids_of(batch.column("text").to_pylist())], pa.binary())], names=["doc_id", "ids"])
+            for batch in slices(whole, "text", 4 << 20):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), own.documents(batch.column("text"), end_id).cast(pa.binary()), pa.array(np.full(batch.num_rows, own.kind.itemsize, np.int8))], names=["doc_id", "ids", "width"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, ids binary, width tinyint")
 
 
 def id_bounds(docs: DataFrame, n: int, column: str = "doc_id") -> list[int]:
@@ -109,7 +109,7 @@ def _steps(column: str, bounds: list[int]):
 
 
 def write_shards(tokens: DataFrame, scratch: Scratch, bounds: list[int], kind: str = "bit", shard_ids: int = SHARD_IDS) -> DataFrame:
-    """Writes (doc_id, ids) as shards: bucket, shard, first id's place in the bucket, ids, docs' row index, file."""
+    """Writes (doc_id, ids, width) as shards: bucket, shard, first id's place in the bucket, ids, docs' row index, file."""
     spark = scratch.spark
     names = {"bucket": pa.int32(), "shard": pa.int64(), "place": pa.int64(), "n_ids": pa.int64(), "docs": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()), "file": pa.binary()}
 
@@ -119,23 +119,23 @@ def write_shards(tokens: DataFrame, scratch: Scratch, bounds: list[int], kind: s
 
         def flush() -> pa.RecordBatch:
             nonlocal docs, ids, held
-            array = np.frombuffer(b"".join(ids), "<u4")
-            row = [state["bucket"], state["shard"], state["place"], len(array), docs, [len(x) // 4 for x in ids], write_planes(array, kind)]
+            array = np.concatenate(ids)
+            row = [state["bucket"], state["shard"], state["place"], len(array), docs, list(map(len, ids)), write_planes(array, kind)]
             state["shard"] += 1
             state["place"] += len(array)
             docs, ids, held = [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, names.values(), strict=True)], names=list(names))
 
         for batch in batches:
-            for bucket, doc, x in zip(batch.column("bucket").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                if bucket != state["bucket"] or held > 4 * shard_ids:
+            for bucket, doc, x, w in zip(*(batch.column(c).to_pylist() for c in ("bucket", "doc_id", "ids", "width")), strict=True):
+                if bucket != state["bucket"] or held > shard_ids:
                     if docs:
                         yield flush()
                     if bucket != state["bucket"]:
                         state |= {"bucket": bucket, "shard": 0, "place": 0}
                 docs.append(doc)
-                ids.append(x)
-                held += len(x)
+                ids.append(np.frombuffer(x, f"<u{w}"))
+                held += len(ids[-1])
         if docs:
             yield flush()
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -160,11 +159,22 @@ def word_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 #: White space as the tokenizers' regular expressions know it (Unicode's White_Space).
 WHITE = "\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-#: Letters of Latin-1 with what stands before them, if an ASCII character that is no letter, or the end, follows.
-_CORE = f"[^{WHITE}{_LETTER}]*[{_LETTER}]+(?=[\x00-@\\[-`{{-\x7f]|\\Z)"
-SEGMENT = re.compile(f"[{WHITE}]*(?:{_CORE}|[^{WHITE}]+)|[{WHITE}]+")
-WORDS = re.compile(f"{_CORE}|[^{WHITE}]+")
+_LETTERS = np.zeros(256, bool)
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+
+
+def segment_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where segments of UTF-8 texts start: at a text's start, at white space after a character that is none, and at an ASCII
+    character that is no letter after a letter of Latin-1."""
+    before, lead = np.zeros(len(raw), np.uint8), np.zeros(len(raw), np.uint8)
+    before[1:], lead[2:] = raw[:-1], raw[:-2]
+    latin = (lead == 0xC3) & (before >= 0x80)  # the two bytes before are U+00C0 to U+00FF
+    letter = _LETTERS[before] | (latin & (before != 0x97) & (before != 0xB7))
+    cut = SPACE[raw] & (latin | (before < 0x80) & ~SPACE[before])
+    cut |= letter & (raw < 0x80) & ~_LETTERS[raw]
+    first = offsets[:-1][np.diff(offsets) > 0]
+    cut[first] = True
+    return np.flatnonzero(cut)
 
 
 class SegmentEncoder:
@@ -172,10 +182,12 @@ class SegmentEncoder:
 
     A segment ends before white space, or between a letter and an ASCII character that is none. Neither the pre-tokenisers
     nor the normalisers of the two vocabularies look across such a place, so ids of a text are the ids of its segments one
-    after another. With `spaces=False` (a vocabulary that drops white space) segments have none.
+    after another. `plain` is for a vocabulary that drops white space and letter case: segments are told apart without them.
+
+    The cache is three arrays and a pool of ids, about 25 bytes for a segment; it starts anew beyond `most` segments.
     """
 
-    def __init__(self, name: str, width: str, spaces: bool = True, most: int = 700_000, path: str | None = None):
+    def __init__(self, name: str, plain: bool = False, most: int = 2_500_000, path: str | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -187,30 +199,78 @@ class SegmentEncoder:
             path = public_tokenizers.path(name)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.width, self.most, self.cache = np.dtype(width), most, {}
-        self.split = (SEGMENT if spaces else WORDS).findall
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian ids of each text; null counts as empty."""
-        cut = [self.split(t) if t else [] for t in texts]
-        fresh = list(set().union(*cut).difference(self.cache))
-        if len(self.cache) + len(fresh) > self.most:
-            self.cache.clear()
-            fresh = list(set().union(*cut))
-        for i in range(0, len(fresh), 2000):
-            part = fresh[i : i + 2000]
-            for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.cache[s] = np.array(e.ids, self.width).tobytes()
-        get = self.cache.__getitem__
-        return [b"".join(map(get, one)) for one in cut]
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.plain, self.most = plain, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.place, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool = np.zeros(0, self.kind)
+
+    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
+        ids, size = [], []
+        for i in range(0, len(texts), 2000):
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i : i + 2000], add_special_tokens=False)]
+            size += map(len, got)
+            ids += [x for one in got for x in one]
+        size = np.array(size, np.int32)
+        place = len(self.pool) + np.cumsum(size) - size
+        self.pool = np.concatenate([self.pool, np.array(ids, self.kind)])
+        keys, place, size = (np.concatenate(x) for x in ((self.keys, keys), (self.place, place), (self.size, size)))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.place, self.size = keys[order], place[order], size[order]
+
+    def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and how many each has; null counts as empty."""
+        raw, offsets = utf8(col)
+        if not len(raw):
+            return np.zeros(0, self.kind), np.zeros(len(col), np.int64)
+        starts = segment_starts(raw, offsets)
+        ends = np.append(starts[1:], len(raw))
+        begin = starts
+        if self.plain:  # past the white space that opens a segment
+            solid = np.flatnonzero(~SPACE[raw])
+            begin = np.minimum(np.append(solid, len(raw))[np.searchsorted(solid, starts)], ends)
+        said = LOWER[raw] if self.plain else raw
+        keys, back = np.unique(span_hashes(said, begin, ends), return_inverse=True)
+        if len(self.keys) + len(keys) > self.most:
+            self.clear()
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        if not known.all():
+            one = np.zeros(len(keys), np.int64)
+            one[back] = np.arange(len(back))  # some segment of each key
+            fresh = np.flatnonzero(~known)
+            data = said.tobytes()
+            self._learn(keys[fresh], [data[a:b].decode() for a, b in zip(begin[one[fresh]].tolist(), ends[one[fresh]].tolist(), strict=True)])
+            at = np.searchsorted(self.keys, keys)
+        size = self.size[at][back].astype(np.int64)
+        place = self.place[at][back]
+        stops = np.cumsum(size)
+        ids = self.pool[np.repeat(place - (stops - size), size) + np.arange(stops[-1])]
+        total = np.concatenate([[0], stops])[np.searchsorted(starts, offsets)]
+        return ids, np.diff(total)
+
+    def documents(self, col: pa.Array, end_id: int) -> pa.Array:
+        """A binary array of each text's ids (little-endian, `kind` wide) with the end id after them."""
+        ids, n = self.encode(col)
+        stops = np.cumsum(n + 1)
+        out = np.full(stops[-1] if len(stops) else 0, end_id, self.kind)
+        own = np.ones(len(out), bool)
+        own[stops - 1] = False
+        out[own] = ids
+        places = np.concatenate([[0], stops]).astype(np.int64) * self.kind.itemsize
+        return pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(places.tobytes()), pa.py_buffer(out.tobytes())])
 
 
 _encoders: dict[tuple, SegmentEncoder] = {}
 
 
-def encoder(name: str, width: str, spaces: bool = True, path: str | None = None) -> SegmentEncoder:
+def encoder(name: str, plain: bool = False, path: str | None = None) -> SegmentEncoder:
     """One encoder for each Python worker; workers live on from task to task."""
-    key = (name, width, spaces, path)
+    key = (name, plain, path)
     if key not in _encoders:
-        _encoders[key] = SegmentEncoder(name, width, spaces, path=path)
+        _encoders[key] = SegmentEncoder(name, plain, path=path)
     return _encoders[key]

@@ -99,7 +99,7 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
     names = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64(), "tier": pa.int64(), "step_group": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encode, end = TaskContext.get().partitionId(), encoder(tokenizer, "<u4", False, path).encode, np.array([end_id], "<u4").tobytes()
+        part, own = TaskContext.get().partitionId(), encoder(tokenizer, True, path)
         packer, held, seen, number, used = Packer(tiers, window), {}, 0, 0, dict.fromkeys(tiers, 0)
         out: list[tuple] = []
 
@@ -124,9 +124,9 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, names.values(), strict=True)], names=list(names))
 
         for whole in batches:
-            for batch in slices(whole, "text"):
-                for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()), strict=True):
-                    ids += end
+            for batch in slices(whole, "text", 4 << 20):
+                for doc, ids in zip(batch.column("doc_id").to_pylist(), own.documents(batch.column("text"), end_id).to_pylist(), strict=True):
+                    ids = np.frombuffer(ids, own.kind).astype("<u4").tobytes()
                     held[seen] = (doc, ids, len(ids) // 4)
                     place(packer.add(seen, len(ids) // 4))
                     seen += 1
