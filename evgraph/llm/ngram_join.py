@@ -62,8 +62,10 @@ def shingles(col: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]
         step = mix(out) + h[np.minimum(at + k, len(h) - 1)] * np.uint64(2 * k + 3)
         out = np.where(k < size, step, out)
     out = mix(out, 7)
-    order = np.lexsort((out, owner))
-    out, owner = out[order], owner[order]
+    stops = np.cumsum(count).tolist()
+    for a, b in zip([0, *stops[:-1]], stops, strict=True):
+        if b - a > 1:
+            out[a:b].sort()
     keep = np.ones(len(out), bool)
     keep[1:] = (out[1:] != out[:-1]) | (owner[1:] != owner[:-1])
     return out[keep], np.bincount(owner[keep], minlength=len(n))
@@ -101,13 +103,16 @@ def differ(a: bytes, b: bytes) -> int:
     return int(_ONES[x ^ y].sum())
 
 
-def signatures(docs: DataFrame, words: int) -> DataFrame:
-    names = {"doc_id": pa.int64(), "n": pa.int64(), "digest": pa.binary(), "bits": pa.binary(), "minima": pa.list_(pa.int64())}
+def signatures(docs: DataFrame, words: int, counters: int) -> DataFrame:
+    """A row for each text, and for each task the counts of its shingles by slot (the hash's low bits) in rows with a `part`."""
+    kinds = {"doc_id": pa.int64(), "n": pa.int64(), "digest": pa.binary(), "bits": pa.binary(), "minima": pa.list_(pa.int64()), "part": pa.int32(), "counts": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(counters, np.int64)
         for whole in batches:
             for batch in slices(whole, "text"):
                 h, n = shingles(batch.column("text"), words)
+                total += np.bincount((h & np.uint64(counters - 1)).astype(np.int64), minlength=counters)
                 ends = np.cumsum(n)
                 some = np.flatnonzero(n)
                 sums = np.zeros((2, len(n)), np.uint64)
@@ -120,36 +125,40 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                         minima[some, i] = np.minimum.reduceat(mix(h, 101 + i), at)
                 digest = [a.tobytes() + b.tobytes() + int(k).to_bytes(4, "little") for a, b, k in zip(*sums, n, strict=True)]
                 bits = [bitmap(h[e - k : e]) if k else None for e, k in zip(ends, n, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bits, pa.binary()), pa.array(list(minima.view(np.int64)), pa.list_(pa.int64()))], names=list(names))
+                none = [None] * len(n)
+                cols = [batch.column("doc_id"), n, digest, bits, list(minima.view(np.int64)), none, none]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds.values(), strict=True)], names=list(kinds))
+        for i in range(0, counters, 4096):
+            if total[i : i + 4096].any():
+                row = [None] * 5 + [i // 4096, total[i : i + 4096].astype("<i8").tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, kinds.values(), strict=True)], names=list(kinds))
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, digest binary, bits binary, minima array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, digest binary, bits binary, minima array<bigint>, part int, counts binary")
 
 
-def frequent(docs: DataFrame, words: int, counters: int, heavy: int) -> np.ndarray:
-    """A fixed-size bit array of the slots that hold frequent shingles; the slot is the low bits of the hash.
+def frequent(counts: DataFrame, counters: int, heavy: int) -> np.ndarray:
+    """A fixed-size bit array of the slots that hold frequent shingles, from (part, counts) rows, which are summed by part.
 
-    Slots are counted in each task and summed by slot, so the shuffle has a bounded number of rows for each task. When slots
-    are full of rare shingles (a large corpus), the limit rises until an eighth of them at most count as frequent.
+    When slots are full of rare shingles (a large corpus), the limit rises until an eighth of them at most count as frequent.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(counters, np.int64)
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                h, _ = shingles(batch.column("text"), words)
-                total += np.bincount((h & np.uint64(counters - 1)).astype(np.int64), minlength=counters)
-        for i in range(0, counters, 4096):
-            part = total[i : i + 4096]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i // 4096], pa.int32()), pa.array([part.astype("<i8").tobytes()], pa.binary())], names=["part", "counts"])
-
-    def add(key, frame):
-        import pandas as pd
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = None, None
 
-        total = sum(np.frombuffer(x, "<i8") for x in frame["counts"])
-        return pd.DataFrame({"part": [key[0]], "counts": [total.tobytes()]})
+        def settle() -> Iterator[pa.RecordBatch]:
+            if part is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "counts"])
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, "part int, counts binary").groupBy("part").applyInPandas(add, "part int, counts binary").collect()  # 8 MB
+        for batch in batches:
+            for p, x in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                if p != part:
+                    yield from settle()
+                    part, total = p, np.zeros(len(x) // 8, np.int64)
+                total += np.frombuffer(x, "<i8")
+        yield from settle()
+
+    n = partitions(counts.sparkSession)
+    rows = counts.repartition(n, "part").sortWithinPartitions("part").mapInArrow(add, "part int, counts binary").collect()  # 8 MB, whatever the corpus
     total = np.zeros(counters, np.int64)
     for r in rows:
         total[r["part"] * 4096 : r["part"] * 4096 + len(r["counts"]) // 8] = np.frombuffer(r["counts"], "<i8")
@@ -158,6 +167,42 @@ def frequent(docs: DataFrame, words: int, counters: int, heavy: int) -> np.ndarr
     return np.packbits(total > limit)
 
 
+#: Slots of the filter that keeps texts nobody asks for out of a shuffle: 4 MB whatever the corpus.
+ASKED = 1 << 25
+
+
+def only_asked(docs: DataFrame, ids: DataFrame, slots: int = ASKED) -> DataFrame:
+    """Documents whose doc_id may be among the ids, by a bit array of fixed size; the join that follows is exact."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(slots, bool)
+        for batch in batches:
+            bits[(mix(batch.column(0).to_numpy().view(np.uint64), 3) & np.uint64(slots - 1)).astype(np.int64)] = True
+        for i in range(0, slots, 1 << 16):
+            if bits[i : i + (1 << 16)].any():
+                yield pa.RecordBatch.from_arrays([pa.array([i >> 16], pa.int32()), pa.array([np.packbits(bits[i : i + (1 << 16)]).tobytes()], pa.binary())], names=["part", "bits"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for p, x in zip(batch.column("part").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                held[p] = held.get(p, 0) | np.frombuffer(x, np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], names=["part", "bits"])
+
+    spark = docs.sparkSession
+    table = np.zeros(slots // 8, np.uint8)
+    for r in ids.mapInArrow(mark, "part int, bits binary").repartition(partitions(spark), "part").mapInArrow(merge, "part int, bits binary").collect():
+        table[r["part"] << 13 : (r["part"] + 1) << 13] = np.frombuffer(r["bits"], np.uint8)
+    shared = spark.sparkContext.broadcast(table)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = (mix(batch.column("doc_id").to_numpy().view(np.uint64), 3) & np.uint64(slots - 1)).astype(np.int64)
+            yield batch.filter(pa.array((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def postings(docs: DataFrame, words: int, percent: int, often) -> DataFrame:
     """(t, doc_id, n, place) of each set's prefix: shingles in the order (frequent last, hash)."""
 
@@ -180,7 +225,7 @@ def postings(docs: DataFrame, words: int, percent: int, often) -> DataFrame:
                 n = n[fresh]
                 owner = np.repeat(np.arange(len(n)), n)
                 late = table[(h & mask).astype(np.int64)].astype(bool)
-                order = np.lexsort((h, late, owner))
+                order = np.argsort(2 * owner + late, kind="stable")  # the hashes of a set are ascending
                 h, late = h[order], late[order]
                 place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
                 # a partner shares T >= least_overlap(n, least partner) shingles, so one of these is common to both
@@ -250,7 +295,8 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, block:
     blocks = pairs.groupBy("u").agg(F.ceil(F.count("*") / block).alias("blocks"))
     dealt = pairs.join(blocks, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("blocks")).alias("block"))
     wanted = dealt.select(F.col("v").alias("doc_id"), "u", "block", F.lit(1).alias("role")).unionByName(dealt.select(F.col("u").alias("doc_id"), "u", "block", F.lit(0).alias("role")).distinct())
-    rows = wanted.join(docs, "doc_id").select("u", "block", "role", "doc_id", "text")
+    asked = only_asked(docs, pairs.select("u").union(pairs.select("v")))
+    rows = wanted.join(asked, "doc_id").select("u", "block", "role", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, query, ids, sets = None, None, [], []
@@ -384,7 +430,7 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, counter
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     known = docs.filter("doc_id IS NOT NULL")
 
-    signed = scratch.write(signatures(docs, words), "signed")
+    signed = scratch.write(signatures(docs, words, counters), "signed")
     some = signed.filter("n > 0 AND doc_id IS NOT NULL")
     classes = scratch.write(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("minima").alias("minima")), "classes")
     reps = classes.select("rep", "n", "bits").dropDuplicates(["rep"])
@@ -395,7 +441,7 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, counter
     near = verified(filtered(pairs, reps, percent), known, words, percent, block, scratch, "near")
     groups = components(near, scratch, "near-cc")
 
-    often = spark.sparkContext.broadcast(frequent(known, words, counters, heavy))  # a bit for each counter
+    often = spark.sparkContext.broadcast(frequent(signed.filter("part IS NOT NULL").select("part", "counts"), counters, heavy))  # a bit for each counter
     lists = scratch.write(lists_of(postings(known, words, percent, often)), "lists")
     to_rep = some.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep")
     held = lists.join(to_rep, "doc_id").select("t", "rep", "n", "place", "late").distinct()
@@ -409,5 +455,5 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, counter
     own = to_rep.filter("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     links = near.unionByName(far).unionByName(own.distinct())
     found = components(links, scratch, "cc")
-    out = signed.select("doc_id", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    out = signed.filter("part IS NULL").select("doc_id", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
