@@ -183,9 +183,12 @@ def model(samples: tuple[tuple[str, str], ...]) -> Model:
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_chars: int = SAMPLE_CHARS, sample_rows: int = SAMPLE_ROWS) -> tuple[tuple[str, str], ...]:
     """A bounded sample of each language's text, which is all that a model is made from."""
     rows = labelled.filter(F.col(lang).isNotNull()).select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    counts = rows.groupBy("lang").count()
-    rate = F.least(F.lit(1.0), 3.0 * sample_rows / F.col("count"))
-    chosen = rows.join(counts, "lang").filter((F.pmod("h", F.lit(1 << 30)) / float(1 << 30)) < rate)
+    # a rate for each label, of which there are few; rows are chosen where they are read, before any shuffle
+    rates = {r["lang"]: min(1.0, 3.0 * sample_rows / r["count"]) for r in rows.groupBy("lang").count().collect()}
+    if not rates:
+        return ()
+    rate = F.create_map(*[F.lit(x) for kv in rates.items() for x in kv])[F.col("lang")]
+    chosen = rows.filter((F.pmod("h", F.lit(1 << 30)) / float(1 << 30)) < rate)
     ordered = Window.partitionBy("lang").orderBy("h", "text")
     kept = chosen.withColumn("i", F.row_number().over(ordered)).filter(F.col("i") <= sample_rows).select("lang", "i", F.substring("text", 1, 4 * sample_chars // sample_rows + 4000).alias("text")).orderBy("lang", "i").collect()
     by: dict[str, list[str]] = {}
