@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,33 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# ---------------------------------------------------------------- scratch tables
+from ..plans.scratch import Scratch, shared_dir
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, set to an own folder only where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="evgraph-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-class Scratch:
-    """Written tables that cut lineage: they live in the shared folder, so a lost executor loses none of them."""
-
-    def __init__(self, spark: SparkSession, what: str):
-        self.spark, self.root = spark, f"{shared_dir(spark).rstrip('/')}/evgraph-{what}-{uuid.uuid4().hex}"
-
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["Scratch", "SegmentEncoder", "encoder", "mix", "partitions", "remainder", "shared_dir", "slices", "span_hashes", "table", "tune", "utf8", "word_hashes"]
 
 
 def tune(spark: SparkSession) -> None:

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import Scratch, mix, partitions
-from .components import components
 
 THRESHOLD = 0.95
 #: Tables, blocks of a table, the lattice's scale against unit vectors, and cells that a vector looks into.

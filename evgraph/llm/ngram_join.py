@@ -34,8 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import Scratch, mix, partitions, slices, word_hashes
-from .components import components
 
 WORDS, PERCENT = 5, 75
 #: Minima for round 2; more find more of a near-copy group before round 3, and links don't depend on it.

@@ -10,7 +10,7 @@ import pytest
 
 from evgraph.llm import ngram_join, queries
 from evgraph.llm.common import Scratch
-from evgraph.llm.components import components
+from evgraph.operators.components import components
 
 
 def closure(ids, pairs):
