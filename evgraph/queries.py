@@ -514,4 +514,241 @@ def a18_pilot_metrics(t: Testbed) -> DataFrame:
     return bridges.pilot_metrics(event_envelopes(t)).select("records", F.col("sources").cast("int").alias("sources"), "relationships", "identifiers")
 
 
+# ---------------------------------------------------------------- the rest of the inventory
+
+
+@query("SELECT DISTINCT person_id FROM content WHERE person_id <> 'c:1' AND content_ref IN (SELECT content_ref FROM content WHERE person_id = 'c:1' AND domain = 'part') AND domain = 'part'", "content")
+def p02_not_members(t: Testbed) -> DataFrame:
+    works = t.content().filter("domain = 'part'")
+    mine = works.filter("person_id = 'c:1'").select("content_ref")
+    return works.filter("person_id <> 'c:1'").join(mine, "content_ref", "left_semi").select("person_id").distinct()
+
+
+@query("SELECT entity_id FROM entities WHERE digest IN (SELECT digest FROM entities GROUP BY digest HAVING count(*) > 1)", "entities")
+def p04_same_cluster(t: Testbed) -> DataFrame:
+    many = contracts.duplicates(t.entities(), ["digest"])
+    return t.entities().join(many, "digest", "left_semi").select("entity_id")
+
+
+CARDS = """SELECT CASE WHEN p_partkey % 11 = 0 THEN 'solo' || p_partkey ELSE 'Owner' || (p_partkey % 97) || CASE WHEN p_partkey % 5 = 0 THEN '-labs' ELSE '' END || '/repo' || p_partkey END AS full_name, CASE WHEN p_partkey % 13 <> 0 THEN p_size END AS stars, p_brand AS language,
+ CASE WHEN p_partkey % 3 = 0 THEN '' ELSE repeat(p_name || ' ', 20) END AS description, CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'oops' ELSE '["' || p_type || '", "CLI", "' || p_name || '"]' END AS topics_json, CASE p_partkey % 6 WHEN 0 THEN '1' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE '0' END AS fork FROM part"""
+
+
+def cards(t: Testbed) -> DataFrame:
+    """Parts as cards of repositories, in all forms that the loaders have to bear."""
+    t.table("part").createOrReplaceTempView("_part")
+    return t.spark.sql(CARDS.replace("FROM part", "FROM _part"))
+
+
+REPOS = f"SELECT *, lower(split_part(full_name, '/', 1)) AS k FROM ({CARDS}) WHERE contains(full_name, '/') AND coalesce(fork, '') IN ('', '0')"
+
+
+@query(f"SELECT full_name FROM ({CARDS}) WHERE contains(full_name, '/') AND coalesce(fork, '') IN ('', '0') AND coalesce(stars, 0) >= 10")
+def p08_repositories(t: Testbed) -> DataFrame:
+    return rollups.repositories(cards(t), 10).select("full_name")
+
+
+@query(f"SELECT full_name FROM ({CARDS}) WHERE contains(full_name, '/') AND coalesce(fork, '') IN ('', '0')")
+def p07_with_slash(t: Testbed) -> DataFrame:
+    return rollups.repositories(cards(t)).select("full_name")
+
+
+@query(f"SELECT 'gh:' || arg_min(split_part(full_name, '/', 1), full_name) AS person_id, count(*) AS repos, CAST(sum(coalesce(stars, 0)) AS BIGINT) AS stars, string_agg(DISTINCT language, ',' ORDER BY language) AS languages, CASE WHEN contains(k, '-labs') THEN 'organisation' ELSE 'unknown' END AS kind FROM ({REPOS}) GROUP BY k")
+def g28_owners(t: Testbed) -> DataFrame:
+    known = t.spark.createDataFrame([], "login string, person_id string, priority int")
+    return rollups.owners(cards(t), known)[0].select("person_id", "repos", big("stars"), F.array_join("languages", ",").alias("languages"), "kind")
+
+
+@query(f"SELECT 'gh:' || split_part(full_name, '/', 1) AS person_id, full_name AS content_ref, CAST(coalesce(stars, 0) AS DOUBLE) AS score, nullif(substr(description, 1, 200), '') AS title FROM ({REPOS})")
+def f12_owner_edges(t: Testbed) -> DataFrame:
+    known = t.spark.createDataFrame([], "login string, person_id string, priority int")
+    return rollups.owners(cards(t), known)[1].select("person_id", "content_ref", "score", "title")
+
+
+@query(
+    f"""SELECT person_id, topic, scheme, CAST(weight AS DOUBLE) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY scheme, person_id ORDER BY weight DESC, topic) AS n FROM (
+ SELECT 'gh:' || k AS person_id, topic, 'github_topic' AS scheme, count(*) AS weight FROM (SELECT lower(split_part(full_name, '/', 1)) AS k, unnest([lower(trim(p)) FOR p IN string_split(substr(topics_json, 3, length(topics_json) - 4), '", "')]) AS topic FROM ({CARDS}) WHERE contains(full_name, '/') AND starts_with(topics_json, '[')) WHERE length(topic) > 2 AND topic <> 'cli' GROUP BY k, topic
+ UNION ALL SELECT 'gh:' || lower(split_part(full_name, '/', 1)), language, 'github_lang', count(*) FROM ({CARDS}) WHERE contains(full_name, '/') GROUP BY 1, 2)) WHERE n <= CASE scheme WHEN 'github_topic' THEN 25 ELSE 8 END"""
+)
+def g29_owner_topics(t: Testbed) -> DataFrame:
+    people = cards(t).filter("contains(full_name, '/')").select(F.concat(F.lit("gh:"), F.lower(text.before_slash(F.col("full_name")))).alias("person_id")).distinct()
+    return rollups.owner_topics(cards(t), people).select("person_id", "topic", "scheme", "weight")
+
+
+BOOKS = "SELECT o_orderkey AS gid, CASE WHEN o_orderkey % 4 = 0 THEN 'Various' ELSE 'Customer' || o_custkey || ', ' || o_orderpriority END || CASE WHEN o_custkey % 3 = 0 THEN ', ' || (1500 + o_custkey % 400) || '-' ELSE '' END || CASE WHEN o_orderkey % 5 = 0 THEN '; Clerk, Anne [Editor]' ELSE '' END AS authors, CASE WHEN o_orderkey % 7 = 0 THEN 'Sound' ELSE 'Text' END AS media_type FROM orders"
+
+
+def books(t: Testbed) -> DataFrame:
+    t.table("orders").createOrReplaceTempView("_orders")
+    return t.spark.sql(BOOKS.replace("FROM orders", "FROM _orders"))
+
+
+CHUNKS = rf"""SELECT gid, trim(c) AS variant, CASE WHEN ends_with(c, ']') THEN 'editor' ELSE 'author' END AS role, regexp_replace(regexp_replace(trim(c), '\s*\[Editor\]$', ''), ',\s*\d{{4}}-$', '') AS name, TRY_CAST(regexp_extract(c, ',\s*(\d{{4}})-$', 1) AS INTEGER) AS birth FROM (SELECT gid, unnest(string_split(authors, ';')) AS c FROM ({BOOKS}) WHERE media_type = 'Text')"""
+
+
+@query(f"SELECT gid, name, birth, role, (NOT contains(name, ',') AND birth IS NULL) OR lower(name) = 'various' AS corporate FROM ({CHUNKS})")
+def f07_author_chunks(t: Testbed) -> DataFrame:
+    rows = rollups.chunks(books(t)).filter("author IS NOT NULL")
+    return rows.select("gid", "author.name", "author.birth", "author.role", "author.corporate")
+
+
+@query(rf"SELECT regexp_replace(lower(name), '[^a-z0-9, ]', '', 'g') || CASE WHEN birth IS NULL THEN '' ELSE '|' || birth || '-' END AS person_key, count(DISTINCT (gid, role)) AS work_count, string_agg(DISTINCT variant, ';' ORDER BY variant) AS variants FROM ({CHUNKS}) GROUP BY 1")
+def g26_book_people(t: Testbed) -> DataFrame:
+    return rollups.book_people(books(t))[0].select("person_key", "work_count", F.array_join("variants", ";").alias("variants"))
+
+
+@query(rf"SELECT DISTINCT regexp_replace(lower(name), '[^a-z0-9, ]', '', 'g') || CASE WHEN birth IS NULL THEN '' ELSE '|' || birth || '-' END AS person_key, gid, role FROM ({CHUNKS})")
+def a13_book_edges(t: Testbed) -> DataFrame:
+    return rollups.book_people(books(t))[1]
+
+
+@query("SELECT CASE WHEN starts_with(event_type, 'p') THEN 'p-family' ELSE event_type END AS family, count(*) AS n FROM events GROUP BY 1")
+def p23_recode(t: Testbed) -> DataFrame:
+    family = F.when(F.startswith("event_type", F.lit("p")), "p-family").otherwise(F.col("event_type"))
+    return t.observations().groupBy(family.alias("family")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey, CASE WHEN regexp_matches(lower(login), '-org|-team|-labs|-inc|-io|foundation|institute|technologies|systems|software|group|community|project') THEN true ELSE false END AS organisational FROM (SELECT c_custkey, c_name || CASE c_custkey % 4 WHEN 0 THEN '-Labs' WHEN 1 THEN ' Foundation' ELSE '' END AS login FROM customer)")
+def p21_organisational(t: Testbed) -> DataFrame:
+    rows = t.table("customer").selectExpr("c_custkey", "c_name || CASE c_custkey % 4 WHEN 0 THEN '-Labs' WHEN 1 THEN ' Foundation' ELSE '' END AS login")
+    return rows.select("c_custkey", rollups.organisational(F.col("login")).alias("organisational"))
+
+
+@query("SELECT a.c_custkey AS a, b.c_custkey AS b FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey WHERE a.c_custkey % 3 = 0 AND b.c_custkey % 3 = 0")
+def j12_two_key_blocks(t: Testbed) -> DataFrame:
+    rows = t.table("customer").filter("c_custkey % 3 = 0").withColumnRenamed("c_custkey", "entity_id")
+    return identity.block_pairs(rows, ["c_nationkey", "c_mktsegment"], chunk=16).select("a", "b")
+
+
+@query("SELECT person_id, string_agg(topic, ',' ORDER BY topic) AS topics, count(*) AS n FROM (SELECT DISTINCT person_id, topic FROM topics WHERE scheme = 'type') GROUP BY person_id", "topics")
+def j14_collected_children(t: Testbed) -> DataFrame:
+    kinds = t.topics().filter("scheme = 'type'").groupBy("person_id").agg(F.array_sort(F.collect_set("topic")).alias("t"))
+    return kinds.select("person_id", F.array_join("t", ",").alias("topics"), F.size("t").cast("long").alias("n"))
+
+
+@query("SELECT conv_id, role, count(*) AS turns, min(turn) AS first, max(turn) AS last FROM conversations GROUP BY conv_id, role")
+def a22_contributions_by_role(t: Testbed) -> DataFrame:
+    return t.table("conversations").groupBy("conv_id", "role").agg(F.count("*").alias("turns"), F.min("turn").alias("first"), F.max("turn").alias("last"))
+
+
+@query("SELECT source, count(*) AS n, round(count(*) FILTER (quality IS NOT NULL) * 100.0 / count(*), 2) AS pct FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source")
+def a26_coverage_ratio(t: Testbed) -> DataFrame:
+    rows = t.table("documents").join(t.table("labels"), "doc_id", "left")
+    return rows.groupBy("source").agg(F.count("*").alias("n"), bridges.percent(F.count("quality"), F.count("*")).alias("pct"))
+
+
+@query("SELECT DISTINCT event_type || ':' || user_id AS account FROM events")
+def a24_distinct_accounts(t: Testbed) -> DataFrame:
+    return t.observations().select(F.concat_ws(":", "event_type", F.col("user_id").cast("string")).alias("account")).distinct()
+
+
+@query("SELECT source, lang, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id DESC) AS n FROM documents) WHERE n = 1")
+def a25_last_subject(t: Testbed) -> DataFrame:
+    return rollups.first_wins(t.table("documents").select("source", "lang", "doc_id"), ["source", "lang"], F.desc("doc_id"))
+
+
+@query("SELECT count(*) AS people, count(*) FILTER (corporate) AS corporate, count(*) FILTER (years) AS with_life_years FROM (SELECT k, arg_min(NOT contains(name, ',') AND birth IS NULL OR lower(name) = 'various', gid) AS corporate, bool_or(birth IS NOT NULL) AS years FROM (SELECT *, regexp_replace(lower(name), '[^a-z0-9, ]', '', 'g') || CASE WHEN birth IS NULL THEN '' ELSE '|' || birth || '-' END AS k FROM (" + CHUNKS + ")) GROUP BY k)")
+def a14_build_summary(t: Testbed) -> DataFrame:
+    return rollups.build_summary(*rollups.book_people(books(t))).drop("edges")
+
+
+@query("SELECT person_id, CASE WHEN person_id IN ('c:1', 'c:3') THEN 0 ELSE 1 END AS far FROM (SELECT DISTINCT person_id FROM content WHERE domain = 'order')", "content")
+def g02_expansion(t: Testbed) -> DataFrame:
+    from .operators.components import expand
+
+    start = t.spark.createDataFrame([("c:1",)], "id string")
+    edges = t.spark.createDataFrame([("c:1", "c:3")], "u string, v string")
+    near, _ = expand(start, edges)
+    people = t.content().filter("domain = 'order'").select("person_id").distinct()
+    return people.join(near.withColumn("hit", F.lit(0)), F.col("person_id") == F.col("id"), "left").select("person_id", F.coalesce("hit", F.lit(1)).alias("far"))
+
+
+@query("SELECT (SELECT count(*) FROM person WHERE name ILIKE '%customer#00000001%') AS total, count(*) AS returned FROM (SELECT person_id FROM person WHERE name ILIKE '%customer#00000001%' ORDER BY person_id LIMIT 5)", "person")
+def a01_honest_total(t: Testbed) -> DataFrame:
+    hits = search.containing(t.person(), "name", "customer#00000001")
+    page = hits.orderBy("person_id").limit(5).agg(F.count("*").alias("returned"))
+    return hits.agg(F.count("*").alias("total")).crossJoin(F.broadcast(page))  # one row each
+
+
+@query("SELECT a.l_orderkey, a.l_linenumber FROM lineitem a JOIN orders o ON a.l_orderkey = o.o_orderkey WHERE a.l_shipdate < o.o_orderdate")
+def p16_interval_order(t: Testbed) -> DataFrame:
+    rows = t.table("lineitem").join(t.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return contracts.violations(rows, order=F.col("l_shipdate") >= F.col("o_orderdate")).select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '1970-01-01T00:00:00Z' WHEN event_id % 3 = 1 THEN strftime(ts, '%Y-%m-%d') || 'T00:00:00Z' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' END AS at FROM events")
+def f19_full_times(t: Testbed) -> DataFrame:
+    raw = F.when(F.col("event_id") % 3 == 1, F.date_format("ts", "yyyy-MM-dd")).when(F.col("event_id") % 3 == 2, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return t.observations().select("event_id", dates.full_time(raw).alias("at"))
+
+
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'format.iso8601' WHEN 1 THEN 'format.timezone' END AS problem FROM events")
+def f20_iso_problems(t: Testbed) -> DataFrame:
+    raw = F.when(F.col("event_id") % 3 == 0, F.lit("someday")).when(F.col("event_id") % 3 == 1, F.lit("2024-01-01T00:00:00")).otherwise(F.lit("2024-01-01T00:00:00+01:00"))
+    return t.observations().select("event_id", dates.iso_problem(raw).alias("problem"))
+
+
+@query("SELECT c_custkey, lower(split_part(c_name, '#', 1)) AS surname FROM customer")
+def f03_surnames(t: Testbed) -> DataFrame:
+    surname, _ = text.parts_of(F.concat(F.substring_index("c_name", "#", 1), F.lit(", X")))
+    return t.table("customer").select("c_custkey", surname.alias("surname"))
+
+
+@query("SELECT p_partkey, lower(trim(regexp_replace(p_name, '\\s+', ' ', 'g'))) AS key FROM part")
+def f09_collapsed(t: Testbed) -> DataFrame:
+    return t.table("part").select("p_partkey", text.collapsed(F.concat(F.lit("  "), F.replace("p_name", F.lit(" "), F.lit(" \t ")))).alias("key"))
+
+
+@query("SELECT token, count(*) AS df, CAST(sum(tf) AS BIGINT) AS n FROM (SELECT p_partkey, token, count(*) AS tf FROM (SELECT p_partkey, unnest(string_split(lower(p_name), ' ')) AS token FROM part) GROUP BY p_partkey, token) GROUP BY token")
+def f01_postings(t: Testbed) -> DataFrame:
+    return search.postings(t.table("part"), "p_partkey", F.col("p_name")).groupBy("token").agg(F.count("*").alias("df"), F.sum("tf").alias("n"))
+
+
+@query("SELECT nation.n_name, CAST(count(c_custkey) AS BIGINT) AS customers, count(*) FILTER (c_acctbal < 0) AS negative FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey GROUP BY n_name")
+def a17_method_histogram(t: Testbed) -> DataFrame:
+    rows = t.table("nation").join(t.table("customer"), F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return rows.groupBy("n_name").agg(F.count("c_custkey").alias("customers"), F.count_if(F.col("c_acctbal") < 0).alias("negative"))
+
+
+@query("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type HAVING count(*) > 1")
+def v09_repeated_status(t: Testbed) -> DataFrame:
+    return contracts.duplicates(t.observations(), ["user_id", "event_type"])
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 10 = 0")
+def v06_changed_rows(t: Testbed) -> DataFrame:
+    before = t.table("documents").select("doc_id", "lang")
+    return contracts.changed(before, before.withColumn("lang", F.when(F.col("doc_id") % 10 == 0, "xx").otherwise(F.col("lang"))), "doc_id")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'name_only' WHEN doc_id % 5 = 1 THEN 'unsafe_scheme' ELSE '' END AS problems FROM documents")
+def v14_seed_problems(t: Testbed) -> DataFrame:
+    kind = "array<struct<scheme:string,value:string>>"
+    ids_ = F.when(F.col("doc_id") % 5 == 0, F.array().cast(kind)).otherwise(F.array(F.struct(F.when(F.col("doc_id") % 5 == 1, "name").otherwise("orcid").alias("scheme"), F.lit("1").alias("value"))))
+    seeds = t.table("documents").select("doc_id", F.array(F.lit("d")).alias("domains"), ids_.alias("stable_identifiers"), F.lit("living").alias("living_state"))
+    return contracts.seed_problems(seeds).select("doc_id", F.array_join("problems", ",").alias("problems"))
+
+
+@query("SELECT c_custkey, 'source_observation' AS grade, c_mktsegment AS source FROM customer")
+def v16_evidence(t: Testbed) -> DataFrame:
+    from .engine import evidence
+
+    return t.table("customer").select("c_custkey", evidence("source_observation", F.col("c_mktsegment")).alias("e")).select("c_custkey", "e.grade", "e.source")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS subject, CAST(1 + count(l_orderkey) AS BIGINT) AS envelopes FROM part LEFT JOIN (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem WHERE l_linenumber = 1) ON p_partkey = l_partkey GROUP BY p_partkey")
+def e05_package_envelopes(t: Testbed) -> DataFrame:
+    made = t.table("lineitem").filter("l_linenumber = 1").select("l_partkey", "l_orderkey").distinct().groupBy("l_partkey").agg(F.collect_list(F.struct(F.col("l_orderkey").cast("string").alias("version"), F.lit("2024-01-01T00:00:00Z").alias("published_at"))).alias("versions"))
+    rows = t.table("part").join(made, F.col("p_partkey") == F.col("l_partkey"), "left").select(F.col("p_partkey").cast("string").alias("name"), F.lit("MIT").alias("license"), F.array(F.col("p_brand")).alias("owners"), "versions")
+    e = adapters.packages(rows, SOURCE, "npm")
+    return e.groupBy(F.substring_index("subject.label", "@", 1).alias("subject")).agg(F.count("*").alias("envelopes"))
+
+
+@query("SELECT 'talk:' || l_orderkey || '-' || l_linenumber AS subject, CAST(1 AS INTEGER) AS speakers FROM lineitem WHERE l_linenumber <= 2")
+def e18_schedule_envelopes(t: Testbed) -> DataFrame:
+    talk = F.struct(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("guid"), F.lit("t").alias("title"), F.array(F.struct(F.col("l_returnflag").alias("name"), F.lit(None).cast("string").alias("code"))).alias("persons"))
+    rows = t.table("lineitem").filter("l_linenumber <= 2").select(F.col("l_orderkey").cast("string").alias("conference"), F.array(F.struct(F.lit("2024-01-01").alias("date"), F.create_map(F.lit("room"), F.array(talk)).alias("rooms"))).alias("days"))
+    return adapters.schedule_talks(rows, SOURCE).select(F.col("subject.source_native_id").alias("subject"), F.size("contributions").alias("speakers"))
+
+
 FLAGSHIP = a04_person_layers
