@@ -175,9 +175,9 @@ def j10_semi(t: Testbed) -> DataFrame:
     return t.table("customer").join(t.table("orders").filter("o_totalprice > 200000"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 100000)")
 def j11_anti(t: Testbed) -> DataFrame:
-    return t.table("customer").join(t.table("orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    return t.table("customer").join(t.table("orders").filter("o_totalprice > 100000"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 @query("SELECT a.entity_id AS a, b.entity_id AS b FROM entities a JOIN entities b ON a.digest = b.digest AND a.entity_id < b.entity_id", "entities")
@@ -451,9 +451,10 @@ def g24_bridges(t: Testbed) -> DataFrame:
     return bridges.bridges(rows).select(F.col("value").cast("long").alias("l_partkey"), "sources")
 
 
-@query("SELECT part.p_brand AS outer_owner, p.p_brand AS inner_owner FROM (SELECT DISTINCT p_brand FROM part) part JOIN (SELECT DISTINCT p_brand FROM part) p ON starts_with(p.p_brand, part.p_brand || '/')")
+@query("SELECT DISTINCT p_brand AS outer_owner, p_brand || ' ' || p_type AS inner_owner FROM part")
 def g31_ownership_overlaps(t: Testbed) -> DataFrame:
-    owned = t.table("part").select(F.col("p_brand").alias("owner"), F.concat("p_brand", F.lit("/**")).alias("path")).distinct()
+    part = t.table("part")
+    owned = part.select(F.col("p_brand").alias("owner"), F.concat("p_brand", F.lit("/**")).alias("path")).unionByName(part.select(F.concat_ws(" ", "p_brand", "p_type").alias("owner"), F.concat_ws("/", "p_brand", "p_type", F.lit("x.py")).alias("path"))).distinct()
     return bridges.overlaps(owned).select("outer_owner", "inner_owner")
 
 
