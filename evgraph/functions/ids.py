@@ -109,7 +109,9 @@ def stable_id(prefix: str, *parts: Column, length: int = 24) -> Column:
 
 
 def observation_id(source: Column, kind: Column, native: Column) -> Column:
-    return F.concat(F.lit("obs:"), source, F.lit(":"), kind, F.lit(":"), F.substring(F.sha2(native, 256), 1, 24))
+    """Of a source's record about a thing: never a canonical id."""
+    digest = F.substring(F.sha2(F.concat_ws("\x1f", source, kind, native), 256), 1, 24)
+    return F.concat(F.lit("obs:"), source, F.lit(":"), kind, F.lit(":"), digest)
 
 
 def percent_encoded(text: Column) -> Column:

@@ -149,3 +149,92 @@ def people_rows(person: DataFrame, identifiers: DataFrame, topics: DataFrame, so
     made = F.transform(F.coalesce("tops", F.array().cast("array<struct<scheme:string,topic:string>>")), lambda x: relation("topic_assignment", agent("concept", F.concat_ws(":", x["scheme"], x["topic"]), x["topic"]), F.lit(source["observed_at"])))
     kind = F.when(F.col("kind") == "organisation", "organisation").otherwise("person")
     return envelope(rows, source, F.col("person_id"), kind, F.col("person_id"), F.col("name"), F.struct("state", "origin"), each, None, made, raw=F.struct("person_id", "name", "kind", "state"))
+
+
+def code_repositories(rows: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Repositories (id, node_id, full_name, owner{id, login, type}, contributors[id, login, role], transfers[from_owner_id, from_owner_login, at],
+    dependencies[purl, name], swhids[], description, license)."""
+    at = F.lit(source["observed_at"])
+    account = lambda x: agent("account", F.concat(F.lit("github:account:"), x["id"].cast("string")), x["login"])
+    owner = F.col("owner")
+    first = contribution("repository_owner", agent(F.when(owner["type"] == "Organization", "organisation").otherwise("account"), F.concat(F.lit("github:account:"), owner["id"].cast("string")), owner["login"]), at, F.lit(1))
+    others = F.transform(F.coalesce("contributors", F.array().cast("array<struct<id:bigint,login:string,role:string>>")), lambda c, i: contribution(F.coalesce(c["role"], F.lit("contributor")), account(c), at, i + 1))
+    moved = F.transform(F.coalesce("transfers", F.array().cast("array<struct<from_owner_id:bigint,from_owner_login:string,at:string>>")), lambda t: relation("transferred_from", agent("account", F.concat(F.lit("github:account:"), t["from_owner_id"].cast("string")), t["from_owner_login"]), at, "full-name history"))
+    needs = F.transform(F.coalesce("dependencies", F.array().cast("array<struct<purl:string,name:string>>")), lambda d: relation("depends_on", agent("work", d["purl"], F.coalesce(d["name"], d["purl"])), at, "dependency manifest"))
+    kept = F.transform(F.coalesce("swhids", F.array().cast("array<string>")), lambda x: relation("archived_as", agent("work", x, x), at, "archival identifier"))
+    ids = F.array(identifier("github_repository_id", F.col("id")), F.when(F.col("node_id").isNotNull(), identifier("github_node_id", F.col("node_id"))), identifier("github_full_name", F.col("full_name"), "mutable", "unknown"))
+    return envelope(rows, source, F.concat_ws(":", F.lit("repository"), F.col("id").cast("string"), F.lit(source["snapshot_id"])), "work", F.concat(F.lit("github:repository:"), F.col("id").cast("string")), F.col("full_name"), F.struct("full_name", "description", "license"), ids, F.concat(F.array(first), others), F.concat(moved, needs, kept))
+
+
+def code_releases(rows: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Releases (id, repository_id, repository, tag, published_at, author{id, login})."""
+    at = F.coalesce("published_at", F.lit(source["observed_at"]))
+    who = F.array(F.when(F.col("author").isNotNull(), contribution("release_author", agent("account", F.concat(F.lit("github:account:"), F.col("author.id").cast("string")), F.col("author.login")), at, F.lit(1))))
+    made = F.array(relation("version_of", agent("work", F.concat(F.lit("github:repository:"), F.col("repository_id").cast("string")), F.col("repository")), at))
+    return envelope(rows, source, F.col("id"), "work", F.concat(F.lit("github:release:"), F.col("id").cast("string")), F.concat_ws("@", "repository", "tag"), F.struct("tag", "published_at"), F.array(identifier("github_release_id", F.col("id"))), who, made, observed_at=at)
+
+
+def video_channels(rows: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Channels (id, title, custom_url, published_at, country): accounts, never people."""
+    ids = F.array(identifier("youtube_channel_id", F.col("id")), F.when(F.trim("custom_url") != "", identifier("youtube_handle", F.col("custom_url"), "mutable", "unknown")))
+    return envelope(rows, source, F.col("id"), "account", F.col("id"), F.coalesce(F.nullif(F.trim("title"), F.lit("")), F.col("id")), F.struct("published_at", "country"), ids)
+
+
+def videos(rows: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Videos (id, title, channel_id, channel_title, published_at, duration)."""
+    at = F.lit(source["observed_at"])
+    channel = agent("account", F.col("channel_id"), F.coalesce(F.nullif(F.trim("channel_title"), F.lit("")), F.col("channel_id")))
+    has = F.trim("channel_id") != ""
+    return envelope(rows, source, F.col("id"), "work", F.col("id"), F.coalesce(F.nullif(F.trim("title"), F.lit("")), F.col("id")), F.struct("published_at", "duration"), F.array(identifier("youtube_video_id", F.col("id"))), F.array(F.when(has, contribution("publisher_account", channel, at))), F.array(F.when(has, relation("published_by", channel, at))))
+
+
+def authority_people(rows: DataFrame, source: dict[str, str], scheme: str) -> DataFrame:
+    """Author records of an authority (id, name, orcid): its own id, and an ORCID where it gives one."""
+    orcid = F.nullif(F.regexp_replace(F.trim("orcid"), "^https?://orcid.org/", ""), F.lit(""))
+    ids = F.array(identifier(scheme, F.col("id")), F.when(orcid.isNotNull(), identifier("orcid", orcid, scope="global")))
+    return envelope(rows, source, F.col("id"), "person", F.col("id"), F.coalesce(F.nullif(F.trim("name"), F.lit("")), F.col("id")), F.struct("name"), ids)
+
+
+def library_works(rows: DataFrame, source: dict[str, str], scheme: str) -> DataFrame:
+    """Catalogue works (key, title, authors[]: keys of people in order, edition_of): contributions by place, an edition points to its work."""
+    at = F.lit(source["observed_at"])
+    who = F.transform(F.coalesce("authors", F.array().cast("array<string>")), lambda k, i: contribution("author", agent("person", k, k), at, i))
+    made = F.array(F.when(F.col("edition_of").isNotNull(), relation("edition_of", agent("work", F.col("edition_of"), F.col("edition_of")), at)))
+    return envelope(rows, source, F.col("key"), "work", F.col("key"), F.coalesce(F.nullif(F.trim("title"), F.lit("")), F.col("key")), F.struct("title"), F.array(identifier(scheme, F.col("key"))), who, made)
+
+
+def model_repositories(rows: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Models, datasets and spaces (repo_type, id, owner, contributors[], links[predicate, target], revisions[sha, at]): one envelope each and one
+    for each revision."""
+    at = F.lit(source["observed_at"])
+    native = F.concat_ws(":", F.lit("huggingface"), "repo_type", "id")
+    people = F.concat(F.array("owner"), F.coalesce("contributors", F.array().cast("array<string>")))
+    who = F.transform(people, lambda p, i: contribution(F.when(i == 0, "repository_owner").otherwise("contributor"), agent("account", F.concat(F.lit("huggingface:account:"), p), p), at, i))
+    links = F.transform(F.coalesce("links", F.array().cast("array<struct<predicate:string,target:string>>")), lambda x: F.struct(x["predicate"].alias("predicate"), agent("work", x["target"], x["target"]).alias("object"), at.alias("observed_at"), F.lit("repository card").alias("evidence")))
+    whole = envelope(rows, source, F.concat_ws("/", "repo_type", "id"), "work", native, F.col("id"), F.struct("repo_type"), F.array(identifier("huggingface_repo", F.concat_ws("/", "repo_type", "id"))), who, links)
+    each = rows.select("repo_type", "id", F.explode("revisions").alias("r"))
+    version = F.concat_ws("@", native, "r.sha")
+    made = F.array(relation("version_of", agent("work", native, F.col("id")), at))
+    return whole.unionByName(envelope(each, source, version, "work", version, F.concat_ws("@", "id", "r.sha"), F.struct("r.sha"), F.array(identifier("huggingface_revision", F.col("r.sha"))), None, made, observed_at=F.coalesce("r.at", at)))
+
+
+def work_rows(person: DataFrame, content: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Works of a graph with the people who contributed to them, by the role on each edge."""
+    at = F.lit(source["observed_at"])
+    named = content.join(person.select("person_id", "name"), "person_id").groupBy("domain", "content_ref").agg(F.array_sort(F.collect_list(F.struct("role", "person_id", "name"))).alias("by"))
+    who = F.transform("by", lambda p, i: contribution(p["role"], agent("person", p["person_id"], p["name"]), at, i))
+    ref = F.concat_ws(":", "domain", "content_ref")
+    return envelope(named, source, ref, "work", ref, F.col("content_ref"), F.struct("domain"), F.array(identifier("work_ref", ref)), who, raw=F.struct("domain", "content_ref"))
+
+
+def topic_rows(topics: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Topics of each vocabulary as concepts; equal words of two vocabularies stay apart."""
+    each = topics.select("scheme", "topic").distinct()
+    ref = F.concat_ws(":", "scheme", "topic")
+    return envelope(each, source, ref, "concept", ref, F.col("topic"), F.struct("scheme"), F.array(identifier("topic_ref", ref)))
+
+
+def decision_stream(claims: DataFrame) -> DataFrame:
+    """Identity claims as decisions for review: accepted only where someone decided."""
+    state = F.when((F.col("status") == "accepted") & F.col("decided_by").isNotNull(), "accepted").when(F.col("status") == "rejected", "rejected").otherwise("proposed")
+    return claims.select(F.least("person_a", "person_b").alias("a"), F.greatest("person_a", "person_b").alias("b"), "method", "confidence", state.alias("state"), "decided_by")
