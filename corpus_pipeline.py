@@ -43,7 +43,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets leave the texts, all documents stay; n_chars is counted anew where a text changed."""
     docs = _ready(spark, docs)
-    found = secret_scan.redact_spans(secret_scan.scan(docs.withColumn("n_before", F.length("text"))))
+    found = secret_scan.redacted(docs.withColumn("n_before", F.length("text")))
     return found.withColumn("n_chars", F.when(F.length("text") == F.col("n_before"), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 

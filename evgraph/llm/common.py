@@ -16,8 +16,11 @@ __all__ = ["Scratch", "SegmentEncoder", "encoder", "mix", "partitions", "remaind
 
 
 def tune(spark: SparkSession) -> None:
-    """Batches between the JVM and Python hold whole texts: fewer rows to a batch bound what a worker holds of long ones."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """Batches hold whole texts, which may be long: fewer rows to a batch, and smaller row groups where texts are written, bound
+    what a task holds on either side."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "512")
+    spark.conf.set("parquet.block.size", str(32 << 20))
 
 
 def partitions(spark: SparkSession) -> int:
@@ -161,7 +164,7 @@ class SegmentEncoder:
     The cache is three arrays and a pool of ids, about 25 bytes for a segment; it starts anew beyond `most` segments.
     """
 
-    def __init__(self, name: str, plain: bool = False, most: int = 2_500_000, path: str | None = None):
+    def __init__(self, name: str, plain: bool = False, most: int = 1_500_000, path: str | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -174,12 +174,6 @@ class Model:
         return [self.names[b] if k else UNKNOWN for b, k in zip(best, n, strict=True)], np.clip(score, 0.0, 1.0)
 
 
-@lru_cache(maxsize=2)
-def model(samples: tuple[tuple[str, str], ...]) -> Model:
-    """Built once for each Python worker from the samples, which are small."""
-    return Model(samples)
-
-
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_chars: int = SAMPLE_CHARS, sample_rows: int = SAMPLE_ROWS) -> tuple[tuple[str, str], ...]:
     """A bounded sample of each language's text, which is all that a model is made from."""
     rows = labelled.filter(F.col(lang).isNotNull()).select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
@@ -214,9 +208,9 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], text: str = "
     schema = docs.select(*kept).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model(samples)
+        own = Model(samples)  # a fraction of a second, and gone with the task
         for whole in batches:
-            for batch in slices(whole, text, 4 << 20):
+            for batch in slices(whole, text, 1 << 20):
                 names, scores = own.predict(batch.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*kept, "lang_pred", "score"])
 

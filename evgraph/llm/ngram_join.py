@@ -130,7 +130,8 @@ def signatures(docs: DataFrame, words: int, counters: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds.values(), strict=True)], names=list(kinds))
         for i in range(0, counters, 4096):
             if total[i : i + 4096].any():
-                row = [None] * 5 + [i // 4096, total[i : i + 4096].astype("<i8").tobytes()]
+                # a task's count may saturate: counts only order lists
+                row = [None] * 5 + [i // 4096, np.minimum(total[i : i + 4096], 65_535).astype("<u2").tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, kinds.values(), strict=True)], names=list(kinds))
 
     return docs.mapInArrow(run, "doc_id bigint, n bigint, digest binary, bits binary, minima array<bigint>, part int, counts binary")
@@ -153,8 +154,8 @@ def frequent(counts: DataFrame, counters: int, heavy: int) -> np.ndarray:
             for p, x in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 if p != part:
                     yield from settle()
-                    part, total = p, np.zeros(len(x) // 8, np.int64)
-                total += np.frombuffer(x, "<i8")
+                    part, total = p, np.zeros(len(x) // 2, np.int64)
+                total += np.frombuffer(x, "<u2")
         yield from settle()
 
     n = partitions(counts.sparkSession)
@@ -179,14 +180,20 @@ def only_asked(docs: DataFrame, ids: DataFrame, slots: int = ASKED) -> DataFrame
         for batch in batches:
             bits[(mix(batch.column(0).to_numpy().view(np.uint64), 3) & np.uint64(slots - 1)).astype(np.int64)] = True
         for i in range(0, slots, 1 << 16):
-            if bits[i : i + (1 << 16)].any():
-                yield pa.RecordBatch.from_arrays([pa.array([i >> 16], pa.int32()), pa.array([np.packbits(bits[i : i + (1 << 16)]).tobytes()], pa.binary())], names=["part", "bits"])
+            if (at := np.flatnonzero(bits[i : i + (1 << 16)]).astype("<u2")).size:  # as places while they are few
+                said = at.tobytes() if at.size < 4096 else np.packbits(bits[i : i + (1 << 16)]).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([i >> 16], pa.int32()), pa.array([said], pa.binary())], names=["part", "bits"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for p, x in zip(batch.column("part").to_pylist(), batch.column("bits").to_pylist(), strict=True):
-                held[p] = held.get(p, 0) | np.frombuffer(x, np.uint8)
+                own = held.setdefault(p, np.zeros(1 << 13, np.uint8))
+                if len(x) == 1 << 13:
+                    own |= np.frombuffer(x, np.uint8)
+                else:
+                    at = np.frombuffer(x, "<u2")
+                    np.bitwise_or.at(own, at >> 3, (128 >> (at & 7)).astype(np.uint8))
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], names=["part", "bits"])
 
     spark = docs.sparkSession

@@ -136,17 +136,16 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Takes the rows of `scan`; secrets leave the text, all rows stay, `secret_spans` goes."""
+def redacted(docs: DataFrame, text: str = "text", bits: float = 36.0) -> DataFrame:
+    """The rows with their secrets out of the text, scanned and redacted in one pass; all rows and columns stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            new = [redact(t, [(s["start"], s["end"], s["kind"]) for s in spans]) if spans and t is not None else t for t, spans in zip(batch.column(text).to_pylist(), batch.column("secret_spans").to_pylist(), strict=True)]
-            names = [n for n in batch.schema.names if n != "secret_spans"]
-            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if n == text else batch.column(n) for n in names], names=names)
+        for whole in batches:
+            for batch in slices(whole, text):
+                new = [redact(t, spans) if t and (spans := base_spans(t) + guess_spans(t, bits)) else t for t in batch.column(text).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if n == text else batch.column(n) for n in batch.schema.names], names=batch.schema.names)
 
-    kept = docs.drop("secret_spans")
-    return docs.mapInArrow(run, kept.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -205,5 +205,5 @@ def test_guess_cost():
 def test_redaction(spark):
     text = 'say token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" now'
     docs = spark.createDataFrame([(1, text), (2, None), (3, "plain")], "doc_id long, text string")
-    out = {r["doc_id"]: r["text"] for r in secret_scan.redact_spans(secret_scan.scan(docs)).collect()}
+    out = {r["doc_id"]: r["text"] for r in secret_scan.redacted(docs).collect()}
     assert "24be" not in out[1] and out[1].endswith(" now") and out[2] is None and out[3] == "plain"
