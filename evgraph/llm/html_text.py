@@ -50,7 +50,6 @@ UNLIKELY = re.compile(
     r"search|searchbox|skip|print|hidden|sr-only|visually-hidden|author-bio|rating|ratings|shoutbox|remark|remarks)(?=$|[\s_-])",
     re.I,
 )
-LIKELY = re.compile(r"(?:^|[\s_-])(?:article|body|content|main|entry|hentry|post|story|text|page)(?=$|[\s_-])", re.I)
 COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|reply|respond|responses|discussion)(?=$|[\s_-])", re.I)
 SPACES = re.compile(r"\s+")
 
@@ -133,34 +132,44 @@ def attributes(node: Node) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(node.attributes)} if node.attributes.strip() else {}
 
 
-def unlikely(node: Node, inside_article: bool) -> bool:
+#: Titles of articles, whose class may speak of a header.
+TITLE = re.compile(r"(?:article|entry|post|story|content|page)[\s_-]*(?:headers?|head|title|heading)", re.I)
+SMALL = {"p", "h1", "h2", "h3", "b", "i", "em", "strong", "span", "a"}
+
+
+def unlikely(node: Node, inside_article: bool, total: int) -> bool:
+    """Whether a node is no part of an article: by its element, by what it says of itself, or by its class and id.
+
+    A container of most of the page's text isn't dropped for its class (`content with-sidebar`), unless it is of comments.
+    """
     name = node.name
     if name in DROPPED:
         return True
     if name == "header" and not inside_article:
         return True
-    if not node.attributes:
+    if not node.attributes or name in ("html", "body"):
         return False
     of = attributes(node)
     if of.get("role", "").lower() in ROLES or of.get("aria-hidden", "").lower() == "true" or "hidden" in of or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", of.get("style", ""), re.I):
-        return name not in ("html", "body")
-    said = f"{of.get('class', '')} {of.get('id', '')}".strip()
-    if not said or name in ("html", "body", "main", "p", "h1", "h2", "h3", "b", "i", "em", "strong", "span", "a") and not COMMENTS.search(said) and not re.search(r"(?:^|[\s_-])(?:ads?|hidden|sr-only|notice)(?=$|[\s_-])", said, re.I):
-        return False
-    said = re.sub(r"([a-z])([A-Z])", r"\1-\2", said)
-    if not UNLIKELY.search(said):
+        return True
+    said = re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{of.get('class', '')} {of.get('id', '')}".strip())
+    if not said or name == "main":
         return False
-    return name not in ("html", "body") and (not LIKELY.search(said) or COMMENTS.search(said) is not None or name != "article")
+    if COMMENTS.search(said):
+        return True
+    if name in SMALL:
+        return re.search(r"(?:^|[\s_-])(?:ads?|adverts?|hidden|sr-only|notice|copyright)(?=$|[\s_-])", said, re.I) is not None
+    return UNLIKELY.search(TITLE.sub(" ", said)) is not None and node.size <= total / 2
 
 
-def prune(node: Node, inside: bool = False) -> None:
-    stack = [(node, inside)]
+def prune(node: Node) -> None:
+    total, stack = node.size, [(node, False)]
     while stack:
         at, inside = stack.pop()
         kept = []
         for x in at.children:
             if isinstance(x, Node):
-                if unlikely(x, inside):
+                if unlikely(x, inside, total):
                     continue
                 stack.append((x, inside or x.name in ("article", "main")))
             kept.append(x)
@@ -179,6 +188,7 @@ def order(root: Node) -> list[Node]:
 
 def measure(nodes: list[Node]) -> None:
     for node in reversed(nodes):
+        node.size = node.linked = node.commas = 0
         for x in node.children:
             if isinstance(x, str):
                 n = len(SPACES.sub(" ", x).strip())
@@ -250,7 +260,7 @@ def choose(root: Node, nodes: list[Node]) -> list[Node]:
         d = density(x)
         if x is best or x.points * (1 - d) >= max(10.0, 0.2 * value):
             kept.append(x)
-        elif x.name in ("p", "h1", "h2", "h3", "h4", "blockquote", "pre", "ul", "ol", "div", "section") and (x.size > 80 and d < 0.25 or x.name == "h1" or 0 < x.size <= 80 and d == 0 and x.name == "p"):
+        elif x.name in ("p", "h1", "h2", "h3", "h4", "blockquote", "pre", "ul", "ol", "div", "section") and (x.size > 80 and d < 0.25 or 0 < x.size <= 80 and d == 0 and x.name == "p" or d < 0.5 and any(n.name == "h1" for n in order(x))):
             kept.append(x)
     return kept
 
@@ -287,6 +297,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    measure(order(root))
     prune(root)
     nodes = order(root)
     measure(nodes)

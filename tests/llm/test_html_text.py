@@ -26,6 +26,8 @@ def page(body):
         (page(f"<main><p>{LONG}</p><form><p>{LONG}</p><input></form><script>var a='<p>x</p>';</script><ul><li>one<li>two</ul></main><div class='cookie-notice'>We use cookies, {LONG}</div>"), f"{LONG}\n\none\n\ntwo"),
         (page(f"<article><p>{LONG}</p><div class='ad'>Buy</div><aside>{LONG}</aside><section class=comments><p>{LONG}</p></section></article>"), LONG),
         (page(f"<article><p>{LONG}</p><p>caf&eacute; &#8212; &lt;b&gt; 3 < 4</article"), f"{LONG}\n\ncafé — <b> 3 < 4"),
+        (page(f"<div class='content with-sidebar'><div class='entry-header'><h1>Flood</h1></div><div class='post-body'><p>{LONG}</p><p>{LONG}</p></div><ol class='commentlist'><li><p>{LONG} {LONG}</p></li></ol><div id='cookieBanner'>We use cookies, and more.</div><ul class='share-links'><li><a href=x>Share</a></ul></div>"), f"Flood\n\n{LONG}\n\n{LONG}"),
+        (page(f"<div role=main><p>{LONG}</p><p class='ad'>Buy now</p><blockquote><p>{LONG}</p></blockquote><table><tr><td>a</td><td>b</td></tr></table></div><div class='related-posts'><p>{LONG}</p></div><section id='respond'><h3>Reply</h3></section>"), f"{LONG}\n\n{LONG}\n\na\n\nb"),
         (page(f"<div><div><p>{LONG}</p></div><div><p>{LONG}</p><p>{LONG}</p></div></div>"), f"{LONG}\n\n{LONG}\n\n{LONG}"),
     ],
 )
