@@ -87,25 +87,18 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None
 
 def id_bounds(docs: DataFrame, n: int, column: str = "doc_id") -> list[int]:
     """At most n - 1 ascending ids that split the rows into ranges of about equal numbers; from the id column alone."""
-    found = docs.select(F.percentile_approx(F.col(column), [i / n for i in range(1, n)], 20 * n).alias("b")).first()["b"] if n > 1 else None
+    found = docs.select(F.percentile_approx(F.col(column), [i / n for i in range(1, n)], min(20 * n, 1_000_000)).alias("b")).first()["b"] if n > 1 else None
     return sorted(set(found or []))
 
 
 def bucket_of(column: str, bounds: list[int]):
-    """The number of bounds that an id isn't below; nulls come first."""
-    return F.when(F.col(column).isNull(), F.lit(0)).otherwise(_steps(column, bounds))
-
-
-def _steps(column: str, bounds: list[int]):
-    """Binary search as nested conditions, so that it stays an expression of the plan."""
-
-    def of(a: int, b: int):
-        if a == b:
-            return F.lit(a)
-        m = (a + b) // 2
-        return F.when(F.col(column) < F.lit(bounds[m]), of(a, m)).otherwise(of(m + 1, b))
-
-    return of(0, len(bounds))
+    """The number of bounds that an id isn't below, by binary search in a literal array; nulls come first."""
+    if not bounds:
+        return F.lit(0)
+    known, id_ = F.lit(np.array(bounds, np.int64)), F.col(column)
+    powers = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+    found = F.aggregate(powers, F.lit(0), lambda at, step: F.when((at + step <= len(bounds)) & (F.get(known, at + step - 1) <= id_), at + step).otherwise(at))
+    return F.when(id_.isNull(), F.lit(0)).otherwise(found)
 
 
 def write_shards(tokens: DataFrame, scratch: Scratch, bounds: list[int], kind: str = "bit", shard_ids: int = SHARD_IDS) -> DataFrame:

@@ -74,3 +74,14 @@ def test_odd_rows(spark):
     twice = docs.filter("doc_id = 5").unionByName(docs.filter("doc_id = 5"))
     assert [r["near_next"] for r in fp.compare(twice).collect()] == [1.0, 1.0]
     assert len({len(set(Counter(r["fingerprint"] for r in fp.compare(twice).collect())))}) == 1
+
+
+def test_buckets(spark):
+    from evgraph.llm.bit_planes import bucket_of, id_bounds
+
+    for bounds in ([], [5], [2, 5, 9], list(range(0, 100, 7))):
+        got = {r["id"]: r["b"] for r in spark.range(-3, 110).select("id", bucket_of("id", bounds).alias("b")).collect()}
+        assert got == {i: sum(b <= i for b in bounds) for i in range(-3, 110)}
+    assert spark.createDataFrame([(None,)], "id long").select(bucket_of("id", [1]).alias("b")).first()["b"] == 0
+    bounds = id_bounds(spark.range(1000).withColumnRenamed("id", "doc_id"), 4)
+    assert bounds == sorted(bounds) and len(bounds) == 3
