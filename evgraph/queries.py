@@ -752,4 +752,220 @@ def e18_schedule_envelopes(t: Testbed) -> DataFrame:
     return adapters.schedule_talks(rows, SOURCE).select(F.col("subject.source_native_id").alias("subject"), F.size("contributions").alias("speakers"))
 
 
+@query("SELECT n_name, (SELECT count(*) FROM nation WHERE n_regionkey <> 2) AS total FROM nation WHERE n_regionkey <> 2 ORDER BY n_name LIMIT 7")
+def w01_total_beside_page(t: Testbed) -> DataFrame:
+    rows = t.table("nation").filter("n_regionkey <> 2").select("n_name")
+    return rows.orderBy("n_name").limit(7).crossJoin(F.broadcast(rows.agg(F.count("*").alias("total"))))  # one row
+
+
+@query("SELECT person_id, content_ref, p_name AS title FROM content LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = content_ref WHERE domain = 'part' AND role = 'supplier'", "content")
+def j07_titles(t: Testbed) -> DataFrame:
+    titles = t.table("part").select(F.col("p_partkey").cast("string").alias("content_ref"), F.col("p_name").alias("title"))
+    return t.content().filter("domain = 'part' AND role = 'supplier'").join(titles, "content_ref", "left").select("person_id", "content_ref", "title")
+
+
+@query("SELECT name, domain, count(*) AS n FROM person JOIN content USING (person_id) WHERE kind = 'organisation' GROUP BY name, domain", "person", "content")
+def j13_person_content(t: Testbed) -> DataFrame:
+    return t.person().filter("kind = 'organisation'").join(t.content(), "person_id").groupBy("name", "domain").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, l_linenumber FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_returnflag = 'R' WHERE o_orderstatus = 'F'")
+def j15_work_versions(t: Testbed) -> DataFrame:
+    versions = t.table("lineitem").filter("l_returnflag = 'R'").select("l_orderkey", "l_linenumber")
+    return t.table("orders").filter("o_orderstatus = 'F'").join(versions, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", "l_linenumber")
+
+
+@query("SELECT doc_id, item_id FROM documents JOIN benchmark ON TRY_CAST('0' || item_id AS BIGINT) = doc_id")
+def j18_locator_lookup(t: Testbed) -> DataFrame:
+    places = t.table("benchmark").select("item_id", F.concat(F.lit("0"), F.col("item_id").cast("string")).try_cast("bigint").alias("doc_id"))
+    return t.table("documents").select("doc_id").join(places, "doc_id")
+
+
+@query("SELECT o_orderkey, o_custkey % 7 = o_orderkey % 7 AS known FROM orders")
+def j19_pair_probe(t: Testbed) -> DataFrame:
+    pairs = t.spark.range(7).select(F.col("id").alias("x"), F.col("id").alias("y"), F.lit(True).alias("hit"))
+    rows = t.table("orders").select("o_orderkey", F.least(F.col("o_custkey") % 7, F.col("o_orderkey") % 7).alias("x"), F.greatest(F.col("o_custkey") % 7, F.col("o_orderkey") % 7).alias("y"))
+    return rows.join(pairs, ["x", "y"], "left").select("o_orderkey", F.coalesce("hit", F.lit(False)).alias("known"))
+
+
+@query("SELECT topic, weight FROM topics WHERE person_id = 'c:7' ORDER BY weight DESC, scheme, topic LIMIT 6", "topics")
+def o04_top_topics(t: Testbed) -> DataFrame:
+    return t.topics().filter("person_id = 'c:7'").orderBy(F.desc("weight"), "scheme", "topic").limit(6).select("topic", "weight")
+
+
+@query("SELECT person_id, n FROM (SELECT person_id, count(*) AS n FROM content GROUP BY person_id) ORDER BY n DESC, person_id LIMIT 30", "content")
+def o05_by_coverage(t: Testbed) -> DataFrame:
+    return t.content().groupBy("person_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "person_id").limit(30)
+
+
+@query("SELECT o_custkey AS k FROM orders UNION SELECT c_custkey FROM customer")
+def o10_union(t: Testbed) -> DataFrame:
+    return t.table("orders").select(F.col("o_custkey").alias("k")).union(t.table("customer").select("c_custkey")).distinct()
+
+
+@query("SELECT a.n_nationkey AS a, b.n_nationkey AS b, len(list_intersect(string_split(a.n_name, ''), string_split(b.n_name, ''))) > 0 AS meet FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey")
+def o11_arrays_meet(t: Testbed) -> DataFrame:
+    n = t.table("nation").select("n_nationkey", "n_regionkey", F.split("n_name", "").alias("w"))
+    a, b = n.alias("a"), n.alias("b")
+    met = a.join(b, (F.col("a.n_regionkey") == F.col("b.n_regionkey")) & (F.col("a.n_nationkey") < F.col("b.n_nationkey")))
+    return met.select(F.col("a.n_nationkey").alias("a"), F.col("b.n_nationkey").alias("b"), F.arrays_overlap("a.w", "b.w").alias("meet"))
+
+
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 50000")
+def o12_difference(t: Testbed) -> DataFrame:
+    rich = t.table("orders").filter("o_totalprice > 50000").select(F.col("o_custkey").alias("k"))
+    return t.table("customer").select(F.col("c_custkey").alias("k")).join(rich, "k", "left_anti")
+
+
+@query("SELECT gid, authors FROM (" + BOOKS + ") WHERE media_type = 'Text' AND authors <> ''")
+def p10_text_books(t: Testbed) -> DataFrame:
+    return books(t).filter("media_type = 'Text' AND authors <> ''").select("gid", "authors")
+
+
+@query("SELECT a, b FROM (SELECT o_orderkey AS a, o_custkey AS b FROM orders) WHERE a IN (1, 5, 9) OR b IN (1, 5, 9)")
+def p12_either_endpoint(t: Testbed) -> DataFrame:
+    edges = t.table("orders").select(F.monotonically_increasing_id().alias("i"), F.col("o_orderkey").alias("a"), F.col("o_custkey").alias("b"))
+    ends = edges.select("i", "a", "b", F.explode(F.array("a", "b")).alias("k"))
+    return ends.join(t.spark.createDataFrame([(1,), (5,), (9,)], "k long"), "k", "left_semi").select("i", "a", "b").distinct().select("a", "b")
+
+
+@query("SELECT doc_id FROM labels WHERE quality = 1 ORDER BY toxic DESC, doc_id LIMIT 15")
+def p13_review_queue(t: Testbed) -> DataFrame:
+    rows = t.table("labels").select(F.col("doc_id").alias("candidate_id"), F.col("toxic").alias("auto_eligible"), F.lit(0.5).alias("confidence"), F.when(F.col("quality") == 1, "proposed").otherwise("done").alias("review_state"))
+    return identity.review_queue(rows, "proposed", 15).select(F.col("candidate_id").alias("doc_id"))
+
+
+@query("SELECT scheme, n, scheme IN ('github_id', 'orcid') AS auto FROM (SELECT CASE c_custkey % 4 WHEN 0 THEN 'github_id' WHEN 1 THEN 'orcid' WHEN 2 THEN 'github_login' ELSE 'made_up' END AS scheme, count(*) AS n FROM customer GROUP BY 1)")
+def f05_registry(t: Testbed) -> DataFrame:
+    rows = t.table("customer").selectExpr("CASE c_custkey % 4 WHEN 0 THEN 'github_id' WHEN 1 THEN 'orcid' WHEN 2 THEN 'github_login' ELSE 'made_up' END AS scheme").groupBy("scheme").agg(F.count("*").alias("n"))
+    return ids.classified(rows).select("scheme", "n", F.col("auto_eligible").alias("auto"))
+
+
+@query("SELECT p_partkey, CASE WHEN lower(p_type) IN ('cli', 'web', 'tools') OR length(p_type) <= 2 THEN false ELSE true END AS telling FROM part")
+def p20_noise_words(t: Testbed) -> DataFrame:
+    word = F.lower("p_type")
+    return t.table("part").select("p_partkey", ((F.length(word) > 2) & ~word.isin(*rollups.NOISE)).alias("telling"))
+
+
+@query("SELECT c_custkey, regexp_replace(lower(c_name), '[^a-z0-9, ]', '', 'g') || CASE WHEN c_custkey % 2 = 0 THEN '|' || (1000 + c_custkey) || '-' ELSE '' END AS key FROM customer")
+def f08_person_keys(t: Testbed) -> DataFrame:
+    birth = F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey") + 1000)
+    return t.table("customer").select("c_custkey", authors.person_key(F.concat("c_name", F.lit(" (x)")), birth, F.lit(None).cast("int")).alias("key"))
+
+
+@query("""SELECT event_id, sha256('{"k":' || json_extract_string(props, '$.k') || '}') AS digest FROM events""")
+def f14_canonical_digests(t: Testbed) -> DataFrame:
+    from .functions.jsonx import canonical
+
+    return t.observations().select("event_id", digest(canonical(F.col("props"))).alias("digest"))
+
+
+@query("SELECT c_custkey, 'obs:src:account:' || substr(sha256('src' || chr(31) || 'account' || chr(31) || c_custkey), 1, 24) AS id FROM customer")
+def f17_observation_ids(t: Testbed) -> DataFrame:
+    return t.table("customer").select("c_custkey", ids.observation_id(F.lit("src"), F.lit("account"), F.col("c_custkey").cast("string")).alias("id"))
+
+
+@query("SELECT n_nationkey, replace(n_name, ' ', '%20') AS locator FROM nation")
+def f22_locators(t: Testbed) -> DataFrame:
+    return t.table("nation").select("n_nationkey", ids.percent_encoded(F.col("n_name")).alias("locator"))
+
+
+@query("SELECT event_id, 'k' AS keys FROM events")
+def f25_keys(t: Testbed) -> DataFrame:
+    from .functions.jsonx import keys_at_any_depth
+
+    return t.observations().select("event_id", F.array_join(keys_at_any_depth(F.col("props")), ",").alias("keys"))
+
+
+@query("SELECT p_partkey, coalesce(nullif(trim(CASE WHEN p_partkey % 3 = 0 THEN ' ' ELSE p_name END), ''), p_brand) AS label FROM part")
+def f29_first_text(t: Testbed) -> DataFrame:
+    name = F.when(F.col("p_partkey") % 3 == 0, F.lit(" ")).otherwise(F.col("p_name"))
+    return t.table("part").select("p_partkey", text.first_text(name, F.col("p_brand")).alias("label"))
+
+
+@query("SELECT lang, round(count(*) FILTER (source = 'src0') * 100.0 / count(*), 2) AS pct FROM documents GROUP BY lang")
+def f30_percentages(t: Testbed) -> DataFrame:
+    return t.table("documents").groupBy("lang").agg(bridges.percent(F.count_if(F.col("source") == "src0"), F.count("*")).alias("pct"))
+
+
+@query("SELECT person_id, count(DISTINCT domain || ':' || content_ref) AS shared FROM content WHERE (domain, content_ref) IN (SELECT (domain, content_ref) FROM content WHERE person_id = 'c:5') AND person_id <> 'c:5' GROUP BY person_id ORDER BY shared DESC, person_id LIMIT 25", "content")
+def g10_relationships(t: Testbed) -> DataFrame:
+    return graph.co_contributors(t.content(), t.spark.createDataFrame([("c:5",)], "person_id string")).orderBy(F.desc("shared"), "person_id").limit(25)
+
+
+@query("SELECT p.person_id, p.merged_into, q.person_id IS NULL AS missing FROM person p LEFT JOIN person q ON p.merged_into = q.person_id WHERE p.merged_into IS NOT NULL", "person")
+def g07_members_and_missing(t: Testbed) -> DataFrame:
+    person = t.person()
+    pointed = person.filter("merged_into IS NOT NULL").select("person_id", "merged_into")
+    there = person.select(F.col("person_id").alias("merged_into"), F.lit(False).alias("missing"))
+    return pointed.join(there, "merged_into", "left").select("person_id", "merged_into", F.coalesce("missing", F.lit(True)).alias("missing"))
+
+
+@query("SELECT a.entity_id AS a, b.entity_id AS b, CASE WHEN a.kind <> b.kind THEN 'human_organisation_conflict' ELSE '' END AS conflicts FROM entities a JOIN entities b ON a.origin = b.origin AND a.entity_id < b.entity_id WHERE a.entity_id % 10 = 0 AND b.entity_id % 10 = 0", "entities")
+def g17_pair_conflicts(t: Testbed) -> DataFrame:
+    people = t.entities().filter("entity_id % 10 = 0").withColumns({"birth_year": F.lit(None).cast("int"), "death_year": F.lit(None).cast("int")})
+    pairs = identity.block_pairs(people, ["origin"]).select("a", "b")
+    none = t.spark.createDataFrame([], "entity_id long, scheme string, value string, valid_to string")
+    return identity.conflicts(pairs, people, none).select("a", "b", F.array_join("conflicts", ",").alias("conflicts"))
+
+
+@query("SELECT entity_id, min(entity_id) OVER (PARTITION BY digest) AS canonical_id FROM entities", "entities")
+def g19_generation(t: Testbed) -> DataFrame:
+    people = t.entities()
+    log = identity.block_pairs(people, ["digest"]).select(F.lit("d").alias("decision_id"), F.lit("c").alias("candidate_id"), F.col("a").alias("entity_a"), F.col("b").alias("entity_b"), F.lit("accepted").alias("outcome"), F.lit(True).alias("active"), F.lit(1).cast("long").alias("seq"))
+    none = t.spark.createDataFrame([], "entity_id long, scheme string, value string, valid_to string")
+    return identity.generation(people, log, none).select("entity_id", "canonical_id")
+
+
+@query("SELECT digest AS cluster_id, count(DISTINCT origin) AS n FROM entities GROUP BY digest HAVING count(DISTINCT origin) > 1", "entities")
+def g21_cluster_conflicts(t: Testbed) -> DataFrame:
+    members = t.entities().select("entity_id", F.col("digest").alias("cluster_id"))
+    held = t.entities().select("entity_id", F.lit("viaf").alias("scheme"), F.col("origin").alias("value"), F.lit(None).cast("string").alias("valid_to"))
+    return identity.cluster_conflicts(members, held).select("cluster_id", F.size("values").cast("long").alias("n"))
+
+
+@query("SELECT 'github:account:' || c_custkey AS subject, CAST(CASE WHEN c_custkey % 2 = 0 THEN 3 ELSE 2 END AS INTEGER) AS ids, CAST(CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS renames FROM customer")
+def e01_account_envelopes(t: Testbed) -> DataFrame:
+    before = F.array(F.struct(F.lit("old").alias("login"), F.lit("2020").alias("valid_from"), F.lit("2021").alias("valid_to")))
+    none = F.lit(None).cast("string")
+    rows = t.table("customer").select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 2 == 0, "N").alias("node_id"), F.col("c_name").alias("login"), F.when(F.col("c_custkey") % 3 == 0, before).alias("previous_logins"), F.lit("User").alias("type"), none.alias("name"), none.alias("company"), none.alias("location"), none.alias("bio"))
+    return adapters.code_accounts(rows, SOURCE).select(F.col("subject.source_native_id").alias("subject"), F.size("identifiers").alias("ids"), F.size("relationships").alias("renames"))
+
+
+@query("SELECT domain || ':' || content_ref AS subject, CAST(count(*) AS INTEGER) AS people FROM content JOIN person USING (person_id) GROUP BY domain, content_ref", "content", "person")
+def e22_work_envelopes(t: Testbed) -> DataFrame:
+    e = adapters.work_rows(t.person(), t.content(), SOURCE)
+    return e.select(F.col("subject.source_native_id").alias("subject"), F.size("contributions").alias("people"))
+
+
+@query("SELECT DISTINCT scheme || ':' || topic AS subject FROM topics", "topics")
+def e23_topic_envelopes(t: Testbed) -> DataFrame:
+    return adapters.topic_rows(t.topics(), SOURCE).select(F.col("subject.source_native_id").alias("subject"))
+
+
+@query("SELECT count(*) AS entities, CAST(count(*) AS BIGINT) AS attributes FROM (SELECT DISTINCT event_id FROM events)")
+def e26_imported(t: Testbed) -> DataFrame:
+    from .sources.imports import import_envelopes
+
+    store = import_envelopes(event_envelopes(t))
+    raw = store.attributes.filter("attribute = 'raw_pointer'").agg(F.count("*").alias("attributes"))
+    return store.entities.agg(F.count("*").alias("entities")).crossJoin(F.broadcast(raw))  # one row each
+
+
+@query("SELECT c_custkey AS entity_id, CAST(12 AS BIGINT) AS receipts, CAST(CASE WHEN c_custkey % 2 = 0 THEN 4 ELSE 3 END AS BIGINT) AS present FROM customer")
+def e28_profile_receipts(t: Testbed) -> DataFrame:
+    from .sources.imports import profile_rows
+
+    none = F.lit(None).cast("string")
+    rows = t.table("customer").select(F.col("c_custkey").alias("entity_id"), F.col("c_custkey").alias("id"), none.alias("node_id"), F.col("c_name").alias("login"), F.col("c_name").alias("name"), none.alias("company"), F.when(F.col("c_custkey") % 2 == 0, "here").alias("location"), *[none.alias(c) for c in ("bio", "blog", "twitter_username", "type", "followers", "created_at")])
+    return profile_rows(rows).groupBy("entity_id").agg(F.count("*").alias("receipts"), F.count_if(F.col("status") == "present").alias("present"))
+
+
+@query("SELECT a.event_id FROM events a WHERE a.event_type = 'click' AND a.user_id % 5 = 0")
+def v07_blocked_accepts(t: Testbed) -> DataFrame:
+    log = t.observations().select("event_id", F.col("user_id").alias("candidate_id"), F.lit(True).alias("active"), F.when(F.col("event_type") == "click", "accepted").otherwise("rejected").alias("outcome"))
+    conflicts = t.observations().filter("user_id % 5 = 0").select(F.col("user_id").alias("candidate_id"))
+    return contracts.blocked_accepts(log, conflicts).select("event_id")
+
+
 FLAGSHIP = a04_person_layers
