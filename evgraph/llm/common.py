@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from ..plans.scratch import Scratch, shared_dir
 
+#: Arrow memory that a batch no longer needs goes back to the system, not to a pool of the worker's own.
+pa.set_memory_pool(pa.system_memory_pool())
+
 __all__ = ["Scratch", "SegmentEncoder", "encoder", "mix", "partitions", "remainder", "shared_dir", "slices", "span_hashes", "table", "tune", "utf8", "word_hashes"]
 
 
@@ -19,6 +22,7 @@ def tune(spark: SparkSession) -> None:
     """Batches hold whole texts, which may be long: fewer rows to a batch, and smaller row groups where texts are written, bound
     what a task holds on either side."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "512")
     spark.conf.set("parquet.block.size", str(32 << 20))
 
@@ -39,7 +43,7 @@ def remainder(column: str, n: int):
 # ---------------------------------------------------------------- arrow batches
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows with about `most` bytes of `column`; one longer value is a run of its own."""
     col = batch.column(column)
     size = np.asarray(pc.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
@@ -67,7 +71,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = 0x9E3779B97F4A7C15 | 1
@@ -164,7 +168,7 @@ class SegmentEncoder:
     The cache is three arrays and a pool of ids, about 25 bytes for a segment; it starts anew beyond `most` segments.
     """
 
-    def __init__(self, name: str, plain: bool = False, most: int = 1_500_000, path: str | None = None):
+    def __init__(self, name: str, plain: bool = False, most: int = 800_000, path: str | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
