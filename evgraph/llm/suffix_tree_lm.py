@@ -1,17 +1,20 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-States are contexts of up to `depth` words before a token, within a document. A context is a candidate if it stands for at
-least `share` of the training tokens (and `least` times); its successors are those seen with it often enough. A candidate is
-retained by a divergence test: the weighted divergence of its smoothed next-symbol distribution from that of its longest
-retained suffix, which is the gain in bits over its training tokens, must exceed `bits` for each number it stores. Distributions
-are smoothed by absolute discounting: what is taken off the stored successors goes to the suffix's distribution, down to the
-root, which is the add-one unigram distribution over the whole vocabulary and one unknown word. A token is scored in the
-longest retained suffix state of the words before it.
+States are contexts of words before a token, within a document. A context is a candidate if it stands `least` times in the
+training texts, whatever their size; its successors are those seen with it often enough. A candidate is retained by a
+divergence test: the weighted divergence of its smoothed next-symbol distribution from that of its longest retained suffix,
+which is the gain in bits over its training tokens, must exceed `bits` for each number it stores. Distributions are smoothed
+by absolute discounting: what is taken off the stored successors goes to the suffix's distribution, down to the root, which is
+the add-one unigram distribution over the whole vocabulary and one unknown word. A token is scored in the longest retained
+suffix state of the words before it.
 
 Counts are exact and cover the whole training corpus: tasks count in arrays, deal sorted keys with counts by key range, and sum
-them there. The vocabulary grows with the corpus and is never sent out whole: the most frequent words (at most `head` of
-them) go to all tasks, the rest are joined by a shuffle. Shares bound the tree: at most 1/share contexts a level and
-FOLLOW/share successors, whatever the corpus.
+them there. Vocabulary, candidates and tree grow with the corpus: they are written tables, joined by shuffles. Of fixed size,
+and sent to all tasks, are the most frequent words and the most frequent weights of the tree (at most `head` of each) and an
+array of 2^FILTER bits, which passes every key of a table and few others; the joins drop those others.
+
+A score is a sum of weights that are looked up one by one: of each token the root's, of each retained context before it what is
+left to its suffix, and, if the context stores the token, what the stored probability adds to that.
 
 Words are told apart by 64-bit hashes. Null and empty texts have one token, the end. Repeated rows are scored each (and
 counted each, when in training); other columns are ignored. With no training rows all probabilities are those of the
@@ -25,15 +28,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, mix, partitions, slices, word_hashes
 
-DEPTH, SHARE, LEAST, BITS = 2, 1e-6, 32, 8.0
+DEPTH, SHARE, LEAST, BITS = 2, 0.0, 32, 8.0
 #: A successor is stored from a FOLLOW-th of a context's own limit on, 4 at least.
 FOLLOW, DISCOUNT, HEAD = 4, 0.75, 1_000_000
 END = np.uint64(0x656E64)
+SEED = 0x5EED
+#: Bits of the array that is sent to all tasks, as a power of two.
+FILTER = 27
 #: Numbers that a task holds before it counts them.
 FLUSH = 3_000_000
 
@@ -56,7 +62,7 @@ def longer(key: np.ndarray, token: np.ndarray) -> np.ndarray:
 
 def context(parts: list[np.ndarray]) -> np.ndarray:
     """A key of the words of a context, oldest first."""
-    key = np.full(len(parts[0]), 0x5EED, np.uint64)
+    key = np.full(len(parts[0]), SEED, np.uint64)
     for p in parts:
         key = longer(key, p)
     return key
@@ -66,11 +72,34 @@ def follow(key: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mix(key + token * np.uint64(0xD6E8FEB86659FD93), 17)
 
 
-def contexts(h: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the tokens that have `size` words before them in their text, and the keys of those contexts."""
-    inside = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
-    at = np.flatnonzero(inside >= size)
-    return at, context([h[at - k] for k in range(size, 0, -1)])
+def chain(h: np.ndarray, n: np.ndarray, bits: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Level by level, places of the tokens before which a candidate context stands in their text, and the contexts' keys. Of a
+    candidate, the context without its last word is one, too."""
+    last = np.zeros(len(h), bool)
+    last[np.cumsum(n) - 1] = True
+    at, key = np.arange(len(h)), np.full(len(h), SEED, np.uint64)
+    for _ in range(depth):
+        inside = ~last[at]
+        at, key = at[inside], longer(key[inside], h[at[inside]])
+        found = among(bits, key)
+        at, key = at[found] + 1, key[found]
+        yield at, key
+
+
+def among(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether keys pass the array of bits."""
+    at = keys >> np.uint64(64 - FILTER)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def added(bits: np.ndarray, table: DataFrame, column: str) -> np.ndarray:
+    """The array of bits with those of a table's keys; what comes to the driver is of fixed size."""
+    at = table.select(F.shiftrightunsigned(column, 64 - FILTER).alias("at"))
+    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 AS int)))").alias("set"))
+    word, held = gathered(words, "word", "set")
+    out = bits.copy()
+    out[word] |= held.view(np.uint64)
+    return out
 
 
 def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1) -> DataFrame:
@@ -151,149 +180,175 @@ def find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """Sorted arrays: the head of the vocabulary, and of each level its states and their stored successors."""
+    """Counts of the training tokens, the heads of the vocabulary and of the weights, and the tables of what the heads leave."""
 
     def __init__(self, n: int, v: int, words: np.ndarray, counts: np.ndarray):
-        self.n, self.v, self.words, self.counts, self.root = n, v, words, counts, np.log10((counts + 1) / (n + v + 1))
-        self.none = float(np.log10(1 / (n + v + 1)))
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []  # states, log10 of what is left; successor keys, log10 probability
-
-    def grow(self, state: np.ndarray, token: np.ndarray, count: np.ndarray, seen: dict, bits: float) -> None:
-        """Adds a level from rows (state, successor, count); `seen` has each state's number of tokens and its suffix state."""
-        order = np.argsort(state, kind="stable")
-        state, token, count = state[order], token[order], count[order]
-        suffix = seen["suffix"][find(seen["keys"], state)] if len(state) else state
-        first = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]])) if len(state) else np.zeros(0, np.int64)
-        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(state))))
-        total = seen["n"][find(seen["keys"], state[first])].astype(float) if len(first) else np.zeros(0)
-        taken = (count - DISCOUNT) / total[group]
-        left = np.maximum(1 - np.bincount(group, taken, len(first)), 1e-12)
-        lower = self.score_in(len(self.levels), suffix, token)
-        p = np.log10(taken + left[group] * 10.0**lower)
-        stored = np.bincount(group, count, len(first))
-        size = np.bincount(group, minlength=len(first))
-        gain = (np.bincount(group, count * (p - lower), len(first)) + (total - stored) * np.log10(left)) / np.log10(2)
-        keep = gain > bits * (1 + size)
-        keys = follow(state, token)[keep[group]]
-        rank = np.argsort(keys, kind="stable")
-        self.levels.append((state[first][keep], np.log10(left[keep]), keys[rank], p[keep[group]][rank]))
-
-    def score_in(self, level: int, state: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """log10 of a token's probability in a state of a level whose suffixes of lower levels are not looked at: only for
-        levels 0 (the root) and 1, or states known to be of the level."""
-        root = find(self.words, token)
-        out = np.where(root >= 0, self.root[root] if len(self.root) else self.none, self.none)
-        if level == 0:
-            return out
-        states, left, keys, p = self.levels[0]
-        at, hit = find(states, state), find(keys, follow(state, token))
-        out = np.where(at >= 0, out + (left[at] if len(left) else 0.0), out)
-        return np.where(hit >= 0, p[hit] if len(p) else 0.0, out)
-
-
-def learn(docs: DataFrame, scratch: Scratch, depth: int = DEPTH, share: float = SHARE, least: int = LEAST, bits: float = BITS, head: int = HEAD) -> tuple[Tree, DataFrame, int]:
-    """The tree, the table of word counts (h, n), and the limit from which words are in the tree's head."""
-    if not 0 <= depth <= 2:
-        raise ValueError("contexts of up to two words")
-    spark = docs.sparkSession
-    words = scratch.write(counted(docs, ["h"], lambda h, n: [h]), "words")
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    # how many words have each count, in halves of powers of two: the limit leaves `head` words at most
-    steps = words.groupBy(F.floor(2 * F.log2("n")).alias("k")).agg(F.count("*").alias("m"), F.min("n").alias("low")).orderBy(F.desc("k")).collect()
+        self.n, self.v, self.words, self.root = n, v, words, np.log10((counts + 1) / (n + v + 1))
+        self.levels: list[tuple[range, DataFrame]] = []  # of each level its retained states, numbered, and the weights by key
+        self.bits = np.zeros(1 << (FILTER - 6), np.uint64)  # candidate contexts, and weights outside the head
+        self.keys, self.weights = np.zeros(0, np.uint64), np.zeros(0)
+        self.tail: DataFrame | None = None
+
+
+def hashed(frame: DataFrame, of: Callable, columns: str) -> DataFrame:
+    """Adds columns of hashes, which `of` makes of a batch's columns by name."""
+    new = [c.split()[0] for c in columns.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = of({c: batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in batch.schema.names if pa.types.is_int64(batch.schema.field(c).type)})
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(a.view(np.int64)) for a in made)], names=[*batch.schema.names, *new])
+
+    return frame.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema) + f", {columns}")
+
+
+def head_of(table: DataFrame, head: int, none: int) -> int:
+    """The least count from which at most `head` rows of a table have theirs: counts are taken in halves of powers of two."""
+    steps = table.groupBy(F.floor(2 * F.log2("n")).alias("k")).agg(F.count("*").alias("m"), F.min("n").alias("low")).orderBy(F.desc("k")).collect()
     limit, held = None, 0
     for r in steps:
         if held + r["m"] > head:
             break
         held, limit = held + r["m"], r["low"]
-    limit = limit if limit is not None else n + 1
+    return limit if limit is not None else none
+
+
+def sorted_by_key(table: DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
+    keys, values = gathered(table, key, value)
+    keys = keys.view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], values[order]
 
-    def words_from(least: int) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = gathered(words.filter(F.col("n") >= least), "h", "n")
-        keys = keys.view(np.uint64)
-        order = np.argsort(keys)
-        return keys[order], counts[order]
 
+def grown(grams: DataFrame, states: DataFrame, lower: DataFrame, bits: float) -> DataFrame:
+    """Of rows (state, token, n) those of candidates, with their key, probabilities and whether the state is retained. `states` has
+    each candidate's number of tokens and its suffix, `lower` the probability of (`suffix`, token) in the suffix's longest
+    retained suffix, by the key that rows have as `below`."""
+    rows = hashed(grams.join(states, "state"), lambda c: [follow(c["state"], c["token"]), follow(c["suffix"], c["token"])], "gram bigint, above bigint")
+    rows = rows.withColumn("below", F.col("token") if "word" in lower.columns else F.col("above")).join(lower.withColumnRenamed("word", "below"), "below")
+    own = Window.partitionBy("state")
+    rows = rows.withColumns({"taken": (F.col("n") - DISCOUNT) / F.col("total"), "size": F.count("*").over(own), "stored": F.sum("n").over(own)})
+    rows = rows.withColumn("left", F.greatest(1 - F.sum("taken").over(own), F.lit(1e-12)))
+    rows = rows.withColumn("p", F.col("taken") + F.col("left") * F.col("lower"))
+    gain = F.sum(F.col("n") * F.log2(F.col("p") / F.col("lower"))).over(own) + (F.col("total") - F.col("stored")) * F.log2("left")
+    rows = rows.withColumn("keep", gain > bits * (1 + F.col("size")))
+    return rows.select("state", "token", "n", "suffix", "total", "gram", "keep", F.when(F.col("keep"), F.col("p")).otherwise(F.col("lower")).alias("eff"), F.log10("left").alias("left"), (F.log10("p") - F.log10("lower") - F.log10("left")).alias("more"))
+
+
+def learn(docs: DataFrame, scratch: Scratch, depth: int | None = DEPTH, share: float = SHARE, least: int = LEAST, bits: float = BITS, head: int = HEAD) -> tuple[Tree, DataFrame, int]:
+    """The tree, the table of word counts (h, n), and the limit from which words are in the tree's head."""
+    if depth is not None and depth < 0:
+        raise ValueError("a depth of nothing or more")
+    spark = docs.sparkSession
+    words = scratch.write(counted(docs, ["h"], lambda h, n: [h]), "words")
+    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    limit = head_of(words, head, n + 1)
+    tree = Tree(n, v, *sorted_by_key(words.filter(F.col("n") >= limit), "h", "n"))
     limit_of = max(least, int(np.ceil(share * n)))
     follow_of = max(4, limit_of // FOLLOW)
-    tree = Tree(n, v, *words_from(follow_of))  # at most FOLLOW/share words, all successors among them
-    often = tree.counts >= limit_of
-    keys, counts = context([tree.words[often]]), tree.counts[often]
-    order = np.argsort(keys)
-    seen = {"keys": keys[order], "n": counts[order], "suffix": np.zeros(len(keys), np.uint64)}
-    for level in range(1, depth + 1):
-        table = spark.sparkContext.broadcast(seen["keys"])
+    often = (F.col("n") >= limit_of) & (F.col("token") != int(END))
+    first = words.select(F.col("h").alias("token"), F.col("n").alias("total")).filter((F.col("total") >= limit_of) & (F.col("token") != int(END)))
+    start = lambda c: [longer(np.full(len(c["token"]), SEED, np.uint64), c["token"]), np.full(len(c["token"]), SEED, np.uint64)]
+    states = scratch.write(hashed(first, start, "state bigint, suffix bigint").select("state", "total", "suffix"), "states-1")
+    lower = words.select(F.col("h").alias("word"), ((F.col("n") + 1) / float(n + v + 1)).alias("lower"))
+    level = 0
+    while level != depth:
+        level += 1
+        tree.bits = added(tree.bits, states, "state")
+        table = spark.sparkContext.broadcast(tree.bits)
 
         def rows(h: np.ndarray, n: np.ndarray, level=level, table=table) -> list[np.ndarray]:
-            at, key = contexts(h, n, level)
-            ok = find(table.value, key) >= 0
-            at, key = at[ok], key[ok]
+            for at, key in chain(h, n, table.value, level):
+                pass
             return [key, h[at]]
 
-        state, token, count = gathered(scratch.write(counted(docs, ["state", "token"], rows, follow_of), f"level-{level}"), "state", "token", "n")
-        state, token = state.view(np.uint64), token.view(np.uint64)
-        tree.grow(state, token, count, seen, bits)
-        often = (count >= limit_of) & (token != END)
-        keys = longer(state[often], token[often])
-        order = np.argsort(keys)
-        seen = {"keys": keys[order], "n": count[often][order], "suffix": context([token[often]])[order]}
-    out = Tree(n, v, *words_from(limit))
-    out.levels = tree.levels
-    return out, words, limit
+        grams = scratch.write(counted(docs, ["state", "token"], rows, follow_of), f"grams-{level}")
+        made = scratch.write(grown(grams, states, lower, bits), f"level-{level}")
+        scratch.drop(f"grams-{level}")
+        table.unpersist()
+        kept = made.filter("keep")
+        weights = kept.groupBy(F.col("state").alias("key")).agg(F.first("total").alias("n"), F.first("left").alias("w")).unionByName(kept.select(F.col("gram").alias("key"), "n", F.col("more").alias("w")))
+        tree.levels.append((range(kept.select("state").distinct().count()), weights))
+        further = made.filter(often)
+        if further.isEmpty():
+            break
+        longest = lambda c: [longer(c["state"], c["token"]), longer(c["suffix"], c["token"])]
+        states = scratch.write(hashed(further.select("state", "token", "n", "suffix"), longest, "next bigint, shorter bigint").select(F.col("next").alias("state"), F.col("n").alias("total"), F.col("shorter").alias("suffix")), f"states-{level + 1}")
+        lower = made.select(F.col("gram").alias("below"), F.col("eff").alias("lower"))
+    if tree.levels:
+        every = tree.levels[0][1]
+        for _, weights in tree.levels[1:]:
+            every = every.unionByName(weights)
+        every = scratch.write(every, "weights")
+        low = head_of(every, head, n + 1)
+        tree.keys, tree.weights = sorted_by_key(every.filter(F.col("n") >= low), "key", "w")
+        tree.tail = every.filter(F.col("n") < low)
+        tree.bits = added(tree.bits, tree.tail, "key")
+    return tree, words, limit
+
+
+def by_row(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each (row, key) once, by row: its row, its key, how often it stands there."""
+    order = np.lexsort((key, owner))
+    owner, key = owner[order], key[order]
+    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])])) if len(key) else np.zeros(0, np.int64)
+    return owner[first], key[first], np.diff(np.append(first, len(key)))
 
 
 def score(docs: DataFrame, tree: Tree, words: DataFrame, limit: int, scratch: Scratch) -> DataFrame:
     """Of each row of (doc_id, text, ...): its tokens, known ones, base score and score; columns but the text stay."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(tree)
+    depth = len(tree.levels)
+    shared = spark.sparkContext.broadcast((tree.words, tree.root, tree.keys, tree.weights, tree.bits))
     kept = [c for c in docs.columns if c != "text"]
-    extra = {"row": pa.int64(), "n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "scored": pa.float64()}
-    rare = pa.list_(pa.struct([("h", pa.int64()), ("all", pa.int64()), ("root", pa.int64())]))
+    extra = {"row": pa.int64(), "n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "more": pa.float64()}
+
+    def listed(owner: np.ndarray, key: np.ndarray, rows: int) -> pa.ListArray:
+        """Of each row its keys, each once, with how often it stands there."""
+        own, keys, n = by_row(owner, key)
+        cut = np.searchsorted(own, np.arange(rows + 1))
+        struct = pa.StructArray.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["h", "m"])
+        return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, number = shared.value, TaskContext.get().partitionId() << 36
+        (words, root, table, weights, bits), number = shared.value, TaskContext.get().partitionId() << 36
         for whole in batches:
             for batch in slices(whole, "text"):
                 h, n = tokens(batch.column("text"))
                 rows, owner = len(n), np.repeat(np.arange(len(n)), n)
-                at = find(tree.words, h)
+                at = find(words, h)
                 head = at >= 0
-                base = np.where(head, tree.root[at] if len(tree.root) else 0.0, 0.0)
-                # log10 of the probability so far, and whether the root's is still to be added
-                value, root = np.zeros(len(h)), np.ones(len(h), bool)
-                for level, (states, left, keys, p) in enumerate(tree.levels, 1):
-                    if not len(states):
-                        continue
-                    place, key = contexts(h, n, level)
-                    state = find(states, key)
-                    inside = state >= 0
-                    place, key, state = place[inside], key[inside], state[inside]
-                    hit = find(keys, follow(key, h[place]))
-                    value[place] += left[state]
-                    stored = hit >= 0
-                    value[place[stored]], root[place[stored]] = p[hit[stored]], False
-                value = value + np.where(root & head, base, 0.0)
-                sums = [np.bincount(owner, x, rows) for x in (head, base, value)]
-                # words outside the head: each once for each row, with how often it stands there and how often the root decides
-                tail = np.flatnonzero(~head)
-                order = tail[np.lexsort((h[tail], owner[tail]))]
-                th, to, tr = h[order], owner[order], root[order]
-                first = np.flatnonzero(np.concatenate([[True], (th[1:] != th[:-1]) | (to[1:] != to[:-1])])) if len(th) else np.zeros(0, np.int64)
-                every = np.diff(np.append(first, len(th)))
-                roots = np.add.reduceat(tr.astype(np.int64), first) if len(first) else every
-                cut = np.searchsorted(to[first], np.arange(rows + 1))
-                struct = pa.StructArray.from_arrays([pa.array(th[first].view(np.int64)), pa.array(every, pa.int64()), pa.array(roots, pa.int64())], names=["h", "all", "root"])
+                base = np.where(head, root[at] if len(root) else 0.0, 0.0)
+                more, rest = np.zeros(rows), []
+                for place, key in chain(h, n, bits, depth):
+                    for one in (key, follow(key, h[place])):
+                        at = find(table, one)
+                        here = at >= 0
+                        more += np.bincount(owner[place[here]], weights[at[here]], rows)
+                        here = ~here & among(bits, one)
+                        rest.append((owner[place[here]], one[here]))
+                sums = [np.bincount(owner, x, rows) for x in (head, base)]
                 numbers = number + np.arange(rows)
                 number += rows
-                cols = [pa.array(numbers), pa.array(n, pa.int64()), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *cols, pa.ListArray.from_arrays(pa.array(cut, pa.int32()), struct)], names=[*kept, *extra, "rare"])
+                far = [np.concatenate(x) for x in zip(*rest, strict=True)] if rest else [owner[:0], h[:0]]
+                cols = [pa.array(numbers), pa.array(n, pa.int64()), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(more), listed(owner[~head], h[~head], rows), listed(*far, rows)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *cols], names=[*kept, *extra, "rare", "far"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    part = scratch.write(docs.select(*kept, "text").mapInArrow(run, f"{schema}, row bigint, n_tokens bigint, known bigint, base double, scored double, rare array<struct<h:bigint,all:bigint,root:bigint>>"), "scored")
-    rest = part.select("row", F.explode("rare").alias("r")).select("row", F.col("r.h").alias("h"), F.col("r.all").alias("all"), F.col("r.root").alias("root"))
-    tail = rest.join(words.filter(F.col("n") < limit), "h", "left")
+    bag = "array<struct<h:bigint,m:bigint>>"
+    part = scratch.write(docs.select(*kept, "text").mapInArrow(run, f"{schema}, row bigint, n_tokens bigint, known bigint, base double, more double, rare {bag}, far {bag}"), "scored")
+
+    def exploded(column: str) -> DataFrame:
+        return part.select("row", F.explode(column).alias("r")).select("row", F.col("r.h").alias("h"), F.col("r.m").alias("m"))
+
     log = F.log10((F.coalesce("n", F.lit(0)) + 1) / float(tree.n + tree.v + 1))
-    sums = tail.groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("all")).otherwise(0)).alias("known2"), F.sum(F.col("all") * log).alias("base2"), F.sum(F.col("root") * log).alias("scored2"))
     zero = F.lit(0.0)
+    rare = exploded("rare").join(words.filter(F.col("n") < limit), "h", "left").select("row", F.when(F.col("n").isNotNull(), F.col("m")).otherwise(0).alias("known2"), (F.col("m") * log).alias("base2"), zero.alias("more2"))
+    if tree.tail is not None:
+        far = exploded("far").join(tree.tail.select(F.col("key").alias("h"), "w"), "h")
+        rare = rare.unionByName(far.select("row", F.lit(0).cast("long").alias("known2"), zero.alias("base2"), (F.col("m") * F.col("w")).alias("more2")))
+    sums = rare.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("known2", "base2", "more2")))
+    base = F.col("base") + F.coalesce("base2", zero)
     return part.join(sums, "row", "left").select(
-        *kept, "n_tokens", (F.col("known") + F.coalesce("known2", F.lit(0))).alias("n_known"), F.lit(tree.n).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("base2", zero)).alias("base_score"), (F.col("scored") + F.coalesce("scored2", zero)).alias("score")
+        *kept, "n_tokens", (F.col("known") + F.coalesce("known2", F.lit(0))).alias("n_known"), F.lit(tree.n).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("more") + F.coalesce("more2", zero)).alias("score")
     )

@@ -141,6 +141,19 @@ def test_empty_and_repeated(spark):
     assert lm.score(frame.limit(0), *lm.learn(frame, Scratch(spark, "test")), Scratch(spark, "test")).count() == 0
 
 
+def test_limits_do_not_rise_with_the_corpus(spark):
+    few = spark.createDataFrame([(i, "q r") for i in range(4)], "doc_id long, text string")
+    found = []
+    for rows in (10, 4500):  # 4.5 million tokens more
+        docs = few.unionByName(spark.range(100, 100 + rows).selectExpr("id AS doc_id", "repeat('a ', 1000) AS text"))
+        scratch = Scratch(spark, "test")
+        tree, words, limit = lm.learn(docs, scratch, least=4, bits=2.0)
+        r = lm.score(few.limit(1), tree, words, limit, scratch).first()
+        assert r["score"] > r["base_score"] + 3
+        found.append([len(x[0]) for x in tree.levels])
+    assert found[0] == found[1] and found[0][0] == 3
+
+
 def test_tokens():
     h, n = lm.tokens(pa.array(["a b", None, "A"]))
     assert n.tolist() == [3, 1, 2] and h[0] == h[4] and (h[[2, 3, 5]] == lm.END).all() and np.unique(h).size == 3
