@@ -3,7 +3,9 @@
 States are contexts of words before a token, within a document. A context is a candidate if it stands `least` times in the
 training texts, whatever their size; its successors are those seen with it often enough. A candidate is retained by a
 divergence test: the weighted divergence of its smoothed next-symbol distribution from that of its longest retained suffix,
-which is the gain in bits over its training tokens, must exceed `bits` for each number it stores. Distributions are smoothed
+which is the gain in bits over its training tokens, must exceed `bits` for each number it stores. Contexts lengthen until no
+longer one can pass: its gain is at most the cost of its suffix's successors in the suffix's longest retained suffix, where each
+stored successor takes `bits` of it. Distributions are smoothed
 by absolute discounting: what is taken off the stored successors goes to the suffix's distribution, down to the root, which is
 the add-one unigram distribution over the whole vocabulary and one unknown word. A token is scored in the longest retained
 suffix state of the words before it.
@@ -11,7 +13,7 @@ suffix state of the words before it.
 Counts are exact and cover the whole training corpus: tasks count in arrays, deal sorted keys with counts by key range, and sum
 them there. Vocabulary, candidates and tree grow with the corpus: they are written tables, joined by shuffles. Of fixed size,
 and sent to all tasks, are the most frequent words and the most frequent weights of the tree (at most `head` of each) and an
-array of 2^FILTER bits, which passes every key of a table and few others; the joins drop those others.
+array of at most 2^FILTER bits, which passes every key of a table and few others; the joins drop those others.
 
 A score is a sum of weights that are looked up one by one: of each token the root's, of each retained context before it what is
 left to its suffix, and, if the context stores the token, what the stored probability adds to that.
@@ -28,24 +30,28 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, mix, partitions, slices, word_hashes
 
-DEPTH, SHARE, LEAST, BITS = 2, 0.0, 32, 8.0
+SHARE, LEAST, BITS = 0.0, 32, 8.0
 #: A successor is stored from a FOLLOW-th of a context's own limit on, 4 at least.
 FOLLOW, DISCOUNT, HEAD = 4, 0.75, 1_000_000
 END = np.uint64(0x656E64)
 SEED = 0x5EED
-#: Bits of the array that is sent to all tasks, as a power of two.
+#: Bits of the array that is sent to all tasks, as a power of two: at most these, and fewer for few tokens.
 FILTER = 27
 #: Numbers that a task holds before it counts them.
 FLUSH = 3_000_000
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the tokens of all texts, ends included, and how many each has."""
+    """Hashes of the tokens of all texts, ends included, and how many each has; binary values hold the hashes themselves."""
+    if pa.types.is_binary(col.type):
+        held = [np.frombuffer(x, np.uint64) for x in col.to_pylist()]
+        return np.concatenate([np.zeros(0, np.uint64), *held]), np.array([len(x) for x in held], np.int64)
     h, n = word_hashes(col)
     stops = np.cumsum(n + 1)
     out = np.full(int(stops[-1]) if len(stops) else 0, END, np.uint64)
@@ -88,13 +94,13 @@ def chain(h: np.ndarray, n: np.ndarray, bits: np.ndarray, depth: int) -> Iterato
 
 def among(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether keys pass the array of bits."""
-    at = keys >> np.uint64(64 - FILTER)
+    at = keys >> np.uint64(64 - (64 * len(bits) - 1).bit_length())
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
 def added(bits: np.ndarray, table: DataFrame, column: str) -> np.ndarray:
     """The array of bits with those of a table's keys; what comes to the driver is of fixed size."""
-    at = table.select(F.shiftrightunsigned(column, 64 - FILTER).alias("at"))
+    at = table.select(F.shiftrightunsigned(column, 64 - (64 * len(bits) - 1).bit_length()).alias("at"))
     words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 AS int)))").alias("set"))
     word, held = gathered(words, "word", "set")
     out = bits.copy()
@@ -102,6 +108,28 @@ def added(bits: np.ndarray, table: DataFrame, column: str) -> np.ndarray:
     return out
 
 
+def runs(docs: DataFrame, bits: Broadcast, level: int) -> DataFrame:
+    """The runs of tokens that stand in or after a candidate context of a level, as `text`, 8 bytes a token: all that longer
+    contexts are counted from."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                h, n = tokens(batch.column("text"))
+                for at, _ in chain(h, n, bits.value, level):
+                    pass
+                step = np.bincount(at - level, minlength=len(h) + 1) - np.bincount(at + 1, minlength=len(h) + 1)
+                inside = np.cumsum(step)[: len(h)] > 0
+                first = np.zeros(len(h), bool)
+                first[np.cumsum(n) - n] = True
+                starts = np.flatnonzero(inside & (first | ~np.concatenate([[False], inside[:-1]])))
+                held = h[inside]
+                cut = np.append(np.cumsum(inside)[starts] - 1, len(held)) * 8
+                yield pa.RecordBatch.from_arrays([pa.array([held.data.cast("B")[a:b] for a, b in zip(cut, cut[1:], strict=False)], pa.binary())], names=["text"])
+
+    return docs.select("text").mapInArrow(run, "text binary")
+
+
 def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1) -> DataFrame:
     """Exact counts of the tuples of one or two hashes that `of` gives for a batch's tokens: `columns`, and `n` from `least` on.
 
@@ -185,7 +213,7 @@ class Tree:
     def __init__(self, n: int, v: int, words: np.ndarray, counts: np.ndarray):
         self.n, self.v, self.words, self.root = n, v, words, np.log10((counts + 1) / (n + v + 1))
         self.levels: list[tuple[range, DataFrame]] = []  # of each level its retained states, numbered, and the weights by key
-        self.bits = np.zeros(1 << (FILTER - 6), np.uint64)  # candidate contexts, and weights outside the head
+        self.bits = np.zeros(1 << (min(FILTER, max(10, n.bit_length() + 1)) - 6), np.uint64)  # candidate contexts, and weights outside the head
         self.keys, self.weights = np.zeros(0, np.uint64), np.zeros(0)
         self.tail: DataFrame | None = None
 
@@ -232,10 +260,13 @@ def grown(grams: DataFrame, states: DataFrame, lower: DataFrame, bits: float) ->
     rows = rows.withColumn("p", F.col("taken") + F.col("left") * F.col("lower"))
     gain = F.sum(F.col("n") * F.log2(F.col("p") / F.col("lower"))).over(own) + (F.col("total") - F.col("stored")) * F.log2("left")
     rows = rows.withColumn("keep", gain > bits * (1 + F.col("size")))
-    return rows.select("state", "token", "n", "suffix", "total", "gram", "keep", F.when(F.col("keep"), F.col("p")).otherwise(F.col("lower")).alias("eff"), F.log10("left").alias("left"), (F.log10("p") - F.log10("lower") - F.log10("left")).alias("more"))
+    rows = rows.withColumn("eff", F.when(F.col("keep"), F.col("p")).otherwise(F.col("lower")))
+    # what a longer context, whose successors are some of these, can gain at most, its own number not taken off
+    rows = rows.withColumn("most", F.sum(F.greatest(-F.col("n") * F.log2("eff") - bits, F.lit(0.0))).over(own))
+    return rows.select("state", "token", "n", "suffix", "total", "gram", "keep", "most", "eff", F.log10("left").alias("left"), (F.log10("p") - F.log10("lower") - F.log10("left")).alias("more"))
 
 
-def learn(docs: DataFrame, scratch: Scratch, depth: int | None = DEPTH, share: float = SHARE, least: int = LEAST, bits: float = BITS, head: int = HEAD) -> tuple[Tree, DataFrame, int]:
+def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, share: float = SHARE, least: int = LEAST, bits: float = BITS, head: int = HEAD) -> tuple[Tree, DataFrame, int]:
     """The tree, the table of word counts (h, n), and the limit from which words are in the tree's head."""
     if depth is not None and depth < 0:
         raise ValueError("a depth of nothing or more")
@@ -256,6 +287,10 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = DEPTH, share: f
         level += 1
         tree.bits = added(tree.bits, states, "state")
         table = spark.sparkContext.broadcast(tree.bits)
+        if level > 2 and (level - 1) & (level - 2) == 0:  # levels 3, 5, 9, ...: from there on only these runs are read
+            docs = scratch.write(runs(docs, table, level), f"runs-{level}")
+            if level > 3:
+                scratch.drop(f"runs-{(level - 1) // 2 + 1}")
 
         def rows(h: np.ndarray, n: np.ndarray, level=level, table=table) -> list[np.ndarray]:
             for at, key in chain(h, n, table.value, level):
@@ -265,16 +300,19 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = DEPTH, share: f
         grams = scratch.write(counted(docs, ["state", "token"], rows, follow_of), f"grams-{level}")
         made = scratch.write(grown(grams, states, lower, bits), f"level-{level}")
         scratch.drop(f"grams-{level}")
-        table.unpersist()
+        table.destroy()
         kept = made.filter("keep")
         weights = kept.groupBy(F.col("state").alias("key")).agg(F.first("total").alias("n"), F.first("left").alias("w")).unionByName(kept.select(F.col("gram").alias("key"), "n", F.col("more").alias("w")))
-        tree.levels.append((range(kept.select("state").distinct().count()), weights))
-        further = made.filter(often)
-        if further.isEmpty():
+        retained, longer_ones, most = made.agg(F.count_distinct(F.when(F.col("keep"), F.col("state"))), F.count_if(often), F.max("most")).first()
+        tree.levels.append((range(retained), weights))
+        if not longer_ones or most <= bits:
             break
+        further = made.filter(often)
         longest = lambda c: [longer(c["state"], c["token"]), longer(c["suffix"], c["token"])]
         states = scratch.write(hashed(further.select("state", "token", "n", "suffix"), longest, "next bigint, shorter bigint").select(F.col("next").alias("state"), F.col("n").alias("total"), F.col("shorter").alias("suffix")), f"states-{level + 1}")
         lower = made.select(F.col("gram").alias("below"), F.col("eff").alias("lower"))
+    while tree.levels and not tree.levels[-1][0] and depth is None:
+        tree.levels.pop()
     if tree.levels:
         every = tree.levels[0][1]
         for _, weights in tree.levels[1:]:

@@ -141,6 +141,22 @@ def test_empty_and_repeated(spark):
     assert lm.score(frame.limit(0), *lm.learn(frame, Scratch(spark, "test")), Scratch(spark, "test")).count() == 0
 
 
+def test_contexts_of_any_length(spark, made):
+    train = [t for _, t in made[:80]]
+    for i in range(240):  # what follows is told by the word before all others, in one with three words between and in one with six
+        a, size = i % 2, 3 + 3 * (i % 3 == 0)
+        train.append(" ".join([f"first{a}", *(f"mid{size}x{k}" for k in range(size)), f"last{a}", f"rare{i}"]))
+    docs = list(enumerate(train)) + [(1000, None), (1001, "first1 mid3x0 mid3x1 mid3x2 last0"), (1002, "mid6x4 mid6x5 last1")]
+    frame, scratch = spark.createDataFrame(docs, "doc_id long, text string"), Scratch(spark, "test")
+    learned = lm.learn(frame.filter("doc_id < 1000"), scratch, least=8, bits=2.0)
+    want, levels = plain_tree(docs, train, 0, 8, 2.0, depth=12)
+    while not levels[-1]:
+        levels.pop()
+    assert len(levels) == 7 and [len(x[0]) for x in learned[0].levels] == [len(x) for x in levels]
+    for r in lm.score(frame, *learned, scratch).collect():
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-9)
+
+
 def test_limits_do_not_rise_with_the_corpus(spark):
     few = spark.createDataFrame([(i, "q r") for i in range(4)], "doc_id long, text string")
     found = []
