@@ -909,6 +909,14 @@ def g17_pair_conflicts(t: Testbed) -> DataFrame:
     return identity.conflicts(pairs, people, none).select("a", "b", F.array_join("conflicts", ",").alias("conflicts"))
 
 
+@query("SELECT a.entity_id AS a, b.entity_id AS b, CASE WHEN a.kind <> b.kind THEN 'human_organisation_conflict' ELSE '' END AS conflicts FROM entities a JOIN entities b ON a.digest = b.digest AND a.entity_id < b.entity_id", "entities")
+def g17_digest_conflicts(t: Testbed) -> DataFrame:
+    """The pairs of all entities that have the same digest; g17_pair_conflicts has every tenth entity, as its SQL."""
+    people = t.entities().withColumns({"birth_year": F.lit(None).cast("int"), "death_year": F.lit(None).cast("int")})
+    none = t.spark.createDataFrame([], "entity_id long, scheme string, value string, valid_to string")
+    return identity.conflicts(identity.block_pairs(people, ["digest"]).select("a", "b"), people, none).select("a", "b", F.array_join("conflicts", ",").alias("conflicts"))
+
+
 @query("SELECT entity_id, min(entity_id) OVER (PARTITION BY digest) AS canonical_id FROM entities", "entities")
 def g19_generation(t: Testbed) -> DataFrame:
     people = t.entities()
