@@ -621,6 +621,13 @@ def j12_two_key_blocks(t: Testbed) -> DataFrame:
     return identity.block_pairs(rows, ["c_nationkey", "c_mktsegment"], chunk=16).select("a", "b")
 
 
+@query("SELECT a.c_custkey AS a, b.c_custkey AS b FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey")
+def j12_all_two_key_blocks(t: Testbed) -> DataFrame:
+    """Of all customers; j12_two_key_blocks has every third, as its SQL."""
+    rows = t.table("customer").withColumnRenamed("c_custkey", "entity_id")
+    return identity.block_pairs(rows, ["c_nationkey", "c_mktsegment"], chunk=16).select("a", "b")
+
+
 @query("SELECT person_id, string_agg(topic, ',' ORDER BY topic) AS topics, count(*) AS n FROM (SELECT DISTINCT person_id, topic FROM topics WHERE scheme = 'type') GROUP BY person_id", "topics")
 def j14_collected_children(t: Testbed) -> DataFrame:
     kinds = t.topics().filter("scheme = 'type'").groupBy("person_id").agg(F.array_sort(F.collect_set("topic")).alias("t"))
