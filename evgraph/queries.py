@@ -671,6 +671,17 @@ def g02_expansion(t: Testbed) -> DataFrame:
     return people.join(near.withColumn("hit", F.lit(0)), F.col("person_id") == F.col("id"), "left").select("person_id", F.coalesce("hit", F.lit(1)).alias("far"))
 
 
+@query("WITH RECURSIVE e AS (SELECT person_id AS u, merged_into AS v FROM person WHERE merged_into IS NOT NULL UNION SELECT merged_into, person_id FROM person WHERE merged_into IS NOT NULL), r(id, step) AS (SELECT merged_into, 0 FROM person WHERE merged_into IS NOT NULL UNION SELECT v, step + 1 FROM r JOIN e ON id = u WHERE step < 9) SELECT id AS person_id, (SELECT count(*) = 0 FROM r WHERE step = 9 AND id NOT IN (SELECT id FROM r WHERE step <= 8)) AS complete FROM r WHERE step <= 8 GROUP BY id", "person")
+def g02_merged_expansion(t: Testbed) -> DataFrame:
+    """All people within 8 steps of those that others were merged into, and whether a further step would add none;
+    g02_expansion has one literal edge, as its SQL."""
+    from .operators.components import expand
+
+    merged = t.person().filter("merged_into IS NOT NULL")
+    near, complete = expand(merged.select(F.col("merged_into").alias("id")), merged.select(F.col("person_id").alias("u"), F.col("merged_into").alias("v")))
+    return near.select(F.col("id").alias("person_id"), F.lit(complete).alias("complete"))
+
+
 @query("SELECT (SELECT count(*) FROM person WHERE name ILIKE '%customer#00000001%') AS total, count(*) AS returned FROM (SELECT person_id FROM person WHERE name ILIKE '%customer#00000001%' ORDER BY person_id LIMIT 5)", "person")
 def a01_honest_total(t: Testbed) -> DataFrame:
     hits = search.containing(t.person(), "name", "customer#00000001")
