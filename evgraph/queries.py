@@ -770,6 +770,23 @@ def e18_schedule_envelopes(t: Testbed) -> DataFrame:
     return adapters.schedule_talks(rows, SOURCE).select(F.col("subject.source_native_id").alias("subject"), F.size("contributions").alias("speakers"))
 
 
+@query("SELECT 'talk:' || l_orderkey || '-' || l_linenumber AS subject, CAST(1 AS INTEGER) AS speakers FROM lineitem")
+def e18_all_schedule_envelopes(t: Testbed) -> DataFrame:
+    """Of all lines; e18_schedule_envelopes has the first two of each order, as its SQL."""
+    talk = F.struct(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("guid"), F.lit("t").alias("title"), F.array(F.struct(F.col("l_returnflag").alias("name"), F.lit(None).cast("string").alias("code"))).alias("persons"))
+    rows = t.table("lineitem").select(F.col("l_orderkey").cast("string").alias("conference"), F.array(F.struct(F.lit("2024-01-01").alias("date"), F.create_map(F.lit("room"), F.array(talk)).alias("rooms"))).alias("days"))
+    return adapters.schedule_talks(rows, SOURCE).select(F.col("subject.source_native_id").alias("subject"), F.size("contributions").alias("speakers"))
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS subject, CAST(1 + count(l_orderkey) AS BIGINT) AS envelopes FROM part LEFT JOIN (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) ON p_partkey = l_partkey GROUP BY p_partkey")
+def e05_all_package_envelopes(t: Testbed) -> DataFrame:
+    """Of all lines; e05_package_envelopes has the first of each order, as its SQL."""
+    made = t.table("lineitem").select("l_partkey", "l_orderkey").distinct().groupBy("l_partkey").agg(F.collect_list(F.struct(F.col("l_orderkey").cast("string").alias("version"), F.lit("2024-01-01T00:00:00Z").alias("published_at"))).alias("versions"))
+    rows = t.table("part").join(made, F.col("p_partkey") == F.col("l_partkey"), "left").select(F.col("p_partkey").cast("string").alias("name"), F.lit("MIT").alias("license"), F.array(F.col("p_brand")).alias("owners"), "versions")
+    e = adapters.packages(rows, SOURCE, "npm")
+    return e.groupBy(F.substring_index("subject.label", "@", 1).alias("subject")).agg(F.count("*").alias("envelopes"))
+
+
 @query("SELECT n_name, (SELECT count(*) FROM nation WHERE n_regionkey <> 2) AS total FROM nation WHERE n_regionkey <> 2 ORDER BY n_name LIMIT 7")
 def w01_total_beside_page(t: Testbed) -> DataFrame:
     rows = t.table("nation").filter("n_regionkey <> 2").select("n_name")
