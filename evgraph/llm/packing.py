@@ -6,7 +6,8 @@ window but the last of a partition is full to a power of two and needs no paddin
 groups of equally many tokens.
 
 The plan needs no shuffle: each task packs its own partition in bounded windows of tokens and carries the rest on. Sequence
-ids hold the partition's number, so they are unique, and a recomputed task makes the same ones.
+ids and step groups hold the partition's number, so they are unique, and a recomputed task makes the same ones. Of each tier
+only the last group of a partition may be short.
 
 Null and empty texts are documents of one token (the end id); repeated rows are packed each; columns other than the id and
 the text are ignored.
@@ -106,7 +107,7 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
         def place(made) -> None:
             nonlocal number
             for tier, pieces in made:
-                at, group = 0, used[tier] // step_tokens
+                at, group = 0, (part << 36) + used[tier] // step_tokens
                 for key, start, n in pieces:
                     doc, ids, left = held[key]
                     out.append((doc, start, n, ids[4 * start : 4 * (start + n)], len(ids) // 4, (part << 36) + number, at, tier, group))

@@ -158,6 +158,17 @@ def test_step_groups_are_level(spark):
         assert all(n == packing.STEP_TOKENS for g, n in groups.items() if g < max(groups)), tier
 
 
+def test_step_groups_over_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(3, "doc_id")
+    rows = packing.pack(docs, step_tokens=8192).groupBy("tier", "step_group").agg({"length": "sum"}).collect()
+    full = {}
+    for tier, group, n in rows:
+        full.setdefault((tier, group >> 36), {})[group] = n
+    assert len({part for _, part in full}) == 3
+    for where, groups in full.items():
+        assert all(n == 8192 if g < max(groups) else n <= 8192 for g, n in groups.items()), where
+
+
 def base_expected(text):
     text, out = text or "", []
     pat = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
