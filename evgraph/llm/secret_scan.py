@@ -59,8 +59,8 @@ def _alphabet(c: str) -> float:
 def guess_bits(value: str) -> float:
     """Bits of the cheapest segmentation of a value; each segment but brute force pays one bit more for being chosen.
 
-    Linear in the value's length: words and dates are bounded, and of a run (repeat, walk) each prefix of three or more is one
-    transition.
+    Words and dates are bounded, and a run (repeat, walk) of three or more may start and stop anywhere within a longer one: of
+    its starts only those are kept that can still be the cheapest.
     """
     n = len(value)
     best = [math.inf] * (n + 1)
@@ -73,6 +73,9 @@ def guess_bits(value: str) -> float:
             starts["repeat"][i] = starts["repeat"][i - 1]
         if (low[i - 1], low[i]) in NEXT:
             starts["walk"][i] = starts["walk"][i - 1]
+    open_at: dict[str, list[int]] = {"repeat": [], "walk": []}
+    # Starts within the run at hand, ascending in place and in cost. One that an earlier start beats is beaten from there on, as
+    # logarithms of lengths draw nearer; one that a later start beats in cost is beaten as well.
     for i in range(n):
         here = best[i]
         if here + (cost := _alphabet(value[i])) < best[i + 1]:
@@ -85,8 +88,19 @@ def guess_bits(value: str) -> float:
         if (m := DATE.match(value, i)) is not None:
             best[m.end()] = min(best[m.end()], here + 1 + (math.log2(120) if m.end() - i == 4 else math.log2(365 * 120)))
         for kind, base in (("repeat", _alphabet(value[i])), ("walk", math.log2(47 * 2))):
-            if i - (a := starts[kind][i]) >= 2:
-                best[i + 1] = min(best[i + 1], best[a] + 1 + base + math.log2(i - a + 1))
+            a = starts[kind][i]
+            if a == i:
+                open_at[kind] = []
+            if i - a >= 2:
+                cheap, least = [], math.inf
+                for b in (*open_at[kind], i - 2):
+                    if (cost := best[b] + math.log2(i - b + 1)) < least:
+                        least = cost
+                        while cheap and best[cheap[-1]] >= best[b]:
+                            cheap.pop()
+                        cheap.append(b)
+                open_at[kind] = cheap
+                best[i + 1] = min(best[i + 1], least + 1 + base)
     return best[n]
 
 

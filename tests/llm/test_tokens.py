@@ -213,6 +213,35 @@ def test_guess_cost():
         assert abs(secret_scan.guess_bits(v) - brute(v)) < 1e-9
 
 
+def test_guess_cost_against_all_segmentations():
+    def plain(v):
+        low, changed = v.lower(), v.lower().translate(secret_scan.LEET)
+        best = [0.0] + [np.inf] * len(v)
+        for j in range(1, len(v) + 1):
+            best[j] = best[j - 1] + secret_scan._alphabet(v[j - 1])
+            for i in range(j - 2):
+                one, two, n = low[i:j], changed[i:j], j - i
+                costs = []
+                if (rank := secret_scan.RANK.get(one) or secret_scan.RANK.get(two)) is not None:
+                    costs.append(np.log2(rank + 1) + (v[i:j] != one) + (one != two))
+                if (m := secret_scan.DATE.match(v, i)) is not None and m.end() == j:
+                    costs.append(np.log2(120 if n == 4 else 365 * 120))
+                if len(set(one)) == 1:
+                    costs.append(secret_scan._alphabet(v[j - 1]) + np.log2(n))
+                if all(x in secret_scan.NEXT for x in zip(one, one[1:])):
+                    costs.append(np.log2(94) + np.log2(n))
+                best[j] = min([best[j], *(best[i] + 1 + c for c in costs)])
+        return best[-1]
+
+    rng = np.random.default_rng(3)
+    parts = ["football", "letmein", "opqrstuvw", "lllllll", "2024", "qwerty", "0101", "P@ss", "edcba", "Z", "9", "!!!!", "aA1", "1234"]
+    made = ["footballlllllll", "letmeinopqrstuvw", *("".join(rng.choice(parts, rng.integers(1, 5))) for _ in range(400))]
+    for v in made:
+        assert secret_scan.guess_bits(v) == pytest.approx(plain(v), abs=1e-9), v
+    assert max(map(secret_scan.guess_bits, made[:2])) < 20
+    assert secret_scan.guess_spans("pwd: footballlllllll", 36.0) == []
+
+
 def test_redaction(spark):
     text = 'say token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" now'
     docs = spark.createDataFrame([(1, text), (2, None), (3, "plain")], "doc_id long, text string")
