@@ -1,11 +1,11 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-States are contexts of words before a token, within a document. A context is a candidate if it stands `least` times in the
-training texts, whatever their size; its successors are those seen with it often enough. A candidate is retained by a
+States are contexts of words before a token, within a document. Contexts of one word are candidates if they stand `least` times in
+the training texts, whatever their size. A candidate's successors are those seen with it often enough. It is retained by a
 divergence test: the weighted divergence of its smoothed next-symbol distribution from that of its longest retained suffix,
-which is the gain in bits over its training tokens, must exceed `bits` for each number it stores. Contexts lengthen until no
-longer one can pass: its gain is at most the cost of its suffix's successors in the suffix's longest retained suffix, where each
-stored successor takes `bits` of it. Distributions are smoothed
+which is the gain in bits over its training tokens, must exceed `bits` for each number it stores. The tree grows from what is
+retained: a longer context is a candidate if it stands `least` times, it without its first word is retained, and it without its
+last word is a candidate. Contexts lengthen until there is none; their length has no other bound. Distributions are smoothed
 by absolute discounting: what is taken off the stored successors goes to the suffix's distribution, down to the root, which is
 the add-one unigram distribution over the whole vocabulary and one unknown word. A token is scored in the longest retained
 suffix state of the words before it.
@@ -19,8 +19,10 @@ A score is a sum of weights that are looked up one by one: of each token the roo
 left to its suffix, and, if the context stores the token, what the stored probability adds to that.
 
 Words are told apart by 64-bit hashes. Null and empty texts have one token, the end. Repeated rows are scored each (and
-counted each, when in training); other columns are ignored. With no training rows all probabilities are those of the
-unknown word alone.
+counted each, when in training); other columns pass through `score`, unless they bear the name of a result column, which wins.
+A null doc_id is a value like others here; in the query its remainder is null, so its row is scored and not learnt from. Ties
+don't arise: counts and limits decide alone. With no training rows all probabilities are those of the unknown word alone, and an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,10 +38,11 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, mix, partitions, slices, word_hashes
 
-SHARE, LEAST, BITS = 0.0, 32, 8.0
+LEAST, BITS = 32, 8.0
 #: A successor is stored from a FOLLOW-th of a context's own limit on, 4 at least.
 FOLLOW, DISCOUNT, HEAD = 4, 0.75, 1_000_000
 END = np.uint64(0x656E64)
+RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 SEED = 0x5EED
 #: Bits of the array that is sent to all tasks, as a power of two: at most these, and fewer for few tokens.
 FILTER = 27
@@ -261,12 +264,10 @@ def grown(grams: DataFrame, states: DataFrame, lower: DataFrame, bits: float) ->
     gain = F.sum(F.col("n") * F.log2(F.col("p") / F.col("lower"))).over(own) + (F.col("total") - F.col("stored")) * F.log2("left")
     rows = rows.withColumn("keep", gain > bits * (1 + F.col("size")))
     rows = rows.withColumn("eff", F.when(F.col("keep"), F.col("p")).otherwise(F.col("lower")))
-    # what a longer context, whose successors are some of these, can gain at most, its own number not taken off
-    rows = rows.withColumn("most", F.sum(F.greatest(-F.col("n") * F.log2("eff") - bits, F.lit(0.0))).over(own))
-    return rows.select("state", "token", "n", "suffix", "total", "gram", "keep", "most", "eff", F.log10("left").alias("left"), (F.log10("p") - F.log10("lower") - F.log10("left")).alias("more"))
+    return rows.select("state", "token", "n", "suffix", "total", "gram", "keep", "eff", F.log10("left").alias("left"), (F.log10("p") - F.log10("lower") - F.log10("left")).alias("more"))
 
 
-def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, share: float = SHARE, least: int = LEAST, bits: float = BITS, head: int = HEAD) -> tuple[Tree, DataFrame, int]:
+def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: int = LEAST, bits: float = BITS, head: int = HEAD) -> tuple[Tree, DataFrame, int]:
     """The tree, the table of word counts (h, n), and the limit from which words are in the tree's head."""
     if depth is not None and depth < 0:
         raise ValueError("a depth of nothing or more")
@@ -275,10 +276,9 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, share: fl
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     limit = head_of(words, head, n + 1)
     tree = Tree(n, v, *sorted_by_key(words.filter(F.col("n") >= limit), "h", "n"))
-    limit_of = max(least, int(np.ceil(share * n)))
-    follow_of = max(4, limit_of // FOLLOW)
-    often = (F.col("n") >= limit_of) & (F.col("token") != int(END))
-    first = words.select(F.col("h").alias("token"), F.col("n").alias("total")).filter((F.col("total") >= limit_of) & (F.col("token") != int(END)))
+    follow_of = max(4, least // FOLLOW)
+    often = (F.col("n") >= least) & (F.col("token") != int(END))
+    first = words.select(F.col("h").alias("token"), F.col("n").alias("total")).filter((F.col("total") >= least) & (F.col("token") != int(END)))
     start = lambda c: [longer(np.full(len(c["token"]), SEED, np.uint64), c["token"]), np.full(len(c["token"]), SEED, np.uint64)]
     states = scratch.write(hashed(first, start, "state bigint, suffix bigint").select("state", "total", "suffix"), "states-1")
     lower = words.select(F.col("h").alias("word"), ((F.col("n") + 1) / float(n + v + 1)).alias("lower"))
@@ -303,13 +303,17 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, share: fl
         table.destroy()
         kept = made.filter("keep")
         weights = kept.groupBy(F.col("state").alias("key")).agg(F.first("total").alias("n"), F.first("left").alias("w")).unionByName(kept.select(F.col("gram").alias("key"), "n", F.col("more").alias("w")))
-        retained, longer_ones, most = made.agg(F.count_distinct(F.when(F.col("keep"), F.col("state"))), F.count_if(often), F.max("most")).first()
+        states_kept = kept.select("state").distinct()
+        retained = states_kept.count()
         tree.levels.append((range(retained), weights))
-        if not longer_ones or most <= bits:
+        if not retained or level == depth:
             break
-        further = made.filter(often)
         longest = lambda c: [longer(c["state"], c["token"]), longer(c["suffix"], c["token"])]
-        states = scratch.write(hashed(further.select("state", "token", "n", "suffix"), longest, "next bigint, shorter bigint").select(F.col("next").alias("state"), F.col("n").alias("total"), F.col("shorter").alias("suffix")), f"states-{level + 1}")
+        further = hashed(made.filter(often).select("state", "token", "n", "suffix"), longest, "next bigint, shorter bigint")
+        further = further.join(states_kept.withColumnRenamed("state", "shorter"), "shorter", "left_semi")
+        states = scratch.write(further.select(F.col("next").alias("state"), F.col("n").alias("total"), F.col("shorter").alias("suffix")), f"states-{level + 1}")
+        if states.isEmpty():
+            break
         lower = made.select(F.col("gram").alias("below"), F.col("eff").alias("lower"))
     while tree.levels and not tree.levels[-1][0] and depth is None:
         tree.levels.pop()
@@ -334,11 +338,13 @@ def by_row(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def score(docs: DataFrame, tree: Tree, words: DataFrame, limit: int, scratch: Scratch) -> DataFrame:
-    """Of each row of (doc_id, text, ...): its tokens, known ones, base score and score; columns but the text stay."""
+    """Of each row of (text, ...): its tokens, known ones, base score and score; columns but the text and those stay."""
     spark = docs.sparkSession
     depth = len(tree.levels)
     shared = spark.sparkContext.broadcast((tree.words, tree.root, tree.keys, tree.weights, tree.bits))
-    kept = [c for c in docs.columns if c != "text"]
+    names = [c for c in docs.columns if c.lower() not in ("text", *RESULTS)]
+    kept = [f"kept_{i}" for i in range(len(names))]  # names of their own, whatever the input's are
+    docs = docs.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(names, kept, strict=True)), "text")
     extra = {"row": pa.int64(), "n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "more": pa.float64()}
 
     def listed(owner: np.ndarray, key: np.ndarray, rows: int) -> pa.ListArray:
@@ -388,5 +394,5 @@ def score(docs: DataFrame, tree: Tree, words: DataFrame, limit: int, scratch: Sc
     sums = rare.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("known2", "base2", "more2")))
     base = F.col("base") + F.coalesce("base2", zero)
     return part.join(sums, "row", "left").select(
-        *kept, "n_tokens", (F.col("known") + F.coalesce("known2", F.lit(0))).alias("n_known"), F.lit(tree.n).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("more") + F.coalesce("more2", zero)).alias("score")
+        *(F.col(k).alias(c) for c, k in zip(names, kept, strict=True)), "n_tokens", (F.col("known") + F.coalesce("known2", F.lit(0))).alias("n_known"), F.lit(tree.n).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("more") + F.coalesce("more2", zero)).alias("score")
     )

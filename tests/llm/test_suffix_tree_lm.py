@@ -29,13 +29,12 @@ def base_expected(docs, train):
     return {d: (len(words(t)), sum(c[w] > 0 for w in words(t)), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in words(t))) for d, t in docs}
 
 
-def plain_tree(docs, train, share, least, bits, depth=2):
+def plain_tree(docs, train, least, bits, depth=2):
     """The same model with dictionaries of words."""
     texts = [words(t) for t in train]
     c1 = Counter(w for t in texts for w in t)
     n, v = sum(c1.values()), len(c1)
-    limit = max(least, math.ceil(share * n))
-    follow = max(4, limit // lm.FOLLOW)
+    limit, follow = least, max(4, least // lm.FOLLOW)
     root = lambda w: (c1[w] + 1) / (n + v + 1)
     levels = []
 
@@ -68,7 +67,7 @@ def plain_tree(docs, train, share, least, bits, depth=2):
             if gain > bits * (1 + len(c)):
                 level[s] = (stored, left)
         levels.append(level)
-        seen = {(*s, w): m for s, c in after.items() for w, m in c.items() if m >= limit and m >= follow and w != END}
+        seen = {(*s, w): m for s, c in after.items() for w, m in c.items() if m >= limit and m >= follow and w != END and (*s[1:], w) in level}
     out = {}
     for d, t in docs:
         t = words(t)
@@ -96,9 +95,9 @@ def test_against_plain_tree(spark, made, head):
     docs = made + [(1000 + i, t) for i, t in enumerate(rest)]
     scratch = Scratch(spark, "test")
     frame = spark.createDataFrame([(d, t, "s") for d, t in docs], "doc_id long, text string, score string").drop("score")
-    learned = lm.learn(frame.filter("doc_id < 1000 AND doc_id % 7 <> 0"), scratch, share=1e-3, least=8, bits=2.0, head=head)
+    learned = lm.learn(frame.filter("doc_id < 1000 AND doc_id % 7 <> 0"), scratch, least=8, bits=2.0, head=head)
     got = {r["doc_id"]: r for r in lm.score(frame, *learned, scratch).collect()}
-    want, levels = plain_tree(docs, train, 1e-3, 8, 2.0)
+    want, levels = plain_tree(docs, train, 8, 2.0)
     assert all(levels) and [len(x[0]) for x in learned[0].levels] == [len(x) for x in levels]
     for d, (n, known, total, base) in base_expected(docs, train).items():
         r = got[d]
@@ -108,7 +107,7 @@ def test_against_plain_tree(spark, made, head):
 
 def test_distributions_sum_to_one(made):
     train = [t for _, t in made]
-    _, levels = plain_tree([], train, 1e-3, 8, 2.0)
+    _, levels = plain_tree([], train, 8, 2.0)
     c = Counter(w for t in train for w in words(t))
     n, v = sum(c.values()), len(c)
     root = {w: (c[w] + 1) / (n + v + 1) for w in c}
@@ -142,19 +141,39 @@ def test_empty_and_repeated(spark):
 
 
 def test_contexts_of_any_length(spark, made):
+    """Runs of one word whose length tells what follows, so that each further word of context tells something."""
+    rng = random.Random(2)
     train = [t for _, t in made[:80]]
-    for i in range(240):  # what follows is told by the word before all others, in one with three words between and in one with six
-        a, size = i % 2, 3 + 3 * (i % 3 == 0)
-        train.append(" ".join([f"first{a}", *(f"mid{size}x{k}" for k in range(size)), f"last{a}", f"rare{i}"]))
-    docs = list(enumerate(train)) + [(1000, None), (1001, "first1 mid3x0 mid3x1 mid3x2 last0"), (1002, "mid6x4 mid6x5 last1")]
+    for i in range(400):
+        size = rng.choice([2, 3, 5, 7])
+        train.append(" ".join(["go", *["a"] * size, f"last{size}", f"rare{i}"]))
+    for i in range(240):  # what follows is told by the word before all others alone: no context between them gains anything
+        train.append(" ".join([f"first{i % 2}", "mid0", "mid1", "mid2", f"end{i % 2}", f"rare{i}"]))
+    docs = list(enumerate(train)) + [(1000, None), (1001, "go a a a a last7"), (1002, "go a a a a a last5"), (1003, "first1 mid0 mid1 mid2 end0")]
     frame, scratch = spark.createDataFrame(docs, "doc_id long, text string"), Scratch(spark, "test")
     learned = lm.learn(frame.filter("doc_id < 1000"), scratch, least=8, bits=2.0)
-    want, levels = plain_tree(docs, train, 0, 8, 2.0, depth=12)
+    want, levels = plain_tree(docs, train, 8, 2.0, depth=12)
     while not levels[-1]:
         levels.pop()
-    assert len(levels) == 7 and [len(x[0]) for x in learned[0].levels] == [len(x) for x in levels]
+    assert len(levels) >= 6 and [len(x[0]) for x in learned[0].levels] == [len(x) for x in levels]
+    for level in levels:  # a state's probabilities of its stored successors and what is left to others are a whole
+        assert all(0 < left <= 1 and sum(stored.values()) < 1 + 1e-9 for stored, left in level.values())
     for r in lm.score(frame, *learned, scratch).collect():
         assert r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-9)
+    # fewer words of context on request
+    learned = lm.learn(frame.filter("doc_id < 1000"), scratch, depth=5, least=8, bits=2.0)
+    want, levels = plain_tree(docs, train, 8, 2.0, depth=5)
+    assert [len(x[0]) for x in learned[0].levels] == [len(x) for x in levels]
+    for r in lm.score(frame, *learned, scratch).collect():
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-9)
+
+
+def test_clashing_columns(spark):
+    frame = spark.createDataFrame([(1, "a b", 5, "x", 7, "k"), (None, "a", 6, None, 8, "l")], "doc_id long, text string, n_tokens long, row string, N_Known long, kept_0 string")
+    scratch = Scratch(spark, "test")
+    got = lm.score(frame, *lm.learn(frame, scratch), scratch)
+    assert got.columns == ["doc_id", "row", "kept_0", *lm.RESULTS]
+    assert sorted((r["doc_id"] or 0, r["row"], r["kept_0"], r["n_tokens"], r["n_known"]) for r in got.collect()) == [(0, None, "l", 2, 2), (1, "x", "k", 3, 3)]
 
 
 def test_limits_do_not_rise_with_the_corpus(spark):
