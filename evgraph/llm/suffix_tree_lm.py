@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, mix, partitions, slices, word_hashes
@@ -202,12 +202,29 @@ def gathered(frame: DataFrame, *columns: str) -> list[np.ndarray]:
     return [found.column(c).to_numpy() for c in columns]
 
 
-def find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Places of keys in a sorted table, -1 where there is none."""
-    if not len(table):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at, -1)
+class Table:
+    """Places of keys, which are hashes, in a sorted array of keys, by an index of where each leading bits' keys start."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, bits = keys, max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.append(np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift), len(keys)).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """-1 where there is none."""
+        out = np.full(len(keys), -1, np.int64)
+        part = (keys >> self.shift).astype(np.int64)
+        at, end = self.starts[part], self.starts[part + 1]
+        live = np.flatnonzero(at < end)
+        keys, at, end = keys[live], at[live], end[live]
+        while len(live):
+            seen = self.keys[at]
+            hit = seen == keys
+            out[live[hit]] = at[hit]
+            at = at + 1
+            on = (seen < keys) & (at < end)
+            live, keys, at, end = live[on], keys[on], at[on], end[on]
+        return out
 
 
 class Tree:
@@ -216,7 +233,8 @@ class Tree:
     def __init__(self, n: int, v: int, words: np.ndarray, counts: np.ndarray):
         self.n, self.v, self.words, self.root = n, v, words, np.log10((counts + 1) / (n + v + 1))
         self.levels: list[tuple[range, DataFrame]] = []  # of each level its retained states, numbered, and the weights by key
-        self.bits = np.zeros(1 << (min(FILTER, max(10, n.bit_length() + 1)) - 6), np.uint64)  # candidate contexts, and weights outside the head
+        self.bits = np.zeros(1 << (min(FILTER, max(10, n.bit_length() + 1)) - 6), np.uint64)  # candidate contexts
+        self.far = self.bits.copy()  # weights outside the head
         self.keys, self.weights = np.zeros(0, np.uint64), np.zeros(0)
         self.tail: DataFrame | None = None
 
@@ -251,20 +269,23 @@ def sorted_by_key(table: DataFrame, key: str, value: str) -> tuple[np.ndarray, n
     return keys[order], values[order]
 
 
-def grown(grams: DataFrame, states: DataFrame, lower: DataFrame, bits: float) -> DataFrame:
-    """Of rows (state, token, n) those of candidates, with their key, probabilities and whether the state is retained. `states` has
-    each candidate's number of tokens and its suffix, `lower` the probability of (`suffix`, token) in the suffix's longest
-    retained suffix, by the key that rows have as `below`."""
+def probable(grams: DataFrame, states: DataFrame, lower: DataFrame) -> DataFrame:
+    """Of rows (state, token, n) those of candidates, with their key and probabilities. `states` has each candidate's number of
+    tokens and its suffix, `lower` the probability of (`suffix`, token) in the suffix's longest retained suffix, by the key that
+    rows have as `below`."""
+    stored = grams.groupBy("state").agg(F.sum("n").alias("stored"), F.count("*").alias("size"))
+    states = states.join(stored, "state").withColumn("left", F.greatest(1 - (F.col("stored") - DISCOUNT * F.col("size")) / F.col("total"), F.lit(1e-12)))
     rows = hashed(grams.join(states, "state"), lambda c: [follow(c["state"], c["token"]), follow(c["suffix"], c["token"])], "gram bigint, above bigint")
     rows = rows.withColumn("below", F.col("token") if "word" in lower.columns else F.col("above")).join(lower.withColumnRenamed("word", "below"), "below")
-    own = Window.partitionBy("state")
-    rows = rows.withColumns({"taken": (F.col("n") - DISCOUNT) / F.col("total"), "size": F.count("*").over(own), "stored": F.sum("n").over(own)})
-    rows = rows.withColumn("left", F.greatest(1 - F.sum("taken").over(own), F.lit(1e-12)))
-    rows = rows.withColumn("p", F.col("taken") + F.col("left") * F.col("lower"))
-    gain = F.sum(F.col("n") * F.log2(F.col("p") / F.col("lower"))).over(own) + (F.col("total") - F.col("stored")) * F.log2("left")
-    rows = rows.withColumn("keep", gain > bits * (1 + F.col("size")))
-    rows = rows.withColumn("eff", F.when(F.col("keep"), F.col("p")).otherwise(F.col("lower")))
-    return rows.select("state", "token", "n", "suffix", "total", "gram", "keep", "eff", F.log10("left").alias("left"), (F.log10("p") - F.log10("lower") - F.log10("left")).alias("more"))
+    return rows.drop("below", "above").withColumn("p", (F.col("n") - DISCOUNT) / F.col("total") + F.col("left") * F.col("lower"))
+
+
+def retained(rows: DataFrame, bits: float) -> DataFrame:
+    """States that pass the divergence test: (state, total, left)."""
+    one = [F.first(c).alias(c) for c in ("total", "left", "stored", "size")]
+    of = rows.groupBy("state").agg(F.sum(F.col("n") * F.log2(F.col("p") / F.col("lower"))).alias("gain"), *one)
+    gain = F.col("gain") + (F.col("total") - F.col("stored")) * F.log2("left")
+    return of.filter(gain > bits * (1 + F.col("size"))).select("state", "total", "left")
 
 
 def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: int = LEAST, bits: float = BITS, head: int = HEAD) -> tuple[Tree, DataFrame, int]:
@@ -298,23 +319,24 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
             return [key, h[at]]
 
         grams = scratch.write(counted(docs, ["state", "token"], rows, follow_of), f"grams-{level}")
-        made = scratch.write(grown(grams, states, lower, bits), f"level-{level}")
+        made = scratch.write(probable(grams, states, lower), f"level-{level}")
         scratch.drop(f"grams-{level}")
         table.destroy()
-        kept = made.filter("keep")
-        weights = kept.groupBy(F.col("state").alias("key")).agg(F.first("total").alias("n"), F.first("left").alias("w")).unionByName(kept.select(F.col("gram").alias("key"), "n", F.col("more").alias("w")))
-        states_kept = kept.select("state").distinct()
-        retained = states_kept.count()
-        tree.levels.append((range(retained), weights))
-        if not retained or level == depth:
+        kept = scratch.write(retained(made, bits), f"kept-{level}")
+        stored = made.join(kept.select("state"), "state", "left_semi")
+        weights = kept.select(F.col("state").alias("key"), F.col("total").alias("n"), F.log10("left").alias("w"))
+        weights = weights.unionByName(stored.select(F.col("gram").alias("key"), "n", (F.log10("p") - F.log10("lower") - F.log10("left")).alias("w")))
+        count = kept.count()
+        tree.levels.append((range(count), weights))
+        if not count or level == depth:
             break
         longest = lambda c: [longer(c["state"], c["token"]), longer(c["suffix"], c["token"])]
         further = hashed(made.filter(often).select("state", "token", "n", "suffix"), longest, "next bigint, shorter bigint")
-        further = further.join(states_kept.withColumnRenamed("state", "shorter"), "shorter", "left_semi")
+        further = further.join(kept.select(F.col("state").alias("shorter")), "shorter", "left_semi")
         states = scratch.write(further.select(F.col("next").alias("state"), F.col("n").alias("total"), F.col("shorter").alias("suffix")), f"states-{level + 1}")
         if states.isEmpty():
             break
-        lower = made.select(F.col("gram").alias("below"), F.col("eff").alias("lower"))
+        lower = stored.select(F.col("gram").alias("below"), F.col("p").alias("lower"))
     while tree.levels and not tree.levels[-1][0] and depth is None:
         tree.levels.pop()
     if tree.levels:
@@ -325,7 +347,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
         low = head_of(every, head, n + 1)
         tree.keys, tree.weights = sorted_by_key(every.filter(F.col("n") >= low), "key", "w")
         tree.tail = every.filter(F.col("n") < low)
-        tree.bits = added(tree.bits, tree.tail, "key")
+        tree.far = added(tree.far, tree.tail, "key")
     return tree, words, limit
 
 
@@ -341,7 +363,7 @@ def score(docs: DataFrame, tree: Tree, words: DataFrame, limit: int, scratch: Sc
     """Of each row of (text, ...): its tokens, known ones, base score and score; columns but the text and those stay."""
     spark = docs.sparkSession
     depth = len(tree.levels)
-    shared = spark.sparkContext.broadcast((tree.words, tree.root, tree.keys, tree.weights, tree.bits))
+    shared = spark.sparkContext.broadcast((tree.words, tree.root, tree.keys, tree.weights, tree.bits, tree.far))
     names = [c for c in docs.columns if c.lower() not in ("text", *RESULTS)]
     kept = [f"kept_{i}" for i in range(len(names))]  # names of their own, whatever the input's are
     docs = docs.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(names, kept, strict=True)), "text")
@@ -355,21 +377,22 @@ def score(docs: DataFrame, tree: Tree, words: DataFrame, limit: int, scratch: Sc
         return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (words, root, table, weights, bits), number = shared.value, TaskContext.get().partitionId() << 36
+        (words, root, keys, weights, bits, beyond), number = shared.value, TaskContext.get().partitionId() << 36
+        words, table = Table(words), Table(keys)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1 << 19):
                 h, n = tokens(batch.column("text"))
                 rows, owner = len(n), np.repeat(np.arange(len(n)), n)
-                at = find(words, h)
+                at = words.find(h)
                 head = at >= 0
                 base = np.where(head, root[at] if len(root) else 0.0, 0.0)
                 more, rest = np.zeros(rows), []
                 for place, key in chain(h, n, bits, depth):
                     for one in (key, follow(key, h[place])):
-                        at = find(table, one)
+                        at = table.find(one)
                         here = at >= 0
                         more += np.bincount(owner[place[here]], weights[at[here]], rows)
-                        here = ~here & among(bits, one)
+                        here = ~here & among(beyond, one)
                         rest.append((owner[place[here]], one[here]))
                 sums = [np.bincount(owner, x, rows) for x in (head, base)]
                 numbers = number + np.arange(rows)
