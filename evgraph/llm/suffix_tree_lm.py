@@ -133,57 +133,132 @@ def runs(docs: DataFrame, bits: Broadcast, level: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "text binary")
 
 
-def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1) -> DataFrame:
+class Table:
+    """Places of keys, which are hashes, in a sorted array of keys, by an index of where each leading bits' keys start."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, bits = keys, max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.append(np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift), len(keys)).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """-1 where there is none."""
+        out = np.full(len(keys), -1, np.int64)
+        part = (keys >> self.shift).astype(np.int64)
+        at, end = self.starts[part], self.starts[part + 1]
+        live = np.flatnonzero(at < end)
+        keys, at, end = keys[live], at[live], end[live]
+        while len(live):
+            seen = self.keys[at]
+            hit = seen == keys
+            out[live[hit]] = at[hit]
+            at = at + 1
+            on = (seen < keys) & (at < end)
+            live, keys, at, end = live[on], keys[on], at[on], end[on]
+        return out
+
+
+def planes(n: np.ndarray) -> bytes:
+    """Numbers as planes of their bytes, of which the high ones are mostly zero and cost next to nothing compressed."""
+    return n.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+
+
+class Packed:
+    """Columns of hashes as blobs. Of two columns the first is sorted and kept once for each run; the second is a number where it
+    is one of `known`, a sorted array, and the hash elsewhere."""
+
+    ELSE = 0xFFFFFFFF
+
+    def __init__(self, width: int, known: np.ndarray):
+        self.width, self.known = width, Table(known)
+        self.blobs = 1 if width == 1 else 4
+
+    def pack(self, arrays: list[np.ndarray], cut: list[tuple[int, int]]) -> list[list[bytes]]:
+        if self.width == 1:
+            return [[arrays[0][i:j].tobytes() for i, j in cut]]
+        code = self.known.find(arrays[1])
+        code = np.where(code < 0, self.ELSE, code).astype(np.uint32)
+        out: list[list[bytes]] = [[], [], [], []]
+        for i, j in cut:
+            state, part = arrays[0][i:j], code[i:j]
+            first = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]]))
+            for blobs, x in zip(out, (state[first].tobytes(), planes(np.diff(np.append(first, j - i))), planes(part), arrays[1][i:j][part == self.ELSE].tobytes()), strict=True):
+                blobs.append(x)
+        return out
+
+    def unpack(self, blobs: tuple[bytes, ...]) -> list[np.ndarray]:
+        if self.width == 1:
+            return [np.frombuffer(blobs[0], np.uint64)]
+        code = from_planes(blobs[2])
+        token = np.zeros(len(code), np.uint64)
+        far = code == self.ELSE
+        token[far] = np.frombuffer(blobs[3], np.uint64)
+        token[~far] = self.known.keys[code[~far]]
+        return [np.repeat(np.frombuffer(blobs[0], np.uint64), from_planes(blobs[1])), token]
+
+
+def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1, known: Broadcast | None = None) -> DataFrame:
     """Exact counts of the tuples of one or two hashes that `of` gives for a batch's tokens: `columns`, and `n` from `least` on.
 
-    Tasks count in arrays and deal sorted tuples by ranges of their key, as packed arrays, which are summed by range.
+    Tasks count in arrays and deal tuples by ranges of their key, as packed arrays, which are summed by range.
     """
     buckets = 4 * partitions(docs.sparkSession)
-    width = np.uint64((1 << 64) // buckets + 1)
+    width, top = np.uint64((1 << 64) // buckets + 1), np.uint64((buckets - 1).bit_length())
 
     def keyed(arrays: list[np.ndarray]) -> np.ndarray:
         return arrays[0] if len(arrays) == 1 else follow(*arrays)
 
-    def summed(arrays: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-        key = keyed(arrays)
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        some = order[first]
-        return key[first], [a[some] for a in arrays], np.add.reduceat(n[order], first) if len(first) else n[:0]
+    def summed(arrays: list[np.ndarray], n: np.ndarray, key: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        order = np.argsort(key)
+        arrays, n = [a[order] for a in arrays], n[order]
+        new = np.ones(len(n), bool)
+        new[1:] = np.logical_or.reduce([a[1:] != a[:-1] for a in arrays])
+        first = np.flatnonzero(new)
+        return [a[first] for a in arrays], np.add.reduceat(n, first) if len(first) else n[:0]
 
-    def pack(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def packing() -> Packed:
+        return Packed(len(columns), known.value if known is not None else np.zeros(0, np.uint64))
+
+    def pack(held: list[list[np.ndarray]], form: Packed) -> pa.RecordBatch:
         arrays = [np.concatenate(x) for x in zip(*held, strict=True)]
-        key, arrays, n = summed(arrays, np.ones(len(arrays[0]), np.int64))
-        bucket = (key // width).astype(np.int64)
-        cut = np.searchsorted(bucket, np.arange(buckets + 1))
-        some = [b for b in range(buckets) if cut[b + 1] > cut[b]]
-        blobs = [[a[cut[b] : cut[b + 1]].tobytes() for b in some] for a in (*arrays, n.astype("<u4"))]
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(b, pa.binary()) for b in blobs)], names=["bucket", *columns, "n"])
+        order = key = keyed(arrays)
+        if len(arrays) == 2:  # by range, then state, then token, as far as bits go; what they leave mixed is summed in the range
+            order = ((key // width) << (np.uint64(64) - top)) | (arrays[0] >> np.uint64(36) << (np.uint64(36) - top)) | (arrays[1] >> (np.uint64(28) + top))
+        arrays, n = summed(arrays, np.ones(len(key), np.int64), order)
+        bucket = (keyed(arrays) // width).astype(np.int64)
+        ends = np.searchsorted(bucket, np.arange(buckets + 1))
+        some = [b for b in range(buckets) if ends[b + 1] > ends[b]]
+        cut = [(ends[b], ends[b + 1]) for b in some]
+        blobs = [*form.pack(arrays, cut), [planes(n[i:j]) for i, j in cut]]
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(b, pa.binary()) for b in blobs)], names=["bucket", *(f"b{i}" for i in range(len(blobs)))])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, form = [], 0, packing()
         for whole in batches:
             for batch in slices(whole, "text"):
                 held.append(of(*tokens(batch.column("text"))))
                 size += len(columns) * len(held[-1][0])
                 if size > FLUSH:
-                    yield from pack(held)
+                    yield pack(held, form)
                     held, size = [], 0
         if size:
-            yield from pack(held)
+            yield pack(held, form)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, held = None, []
+        bucket, held, form = None, [], packing()
 
         def settle() -> pa.RecordBatch:
-            *arrays, n = (np.concatenate([np.frombuffer(x, k) for x in xs]) for xs, k in zip(zip(*held, strict=True), [np.uint64] * len(columns) + ["<u4"], strict=True))
-            _, arrays, n = summed(arrays, n.astype(np.int64))
+            arrays = [np.concatenate(x) for x in zip(*(form.unpack(x[:-1]) for x in held), strict=True)]
+            arrays, n = summed(arrays, np.concatenate([from_planes(x[-1]) for x in held]), keyed(arrays))
             keep = n >= least
             return pa.RecordBatch.from_arrays([*(pa.array(a[keep].view(np.int64)) for a in arrays), pa.array(n[keep])], names=[*columns, "n"])
 
         for batch in batches:
-            for b, *blobs in zip(*(batch.column(c).to_pylist() for c in ("bucket", *columns, "n")), strict=True):
+            for b, *blobs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if b != bucket and held:
                     yield settle()
                     held = []
@@ -192,7 +267,7 @@ def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1) -
         if held:
             yield settle()
 
-    blobs = docs.mapInArrow(count, "bucket int, " + ", ".join(f"{c} binary" for c in columns) + ", n binary")
+    blobs = docs.mapInArrow(count, "bucket int" + "".join(f", b{i} binary" for i in range(2 if len(columns) == 1 else 5)))
     return blobs.repartition(partitions(docs.sparkSession), "bucket").sortWithinPartitions("bucket").mapInArrow(total, ", ".join(f"{c} bigint" for c in columns) + ", n bigint")
 
 
@@ -202,31 +277,6 @@ def gathered(frame: DataFrame, *columns: str) -> list[np.ndarray]:
     return [found.column(c).to_numpy() for c in columns]
 
 
-class Table:
-    """Places of keys, which are hashes, in a sorted array of keys, by an index of where each leading bits' keys start."""
-
-    def __init__(self, keys: np.ndarray):
-        self.keys, bits = keys, max(1, len(keys).bit_length())
-        self.shift = np.uint64(64 - bits)
-        self.starts = np.append(np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift), len(keys)).astype(np.int32)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """-1 where there is none."""
-        out = np.full(len(keys), -1, np.int64)
-        part = (keys >> self.shift).astype(np.int64)
-        at, end = self.starts[part], self.starts[part + 1]
-        live = np.flatnonzero(at < end)
-        keys, at, end = keys[live], at[live], end[live]
-        while len(live):
-            seen = self.keys[at]
-            hit = seen == keys
-            out[live[hit]] = at[hit]
-            at = at + 1
-            on = (seen < keys) & (at < end)
-            live, keys, at, end = live[on], keys[on], at[on], end[on]
-        return out
-
-
 class Tree:
     """Counts of the training tokens, the heads of the vocabulary and of the weights, and the tables of what the heads leave."""
 
@@ -303,6 +353,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
     start = lambda c: [longer(np.full(len(c["token"]), SEED, np.uint64), c["token"]), np.full(len(c["token"]), SEED, np.uint64)]
     states = scratch.write(hashed(first, start, "state bigint, suffix bigint").select("state", "total", "suffix"), "states-1")
     lower = words.select(F.col("h").alias("word"), ((F.col("n") + 1) / float(n + v + 1)).alias("lower"))
+    known, enough = spark.sparkContext.broadcast(tree.words), (words.filter(F.col("n") >= follow_of), "h")
     level = 0
     while level != depth:
         level += 1
@@ -313,15 +364,22 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
             if level > 3:
                 scratch.drop(f"runs-{(level - 1) // 2 + 1}")
 
-        def rows(h: np.ndarray, n: np.ndarray, level=level, table=table) -> list[np.ndarray]:
-            for at, key in chain(h, n, table.value, level):
-                pass
-            return [key, h[at]]
+        asked = spark.sparkContext.broadcast(added(np.zeros_like(tree.bits), *enough))
+
+        def rows(h: np.ndarray, n: np.ndarray, level=level, table=table, asked=asked) -> list[np.ndarray]:
+            # a successor is seen often enough only where it is after the suffix, too: others aren't counted
+            often = among(asked.value, h) if level == 1 else np.zeros(len(h), bool)
+            for k, (at, key) in enumerate(chain(h, n, table.value, level), 1):
+                if k == level - 1:
+                    often[at] = among(asked.value, follow(key, h[at]))
+            keep = often[at]
+            return [key[keep], h[at[keep]]]
 
-        grams = scratch.write(counted(docs, ["state", "token"], rows, follow_of), f"grams-{level}")
+        grams = scratch.write(counted(docs, ["state", "token"], rows, follow_of, known), f"grams-{level}")
         made = scratch.write(probable(grams, states, lower), f"level-{level}")
         scratch.drop(f"grams-{level}")
         table.destroy()
+        asked.destroy()
         kept = scratch.write(retained(made, bits), f"kept-{level}")
         stored = made.join(kept.select("state"), "state", "left_semi")
         weights = kept.select(F.col("state").alias("key"), F.col("total").alias("n"), F.log10("left").alias("w"))
@@ -337,6 +395,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
         if states.isEmpty():
             break
         lower = stored.select(F.col("gram").alias("below"), F.col("p").alias("lower"))
+        enough = stored, "gram"
     while tree.levels and not tree.levels[-1][0] and depth is None:
         tree.levels.pop()
     if tree.levels:
