@@ -19,8 +19,9 @@ T = ceil(75 (n + m) / 175) shingles, so a set's inverted lists need T occurrence
 Every step is exact; nothing is capped or sampled. (The frequency table only orders lists: any order gives the same links.)
 
 Null texts and texts without words have an empty set and link with nothing; texts of fewer than five words have one shingle.
-Rows that share a doc_id are one document of all their shingles' classes: each row keeps its own result. A null doc_id gives
-a row with its size and a null component. Other columns are ignored.
+Rows that share a doc_id are one document of all their texts' classes: each row keeps its own size, and all have the document's
+component. Ties don't arise. A null doc_id gives a row with its size and a null component. An empty table gives an empty result.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ MINIMA = 4
 COUNTERS, HEAVY = 1 << 20, 96
 #: Candidates that go with one query to one task, and members of a block of a long list.
 BLOCK = 64
+#: A pivot of more than HOT pairs meets them under SALTS keys.
+HOT, SALTS = 256, 64
 
 
 def shingles(col: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -90,6 +93,20 @@ def bitmap(hashes: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def digests(h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Of each set of hashes, one after another, 128 bits that depend on the set alone, and its size."""
+    some = np.flatnonzero(n)
+    sums = np.zeros((2, len(n)), np.uint64)
+    for i in range(2 if len(some) else 0):
+        sums[i, some] = np.add.reduceat(mix(h, 11 + i), (np.cumsum(n) - n)[some])
+    return [a.tobytes() + b.tobytes() + int(k).to_bytes(4, "little") for a, b, k in zip(*sums, n, strict=True)]
+
+
+def tag(digest: bytes) -> int:
+    """A few bits of a digest; texts of one doc_id are told apart by them first, and by the digest where they are verified."""
+    return int.from_bytes(digest[:4], "little", signed=True)
+
+
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint16)
 
 
@@ -115,15 +132,12 @@ def signatures(docs: DataFrame, words: int, counters: int) -> DataFrame:
                 total += np.bincount((h & np.uint64(counters - 1)).astype(np.int64), minlength=counters)
                 ends = np.cumsum(n)
                 some = np.flatnonzero(n)
-                sums = np.zeros((2, len(n)), np.uint64)
                 minima = np.zeros((len(n), MINIMA), np.uint64)
                 if len(some):
                     at = (ends - n)[some]
-                    for i in range(2):
-                        sums[i, some] = np.add.reduceat(mix(h, 11 + i), at)
                     for i in range(MINIMA):
                         minima[some, i] = np.minimum.reduceat(mix(h, 101 + i), at)
-                digest = [a.tobytes() + b.tobytes() + int(k).to_bytes(4, "little") for a, b, k in zip(*sums, n, strict=True)]
+                digest = digests(h, n)
                 bits = [bitmap(h[e - k : e]) if k else None for e, k in zip(ends, n, strict=True)]
                 none = [None] * len(n)
                 cols = [batch.column("doc_id"), n, digest, bits, list(minima.view(np.int64)), none, none]
@@ -211,7 +225,7 @@ def only_asked(docs: DataFrame, ids: DataFrame, slots: int = ASKED) -> DataFrame
 
 
 def postings(docs: DataFrame, words: int, percent: int, often) -> DataFrame:
-    """(t, doc_id, n, place) of each set's prefix: shingles in the order (frequent last, hash)."""
+    """(t, doc_id, tag, n, place) of each set's prefix: shingles in the order (frequent last, hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.unpackbits(often.value)
@@ -230,6 +244,7 @@ def postings(docs: DataFrame, words: int, percent: int, often) -> DataFrame:
                 h = h[np.repeat(np.isin(np.arange(len(n)), fresh), n)]
                 batch = batch.take(pa.array(fresh, pa.int64()))
                 n = n[fresh]
+                tags = np.array([tag(d) for d in digests(h, n)], np.int32)
                 owner = np.repeat(np.arange(len(n)), n)
                 late = table[(h & mask).astype(np.int64)].astype(bool)
                 order = np.argsort(2 * owner + late, kind="stable")  # the hashes of a set are ascending
@@ -238,24 +253,34 @@ def postings(docs: DataFrame, words: int, percent: int, often) -> DataFrame:
                 # a partner shares T >= least_overlap(n, least partner) shingles, so one of these is common to both
                 keep = place < (n - least_overlap(n, least_partner(n, percent), percent) + 1)[owner]
                 ids = np.asarray(batch.column("doc_id").to_numpy(zero_copy_only=False), np.int64)[owner[keep]]
-                yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(ids), pa.array(n[owner[keep]].astype(np.int32)), pa.array(place[keep].astype(np.int32)), pa.array(late[keep])], names=["t", "doc_id", "n", "place", "late"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(ids), pa.array(tags[owner[keep]]), pa.array(n[owner[keep]].astype(np.int32)), pa.array(place[keep].astype(np.int32)), pa.array(late[keep])], names=["t", "doc_id", "tag", "n", "place", "late"])
+
+    return docs.mapInArrow(run, "t bigint, doc_id bigint, tag int, n int, place int, late boolean")
 
-    return docs.mapInArrow(run, "t bigint, doc_id bigint, n int, place int, late boolean")
 
+def with_pivots(pairs: DataFrame, classes: DataFrame, block: int, hot: int = HOT, salts: int = SALTS) -> DataFrame:
+    """Pairs (u, v) with u's size and bitmap, and in how many blocks its partners are dealt. What a pivot of many pairs has is
+    copied under `salts` keys, over which its pairs are spread."""
+    pivots = pairs.groupBy("u").agg(F.count("*").alias("k")).join(classes.select(F.col("class").alias("u"), F.col("n").alias("un"), F.col("bits").alias("ubits")), "u")
+    pivots = pivots.withColumn("blocks", F.ceil(F.col("k") / block))
+    many = pivots.filter(F.col("k") > hot).drop("k").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("v", F.lit(7)), F.lit(salts)).cast("int")).join(many, ["u", "salt"], "left").drop("salt")
+    few = dealt.filter("blocks IS NULL").select("u", "v").join(pivots.filter(F.col("k") <= hot).drop("k"), "u")
+    return dealt.filter("blocks IS NOT NULL").unionByName(few)
 
-def filtered(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) whose bitmaps don't rule out a link."""
+
+def filtered(pairs: DataFrame, classes: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs (u, v, blocks) whose bitmaps don't rule out a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             c = {n: batch.column(n).to_pylist() for n in batch.schema.names}
             keep = [differ(a, b) <= n + m - 2 * least_overlap(n, m, percent) for a, b, n, m in zip(c["ubits"], c["vbits"], c["un"], c["vn"], strict=True)]
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["u", "v", "blocks"]).filter(pa.array(keep, pa.bool_()))
 
-    a = sizes.select(F.col("rep").alias("u"), F.col("n").alias("un"), F.col("bits").alias("ubits"))
-    b = sizes.select(F.col("rep").alias("v"), F.col("n").alias("vn"), F.col("bits").alias("vbits"))
-    near = pairs.join(a, "u").join(b, "v").filter((100 * F.least("un", "vn") >= percent * F.greatest("un", "vn")))
-    return near.select("u", "v", "un", "vn", "ubits", "vbits").mapInArrow(run, "u bigint, v bigint")
+    b = classes.select(F.col("class").alias("v"), F.col("n").alias("vn"), F.col("bits").alias("vbits"))
+    near = with_pivots(pairs, classes, block).join(b, "v").filter((100 * F.least("un", "vn") >= percent * F.greatest("un", "vn")))
+    return near.select("u", "v", "blocks", "un", "vn", "ubits", "vbits").mapInArrow(run, "u bigint, v bigint, blocks bigint")
 
 
 def divide_skip(query: np.ndarray, lists: list[np.ndarray], sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -295,15 +320,15 @@ def divide_skip(query: np.ndarray, lists: list[np.ndarray], sizes: np.ndarray, p
     return found
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, block: int, scratch: Scratch, name: str) -> DataFrame:
-    """Those of the pairs (u, v) that are similar. A query u and a block of its candidates meet in one task."""
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, block: int, scratch: Scratch, name: str) -> DataFrame:
+    """Those of the pairs (u, v) of classes that are similar. A query u and a block of its candidates meet in one task. The text of
+    a class is that of its `rep`; of a document of several texts, the one with the class's digest."""
     spark = scratch.spark
     pairs = scratch.write(pairs, f"{name}-pairs")
-    blocks = pairs.groupBy("u").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    dealt = pairs.join(blocks, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("blocks")).alias("block"))
-    wanted = dealt.select(F.col("v").alias("doc_id"), "u", "block", F.lit(1).alias("role")).unionByName(dealt.select(F.col("u").alias("doc_id"), "u", "block", F.lit(0).alias("role")).distinct())
-    asked = only_asked(docs, pairs.select("u").union(pairs.select("v")))
-    rows = wanted.join(asked, "doc_id").select("u", "block", "role", "doc_id", "text")
+    dealt = pairs.select("u", "v", F.pmod(F.xxhash64("v"), F.col("blocks")).alias("block"))
+    wanted = dealt.select(F.col("v").alias("class"), "u", "block", F.lit(1).alias("role")).unionByName(dealt.select(F.col("u").alias("class"), "u", "block", F.lit(0).alias("role")).distinct())
+    wanted = scratch.write(wanted.join(classes.select("class", F.col("rep").alias("doc_id"), "digest"), "class"), f"{name}-wanted")
+    rows = wanted.join(only_asked(docs, wanted.select("doc_id")), "doc_id").select("u", "block", "role", "class", "digest", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, query, ids, sets = None, None, [], []
@@ -327,9 +352,11 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, block:
         for whole in batches:
             for batch in slices(whole, "text"):
                 h, n = shingles(batch.column("text"), words)
-                ends = np.cumsum(n)
-                cols = [batch.column(c).to_pylist() for c in ("u", "block", "role", "doc_id")]
-                for i, (u, b, role, doc) in enumerate(zip(*cols, strict=True)):
+                ends, said = np.cumsum(n), digests(h, n)
+                cols = [batch.column(c).to_pylist() for c in ("u", "block", "role", "class", "digest")]
+                for i, (u, b, role, one_of, digest) in enumerate(zip(*cols, strict=True)):
+                    if said[i] != digest:
+                        continue  # another text of the same document
                     one = h[ends[i] - n[i] : ends[i]]
                     if (u, b) != key or len(ids) >= 4 * block:
                         if ids:
@@ -338,14 +365,15 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, block:
                     if role == 0:
                         query = one
                     else:
-                        ids.append(doc)
+                        ids.append(one_of)
                         sets.append(one)
         if ids:
             yield settle()
 
-    dealt = rows.repartition(partitions(spark), "u", "block").sortWithinPartitions("u", "block", "role", "doc_id")
+    dealt = rows.repartition(partitions(spark), "u", "block").sortWithinPartitions("u", "block", "role", "class")
     out = scratch.write(dealt.mapInArrow(run, "u bigint, v bigint"), f"{name}-links")
     scratch.drop(f"{name}-pairs")
+    scratch.drop(f"{name}-wanted")
     return out
 
 
@@ -430,6 +458,12 @@ def lists_of(posted: DataFrame) -> DataFrame:
     return posted.repartition(n, "t").sortWithinPartitions("t").mapInArrow(run, posted.schema)
 
 
+def _tag(digest: str):
+    """`tag` of a column of digests."""
+    byte = lambda i: F.shiftleft(F.conv(F.hex(F.substring(digest, i + 1, 1)), 16, 10).cast("int"), 8 * i)
+    return byte(0).bitwiseOR(byte(1)).bitwiseOR(byte(2)).bitwiseOR(byte(3))
+
+
 def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, counters: int = COUNTERS, heavy: int = HEAVY, block: int = BLOCK, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of (doc_id, text)."""
     spark: SparkSession = docs.sparkSession
@@ -439,28 +473,31 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, counter
 
     signed = scratch.write(signatures(docs, words, counters), "signed")
     some = signed.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = scratch.write(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("minima").alias("minima")), "classes")
-    reps = classes.select("rep", "n", "bits").dropDuplicates(["rep"])
+    made = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("minima").alias("minima"))
+    classes = scratch.write(made.withColumn("class", F.monotonically_increasing_id()), "classes")  # numbers hold once they are written
 
-    keyed = classes.select("rep", F.posexplode("minima").alias("i", "least"))
-    first = keyed.groupBy("i", "least").agg(F.min("rep").alias("u"), F.count("*").alias("k")).filter("k > 1")
-    pairs = keyed.join(first, ["i", "least"]).filter("rep <> u").select("u", F.col("rep").alias("v")).distinct()
-    near = verified(filtered(pairs, reps, percent), known, words, percent, block, scratch, "near")
+    keyed = classes.select("class", F.posexplode("minima").alias("i", "least"))
+    first = keyed.groupBy("i", "least").agg(F.min("class").alias("u"), F.count("*").alias("k")).filter("k > 1")
+    pairs = scratch.write(keyed.join(first, ["i", "least"]).filter("class <> u").select("u", F.col("class").alias("v")).distinct(), "near-met")
+    near = verified(filtered(pairs, classes, percent, block), classes, known, words, percent, block, scratch, "near")
     groups = components(near, scratch, "near-cc")
 
     often = spark.sparkContext.broadcast(frequent(signed.filter("part IS NOT NULL").select("part", "counts"), counters, heavy))  # a bit for each counter
     lists = scratch.write(lists_of(postings(known, words, percent, often)), "lists")
-    to_rep = some.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep")
-    held = lists.join(to_rep, "doc_id").select("t", "rep", "n", "place", "late").distinct()
-    held = held.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    to_class = some.select("doc_id", "digest").distinct().join(classes.select("digest", "class", "rep"), "digest").select("doc_id", _tag("digest").alias("tag"), "class", "rep")
+    held = lists.join(to_class.drop("rep"), ["doc_id", "tag"]).select("t", "class", "n", "place", "late").distinct()
+    held = held.join(groups.select(F.col("id").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     mixed = held.groupBy("t").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("size")).filter("c1 <> c2").select("t", "size")
-    pairs = across(held.join(mixed, "t"), percent, block)
-    far = verified(filtered(pairs, reps, percent), known, words, percent, block, scratch, "far")
-    scratch.drop("lists")
-
-    # a doc_id of several rows may stand in several classes: its classes are one document
-    own = to_rep.filter("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    links = near.unionByName(far).unionByName(own.distinct())
+    pairs = scratch.write(across(held.join(mixed, "t").withColumnRenamed("class", "rep"), percent, block), "far-met")
+    far = verified(filtered(pairs, classes, percent, block), classes, known, words, percent, block, scratch, "far")
+    for name in ("lists", "near-met", "far-met"):
+        scratch.drop(name)
+
+    # a doc_id of several texts stands in several classes: its classes are one document
+    reps = classes.select("class", "rep")
+    between = near.unionByName(far).join(reps.withColumnsRenamed({"class": "u", "rep": "a"}), "u").join(reps.withColumnsRenamed({"class": "v", "rep": "b"}), "v")
+    own = to_class.filter("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    links = between.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v").unionByName(own).distinct()
     found = components(links, scratch, "cc")
     out = signed.filter("part IS NULL").select("doc_id", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -98,6 +98,46 @@ def test_repeated_rows_and_empty(spark):
     assert ngram_join.similar(frame.limit(0)).count() == 0
 
 
+def brute_documents(rows):
+    """As `brute`, where rows of one doc_id are one document of all their texts."""
+    texts = [(i, t) for i, (_, t) in enumerate(rows)]
+    comp = {i: c for i, (_, c) in brute(texts).items()}
+    nodes = [d for d, _ in rows] + [("class", c) for c in comp.values()]
+    order = {x: k for k, x in enumerate(sorted(set(d for d, _ in rows)) + sorted({n for n in nodes if isinstance(n, tuple)}))}
+    back = {k: x for x, k in order.items()}
+    top = closure(order.values(), [(order[d], order["class", comp[i]]) for i, (d, _) in enumerate(rows)])
+    sizes = {i: n for i, (n, _) in brute(texts).items()}
+    return sorted((d, sizes[i], back[top[order[d]]]) for i, (d, _) in enumerate(rows))
+
+
+def test_documents_of_several_texts(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    a, b = [" ".join(word() for _ in range(60)) for _ in range(2)]
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, " ".join(word() for _ in range(30)))]
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+    bases, rows = [[word() for _ in range(40)] for _ in range(12)], []
+    for _ in range(90):
+        w = list(rng.choice(bases))
+        for _ in range(rng.randrange(0, 3)):
+            w[rng.randrange(len(w))] = word()
+        rows.append((rng.randrange(60), " ".join(w)))
+    got = ngram_join.similar(spark.createDataFrame(rows, "doc_id long, text string"), heavy=5, block=3)
+    assert sorted(map(tuple, got.collect())) == brute_documents(rows)
+
+
+def test_pivots_are_spread(spark):
+    pairs = spark.createDataFrame([(1, v) for v in range(2, 40)] + [(50, 51), (50, 52)], "u long, v long")
+    classes = spark.createDataFrame([(1, 9, b"a"), (50, 8, b"b")], "class long, n long, bits binary")
+    got = ngram_join.with_pivots(pairs, classes, 10, hot=5, salts=4).collect()
+    assert sorted((r["u"], r["v"], r["un"], bytes(r["ubits"]), r["blocks"]) for r in got) == [(1, v, 9, b"a", 4) for v in range(2, 40)] + [(50, 51, 8, b"b", 1), (50, 52, 8, b"b", 1)]
+
+
+def test_tags(spark):
+    found = spark.createDataFrame([(bytes([7, 200, 3, 250, 9]),), (bytes([255] * 4),)], "d binary").select(ngram_join._tag("d").alias("t"), "d").collect()
+    assert all(r["t"] == ngram_join.tag(bytes(r["d"])) for r in found)
+
+
 def test_bitmap_bounds_difference():
     rng = np.random.default_rng(0)
     for _ in range(200):
