@@ -23,7 +23,8 @@ def _ready(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text, or no letter in it) go; the others get the predicted one as `lang`."""
+    """Documents without a language (no text, or no letter in it) go; the others get the predicted one as `lang`. Repeated rows
+    stay, rows without a doc_id too; an empty table stays empty."""
     docs = _ready(spark, docs)
     samples = language_id.fit(docs.filter(remainder("doc_id", 4) != 2))
     named = language_id.predict(docs, samples)
@@ -31,24 +32,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest doc_id stays; of its repeated rows, one."""
+    """Of each group of near copies the document of the smallest doc_id stays, with all its texts; of rows that agree in doc_id and
+    text, the first by their other columns. Texts without words link with nothing, and rows without a doc_id stay as they are."""
     docs = _ready(spark, docs)
     found = ngram_join.similar(docs.select("doc_id", "text"))
-    # documents that are their group's smallest, once each; rows without a doc_id link with nothing and stay
     kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.select(*COLUMNS).unionByName(docs.filter("doc_id IS NULL"))
+    others = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    with_id = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("row"))
+    return with_id.select("doc_id", "text", *(F.col(f"row.{c}").alias(c) for c in others)).select(*COLUMNS).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets leave the texts, all documents stay; n_chars is counted anew where a text changed."""
+    """Secrets leave the texts; all rows stay, repeated ones too; n_chars is counted anew where a text changed. A null text stays
+    null, an empty table empty."""
     docs = _ready(spark, docs)
     found = secret_scan.redacted(docs.withColumn("n_before", F.length("text")))
     return found.withColumn("n_chars", F.when(F.length("text") == F.col("n_before"), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as pieces of full training sequences."""
+    """All documents as pieces of full training sequences; a null text is the end id alone, repeated rows are packed each, an empty
+    table gives no piece."""
     return packing.digest(packing.pack(_ready(spark, docs)))
 
 
