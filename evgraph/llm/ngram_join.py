@@ -476,8 +476,8 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, counter
     made = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("minima").alias("minima"))
     classes = scratch.write(made.withColumn("class", F.monotonically_increasing_id()), "classes")  # numbers hold once they are written
 
-    keyed = classes.select("class", F.posexplode("minima").alias("i", "least"))
-    first = keyed.groupBy("i", "least").agg(F.min("class").alias("u"), F.count("*").alias("k")).filter("k > 1")
+    keyed = classes.select("class", "rep", F.posexplode("minima").alias("i", "least"))
+    first = keyed.groupBy("i", "least").agg(F.min(F.struct("rep", "class"))["class"].alias("u"), F.count("*").alias("k")).filter("k > 1")
     pairs = scratch.write(keyed.join(first, ["i", "least"]).filter("class <> u").select("u", F.col("class").alias("v")).distinct(), "near-met")
     near = verified(filtered(pairs, classes, percent, block), classes, known, words, percent, block, scratch, "near")
     groups = components(near, scratch, "near-cc")
