@@ -40,14 +40,14 @@ from .common import Scratch, mix, partitions, slices, word_hashes
 
 LEAST, BITS = 32, 8.0
 #: A successor is stored from a FOLLOW-th of a context's own limit on, 4 at least.
-FOLLOW, DISCOUNT, HEAD = 4, 0.75, 1_000_000
+FOLLOW, DISCOUNT, HEAD = 4, 0.75, 2_000_000
 END = np.uint64(0x656E64)
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 SEED = 0x5EED
 #: Bits of the array that is sent to all tasks, as a power of two: at most these, and fewer for few tokens.
 FILTER = 27
-#: Numbers that a task holds before it counts them.
-FLUSH = 3_000_000
+#: Tuples that a task holds before it counts them, and groups of buckets that tuples are dealt in.
+FLUSH, GROUPS = 1_500_000, 16
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -204,14 +204,18 @@ class Packed:
 def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1, known: Broadcast | None = None) -> DataFrame:
     """Exact counts of the tuples of one or two hashes that `of` gives for a batch's tokens: `columns`, and `n` from `least` on.
 
-    Tasks count in arrays and deal tuples by ranges of their key, as packed arrays, which are summed by range.
+    Tasks count in arrays and deal tuples in buckets, as packed arrays, which are summed by bucket. A state's tuples are spread over
+    a GROUPS-th of all buckets, so that it isn't repeated in each and that a frequent one isn't a bucket's whole load.
     """
-    buckets = 4 * partitions(docs.sparkSession)
-    width, top = np.uint64((1 << 64) // buckets + 1), np.uint64((buckets - 1).bit_length())
+    spread = -(-4 * partitions(docs.sparkSession) // GROUPS)
+    buckets, top = GROUPS * spread, np.uint64((GROUPS * spread - 1).bit_length())
 
     def keyed(arrays: list[np.ndarray]) -> np.ndarray:
         return arrays[0] if len(arrays) == 1 else follow(*arrays)
 
+    def dealt(arrays: list[np.ndarray]) -> np.ndarray:
+        return (arrays[0] >> np.uint64(5)) % np.uint64(GROUPS) * np.uint64(spread) + (keyed(arrays) >> np.uint64(20)) % np.uint64(spread)
+
     def summed(arrays: list[np.ndarray], n: np.ndarray, key: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         order = np.argsort(key)
         arrays, n = [a[order] for a in arrays], n[order]
@@ -223,13 +227,14 @@ def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1, k
     def packing() -> Packed:
         return Packed(len(columns), known.value if known is not None else np.zeros(0, np.uint64))
 
-    def pack(held: list[list[np.ndarray]], form: Packed) -> pa.RecordBatch:
-        arrays = [np.concatenate(x) for x in zip(*held, strict=True)]
-        order = key = keyed(arrays)
-        if len(arrays) == 2:  # by range, then state, then token, as far as bits go; what they leave mixed is summed in the range
-            order = ((key // width) << (np.uint64(64) - top)) | (arrays[0] >> np.uint64(36) << (np.uint64(36) - top)) | (arrays[1] >> (np.uint64(28) + top))
-        arrays, n = summed(arrays, np.ones(len(key), np.int64), order)
-        bucket = (keyed(arrays) // width).astype(np.int64)
+    def merged(held: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+        """By bucket, then state, then token, as far as bits go; what they leave mixed is summed in the bucket."""
+        arrays = [np.concatenate(x) for x in zip(*(a for a, _ in held), strict=True)]
+        order = (dealt(arrays) << (np.uint64(64) - top)) | (arrays[0] >> np.uint64(36) << (np.uint64(36) - top)) | (arrays[-1] >> (np.uint64(28) + top))
+        return summed(arrays, np.concatenate([n for _, n in held]), order)
+
+    def pack(arrays: list[np.ndarray], n: np.ndarray, form: Packed) -> pa.RecordBatch:
+        bucket = dealt(arrays).astype(np.int64)
         ends = np.searchsorted(bucket, np.arange(buckets + 1))
         some = [b for b in range(buckets) if ends[b + 1] > ends[b]]
         cut = [(ends[b], ends[b + 1]) for b in some]
@@ -240,13 +245,17 @@ def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1, k
         held, size, form = [], 0, packing()
         for whole in batches:
             for batch in slices(whole, "text"):
-                held.append(of(*tokens(batch.column("text"))))
-                size += len(columns) * len(held[-1][0])
+                arrays = of(*tokens(batch.column("text")))
+                held.append((arrays, np.ones(len(arrays[0]), np.int64)))
+                size += len(arrays[0])
                 if size > FLUSH:
-                    yield pack(held, form)
-                    held, size = [], 0
+                    one = merged(held)
+                    held, size = [one], len(one[1])
+                    if 2 * size > FLUSH:  # little of it repeats
+                        yield pack(*one, form)
+                        held, size = [], 0
         if size:
-            yield pack(held, form)
+            yield pack(*merged(held), form)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held, form = None, [], packing()
