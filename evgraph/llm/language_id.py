@@ -5,14 +5,19 @@ the longest match of the text from where the last phrase ended; the language tha
 being weighed by the log of its sample's length, as longer samples give longer matches (the cross-parsing estimate of relative
 entropy).
 
-The sample: rows are chosen by a hash of their key at a rate that leaves a bounded number for each language, and at most
-`sample_chars` normalised characters for each language are used, evenly over those rows. Everything else covers all rows and
-whole texts. Texts are normalised to lower-case letters with single spaces for all else; they are parsed in blocks of
-`BLOCK` characters, all blocks of a batch in step, so a very long text costs what its length costs.
+The sample: rows are chosen by a hash of their key at a rate that leaves a bounded number for each language, and of each a window
+of its text, which starts anywhere in it by that hash; at most `sample_chars` normalised characters for each language are used,
+evenly over those rows. Everything else covers all rows and whole texts. Texts are normalised to lower-case letters with single
+spaces for all else.
+
+One parse goes over a whole text. To do many steps at once it is computed in blocks: each block is first parsed as if a phrase began
+with it, and then again from the state that the block before really ends in, until both parses are in the same state; from there on
+they agree. Blocks don't change any count, and a very long text costs what its length costs.
 
 `und` with a score of 0: null texts, texts without a letter, or no learned language at all. Ties go to the language that
-comes first by name. Repeated rows are predicted each. Other columns pass through, unless they bear the name of a result
-column, which wins.
+comes first by name. Repeated rows are predicted each; an empty table gives an empty result. Other columns pass through, unless
+they bear the name of a result column, which wins. A row with a null key is predicted; whether it is learnt from is the caller's
+filter (in the query its remainder is null, so it isn't).
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from .common import slices
 
 #: Bounds of the fit: normalised characters and rows for each language.
 SAMPLE_CHARS, SAMPLE_ROWS = 30_000, 200
+#: Letters that are parsed one after another, many blocks at once; results don't depend on it.
 BLOCK = 256
 UNKNOWN = "und"
 
@@ -146,20 +152,59 @@ class Model:
         size = np.minimum(n[owner] - inside * BLOCK, BLOCK)
         start = (np.cumsum(n) - n)[owner] + inside * BLOCK
         order = np.argsort(-size, kind="stable")  # longest first: blocks that have ended leave at the end
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        following = np.full(len(order), -1)  # of each block the next one of its text
+        more = np.flatnonzero(owner[1:] == owner[:-1])
+        following[place[more]] = place[more + 1]
         size, start, owner = size[order], start[order], owner[order]
         codes = self.codes[points].astype(np.int32)
-        live = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right")
         for a, automaton in enumerate(self.automata):
-            state = np.zeros(len(size), np.int32)
-            count = np.ones(len(size), np.int32)
-            for k in range(int(size[0])):
-                m = live[k]
-                to = automaton.table[state[:m] * automaton.width + codes[start[:m] + k]]
-                count[:m] += to >> 30
-                state[:m] = to & (Automaton.END - 1)
-            total[a] = np.bincount(owner, count, len(n))
+            total[a] = (n > 0) + np.bincount(owner, self.ended(automaton, codes, start, size, following), len(n))
         return total, n
 
+    @staticmethod
+    def ended(automaton: Automaton, codes: np.ndarray, start: np.ndarray, size: np.ndarray, following: np.ndarray) -> np.ndarray:
+        """How many phrases end within each block, before one of its letters, in the one parse of its text."""
+        table, width, bits = automaton.table, automaton.width, Automaton.END - 1
+        longest = int(size[0])
+        live = np.searchsorted(-size, -np.arange(1, longest + 1), "right")
+        states, counts = np.zeros((longest, len(size)), np.int32), np.zeros((longest, len(size)), np.int16)
+        state, count = np.zeros(len(size), np.int32), np.zeros(len(size), np.int16)
+        for k in range(longest):
+            m = live[k]
+            to = table[state[:m] * width + codes[start[:m] + k]]
+            count[:m] += (to >> 30).astype(np.int16)
+            state[:m] = to & bits
+            states[k, :m], counts[k, :m] = state[:m], count[:m]
+        alone, total, end = count, count.copy(), state
+        todo = following[following >= 0]
+        begin = end[np.flatnonzero(following >= 0)]
+        while len(todo):
+            changed = []
+            at, now, seen, k = todo, begin.copy(), np.zeros(len(todo), np.int16), 0
+            while len(at):
+                to = table[now * width + codes[start[at] + k]]
+                seen = seen + (to >> 30).astype(np.int16)
+                now = to & bits
+                same, over = now == states[k, at], size[at] == k + 1
+                done = at[same]
+                total[done] = seen[same] + alone[done] - counts[k, done]
+                # a block that an earlier round left in another state than its own is back in its own
+                back = done[end[done] != states[size[done] - 1, done]]
+                end[back] = states[size[back] - 1, back]
+                apart = over & ~same
+                total[at[apart]] = seen[apart]
+                moved = at[apart][end[at[apart]] != now[apart]]
+                end[at[apart]] = now[apart]
+                changed += [back, moved]
+                on = ~(same | over)
+                at, now, seen, k = at[on], now[on], seen[on], k + 1
+            changed = np.concatenate(changed)
+            changed = changed[following[changed] >= 0]
+            todo, begin = following[changed], end[changed]
+        return total
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         total, n = self.phrases(texts)
         if not self.names:
@@ -175,16 +220,23 @@ class Model:
 
 
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_chars: int = SAMPLE_CHARS, sample_rows: int = SAMPLE_ROWS) -> tuple[tuple[str, str], ...]:
-    """A bounded sample of each language's text, which is all that a model is made from."""
+    """A bounded sample of each language's text, which is all that a model is made from: `sample_chars` characters of `sample_rows`
+    rows, of which windows twice as long as needed come to the driver, as white space and the like go."""
     rows = labelled.filter(F.col(lang).isNotNull()).select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     # a rate for each label, of which there are few; rows are chosen where they are read, before any shuffle
-    rates = {r["lang"]: min(1.0, 3.0 * sample_rows / r["count"]) for r in rows.groupBy("lang").count().collect()}
-    if not rates:
+    found = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not found:
         return ()
-    rate = F.create_map(*[F.lit(x) for kv in rates.items() for x in kv])[F.col("lang")]
+
+    def of_label(values: dict):
+        return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col("lang")]
+
+    rate = of_label({k: min(1.0, 3.0 * sample_rows / n) for k, n in found.items()})
+    window = of_label({k: 2 * -(-sample_chars // min(sample_rows, n)) + 200 for k, n in found.items()})
     chosen = rows.filter((F.pmod("h", F.lit(1 << 30)) / float(1 << 30)) < rate)
     ordered = Window.partitionBy("lang").orderBy("h", "text")
-    kept = chosen.withColumn("i", F.row_number().over(ordered)).filter(F.col("i") <= sample_rows).select("lang", "i", F.substring("text", 1, 4 * sample_chars // sample_rows + 4000).alias("text")).orderBy("lang", "i").collect()
+    first = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - window + 1, F.lit(1))).cast("int") + 1
+    kept = chosen.withColumn("text", F.col("text").substr(first, window)).withColumn("i", F.row_number().over(ordered)).filter(F.col("i") <= sample_rows).select("lang", "i", "text").orderBy("lang", "i").collect()
     by: dict[str, list[str]] = {}
     for r in kept:
         by.setdefault(r["lang"], []).append(r["text"] or "")

@@ -32,9 +32,51 @@ def test_automaton_counts_longest_match_phrases():
     for i, t in enumerate(texts):
         norm = " ".join("".join(c if c.isalpha() else " " for c in (t or "").lower()).split())
         assert n[i] == len(norm)
-        blocks = [norm[k : k + li.BLOCK] for k in range(0, len(norm), li.BLOCK)]
         for a, (_, sample) in enumerate(samples):
-            assert got[a, i] == sum(plain_phrases(b, sample) for b in blocks)
+            assert got[a, i] == plain_phrases(norm, sample)
+
+
+def test_parses_that_never_meet(monkeypatch):
+    """Texts whose parse from a block's start stays apart from the true one over many blocks."""
+    monkeypatch.setattr(li, "BLOCK", 8)
+    samples = (("x", "abcabcabcabcabcabcabcab"), ("y", "aaaaaaa"), ("z", "abababababab cc"))
+    texts = ["abc" * 50, "a" * 100, "ab" * 70 + "c", "aab" * 60, "c" + "abc" * 33, "a" * 8, "a" * 9, "abc" * 20 + "d" + "abc" * 20]
+    got, n = li.Model(samples).phrases(texts)
+    for i, t in enumerate(texts):
+        assert [got[a, i] for a in range(3)] == [plain_phrases(t, s) for _, s in samples], t
+
+
+def test_windows_from_anywhere(spark):
+    docs = spark.createDataFrame([(i, "x" * 5000 + "y" * 5000, "l") for i in range(40)], "doc_id long, text string, lang string")
+    ((_, sample),) = li.fit(docs, sample_chars=4000, sample_rows=40)
+    assert len(sample) <= 4000 and {"x", "y"} <= set(sample)
+
+
+def plain_language(docs):
+    """The whole query with plain strings: (lang_pred, score) by doc_id."""
+    learned = {}
+    for (name, sample) in docs[1]:
+        learned[name] = sample
+    out = {}
+    for d, t in docs[0]:
+        norm = " ".join("".join(chr(c) for c in li.letters()[[ord(x) for x in t or ""]]).split())
+        cost = {k: plain_phrases(norm, s) * np.log2(len(s)) for k, s in learned.items()}
+        low, second = sorted(cost.values())[:2]
+        out[d] = (min(cost, key=lambda k: (cost[k], k)), 1 - low / second) if norm else ("und", 0.0)
+    return out
+
+
+def test_query_against_plain_parses(spark, tmp_path):
+    real = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("length(text) < 3000").limit(60)
+    real.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = spark.read.parquet(f"{tmp_path}/documents.parquet").toPandas()
+    got = queries.queries()["op3_language_id"](spark, str(tmp_path)).toPandas().set_index("doc_id")
+    held = [zlib.crc32(str(d).encode()) % 4 == 2 for d in rows.doc_id]
+    samples = li.fit(spark.read.parquet(f"{tmp_path}/documents.parquet").filter("crc32(cast(cast(doc_id AS string) AS binary)) % 4 <> 2"))
+    assert {k for k, _ in samples} == set(rows.lang[~np.array(held)].dropna())
+    want = plain_language((list(zip(rows.doc_id, rows.text)), samples))
+    for d, (lang, score) in want.items():
+        assert got.lang_pred[d] == lang and abs(got.score[d] - score) < 1e-9
 
 
 def test_normalise():
