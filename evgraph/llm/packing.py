@@ -5,12 +5,14 @@ window of a long tier leaves open is filled from shorter tiers, best fit first,
 window but the last of a partition is full to a power of two and needs no padding. Windows of a tier are dealt into step
 groups of equally many tokens.
 
-The plan needs no shuffle: each task packs its own partition in bounded windows of tokens and carries the rest on. Sequence
-ids and step groups hold the partition's number, so they are unique, and a recomputed task makes the same ones. Of each tier
-only the last group of a partition may be short.
-
-Null and empty texts are documents of one token (the end id); repeated rows are packed each; columns other than the id and
-the text are ignored.
+Packing needs no shuffle: each task packs its own partition in bounded windows of tokens and carries the rest on. Sequence ids
+hold the partition's number, so they are unique, and a recomputed task makes the same ones. `balanced` then numbers the sequences
+of each tier over all partitions, from how many each partition made, and deals them into step groups: all groups of a tier but its
+last have the same tokens, whatever the number of partitions.
+
+Null and empty texts are documents of one token (the end id); very long texts are cut into whole windows and a rest; repeated rows
+are packed each, and so are rows of a null doc_id; equal lengths are taken by the order of arrival; an empty table gives no piece.
+Columns other than the id and the text are ignored.
 """
 
 from __future__ import annotations
@@ -21,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import encoder, slices
+from .common import Scratch, encoder, slices
 
 #: Context sizes, powers of two; the largest bounds a sequence.
 TIERS = (512, 1024, 2048, 4096)
@@ -95,9 +97,10 @@ class Packer:
             total -= size
 
 
-def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, tiers: tuple[int, ...] = TIERS, step_tokens: int = STEP_TOKENS, window: int = WINDOW_TOKENS, path: str | None = None) -> DataFrame:
-    """Pieces of all documents with their token ids (little-endian unsigned 32-bit), places and step groups."""
-    names = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64(), "tier": pa.int64(), "step_group": pa.int64()}
+def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, tiers: tuple[int, ...] = TIERS, window: int = WINDOW_TOKENS, path: str | None = None) -> DataFrame:
+    """Pieces of all documents with their token ids (little-endian unsigned 32-bit), places, and the number of their sequence among
+    those of its tier and partition."""
+    names = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64(), "tier": pa.int64(), "part": pa.int32(), "tier_no": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, own = TaskContext.get().partitionId(), encoder(tokenizer, True, path)
@@ -107,16 +110,16 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
         def place(made) -> None:
             nonlocal number
             for tier, pieces in made:
-                at, group = 0, (part << 36) + used[tier] // step_tokens
+                at = 0
                 for key, start, n in pieces:
                     doc, ids, left = held[key]
-                    out.append((doc, start, n, ids[4 * start : 4 * (start + n)], len(ids) // 4, (part << 36) + number, at, tier, group))
+                    out.append((doc, start, n, ids[4 * start : 4 * (start + n)], len(ids) // 4, (part << 36) + number, at, tier, part, used[tier]))
                     at += n
                     if left == n:
                         del held[key]
                     else:
                         held[key] = (doc, ids, left - n)
-                used[tier] += tier
+                used[tier] += 1
                 number += 1
 
         def batch_of() -> pa.RecordBatch:
@@ -136,9 +139,27 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
         place(packer.flush())
         yield batch_of()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, tier bigint, step_group bigint")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, tier bigint, part int, tier_no bigint")
+
+
+def balanced(pieces: DataFrame, scratch: Scratch, step_tokens: int = STEP_TOKENS) -> DataFrame:
+    """`step_group` in place of `part` and `tier_no`, for pieces in any form that has those. They are written, so that texts are
+    encoded once; what is broadcast is a row for each partition and tier."""
+    pieces = scratch.write(pieces, "pieces")
+    made = pieces.groupBy("part", "tier").agg((F.max("tier_no") + 1).alias("made"))
+    before = made.withColumn("before", F.coalesce(F.sum("made").over(Window.partitionBy("tier").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("made")
+    numbered = pieces.join(F.broadcast(before), ["part", "tier"])
+    return numbered.withColumn("step_group", F.floor((F.col("before") + F.col("tier_no")) * F.col("tier") / F.lit(step_tokens)).cast("long")).drop("part", "tier_no", "before")
 
 
 def digest(pieces: DataFrame) -> DataFrame:
     """The pieces with a crc32 of their ids in the ids' place."""
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
+    return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
+RESULT = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group"]
+
+
+def packed(docs: DataFrame, scratch: Scratch | None = None, **options) -> DataFrame:
+    """Digests of all pieces in step groups."""
+    return balanced(digest(pack(docs, **options)), scratch or Scratch(docs.sparkSession, "packing")).select(*RESULT)

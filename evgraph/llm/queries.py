@@ -44,7 +44,7 @@ def op8_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+    return packing.packed(table(spark, sf_dir, "documents"))
 
 
 def _tuned(f):

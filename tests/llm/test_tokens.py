@@ -13,6 +13,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
+from evgraph.llm.common import Scratch
 from evgraph.llm import bit_planes, bpe, packing, queries, secret_scan
 
 SF = "/root/testdata/sf0.001"
@@ -144,29 +145,27 @@ def check_packing(rows, docs, ids_of):
 def test_packing(spark, real):
     padding, total = check_packing(queries.op9_packing(spark, SF).collect(), list(zip(real.doc_id, real.text)), hub("word_bpe_49k.json"))
     assert padding < 4096 <= total
-    padding, _ = check_packing(packing.digest(packing.pack(frame(spark, ODD).repartition(2), window=700)).collect(), list(enumerate(ODD)), hub("word_bpe_49k.json"))
+    padding, _ = check_packing(packing.packed(frame(spark, ODD).repartition(2), window=700).collect(), list(enumerate(ODD)), hub("word_bpe_49k.json"))
     assert padding < 2 * 4096
-    assert packing.pack(frame(spark, [])).count() == 0
+    assert packing.packed(frame(spark, [])).count() == 0
 
 
-def test_step_groups_are_level(spark):
-    rows = packing.pack(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").coalesce(1)).groupBy("tier", "step_group").agg({"length": "sum"}).collect()
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_step_groups_are_level(spark, parts):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(parts, "doc_id")
+    pieces = packing.balanced(packing.pack(docs), Scratch(spark, "test"), step_tokens=16_384)
+    assert "ids" in pieces.columns
+    rows = pieces.groupBy("tier", "step_group").agg({"length": "sum"}).collect()
     full = {}
     for tier, group, n in rows:
         full.setdefault(tier, {})[group] = n
+    assert set(full) == set(packing.TIERS)
+    short = 0
     for tier, groups in full.items():
-        assert all(n == packing.STEP_TOKENS for g, n in groups.items() if g < max(groups)), tier
-
-
-def test_step_groups_over_partitions(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(3, "doc_id")
-    rows = packing.pack(docs, step_tokens=8192).groupBy("tier", "step_group").agg({"length": "sum"}).collect()
-    full = {}
-    for tier, group, n in rows:
-        full.setdefault((tier, group >> 36), {})[group] = n
-    assert len({part for _, part in full}) == 3
-    for where, groups in full.items():
-        assert all(n == 8192 if g < max(groups) else n <= 8192 for g, n in groups.items()), where
+        assert sorted(groups) == list(range(len(groups))), tier
+        short += sum(16_384 - n for g, n in groups.items() if g < max(groups))
+    # the one window of a partition that nothing is left to fill counts as its tier's
+    assert short <= parts * max(packing.TIERS)
 
 
 def base_expected(text):
