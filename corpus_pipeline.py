@@ -53,7 +53,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces of full training sequences; a null text is the end id alone, repeated rows are packed each, an empty
     table gives no piece."""
-    return packing.digest(packing.pack(_ready(spark, docs)))
+    return packing.packed(_ready(spark, docs))
 
 
 STAGES = [("language", language), ("deduplicate", deduplicate), ("secrets", secrets), ("pack", pack)]
