@@ -1,18 +1,26 @@
 """Secret scans: patterns, and a guess-cost dynamic programme over values in a credential context.
 
-A value that follows a credential word is segmented at minimum cost, in bits of guesses, into dictionary words, dates,
-repeats, keyboard or alphabet walks and brute-force spans. A value that costs at least `bits` is a secret: the scan adds a
-span of kind `guess` over it. Placeholders (`password123`, `aaaaaaaa`, `qwertyuiop`) cost few bits and are left alone.
-
-Null and empty texts have no span; very long texts are scanned whole; repeated rows are scanned each; other columns of the
-input pass through `scan` untouched unless they bear the name of a result column, which wins.
+A value that follows a credential word is segmented at minimum cost, in bits of guesses, into dictionary words (forwards,
+backwards, in other case, or with look-alike characters), dates, repeats of a character or of a short block, straight walks over a
+keyboard, the alphabet or digits, and brute-force spans. A value that costs at least `bits` is a secret: the scan adds a span of
+kind `guess` over it. Placeholders (`password123`, `aaaaaaaa`, `qwertyuiop`, `1qaz2wsx`), words and short phrases of prose cost few
+bits and are left alone. After a colon or an equals sign any value is judged; after `is` only one of letters and digits together.
+
+The dictionary is the words of a public tokenizer's vocabulary, most common first, after a short list of words that are often
+passwords or placeholders. A password of several rare words costs as much as it is worth.
+
+Null and empty texts have no span, and an empty table gives an empty result; very long texts are scanned whole; repeated rows are
+scanned each. A `guess` span may overlap base spans: each keeps its own, by start and then by kind. Other columns of the input pass
+through `scan` untouched unless they bear the name of a result column, which wins.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,7 +34,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: Words after which a value counts as a credential; wider than those of ASSIGN.
 CONTEXT = re.compile(
-    r"""(?ai)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|bearer|api[_-]?key|access[_-]?key|private[_-]?key|auth[_-]?key)["']?\x20*(?:[:=]|\x20is\x20)\x20*["']?([^\s"'<>,;]{6,})"""
+    r"""(?ai)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|bearer|api[_-]?key|access[_-]?key|private[_-]?key|auth[_-]?key)["']?\x20*(?:[:=]\x20*["']?([^\s"'<>,;]{6,})|\x20is\x20+["']?(?=[^\s"'<>,;]*\d)(?=[^\s"'<>,;]*[a-z])([^\s"'<>,;]{6,}))"""
 )
 
 #: Words often found in passwords and in placeholders, most common first.
@@ -40,12 +48,50 @@ WORDS = (
     "google apple orange banana cookie cheese pepper ginger silver golden black white green blue red purple flower tiger lion eagle "
     "horse hunter killer ranger thunder lucky magic happy angel family"
 ).split()
-RANK = {w: i + 1 for i, w in enumerate(WORDS)}
-LONGEST = max(map(len, WORDS))
-WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "0123456789")
-NEXT = {(a, b) for row in WALKS for x in (row, row[::-1]) for a, b in zip(x, x[1:], strict=False)}
+#: The vocabulary that the dictionary is taken from, and its shortest and longest words.
+VOCABULARY, SHORTEST, LONGEST = "word_bpe_49k.json", 3, 20
+
+
+@lru_cache(maxsize=2)
+def dictionary(path: str | None = None) -> dict[str, int]:
+    """Ranks of words: those of WORDS, then the whole words of a vocabulary by their number in it."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(VOCABULARY)
+    with open(path, encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    whole = (w.removesuffix("</w>") for w in sorted(vocabulary, key=vocabulary.get) if w.endswith("</w>"))
+    words = dict.fromkeys([*WORDS, *(w for w in whole if w.isascii() and w.isalpha() and SHORTEST <= len(w) <= LONGEST)])
+    return {w: i + 1 for i, w in enumerate(words)}
+
+
+KEYBOARD = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
+
+
+def _steps() -> dict[tuple[str, str], tuple[str, ...]]:
+    """Of each pair of characters that a straight walk may hold, its directions: six on the keyboard, whose rows are shifted by
+    half a key, and up and down in the alphabet and the digits."""
+    out: dict[tuple[str, str], tuple[str, ...]] = {}
+    for r, row in enumerate(KEYBOARD):
+        for c, key in enumerate(row):
+            for name, (dr, dc) in {"right": (0, 1), "down": (1, 0), "down-left": (1, -1)}.items():
+                if r + dr < len(KEYBOARD) and 0 <= c + dc < len(KEYBOARD[r + dr]):
+                    other = KEYBOARD[r + dr][c + dc]
+                    out[key, other] = (*out.get((key, other), ()), name)
+                    out[other, key] = (*out.get((other, key), ()), "back " + name)
+    for row in ("abcdefghijklmnopqrstuvwxyz", "0123456789"):
+        for a, b in zip(row, row[1:], strict=False):
+            out[a, b] = (*out.get((a, b), ()), "next")
+            out[b, a] = (*out.get((b, a), ()), "before")
+    return out
+
+
+STEPS = _steps()
 LEET = str.maketrans("@4830$51!7", "aabeossiit")
 DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
+#: Bits of where a walk starts and which way it goes; lengths of blocks whose repeats are a segment.
+WALK, PERIODS = math.log2(47 * 2), range(2, 9)
 
 
 def _alphabet(c: str) -> float:
@@ -56,54 +102,85 @@ def _alphabet(c: str) -> float:
     return math.log2(33) if c.isascii() else math.log2(100)
 
 
-def guess_bits(value: str) -> float:
+def word_bits(said: str, rank: dict[str, int]) -> float:
+    """Bits of a string as one dictionary word, infinite if it is none: of its rank, and one for each way it differs from the word."""
+    low = said.lower()
+    changed = low.translate(LEET)
+    best = math.inf
+    for word in (low, changed) if low != changed else (low,):
+        for back in (0, 1):
+            if (r := rank.get(word[::-1] if back else word)) is not None:
+                best = min(best, math.log2(r + 1) + back + (said != low) + (word != low))
+    return best
+
+
+class Run:
+    """Starts of a repeat or walk at hand that can still be the cheapest, ascending in place and in cost. One that an earlier start
+    beats is beaten from there on, as logarithms of lengths draw nearer; one that a later start beats in cost is beaten as well."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+
+    def least(self, best: list[float], fresh: int, end: int, unit: int = 1) -> float:
+        """The least cost of what is before a start and of the length from it, with one start more."""
+        cheap, least = [], math.inf
+        for b in (*self.starts, fresh):
+            if (cost := best[b] + math.log2((end - b) // unit)) < least:
+                least = cost
+                while cheap and best[cheap[-1]] >= best[b]:
+                    cheap.pop()
+                cheap.append(b)
+        self.starts = cheap
+        return least
+
+
+def guess_bits(value: str, rank: dict[str, int] | None = None) -> float:
     """Bits of the cheapest segmentation of a value; each segment but brute force pays one bit more for being chosen.
 
-    Words and dates are bounded, and a run (repeat, walk) of three or more may start and stop anywhere within a longer one: of
-    its starts only those are kept that can still be the cheapest.
+    Words and dates are bounded, and a run (repeat, walk) of three characters or more, or of two blocks or more, may start and stop
+    anywhere within a longer one.
     """
-    n = len(value)
-    best = [math.inf] * (n + 1)
-    best[0] = 0.0
-    low = value.lower()
-    plain = low.translate(LEET)
-    starts = {"repeat": list(range(n)), "walk": list(range(n))}  # of the run that holds each place
-    for i in range(1, n):
-        if low[i] == low[i - 1]:
-            starts["repeat"][i] = starts["repeat"][i - 1]
-        if (low[i - 1], low[i]) in NEXT:
-            starts["walk"][i] = starts["walk"][i - 1]
-    open_at: dict[str, list[int]] = {"repeat": [], "walk": []}
-    # Starts within the run at hand, ascending in place and in cost. One that an earlier start beats is beaten from there on, as
-    # logarithms of lengths draw nearer; one that a later start beats in cost is beaten as well.
+    rank = dictionary() if rank is None else rank
+    n, low = len(value), value.lower()
+    best = [0.0] + [math.inf] * n
+    walks: dict[str, tuple[int, Run]] = {}
+    same, blocks = (0, Run()), {p: (0, {}) for p in PERIODS}
     for i in range(n):
         here = best[i]
-        if here + (cost := _alphabet(value[i])) < best[i + 1]:
-            best[i + 1] = here + cost
-        for size in range(3, min(LONGEST, n - i) + 1):
-            word, changed = low[i : i + size], plain[i : i + size]
-            if (rank := RANK.get(word) or RANK.get(changed)) is not None:
-                cost = 1 + math.log2(rank + 1) + (value[i : i + size] != word) + (word != changed)
-                best[i + size] = min(best[i + size], here + cost)
+        best[i + 1] = min(best[i + 1], here + _alphabet(value[i]))
+        for size in range(SHORTEST, min(LONGEST, n - i) + 1):
+            best[i + size] = min(best[i + size], here + 1 + word_bits(value[i : i + size], rank))
         if (m := DATE.match(value, i)) is not None:
             best[m.end()] = min(best[m.end()], here + 1 + (math.log2(120) if m.end() - i == 4 else math.log2(365 * 120)))
-        for kind, base in (("repeat", _alphabet(value[i])), ("walk", math.log2(47 * 2))):
-            a = starts[kind][i]
-            if a == i:
-                open_at[kind] = []
-            if i - a >= 2:
-                cheap, least = [], math.inf
-                for b in (*open_at[kind], i - 2):
-                    if (cost := best[b] + math.log2(i - b + 1)) < least:
-                        least = cost
-                        while cheap and best[cheap[-1]] >= best[b]:
-                            cheap.pop()
-                        cheap.append(b)
-                open_at[kind] = cheap
-                best[i + 1] = min(best[i + 1], least + 1 + base)
+        if not i:
+            continue
+        if low[i] != low[i - 1]:
+            same = (i, Run())
+        elif i - same[0] >= 2:
+            best[i + 1] = min(best[i + 1], same[1].least(best, i - 2, i + 1) + 1 + _alphabet(value[i]))
+        walks = {way: walks.get(way) or (i - 1, Run()) for way in STEPS.get((low[i - 1], low[i]), ())}
+        for first, run in walks.values():
+            if i - first >= 2:
+                best[i + 1] = min(best[i + 1], run.least(best, i - 2, i + 1) + 1 + WALK)
+        for p in PERIODS:
+            if i < p:
+                break
+            if low[i] != low[i - p]:
+                blocks[p] = (i - p + 1, {})
+                continue
+            first, phases = blocks[p]
+            if i + 1 - 2 * p >= first:  # the last p characters stand at least twice
+                run = phases.setdefault((i + 1) % p, Run())
+                best[i + 1] = min(best[i + 1], run.least(best, i + 1 - 2 * p, i + 1, p) + 1 + block_bits(low[i + 1 - p : i + 1]))
     return best[n]
 
 
+@lru_cache(maxsize=4096)
+def block_bits(block: str) -> float:
+    """Bits of a block that is repeated: brute force, as blocks are short."""
+    return sum(map(_alphabet, block))
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
     if "AKIA" in text:
@@ -112,7 +189,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def guess_spans(text: str, bits: float) -> list[tuple[int, int, str]]:
-    return [(m.start(1), m.end(1), "guess") for m in CONTEXT.finditer(text) if guess_bits(m.group(1)) >= bits]
+    return [(*m.span(m.lastindex), "guess") for m in CONTEXT.finditer(text) if guess_bits(m[m.lastindex]) >= bits]
 
 
 def _order(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:

@@ -198,47 +198,66 @@ def test_guess_cost():
     strong = ["Zx9Kq2LmP0vB", "24be64439e3e49cf46b2d7c90f3602a3", "kR7#vT2!qW9z"]
     assert all(secret_scan.guess_bits(w) < 36 <= secret_scan.guess_bits(s) for w in weak for s in strong)
     assert secret_scan.guess_bits("a" * 100_000) < 40
-    # the programme against all segmentations, on short values
-    def brute(v):
-        if not v:
-            return 0.0
-        cut = [secret_scan._alphabet(v[0]) + brute(v[1:])]
-        for n in range(3, len(v) + 1):
-            if (rank := secret_scan.RANK.get(v[:n])) is not None:
-                cut.append(1 + np.log2(rank + 1) + brute(v[n:]))
-        return min(cut)
-
-    for v in ("xpassq", "testkeyz", "loverootq"):
-        assert abs(secret_scan.guess_bits(v) - brute(v)) < 1e-9
 
 
 def test_guess_cost_against_all_segmentations():
+    """Each kind of segment at each place, with the same prices but no bookkeeping of runs."""
+    rank = secret_scan.dictionary()
+
     def plain(v):
-        low, changed = v.lower(), v.lower().translate(secret_scan.LEET)
+        low = v.lower()
         best = [0.0] + [np.inf] * len(v)
         for j in range(1, len(v) + 1):
             best[j] = best[j - 1] + secret_scan._alphabet(v[j - 1])
             for i in range(j - 2):
-                one, two, n = low[i:j], changed[i:j], j - i
-                costs = []
-                if (rank := secret_scan.RANK.get(one) or secret_scan.RANK.get(two)) is not None:
-                    costs.append(np.log2(rank + 1) + (v[i:j] != one) + (one != two))
+                one, n, costs = low[i:j], j - i, []
+                for leet in (one, one.translate(secret_scan.LEET)):
+                    for word in (leet, leet[::-1]):
+                        if n <= 20 and word in rank:
+                            costs.append(np.log2(rank[word] + 1) + (v[i:j] != one) + (leet != one) + (word is not leet))
                 if (m := secret_scan.DATE.match(v, i)) is not None and m.end() == j:
                     costs.append(np.log2(120 if n == 4 else 365 * 120))
                 if len(set(one)) == 1:
                     costs.append(secret_scan._alphabet(v[j - 1]) + np.log2(n))
-                if all(x in secret_scan.NEXT for x in zip(one, one[1:])):
+                ways = [set(secret_scan.STEPS.get(x, ())) for x in zip(one, one[1:])]
+                if set.intersection(*ways):
                     costs.append(np.log2(94) + np.log2(n))
+                for p in range(2, 9):
+                    if n % p == 0 and n > p and one == one[:p] * (n // p):
+                        costs.append(sum(map(secret_scan._alphabet, one[:p])) + np.log2(n // p))
                 best[j] = min([best[j], *(best[i] + 1 + c for c in costs)])
         return best[-1]
 
     rng = np.random.default_rng(3)
-    parts = ["football", "letmein", "opqrstuvw", "lllllll", "2024", "qwerty", "0101", "P@ss", "edcba", "Z", "9", "!!!!", "aA1", "1234"]
-    made = ["footballlllllll", "letmeinopqrstuvw", *("".join(rng.choice(parts, rng.integers(1, 5))) for _ in range(400))]
+    parts = ["football", "letmein", "opqrstuvw", "lllllll", "2024", "qwerty", "0101", "P@ss", "edcba", "Z", "9", "!!!!", "aA1", "1234", "1qaz", "drowssap", "abcabcabc", "x7x7x7", "horse", "vfr4", "1990-12-31"]
+    made = ["footballlllllll", "letmeinopqrstuvw", "abababababababab", "zabcabcabcabq", "drowssap1234", *("".join(rng.choice(parts, rng.integers(1, 5))) for _ in range(400))]
+    made += ["".join(rng.choice(list("abab12!"), rng.integers(1, 14))) for _ in range(200)]
     for v in made:
         assert secret_scan.guess_bits(v) == pytest.approx(plain(v), abs=1e-9), v
-    assert max(map(secret_scan.guess_bits, made[:2])) < 20
-    assert secret_scan.guess_spans("pwd: footballlllllll", 36.0) == []
+    assert max(map(secret_scan.guess_bits, made[:5])) < 36
+
+
+@pytest.mark.parametrize("text", [
+    "The secret is understanding your users", "the token is authenticated by us", "The credential is unfortunately expired", "secret: unfortunately", "Password: required", "the password is correct",
+    "pwd: footballlllllll", "password: drowssap1234", "token: abcabcabcabcabcabc", "pwd=1qaz2wsx3edc", "password=asdfghjkl;", "token: [required]",
+    "secret: understanding", "password is changeme2024", "passphrase: horsehorsehorse",
+])
+def test_prose_and_placeholders_stay(text):
+    assert secret_scan.guess_spans(text, 36.0) == []
+
+
+@pytest.mark.parametrize(("text", "value"), [("the password is kR7vT2qW9zLx, ok", "kR7vT2qW9zLx"), ("pwd: 'x9$Lw2!pQz7'", "x9$Lw2!pQz7"), ("private_key = hQ2mZx81LpWv0TnY", "hQ2mZx81LpWv0TnY"), ("bearer: xkqzvbwpfjmtrd", "xkqzvbwpfjmtrd")])
+def test_secrets_by_cost(text, value):
+    ((a, b, kind),) = secret_scan.guess_spans(text, 36.0)
+    assert text[a:b] == value and kind == "guess"
+
+
+def test_scan_edges(spark):
+    schema = "doc_id long, text string, secret_spans string"
+    docs = spark.createDataFrame([(1, "pwd: x9$Lw2!pQz7", "clash"), (1, "pwd: x9$Lw2!pQz7", "clash"), (2, None, None), (3, "", None), (None, "word " * 50_000 + "token=" + "a1b2c3d4" * 5, None)], schema)
+    got = secret_scan.digest(secret_scan.scan(docs)).collect()
+    assert sorted(r["spans"] for r in got) == ["", "", "assign:250000:250046,hex:250006:250046", "guess:5:16", "guess:5:16"]
+    assert secret_scan.digest(secret_scan.scan(docs.limit(0))).count() == 0
 
 
 def test_redaction(spark):
