@@ -1,17 +1,22 @@
 """Main text of HTML pages by tree scoring.
 
-A page is parsed into a tree, with the end tags that HTML lets authors omit supplied. Parts that are never article text (scripts,
-styles, menus, page headers and footers, sidebars, notices, adverts, forms, reader comments) go first, by element, role, and
-words of class and id. Every paragraph then gives points (one, one for each comma, one for each hundred characters up to
-three) to its parent in full, to its grandparent by half and to further ancestors by ever less; a container's points count by
-the share of its text that is outside links. The best container is kept, and those siblings of it that score near it or are
-dense prose. Containers that hold all of the best one's paragraphs and headings of the article are preferred to parts of it.
+A page is parsed into a tree, with the end tags that HTML lets authors omit supplied. Elements that are never article text (scripts,
+styles, menus, asides, forms, page headers and footers, what is hidden or bears such a role) go first. Words of class and id alone
+delete nothing: they make an element doubtful, and it goes only if the rest of the page bears that out. What such words name for
+certain (an advert, a menu, reader comments) goes unless it holds most of the page's prose and isn't built like comments; words
+that articles use of their own parts, too (discussion, related, legal), count only where the element is built like what they
+name: of links, controls or repeated replies. Every paragraph then gives points (one, one for each comma, one for each hundred
+characters up to three) to its parent in full, to its grandparent by half and to further ancestors by ever less; a container's points
+count by the share of its text that is outside links. The best container is kept (of equal ones the first), and those siblings of it
+that score near it or are dense prose. Containers that hold all of the best one's paragraphs and headings of the article are
+preferred to parts of it.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined by two line
 feeds in page order. Nothing else is dropped or capped.
 
-Null and empty pages, and pages without a text, give an empty string. Broken markup is read as browsers do in the cases above;
-what is open at the end is closed. Repeated rows are read each; other columns pass through.
+Null and empty pages, and pages without a text, give an empty string; an empty table gives an empty result. Broken markup is read as
+browsers do in the cases above; what is open at the end is closed. Very long pages are read whole. Repeated rows are read each; other
+columns pass through, but for those named `text` or `n_chars`, which the results replace.
 """
 
 from __future__ import annotations
@@ -43,14 +48,20 @@ ENDS = {
 PARAGRAPH_ENDS = BLOCK - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
 DROPPED = {"nav", "aside", "form", "button", "select", "option", "input", "label", "fieldset", "menu", "dialog", "object", "embed", "canvas", "audio", "video", "map", "head", "datalist", "footer"} | RAW
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar", "form", "status", "note"}
-UNLIKELY = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertorial|banners?|sponsor(?:ed|s)?|promos?|promotions?|outbrain|taboola|nav|navbar|navigation|menus?|breadcrumbs?|crumbs?|pagination|pager|sidebars?|side|aside|widgets?|"
-    r"footer|foot|footers|masthead|topbar|toolbar|headers?|cookies?|consent|gdpr|notices?|alerts?|popups?|pop-up|modals?|overlay|newsletter|subscribe|subscription|signup|sign-up|login|register|share|sharing|social|"
-    r"comments?|commentlist|comment-list|disqus|replies|reply|respond|responses|discussion|forum|related|recommend(?:ed|ations?)|read-more|more-stories|trending|popular|tags|tagcloud|disclaimer|copyright|legal|"
-    r"search|searchbox|skip|print|hidden|sr-only|visually-hidden|author-bio|rating|ratings|shoutbox|remark|remarks)(?=$|[\s_-])",
-    re.I,
+def _words(said: str) -> re.Pattern:
+    return re.compile(rf"(?:^|[\s_-])(?:{said})(?=$|[\s_-])", re.I)
+
+
+#: Words of class and id that name no part of an article.
+UNLIKELY = _words(
+    "ads?|adverts?|advertisements?|advertorial|banners?|sponsor(?:ed|s)?|promos?|promotions?|outbrain|taboola|nav|navbar|navigation|menus?|breadcrumbs?|crumbs?|pagination|pager|sidebars?|aside|widgets?|"
+    "footer|footers|masthead|topbar|toolbar|headers?|cookies?|consent|gdpr|popups?|pop-up|modals?|overlay|newsletter|subscribe|subscription|signup|sign-up|login|share|sharing|social|"
+    "comments?|commentlist|comment-list|disqus|respond|related-(?:posts?|articles?|stories|links|content|news|items?)|recommended|read-more|more-stories|trending|tagcloud|"
+    "cookie-notice|searchbox|skip|sr-only|visually-hidden|author-bio|shoutbox"
 )
-COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|reply|respond|responses|discussion)(?=$|[\s_-])", re.I)
+#: Words that may name a part of an article.
+AMBIGUOUS = _words("side|foot|notices?|alerts?|register|replies|reply|responses?|discussion|forum|related|recommendations?|popular|tags|disclaimer|copyright|legal|search|print|hidden|ratings?|remarks?")
+COMMENTS = _words("comments?|commentlist|comment-list|disqus|replies|reply|respond|responses?|discussion|forum|shoutbox|remarks?")
 SPACES = re.compile(r"\s+")
 
 
@@ -137,11 +148,8 @@ TITLE = re.compile(r"(?:article|entry|post|story|content|page)[\s_-]*(?:headers?
 SMALL = {"p", "h1", "h2", "h3", "b", "i", "em", "strong", "span", "a"}
 
 
-def unlikely(node: Node, inside_article: bool, total: int) -> bool:
-    """Whether a node is no part of an article: by its element, by what it says of itself, or by its class and id.
-
-    A container of most of the page's text isn't dropped for its class (`content with-sidebar`), unless it is of comments.
-    """
+def never(node: Node, inside_article: bool) -> bool:
+    """Whether a node is no part of an article by its element, or by what its attributes say for certain."""
     name = node.name
     if name in DROPPED:
         return True
@@ -150,30 +158,90 @@ def unlikely(node: Node, inside_article: bool, total: int) -> bool:
     if not node.attributes or name in ("html", "body"):
         return False
     of = attributes(node)
-    if of.get("role", "").lower() in ROLES or of.get("aria-hidden", "").lower() == "true" or "hidden" in of or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", of.get("style", ""), re.I):
-        return True
-    said = re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{of.get('class', '')} {of.get('id', '')}".strip())
-    if not said or name == "main":
+    return of.get("role", "").lower() in ROLES or of.get("aria-hidden", "").lower() == "true" or "hidden" in of or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", of.get("style", ""), re.I) is not None
+
+
+def named(node: Node) -> str:
+    """Class and id of a node, words in camel case apart; nothing where they don't matter."""
+    if not node.attributes or node.name in ("html", "body", "main"):
+        return ""
+    of = attributes(node)
+    return TITLE.sub(" ", re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{of.get('class', '')} {of.get('id', '')}".strip()))
+
+
+def replies(node: Node, said: str) -> bool:
+    """Whether a node is built like reader comments: a form to reply by, or items with a name or time of their own, or of replies."""
+    if not COMMENTS.search(said):
         return False
-    if COMMENTS.search(said):
-        return True
-    if name in SMALL:
-        return re.search(r"(?:^|[\s_-])(?:ads?|adverts?|hidden|sr-only|notice|copyright)(?=$|[\s_-])", said, re.I) is not None
-    return UNLIKELY.search(TITLE.sub(" ", said)) is not None and node.size <= total / 2
+    items = 0
+    for x in order(node)[1:]:
+        if x.name in ("form", "textarea", "input"):
+            return True
+        if x.name in ("li", "article", "div", "section") and (COMMENTS.search(named(x)) or any(isinstance(y, Node) and y.name in ("time", "cite", "address") for y in x.children)):
+            items += 1
+    return items >= 2
 
 
-def prune(node: Node) -> None:
-    total, stack = node.size, [(node, False)]
-    while stack:
-        at, inside = stack.pop()
-        kept = []
-        for x in at.children:
+def controls(node: Node) -> bool:
+    return any(x.name in ("form", "input", "button", "select", "textarea") for x in order(node)[1:])
+
+
+def doubtful(node: Node, prose: int, beside: bool) -> bool:
+    """Whether a node goes for its class and id, on a page with so much text outside links; `beside` is whether the page marks its
+    article as such and the node is beside that."""
+    said = named(node)
+    if not said:
+        return False
+    own = node.size - node.linked
+    if node.name in SMALL:
+        return re.search(r"(?:^|[\s_-])(?:ads?|adverts?|hidden|sr-only|notice|copyright)(?=$|[\s_-])", said, re.I) is not None and 2 * own <= prose
+    built = replies(node, said)
+    if UNLIKELY.search(said):
+        # of most of the page's prose, a word of class isn't enough
+        return built or beside or own <= (0.75 if COMMENTS.search(said) else 0.5) * prose
+    if AMBIGUOUS.search(said):
+        return built or (density(node) >= 0.3 or controls(node)) and own <= 0.5 * prose
+    return False
+
+
+def prune(root: Node) -> None:
+    def walk(goes) -> None:
+        stack = [(root, False)]
+        while stack:
+            at, inside = stack.pop()
+            kept = []
+            for x in at.children:
+                if isinstance(x, Node):
+                    if goes(x, inside):
+                        continue
+                    stack.append((x, inside or x.name in ("article", "main")))
+                kept.append(x)
+            at.children = kept
+
+    # first by class and id, while controls and forms still tell what an element is; sizes leave out what goes anyway
+    sizes = order(root)
+    inside = {id(root): False}
+    gone = set()
+    for node in sizes:
+        for x in node.children:
             if isinstance(x, Node):
-                if unlikely(x, inside, total):
-                    continue
-                stack.append((x, inside or x.name in ("article", "main")))
-            kept.append(x)
-        at.children = kept
+                inside[id(x)] = inside[id(node)] or node.name in ("article", "main")
+                if id(node) in gone or never(x, inside[id(x)]):
+                    gone.add(id(x))
+    measure(sizes, gone)
+    prose = root.size - root.linked
+    marked: set[int] = set()  # what is said to be the article, and all that holds it
+    for node in sizes:
+        if node.size >= 25 and (node.name in ("article", "main") or node.attributes and attributes(node).get("role", "").lower() == "main"):
+            inside[id(node)] = True
+            while node is not None and id(node) not in marked:
+                marked.add(id(node))
+                node = node.parent
+    for node in sizes:
+        for x in node.children:
+            if isinstance(x, Node):
+                inside[id(x)] = inside[id(x)] or inside[id(node)]
+    walk(lambda x, within: id(x) in gone or doubtful(x, prose, bool(marked) and not inside[id(x)] and id(x) not in marked))
 
 
 def order(root: Node) -> list[Node]:
@@ -186,9 +254,12 @@ def order(root: Node) -> list[Node]:
     return out
 
 
-def measure(nodes: list[Node]) -> None:
+def measure(nodes: list[Node], gone: set[int] = frozenset()) -> None:
+    """Sizes, commas and text in links of nodes, without those that are gone."""
     for node in reversed(nodes):
         node.size = node.linked = node.commas = 0
+        if id(node) in gone:
+            continue
         for x in node.children:
             if isinstance(x, str):
                 n = len(SPACES.sub(" ", x).strip())
@@ -297,7 +368,6 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
-    measure(order(root))
     prune(root)
     nodes = order(root)
     measure(nodes)

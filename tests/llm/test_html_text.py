@@ -29,6 +29,13 @@ def page(body):
         (page(f"<div class='content with-sidebar'><div class='entry-header'><h1>Flood</h1></div><div class='post-body'><p>{LONG}</p><p>{LONG}</p></div><ol class='commentlist'><li><p>{LONG} {LONG}</p></li></ol><div id='cookieBanner'>We use cookies, and more.</div><ul class='share-links'><li><a href=x>Share</a></ul></div>"), f"Flood\n\n{LONG}\n\n{LONG}"),
         (page(f"<div role=main><p>{LONG}</p><p class='ad'>Buy now</p><blockquote><p>{LONG}</p></blockquote><table><tr><td>a</td><td>b</td></tr></table></div><div class='related-posts'><p>{LONG}</p></div><section id='respond'><h3>Reply</h3></section>"), f"{LONG}\n\n{LONG}\n\na\n\nb"),
         (page(f"<div><div><p>{LONG}</p></div><div><p>{LONG}</p><p>{LONG}</p></div></div>"), f"{LONG}\n\n{LONG}\n\n{LONG}"),
+        (page(f"<h1>T</h1><div class='discussion'><p>{LONG}</p><p>{LONG}</p></div>"), f"T\n\n{LONG}\n\n{LONG}"),
+        (page(f"<article><section id='methods'><h2>M</h2><p>{LONG}</p></section><section id='discussion'><h2>D</h2><p>{LONG}</p></section><section class='related-work'><h2>R</h2><p>{LONG} <a href=x>see</a></p></section></article>"), f"M\n\n{LONG}\n\nD\n\n{LONG}\n\nR\n\n{LONG} see"),
+        (page(f"<div id=wrap><div class='section'><h2>Terms</h2><p>{LONG}</p></div><div class='section legal'><h2>Law</h2><p>{LONG}</p></div><div class='section print'><p>{LONG}</p></div></div><div class='footer legal'><a href=x>Imprint</a></div>"), f"Terms\n\n{LONG}\n\nLaw\n\n{LONG}\n\n{LONG}"),
+        (page(f"<div class=post><h1>F</h1><p>{LONG}</p></div><div class=discussion><div class=reply><cite>Ann</cite><p>{LONG} {LONG}</p></div><div class=reply><cite>Bob</cite><p>{LONG} {LONG} {LONG}</p></div></div>"), f"F\n\n{LONG}"),
+        (page(f"<div class=post><p>{LONG}</p><div class=tags><a href=a>one</a> <a href=b>two</a></div><div class=search><p>Find it <input name=q></p></div></div>"), LONG),
+        (page(f"<h1>T</h1><div class='comments-page'><p>{LONG}</p><p>{LONG}</p></div>"), f"T\n\n{LONG}\n\n{LONG}"),
+        (page(f"<div class='notice'><p>{LONG}</p><p>{LONG}</p></div>"), f"{LONG}\n\n{LONG}"),
     ],
 )
 def test_pages(html, text):
