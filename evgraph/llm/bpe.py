@@ -1,18 +1,19 @@
 """Byte-level BPE encoding and decoding in overlapping chunks.
 
-Texts of more than `chunk` code points are cut into chunks that overlap by `overlap`. Chunks are pre-tokenised in parallel.
-The pattern looks only ahead, so where two neighbouring chunks share a pre-token boundary inside their overlap they agree
-from there on: the text is stitched at that boundary. The pieces between stitches are encoded in parallel and their ids
-joined in order. Where a seam doesn't resynchronise (a run longer than the overlap), the text's chunks are joined and
-encoded as one piece. Shorter texts are single chunks and take no shuffle.
-
-Null and empty texts have no ids; repeated rows are told apart by a row key of their own; columns other than the id and the
-text are ignored.
+Every text of more than one chunk is cut into chunks that overlap. Chunks are pre-tokenised each from its own start. The pattern
+looks only ahead, so where two neighbouring chunks share a pre-token boundary inside their overlap they agree from there on: the text
+is stitched at that boundary, and the pieces between stitches are encoded and their ids joined in order. Where a seam doesn't
+resynchronise (a run longer than the overlap), the text is encoded as one piece. Within a task chunks are small and follow one
+another; a text of more than SPREAD code points is first cut in the same way into larger ones, which are dealt over tasks.
+
+Null and empty texts have no ids; repeated rows are told apart by a row key of their own; ties don't arise; an empty table gives an
+empty result; columns other than the id and the text are ignored, whatever their names. A null doc_id stays null.
 """
 
 from __future__ import annotations
 
 import base64
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import WHITE, slices
 
-CHUNK, OVERLAP = 32_768, 1_024
+#: Code points of a chunk and of its overlap with the next, within a task; texts of more than SPREAD are dealt over tasks.
+CHUNK, OVERLAP = 4_096, 256
+SPREAD, SPREAD_OVERLAP = 32_768, 1_024
 #: What a boundary near a chunk's end may still depend on.
 MARGIN = 4
 
@@ -46,6 +49,27 @@ class Codec:
     def boundaries(self, text: str) -> list[int]:
         return [m.start() for m in self.pattern.finditer(text)]
 
+    def pieces(self, text: str, chunk: int, overlap: int) -> list[str]:
+        """A text cut where the boundaries of overlapping chunks, each pre-tokenised from its own start, meet. From a common boundary
+        on, two chunks agree, so each piece starts and ends at boundaries of the whole text; where some don't meet, it stays whole."""
+        if len(text) <= chunk + overlap:
+            return [text]
+        seams, tail = [0], None
+        for start in range(0, len(text) - overlap, chunk):
+            body = text[start : start + chunk + overlap]
+            found = self.boundaries(body)
+            if tail is not None:
+                seam = next((start + b for b in found if b < overlap and start + b in tail), None)
+                if seam is None:
+                    return [text]
+                seams.append(seam)
+            tail = {start + b for b in found[bisect_left(found, len(body) - overlap) :] if b <= len(body) - MARGIN}
+        return [text[a:b] for a, b in zip(seams, [*seams[1:], len(text)], strict=True)]
+
+    def encode_in_chunks(self, text: str, chunk: int, overlap: int) -> np.ndarray:
+        pieces = self.pieces(text, chunk, overlap)
+        return self.encode(text) if len(pieces) == 1 else np.concatenate([self.encode(x) for x in pieces])
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -57,7 +81,7 @@ def codec(name: str) -> Codec:
     return _codecs[name]
 
 
-def _encoded(frame: DataFrame, ranks: str, keys: str, raw: bool = False) -> DataFrame:
+def _encoded(frame: DataFrame, ranks: str, keys: str, raw: bool = False, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """Ids of each row's text in the text's place; with `raw`, also the bytes that they decode to."""
     names = [k.split()[0] for k in keys.split(", ")]
 
@@ -66,7 +90,7 @@ def _encoded(frame: DataFrame, ranks: str, keys: str, raw: bool = False) -> Data
         none = np.zeros(0, np.uint32)
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
-                ids = [own.encode(t) if t else none for t in batch.column("text").to_pylist()]
+                ids = [own.encode_in_chunks(t, chunk, overlap) if t else none for t in batch.column("text").to_pylist()]
                 ends = np.cumsum([0, *map(len, ids)])
                 cols = [batch.column(n) for n in names] + [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([none, *ids]).astype(np.int32)))]
                 if raw:
@@ -124,14 +148,14 @@ def _split(docs: DataFrame, chunk: int, overlap: int) -> tuple[DataFrame, DataFr
     return base.filter(F.coalesce(F.length("text"), F.lit(0)) <= chunk), base
 
 
-def encode(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def encode(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", chunk: int = SPREAD, overlap: int = SPREAD_OVERLAP) -> DataFrame:
     """doc_id and ids of each row's text, as the library would encode the whole text."""
     short, base = _split(docs, chunk, overlap)
     return _encoded(short, ranks, "doc_id bigint").unionByName(_long(base, ranks, chunk, overlap))
 
 
-def round_trip(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """`decode` of `encode`; texts of one chunk take both steps in one pass."""
+def round_trip(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", chunk: int = SPREAD, overlap: int = SPREAD_OVERLAP) -> DataFrame:
+    """`decode` of `encode`; texts that aren't dealt over tasks take both steps in one pass."""
     short, base = _split(docs, chunk, overlap)
     return _encoded(short, ranks, "doc_id bigint", True).unionByName(decode(_long(base, ranks, chunk, overlap), ranks))
 

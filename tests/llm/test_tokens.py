@@ -64,6 +64,16 @@ def test_bpe_stitches(spark, real, tik, chunk, overlap):
     assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got} == {i: bpe_expected(tik, t) for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize(("chunk", "overlap"), [(40, 16), (200, 64)])
+def test_chunks_within_a_task(real, tik, chunk, overlap):
+    own, cut = bpe.codec("byte_bpe_50k.tiktoken"), 0
+    for t in [x for x in ODD if x] + list(real.text):
+        pieces = own.pieces(t, chunk, overlap)
+        cut += len(pieces) > 1
+        assert "".join(pieces) == t and own.encode_in_chunks(t, chunk, overlap).tolist() == tik.encode_ordinary(t)
+    assert cut > 50
+
+
 def test_bpe_repeated_and_empty(spark, tik):
     twice = frame(spark, ["ab cd " * 30] * 2).selectExpr("1L AS doc_id", "text")
     assert bpe.encode(twice, chunk=40, overlap=16).count() == 2
