@@ -12,7 +12,7 @@ suffix state of the words before it.
 
 Counts are exact and cover the whole training corpus: tasks count in arrays, deal sorted keys with counts by key range, and sum
 them there. Vocabulary, candidates and tree grow with the corpus: they are written tables, joined by shuffles. Of fixed size,
-and sent to all tasks, are the most frequent words and the most frequent weights of the tree (at most `head` of each) and an
+and sent to all tasks, are the most frequent words (at most `head`) and weights of the tree (at most `heavy`) and an
 array of at most 2^FILTER bits, which passes every key of a table and few others; the joins drop those others.
 
 A score is a sum of weights that are looked up one by one: of each token the root's, of each retained context before it what is
@@ -40,14 +40,16 @@ from .common import Scratch, mix, partitions, slices, word_hashes
 
 LEAST, BITS = 32, 8.0
 #: A successor is stored from a FOLLOW-th of a context's own limit on, 4 at least.
-FOLLOW, DISCOUNT, HEAD = 4, 0.75, 2_000_000
+FOLLOW, DISCOUNT = 4, 0.75
+#: Words and weights that are sent to all tasks, the most frequent ones: 8 and 32 MB, whatever the corpus.
+HEAD, HEAVY = 500_000, 2_000_000
 END = np.uint64(0x656E64)
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 SEED = 0x5EED
 #: Bits of the array that is sent to all tasks, as a power of two: at most these, and fewer for few tokens.
 FILTER = 27
 #: Tuples that a task holds before it counts them, and groups of buckets that tuples are dealt in.
-FLUSH, GROUPS = 1_500_000, 16
+FLUSH, GROUPS = 2_000_000, 64
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -173,15 +175,20 @@ class Packed:
 
     ELSE = 0xFFFFFFFF
 
-    def __init__(self, width: int, known: np.ndarray):
+    def __init__(self, width: int, known: np.ndarray, counts: np.ndarray):
         self.width, self.known = width, Table(known)
+        # numbers by count, so that those of most tokens are small
+        self.by_number = np.argsort(-counts, kind="stable")
+        self.number = np.empty(len(known), np.uint32)
+        self.number[self.by_number] = np.arange(len(known), dtype=np.uint32)
         self.blobs = 1 if width == 1 else 4
 
     def pack(self, arrays: list[np.ndarray], cut: list[tuple[int, int]]) -> list[list[bytes]]:
         if self.width == 1:
             return [[arrays[0][i:j].tobytes() for i, j in cut]]
-        code = self.known.find(arrays[1])
-        code = np.where(code < 0, self.ELSE, code).astype(np.uint32)
+        at = self.known.find(arrays[1])
+        code = np.full(len(at), self.ELSE, np.uint32)
+        code[at >= 0] = self.number[at[at >= 0]]
         out: list[list[bytes]] = [[], [], [], []]
         for i, j in cut:
             state, part = arrays[0][i:j], code[i:j]
@@ -197,7 +204,7 @@ class Packed:
         token = np.zeros(len(code), np.uint64)
         far = code == self.ELSE
         token[far] = np.frombuffer(blobs[3], np.uint64)
-        token[~far] = self.known.keys[code[~far]]
+        token[~far] = self.known.keys[self.by_number[code[~far]]]
         return [np.repeat(np.frombuffer(blobs[0], np.uint64), from_planes(blobs[1])), token]
 
 
@@ -225,7 +232,7 @@ def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1, k
         return [a[first] for a in arrays], np.add.reduceat(n, first) if len(first) else n[:0]
 
     def packing() -> Packed:
-        return Packed(len(columns), known.value if known is not None else np.zeros(0, np.uint64))
+        return Packed(len(columns), *(known.value if known is not None else (np.zeros(0, np.uint64), np.zeros(0))))
 
     def merged(held: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
         """By bucket, then state, then token, as far as bits go; what they leave mixed is summed in the bucket."""
@@ -347,7 +354,7 @@ def retained(rows: DataFrame, bits: float) -> DataFrame:
     return of.filter(gain > bits * (1 + F.col("size"))).select("state", "total", "left")
 
 
-def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: int = LEAST, bits: float = BITS, head: int = HEAD) -> tuple[Tree, DataFrame, int]:
+def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: int = LEAST, bits: float = BITS, head: int = HEAD, heavy: int = HEAVY) -> tuple[Tree, DataFrame, int]:
     """The tree, the table of word counts (h, n), and the limit from which words are in the tree's head."""
     if depth is not None and depth < 0:
         raise ValueError("a depth of nothing or more")
@@ -362,7 +369,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
     start = lambda c: [longer(np.full(len(c["token"]), SEED, np.uint64), c["token"]), np.full(len(c["token"]), SEED, np.uint64)]
     states = scratch.write(hashed(first, start, "state bigint, suffix bigint").select("state", "total", "suffix"), "states-1")
     lower = words.select(F.col("h").alias("word"), ((F.col("n") + 1) / float(n + v + 1)).alias("lower"))
-    known, enough = spark.sparkContext.broadcast(tree.words), (words.filter(F.col("n") >= follow_of), "h")
+    known, enough = spark.sparkContext.broadcast((tree.words, tree.root)), (words.filter(F.col("n") >= follow_of), "h")
     level = 0
     while level != depth:
         level += 1
@@ -412,7 +419,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
         for _, weights in tree.levels[1:]:
             every = every.unionByName(weights)
         every = scratch.write(every, "weights")
-        low = head_of(every, head, n + 1)
+        low = head_of(every, heavy, n + 1)
         tree.keys, tree.weights = sorted_by_key(every.filter(F.col("n") >= low), "key", "w")
         tree.tail = every.filter(F.col("n") < low)
         tree.far = added(tree.far, tree.tail, "key")

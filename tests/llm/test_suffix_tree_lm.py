@@ -95,7 +95,7 @@ def test_against_plain_tree(spark, made, head):
     docs = made + [(1000 + i, t) for i, t in enumerate(rest)]
     scratch = Scratch(spark, "test")
     frame = spark.createDataFrame([(d, t, "s") for d, t in docs], "doc_id long, text string, score string").drop("score")
-    learned = lm.learn(frame.filter("doc_id < 1000 AND doc_id % 7 <> 0"), scratch, least=8, bits=2.0, head=head)
+    learned = lm.learn(frame.filter("doc_id < 1000 AND doc_id % 7 <> 0"), scratch, least=8, bits=2.0, head=head, heavy=head)
     got = {r["doc_id"]: r for r in lm.score(frame, *learned, scratch).collect()}
     want, levels = plain_tree(docs, train, 8, 2.0)
     assert all(levels) and [len(x[0]) for x in learned[0].levels] == [len(x) for x in levels]
