@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import gc
+import shutil
 import tempfile
 import uuid
 
@@ -9,12 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, set to an own folder only where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a local master gets a temporary folder of its own;
+    on a cluster each executor would write to its own disk there, so that is refused."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="evgraph-")
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        place = tempfile.mkdtemp(prefix="evgraph-")
+        atexit.register(shutil.rmtree, place, ignore_errors=True)
+        found = "file://" + place
         spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
+        context.setCheckpointDir(found)
     return found
 
 
@@ -32,3 +41,9 @@ class Scratch:
     def drop(self, name: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def release(self) -> None:
+        """Has the files of shuffles dropped whose results are written by now: Spark does so when the driver's collectors, which
+        otherwise run when memory asks for it, find their plans gone."""
+        gc.collect()
+        self.spark._jvm.System.gc()
