@@ -50,7 +50,7 @@ SEED = 0x5EED
 #: Bits of the array that is sent to all tasks, as a power of two: at most these, and fewer for few tokens.
 FILTER = 27
 #: Tuples that a task holds before it counts them, and groups of buckets that tuples are dealt in.
-FLUSH, GROUPS = 1_000_000, 64
+FLUSH, GROUPS = 1_500_000, 64
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -361,6 +361,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
         raise ValueError("a depth of nothing or more")
     spark = docs.sparkSession
     words = scratch.write(counted(docs, ["h"], lambda h, n: [h]), "words")
+    scratch.release()
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     limit = head_of(words, head, n + 1)
     tree = Tree(n, v, *sorted_by_key(words.filter(F.col("n") >= limit), "h", "n"))
@@ -369,7 +370,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
     first = words.select(F.col("h").alias("token"), F.col("n").alias("total")).filter((F.col("total") >= least) & (F.col("token") != int(END)))
     start = lambda c: [longer(np.full(len(c["token"]), SEED, np.uint64), c["token"]), np.full(len(c["token"]), SEED, np.uint64)]
     states = scratch.write(hashed(first, start, "state bigint, suffix bigint").select("state", "total", "suffix"), "states-1")
-    lower = words.select(F.col("h").alias("word"), ((F.col("n") + 1) / float(n + v + 1)).alias("lower"))
+    lower = words.filter(F.col("n") >= follow_of).select(F.col("h").alias("word"), ((F.col("n") + 1) / float(n + v + 1)).alias("lower"))
     known, enough = spark.sparkContext.broadcast((tree.words, tree.root)), (words.filter(F.col("n") >= follow_of), "h")
     level = 0
     while level != depth:
@@ -393,8 +394,10 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
             return [key[keep], h[at[keep]]]
 
         grams = scratch.write(counted(docs, ["state", "token"], rows, follow_of, known), f"grams-{level}")
+        scratch.release()
         made = scratch.write(probable(grams, states, lower), f"level-{level}")
         scratch.drop(f"grams-{level}")
+        scratch.release()
         table.destroy()
         asked.destroy()
         kept = scratch.write(retained(made, bits), f"kept-{level}")
@@ -424,6 +427,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
         tree.keys, tree.weights = sorted_by_key(every.filter(F.col("n") >= low), "key", "w")
         tree.tail = every.filter(F.col("n") < low)
         tree.far = added(tree.far, tree.tail, "key")
+    scratch.release()
     return tree, words, limit
 
 
