@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +15,12 @@ from pyspark.sql import functions as F
 
 from ..plans.scratch import Scratch, shared_dir
 
-#: Arrow memory that a batch no longer needs goes back to the system, not to a pool of the worker's own.
-pa.set_memory_pool(pa.system_memory_pool())
+if "pyspark.worker" in sys.modules:
+    # In a Python worker, memory that a batch no longer needs goes back to the system: no pool of Arrow's own, and arrays of
+    # megabytes are mapped one by one, not cut from a heap that stays as large as it once was.
+    pa.set_memory_pool(pa.system_memory_pool())
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD of glibc
 
 __all__ = ["Scratch", "SegmentEncoder", "encoder", "mix", "partitions", "remainder", "shared_dir", "slices", "span_hashes", "table", "tune", "utf8", "word_hashes"]
 
