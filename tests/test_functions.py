@@ -32,6 +32,8 @@ def test_name_parts(spark, name, parts):
         ("Kennedy, John F. (John Fitzgerald), 1917-1963", ("Kennedy, John F. (John Fitzgerald)", 1917, 1963, "author", False)), ("Doe, Jane, 1917-", ("Doe, Jane", 1917, None, "author", False)), ("Roe, R., 1743?-1826", ("Roe, R.", 1743, 1826, "author", False)),
         ("Poe, P., b. 1900", ("Poe, P.", 1900, None, "author", False)), ("Poe, P., d. 1950", ("Poe, P.", None, 1950, "author", False)), ("Plato, 428? BCE-348? BCE", ("Plato", -428, -348, "author", False)), ("X, Y [Translator]", ("X, Y", None, None, "translator", False)),
         ("United States", ("United States", None, None, "author", True)), ("Various", ("Various", None, None, "author", True)), ("Livy, 63 BCE-14", ("Livy", -63, -14, "author", False)), ("  ", None), (None, None), ("Roe, -1826", ("Roe, -1826", None, None, "author", False)),
+        ("Ion, ca. 490 B.C.-ca 1", ("Ion, ca. 490 B.C.-ca 1", None, None, "author", False)), ("Ion, ca. 490 B.C.E.-", ("Ion", -490, None, "author", False)), ("Roe, R., ca. 1743-?", ("Roe, R.", 1743, None, "author", False)),
+        ("Roe, 17-1826", ("Roe, 17-1826", None, None, "author", False)), ("Roe, 1743-1826x [Ed.] ", ("Roe, 1743-1826x", None, None, "ed.", False)), ("Roe, 1743 - 1826 [Ed.]", ("Roe", 1743, 1826, "ed.", False)), ("[Editor]", None), ("Roe []", ("Roe []", None, None, "author", True)),
     ],
 )
 def test_parsed_authors(spark, raw, want):
