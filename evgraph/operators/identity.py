@@ -23,7 +23,7 @@ def block_pairs(frame: DataFrame, keys: list[str], entity: str = "entity_id", ch
     """Pairs a < b of entities that share a block key. Blocks of more than a chunk are dealt in pairs of chunks, so that no task
     holds a whole hot block."""
     rows = frame.select(*keys, entity).distinct()
-    size = rows.groupBy(*keys).agg(F.ceil(F.count("*") / chunk).cast("int").alias("_parts")).filter("_parts >= 1")
+    size = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys, F.ceil(F.col("_n") / chunk).cast("int").alias("_parts"))
     cut = rows.join(size, keys).withColumn("_mine", F.pmod(F.xxhash64(entity), F.col("_parts")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     cut = cut.withColumns({"_lo": F.least("_mine", "_other"), "_hi": F.greatest("_mine", "_other")}).drop("_parts", "_other")
     a, b = cut.alias("a"), cut.alias("b")
@@ -32,6 +32,13 @@ def block_pairs(frame: DataFrame, keys: list[str], entity: str = "entity_id", ch
     return a.join(b, on).filter((F.col(f"a.{entity}") < F.col(f"b.{entity}")) & same).select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{entity}").alias("a"), F.col(f"b.{entity}").alias("b"))
 
 
+def block_stars(frame: DataFrame, keys: list[str], entity: str = "entity_id") -> DataFrame:
+    """Edges u < v from the least entity of each block to its others: what they reach is what all pairs of a block would."""
+    rows = frame.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).select(*keys, entity).distinct()
+    least = rows.groupBy(*keys).agg(F.min(entity).alias("u"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    return rows.join(least, keys).filter(F.col("u") < F.col(entity)).select("u", F.col(entity).alias("v"))
+
+
 def conflicts(pairs: DataFrame, entities: DataFrame, identifiers: DataFrame) -> DataFrame:
     """Adds `conflicts`, the sorted reasons against each pair (a, b): kinds, life dates, disjoint unique identifiers."""
     of = lambda x: entities.select(F.col("entity_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("kind", "birth_year", "death_year")])

@@ -395,7 +395,7 @@ COMPONENTS = """WITH RECURSIVE edges AS (SELECT DISTINCT a.entity_id AS u, b.ent
 
 @query(COMPONENTS, "entities")
 def g01_components(t: Testbed) -> DataFrame:
-    edges = identity.block_pairs(t.entities(), ["digest"]).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    edges = identity.block_stars(t.entities(), ["digest"])
     return clusters(t.entities().select(F.col("entity_id").alias("id")), edges)
 
 
@@ -955,7 +955,7 @@ def g17_digest_conflicts(t: Testbed) -> DataFrame:
 @query("SELECT entity_id, min(entity_id) OVER (PARTITION BY digest) AS canonical_id FROM entities", "entities")
 def g19_generation(t: Testbed) -> DataFrame:
     people = t.entities()
-    log = identity.block_pairs(people, ["digest"]).select(F.lit("d").alias("decision_id"), F.lit("c").alias("candidate_id"), F.col("a").alias("entity_a"), F.col("b").alias("entity_b"), F.lit("accepted").alias("outcome"), F.lit(True).alias("active"), F.lit(1).cast("long").alias("seq"))
+    log = identity.block_stars(people, ["digest"]).select(F.lit("d").alias("decision_id"), F.lit("c").alias("candidate_id"), F.col("u").alias("entity_a"), F.col("v").alias("entity_b"), F.lit("accepted").alias("outcome"), F.lit(True).alias("active"), F.lit(1).cast("long").alias("seq"))
     none = t.spark.createDataFrame([], "entity_id long, scheme string, value string, valid_to string")
     return identity.generation(people, log, none).select("entity_id", "canonical_id")
 

@@ -213,3 +213,9 @@ def test_bridges_and_cohort(spark):
     assert count == {"a": 3, "b": 2, "c": 5} and [r["seed_id"] for r in chosen.orderBy("seed_id").collect()] == [r["seed_id"] for r in bridges.cohort(seeds, 10, {"c": 4}).orderBy("seed_id").collect()]
     owned = spark.createDataFrame([("x", "src/a/**"), ("y", "src/a/b.py"), ("z", "src/ab"), ("x", "src/a/b.py")], "owner string, path string")
     assert {(r["outer_owner"], r["inner_owner"]) for r in bridges.overlaps(owned).collect()} == {("x", "y"), ("y", "x")}
+
+
+def test_block_stars(spark):
+    rows = [(1, "x"), (2, "x"), (3, "x"), (3, "x"), (4, "y"), (5, None), (6, None), (7, "z"), (8, "z")]
+    got = identity.block_stars(spark.createDataFrame(rows, "entity_id long, digest string"), ["digest"]).collect()
+    assert sorted(map(tuple, got)) == [(1, 2), (1, 3), (7, 8)]
