@@ -19,17 +19,17 @@ CAPPED = 0.49
 ORIGINS = {"registry": 0, "curated": 0, "manual": 0, "authority": 1, "book": 2, "books": 2, "github": 3, "youtube": 3}
 
 
-def block_pairs(frame: DataFrame, keys: list[str], entity: str = "entity_id", chunk: int = 512) -> DataFrame:
-    """Pairs a < b of entities that share a block key. Blocks of more than a chunk are dealt in pairs of chunks, so that no task
-    holds a whole hot block."""
-    rows = frame.select(*keys, entity).distinct()
+def block_pairs(frame: DataFrame, keys: list[str], entity: str = "entity_id", chunk: int = 512, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs a < b of entities that share a block key, with the `carry` columns of both, suffixed. Blocks of more than a chunk are
+    dealt in pairs of chunks, so that no task holds a whole hot block."""
+    rows = frame.select(*keys, entity, *carry).distinct()
     size = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys, F.ceil(F.col("_n") / chunk).cast("int").alias("_parts"))
     cut = rows.join(size, keys).withColumn("_mine", F.pmod(F.xxhash64(entity), F.col("_parts")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     cut = cut.withColumns({"_lo": F.least("_mine", "_other"), "_hi": F.greatest("_mine", "_other")}).drop("_parts", "_other")
     a, b = cut.alias("a"), cut.alias("b")
     on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_lo", "_hi"]]
     same = (F.col("a._lo") == F.col("a._hi")) | (F.col("a._mine") != F.col("b._mine"))
-    return a.join(b, on).filter((F.col(f"a.{entity}") < F.col(f"b.{entity}")) & same).select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{entity}").alias("a"), F.col(f"b.{entity}").alias("b"))
+    return a.join(b, on).filter((F.col(f"a.{entity}") < F.col(f"b.{entity}")) & same).select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{entity}").alias("a"), F.col(f"b.{entity}").alias("b"), *[F.col(f"{x}.{c}").alias(f"{c}_{x}") for c in carry for x in ("a", "b")])
 
 
 def block_stars(frame: DataFrame, keys: list[str], entity: str = "entity_id") -> DataFrame:
@@ -64,16 +64,15 @@ def candidates(entities: DataFrame, identifiers: DataFrame, scratch: Scratch | N
     keyed = scratch.write(entities.select("entity_id", "origin", "birth_year", "death_year", name_key(F.col("label")).alias("key"), surname.alias("surname"), F.substring(given, 1, 1).alias("initial")), "keyed")
     shared = identifiers.filter(F.col("valid_to").isNull() & F.col("scheme").isin(*ELIGIBLE) & ~absent(F.col("scheme"), F.col("value")))
     by_id = block_pairs(shared, ["scheme", "value"]).select("a", "b", F.lit("shared_external_id").alias("method"), F.concat_ws("=", "scheme", "value").alias("evidence"))
-    of = lambda x: keyed.select(F.col("entity_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("origin", "birth_year", "death_year", "key")])
     fits = years_compatible(*(F.col(c) for c in ("birth_year_a", "death_year_a", "birth_year_b", "death_year_b")))
     dated = lambda x: F.col(f"birth_year_{x}").isNotNull() | F.col(f"death_year_{x}").isNotNull()
-    by_name = block_pairs(keyed.filter("key <> ''"), ["key"]).join(of("a"), "a").join(of("b"), "b").select("a", "b", F.when(fits & dated("a") & dated("b"), "name_plus_years").otherwise("exact_name").alias("method"), F.concat(F.lit("name="), "key").alias("evidence"))
-    by_surname = block_pairs(keyed.filter("length(surname) >= 4 AND initial <> ''"), ["surname", "initial"]).join(of("a"), "a").join(of("b"), "b")
+    by_name = block_pairs(keyed.filter("key <> ''"), ["key"], carry=("birth_year", "death_year")).select("a", "b", F.when(fits & dated("a") & dated("b"), "name_plus_years").otherwise("exact_name").alias("method"), F.concat(F.lit("name="), "key").alias("evidence"))
+    by_surname = block_pairs(keyed.filter("length(surname) >= 4 AND initial <> ''"), ["surname", "initial"], carry=("birth_year", "death_year", "key", "origin"))
     by_surname = by_surname.filter((F.col("key_a") != F.col("key_b")) & ~F.col("origin_a").eqNullSafe(F.col("origin_b")) & fits).select("a", "b", F.lit("surname_initial").alias("method"), F.concat(F.lit("surname="), "surname", F.lit(" "), "initial").alias("evidence"))
     signals = by_id.unionByName(by_name).unionByName(by_surname)
     priority = F.create_map(*[x for m, (_, p, _) in METHODS.items() for x in (F.lit(m), F.lit(p))])
     best = signals.groupBy("a", "b").agg(F.max_by("method", priority[F.col("method")]).alias("method"), F.array_sort(F.collect_set("evidence")).alias("evidence"))
-    judged = conflicts(best, entities, identifiers)
+    judged = conflicts(scratch.write(best, "best"), entities, identifiers)
     confidence = F.create_map(*[x for m, (c, _, _) in METHODS.items() for x in (F.lit(m), F.lit(c))])[F.col("method")]
     clear = F.size("conflicts") == 0
     return judged.select(
