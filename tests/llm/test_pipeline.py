@@ -83,3 +83,12 @@ def test_repeated_rows_and_nulls(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in two.collect()) == [(False, 1), (True, 0)]
     assert corpus_pipeline.secrets(spark, two, SF).count() == 2
     assert corpus_pipeline.pack(spark, two, SF).count() >= 2
+
+
+def test_texts_of_one_document_stay(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    a, b = ("alpha beta gamma delta epsilon zeta", "one two three four five six seven")
+    docs = spark.createDataFrame([(1, a, "en", "t", 9), (1, b, "en", "s", 9), (1, b, "de", "s", 9), (1, b, None, "z", 1), (2, a, "en", "s", 3)], schema)
+    for n in (1, 5):
+        got = corpus_pipeline.deduplicate(spark, docs.repartition(n), SF).collect()
+        assert sorted(map(tuple, got)) == [(1, a, "en", "t", 9), (1, b, None, "z", 1)]
