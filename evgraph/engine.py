@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .catalog import Catalog
+from .catalog import Catalog, optional
 from .functions.dates import life_span
 from .functions.urls import routes
 from .operators import graph, identity, search
@@ -16,7 +16,7 @@ from .operators.components import clusters
 from .plans.scratch import Scratch
 
 VERSION = "evgraph-query-0.1"
-MOST_ROWS, MOST_HOPS = 500, 4
+MOST_ROWS, MOST_HOPS, MOST_IDENTIFIERS, MOST_TOPICS = 500, 4, 50, 6
 # The grades of evidence, most directly attested first.
 GRADES = ("source_observation", "accepted_identity_decision", "derived_relation", "model_inference")
 
@@ -111,7 +111,8 @@ class Engine:
         return hits, "phrase"
 
     def who(self, name: str, limit: int = 8, offset: int = 0) -> Answer:
-        """People of a name: clusters with all their rows and the coverage of their works."""
+        """People of a name: clusters with all their rows, the one that stands for them and why it may be contested, identifiers, topics,
+        the coverage of their works, and what decisions, refused merges and open claims touch them."""
         out = self._answer("who", name=name, limit=limit, offset=offset)
         if not self.catalog.has("people", "person"):
             return out
@@ -120,18 +121,73 @@ class Engine:
         if way == "scan":
             out.gaps.append("the name was searched as a substring: order is by coverage, not relevance")
         members = self.members()
-        chosen = members.join(members.join(hits.select("person_id"), "person_id", "left_semi").select("cluster_id").distinct(), "cluster_id", "left_semi")
+        chosen = Scratch(person.sparkSession, "who").write(members.join(members.join(hits.select("person_id"), "person_id", "left_semi").select("cluster_id").distinct(), "cluster_id", "left_semi"), "chosen")
         rows = chosen.join(person, "person_id", "left").groupBy("cluster_id").agg(
             F.array_sort(F.collect_list(F.struct("person_id", "name", "state", "origin"))).alias("members"), F.min("birth_year").alias("birth_year"), F.max("death_year").alias("death_year"), F.count("*").alias("cluster_size"),
         )
         if self.catalog.has("people", "person_content"):
-            works = self.catalog.get("people", "person_content").join(chosen, "person_id").groupBy("cluster_id").agg(F.count("*").alias("content_count"), F.array_sort(F.collect_set("domain")).alias("domains"))
+            each = self.catalog.get("people", "person_content").join(chosen, "person_id").groupBy("cluster_id", "domain").agg(F.count("*").alias("n"))
+            works = each.groupBy("cluster_id").agg(F.sum("n").alias("content_count"), F.array_sort(F.collect_list("domain")).alias("domains"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("domain", "n")))).alias("by_domain"))
             rows = rows.join(works, "cluster_id", "left")
         else:
-            rows = rows.withColumns({"content_count": F.lit(None).cast("long"), "domains": F.lit(None).cast("array<string>")})
+            rows = rows.withColumns({"content_count": F.lit(None).cast("long"), "domains": F.lit(None).cast("array<string>"), "by_domain": F.lit(None).cast("map<string,bigint>")})
+        rows = self._represented(rows, chosen).join(self._identifiers(chosen), "cluster_id", "left").join(self._topics(chosen), "cluster_id", "left")
+        rows = self._decided(out, rows, chosen)
         rows = rows.withColumns({"lived": life_span(F.col("birth_year"), F.col("death_year")), "content_count": F.coalesce("content_count", F.lit(0).cast("long")), "evidence": evidence("source_observation", detail="person rows as their loaders made them")})
         return self._paged(out, rows, [F.desc("content_count"), "cluster_id"], limit, offset)
 
+    def _represented(self, rows: DataFrame, chosen: DataFrame) -> DataFrame:
+        """Adds the member that stands for each cluster, with its name and kind; `contested` if the smaller id alone chose it."""
+        person = self.catalog.get("people", "person")
+        empty = person.sparkSession.createDataFrame([], "person_id string, platform string, observed_at string")
+        known = self.catalog.get("people", "external_ids") if self.catalog.has("people", "external_ids") else empty
+        seen = known.select("person_id", optional(known, "observed_at"))
+        plain = person.select("person_id", *[optional(person, c) for c in ("state", "origin", "merged_into")])
+        best = identity.representatives(chosen, plain, known.select("person_id", "platform"), seen).select("cluster_id", "representative", (F.col("tied") > 1).alias("contested"))
+        of = person.select(F.col("person_id").alias("representative"), "name", optional(person, "kind"))
+        return rows.join(best, "cluster_id", "left").join(of, "representative", "left")
+
+    def _best(self, table: str, chosen: DataFrame, columns: list[str], order: list[Column], most: int, name: str) -> DataFrame:
+        """The first rows of a table for each cluster, as a list of structs; null everywhere where the table is absent."""
+        if not self.catalog.has("people", table):
+            return chosen.filter(F.lit(False)).select("cluster_id", F.lit(None).cast("array<string>").alias(name))
+        source = self.catalog.get("people", table)
+        kept = source.select("person_id", *[optional(source, c, "double" if c in ("confidence", "weight") else "string") for c in columns]).join(chosen, "person_id")
+        ranked = kept.withColumn("_n", F.row_number().over(Window.partitionBy("cluster_id").orderBy(*order))).filter(F.col("_n") <= most)
+        return ranked.groupBy("cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", *columns))), lambda x: x.dropFields("_n")).alias(name))
+
+    def _identifiers(self, chosen: DataFrame) -> DataFrame:
+        columns = ["platform", "value", "confidence", "source"]
+        return self._best("external_ids", chosen, columns, [F.col("platform"), F.col("value"), F.col("source"), F.col("confidence"), F.col("person_id")], MOST_IDENTIFIERS, "identifiers")
+
+    def _topics(self, chosen: DataFrame) -> DataFrame:
+        return self._best("person_topic", chosen, ["topic", "scheme", "weight"], [F.desc("weight"), F.col("topic"), F.col("scheme"), F.col("person_id")], MOST_TOPICS, "topics")
+
+    def _decided(self, out: Answer, rows: DataFrame, chosen: DataFrame) -> DataFrame:
+        """Adds the merges that hold in each cluster, the pointers that a claim refuses, and the claims still open; each kind is a gap of
+        the answer where there is any."""
+        pair = "array<struct<person_a:string,person_b:string,status:string>>"
+        names = ("decisions", "refused_merges", "unresolved")
+        if not self.catalog.has("people", "identity_claim"):
+            return rows.withColumns({n: F.array().cast(pair) for n in names})
+        person, claims = self.catalog.get("people", "person"), self.catalog.get("people", "identity_claim")
+        if "merged_into" not in person.columns:
+            person = person.withColumn("merged_into", F.lit(None).cast("string"))
+        held = identity.merges(person, claims).select("u", "v", F.col("grade").alias("status"))
+        no = identity.refused(person, claims)
+        # an open claim says nothing of a pair that another claim has accepted
+        open_ = claims.groupBy(F.least("person_a", "person_b").alias("u"), F.greatest("person_a", "person_b").alias("v")).agg(F.bool_or(F.col("status") == "accepted").alias("_yes"), F.bool_or(F.col("status") == "proposed").alias("_open")).filter("_open AND NOT _yes").select("u", "v", F.lit("proposed").alias("status"))
+        said = {"decisions": "", "refused_merges": "a merge pointer contradicts the claim of its pair and is not applied", "unresolved": "proposed identity claims touch this result and are not applied; rows shown apart may be one person"}
+        for name, pairs in zip(names, (held, no, open_), strict=True):
+            touching = pairs.select("u", "v", "status", F.explode(F.array("u", "v")).alias("person_id")).join(chosen, "person_id")
+            found = touching.groupBy("cluster_id").agg(F.array_sort(F.collect_set(F.struct(F.col("u").alias("person_a"), F.col("v").alias("person_b"), "status"))).alias(name))
+            if said[name] and not touching.isEmpty():
+                out.gaps.append(said[name])
+            if name == "decisions" and not touching.filter("status = 'legacy_merge'").isEmpty():
+                out.gaps.append("a merge without any claim is honoured as one of before the claims")
+            rows = rows.join(found, "cluster_id", "left").withColumn(name, F.coalesce(name, F.array().cast(pair)))
+        return rows
+
     def _cluster(self, name: str) -> DataFrame | None:
         """The members of the best match of a name: of most works, then the smaller id."""
         best = self.who(name, 1).rows

@@ -40,6 +40,11 @@ RULES = (
 NUMERIC_ABSENT = ("0", "-1", "-99", "99999999")
 TEXT_ABSENT = ("none", "null", "nil", "n/a", "na", "unknown", "undefined", "ghost", "deleted", "deleted-user", "anonymous", "unclaimed", "placeholder")
 
+# How old platform names are read: the same everywhere, the same within their source, names that may change.
+GLOBAL_STABLE = ("orcid", "viaf", "isni", "wikidata", "loc_authority", "library_of_congress", "ror")
+SOURCE_STABLE = ("github_id", "github_numeric_id", "github_user_id", "github_node_id", "youtube_channel_id", "openalex_author_id", "dblp_pid", "software_heritage_id")
+MUTABLE = ("github_login", "x_handle", "reddit_user", "mastodon_handle", "bluesky_handle", "youtube_handle", "username", "login", "handle")
+
 ELIGIBLE = tuple(r[0] for r in RULES if r[1] == "identifier" and r[3] == "unique" and r[6])
 UNIQUE = tuple(r[0] for r in RULES if r[3] == "unique")
 
@@ -56,6 +61,17 @@ def classified(frame: DataFrame, scheme: str = "scheme") -> DataFrame:
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in unknown.items()}).drop("_key", "_scheme")
 
 
+def platform_key(platform: Column) -> Column:
+    return F.replace(F.lower(F.trim(platform)), F.lit("-"), F.lit("_"))
+
+
+def semantics(platform: Column) -> Column:
+    """Scope, stability and uniqueness of an old platform's values; an unlisted or null one promises nothing."""
+    key = platform_key(platform)
+    of = lambda *v: F.struct(*[F.lit(x).alias(n) for x, n in zip(v, ("scope", "stability", "uniqueness"), strict=True)])
+    return F.when(key.isin(*GLOBAL_STABLE), of("global", "stable", "unique")).when(key.isin(*SOURCE_STABLE), of("source", "stable", "unique")).when(key.isin(*MUTABLE), of("source", "mutable", "unknown")).otherwise(of("source", "unknown", "unknown"))
+
+
 def auto_resolvable(scheme: Column) -> Column:
     return F.lower(F.trim(scheme)).isin(*ELIGIBLE)
 

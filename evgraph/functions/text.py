@@ -91,3 +91,36 @@ def before_slash(text: Column) -> Column:
 def after_slash(text: Column) -> Column:
     """All after the first slash, empty if there is none."""
     return F.when(F.contains(text, F.lit("/")), F.regexp_replace(text, r"^[^/]*/", "")).otherwise(F.lit(""))
+
+
+def html_escaped(value: Column) -> Column:
+    """A value as text of a page or of a quoted attribute; empty for null."""
+    out = F.coalesce(value.cast("string"), F.lit(""))
+    for plain, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        out = F.replace(out, F.lit(plain), F.lit(safe))
+    return out
+
+
+def strict_int(raw: Column, default: int | None = None) -> Column:
+    """The whole number that a text is, with a sign, single underscores between digits and white space around it allowed; the default
+    for a null or empty text; null for all else, and beyond 64 bits."""
+    digits = F.replace(F.regexp_replace(raw, r"^\s+|\s+$", ""), F.lit("_"), F.lit(""))
+    whole = F.when(raw.rlike(r"^\s*[+-]?[0-9]+(?:_[0-9]+)*\s*$"), digits.try_cast("bigint"))
+    return F.when(raw.isNull() | (raw == ""), F.lit(default).cast("bigint")).otherwise(whole)
+
+
+def repository_path(path: Column) -> Column:
+    """A path within a repository: forward slashes, no empty or `.` steps, no leading dots and slashes."""
+    steps = F.filter(F.split(F.replace(path, F.lit("\\"), F.lit("/")), "/"), lambda x: ~x.isin("", "."))
+    return F.regexp_replace(F.array_join(steps, "/"), "^[./]+", "")
+
+
+def path_matches(pattern: Column, path: Column) -> Column:
+    """Whether a path is one that a pattern owns: `root/**` is the root and all below it; else `*`, `?` and `[...]` as in a shell, where
+    `*` goes over slashes."""
+    whole, glob = repository_path(path), F.regexp_replace(F.replace(pattern, F.lit("\\"), F.lit("/")), "^[./]+", "")
+    root = F.regexp_replace(glob, r"/+\*\*$|/\*\*$", "")
+    within = (whole == root) | F.startswith(whole, F.concat(root, F.lit("/")))
+    quoted = F.regexp_replace(F.regexp_replace(glob, r"([\\.+^$(){}|])", r"\\$1"), r"\[!", "[^")
+    regex = F.concat(F.lit("^(?s:"), F.replace(F.replace(quoted, F.lit("*"), F.lit(".*")), F.lit("?"), F.lit(".")), F.lit(r")\z"))
+    return F.when(F.endswith(glob, F.lit("/**")), within).otherwise(F.rlike(whole, regex))

@@ -81,6 +81,70 @@ def candidates(entities: DataFrame, identifiers: DataFrame, scratch: Scratch | N
     )
 
 
+def evidence_scheme(evidence: Column) -> Column:
+    """The scheme of a candidate's shared identifiers, if it is one only."""
+    schemes = F.array_distinct(F.filter(F.transform(evidence, lambda e: F.substring_index(e, "=", 1)), lambda s: s.isin(*ELIGIBLE)))
+    return F.when(F.size(schemes) == 1, F.get(schemes, 0))
+
+
+CLAIM = ("claim_id", "person_a", "person_b", "method", "confidence", "evidence", "status", "decided_by", "created_at")
+
+
+def claims_written(claims: DataFrame, found: DataFrame, at: str, auto_accept: bool = False) -> DataFrame:
+    """The claim table (CLAIM) after candidates are written to it, with `action`: inserted, accepted (a stored claim that was not so
+    before) or kept.
+
+    A candidate's claim is that of its pair and method, of several the one of the least id. A stored claim changes only by
+    automatic acceptance, which only identifiers that may decide can give; all others, repeated ones too, stay as they are.
+    """
+    auto = F.lit(auto_accept) & (F.col("method") == "shared_external_id") & F.col("auto_eligible")
+    text = F.to_json(F.struct("conflicts", F.lit(VERSION).alias("method_version"), F.col("evidence").alias("positive"), evidence_scheme(F.col("evidence")).alias("scheme")), {"ignoreNullFields": "false"})
+    new = found.select(
+        stable_id("claim", F.col("entity_a").cast("string"), F.col("entity_b").cast("string"), F.col("method")).alias("claim_id"), F.col("entity_a").alias("person_a"), F.col("entity_b").alias("person_b"), "method", F.col("confidence").cast("double").alias("confidence"), text.alias("evidence"),
+        F.when(auto, "accepted").otherwise("proposed").alias("status"), F.when(auto, "identity:auto").alias("decided_by"), F.lit(at).alias("created_at"),
+    ).dropDuplicates(["person_a", "person_b", "method"])
+    keys = ["person_a", "person_b", "method"]
+    first = claims.groupBy(*keys).agg(F.min("claim_id").alias("_first"))
+    fresh = new.join(first, keys, "left_anti").withColumn("action", F.lit("inserted"))
+    lifted = new.filter("status = 'accepted'").join(first, keys).select(F.col("_first").alias("claim_id"), F.col("confidence").alias("_confidence"), F.col("evidence").alias("_evidence"), F.col("decided_by").alias("_by"))
+    yes = F.col("_by").isNotNull() & ~F.col("status").eqNullSafe("accepted")
+    pick = lambda a, b: F.when(yes, F.col(a)).otherwise(F.col(b))
+    stored = claims.select(*CLAIM).join(lifted, "claim_id", "left").select(
+        "claim_id", *keys, pick("_confidence", "confidence").alias("confidence"), pick("_evidence", "evidence").alias("evidence"), F.when(yes, "accepted").otherwise(F.col("status")).alias("status"), pick("_by", "decided_by").alias("decided_by"), "created_at", F.when(yes, "accepted").otherwise("kept").alias("action"),
+    )
+    return stored.select(*CLAIM, "action").unionByName(fresh.select(*CLAIM, "action"))
+
+
+def proposed(entities: DataFrame, identifiers: DataFrame, claims: DataFrame, at: str, auto_accept: bool = False, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
+    """A whole proposal run: candidates written to the claim table, and counts of them by method."""
+    scratch = scratch or Scratch(entities.sparkSession, "proposed")
+    found = scratch.write(candidates(entities, identifiers, scratch), "found")
+    return claims_written(claims, found, at, auto_accept), method_counts(found)
+
+
+def method_counts(found: DataFrame) -> DataFrame:
+    return found.groupBy("method").agg(F.count("*").alias("candidates"), F.count_if("auto_eligible").alias("auto_eligible"), F.count_if(F.size("conflicts") > 0).alias("conflicted"))
+
+
+def resolved(members: DataFrame, wanted: DataFrame) -> DataFrame:
+    """What each wanted entity_id stands for in a generation: its canonical member, whether that is another, and the cluster's members.
+    One that the generation doesn't hold has nulls."""
+    asked = wanted.select("entity_id").distinct()
+    hits = asked.join(members, "entity_id")
+    whole = members.join(hits.select("cluster_id").distinct(), "cluster_id", "left_semi").groupBy("cluster_id").agg(F.array_sort(F.collect_list("entity_id")).alias("members"))
+    return asked.join(hits.join(whole, "cluster_id"), "entity_id", "left").select("entity_id", "canonical_id", (F.col("entity_id") != F.col("canonical_id")).alias("redirected"), "cluster_id", "members")
+
+
+def inspected(wanted: DataFrame, entities: DataFrame, members: DataFrame, identifiers: DataFrame, found: DataFrame) -> DataFrame:
+    """All that is held of each wanted entity_id: its row, resolution, identifiers by scheme and value, and candidates by confidence."""
+    asked = wanted.select("entity_id").distinct()
+    ids = identifiers.join(asked, "entity_id", "left_semi").groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("scheme", "value", "valid_to"))).alias("identifiers"))
+    row = F.struct((-F.col("confidence")).alias("_order"), "candidate_id", "entity_a", "entity_b", "method", "confidence")
+    sides = found.select(F.explode(F.array("entity_a", "entity_b")).alias("entity_id"), row.alias("c")).join(asked, "entity_id", "left_semi")
+    near = sides.groupBy("entity_id").agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c.dropFields("_order")).alias("candidates"))
+    return resolved(members, asked).join(entities, "entity_id").join(ids, "entity_id", "left").join(near, "entity_id", "left")
+
+
 def review_queue(found: DataFrame, state: str = "all", limit: int = 100) -> DataFrame:
     rows = found if state == "all" else found.filter(F.col("review_state") == state)
     return rows.orderBy(F.desc("auto_eligible"), F.desc("confidence"), "candidate_id").limit(limit)

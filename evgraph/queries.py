@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import authors, dates, ids, text, urls
 from .functions.jsonx import digest
-from .operators import bridges, contracts, graph, identity, rollups, search
+from .operators import bridges, contracts, graph, identity, lanes, rollups, search
 from .operators.components import clusters
 from .plans.testbed import Testbed, sql
 from .sources import adapters, records
@@ -1011,4 +1011,150 @@ def v07_blocked_accepts(t: Testbed) -> DataFrame:
     return contracts.blocked_accepts(log, conflicts).select("event_id")
 
 
+# ---------------------------------------------------------------- lanes, the identity write path, old values
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'global' ELSE 'source' END AS scope, CASE c_custkey % 4 WHEN 0 THEN 'stable' WHEN 1 THEN 'stable' WHEN 2 THEN 'mutable' ELSE 'unknown' END AS stability,
+ CASE WHEN c_custkey % 4 < 2 THEN 'unique' ELSE 'unknown' END AS uniqueness FROM customer""")
+def f24_identifier_semantics(t: Testbed) -> DataFrame:
+    platforms = F.array(*[F.lit(p) for p in (" ORCID", "GitHub-ID", "x-handle", "made up")])
+    means = ids.semantics(F.get(platforms, (F.col("c_custkey") % 4).cast("int")))
+    return t.table("customer").select("c_custkey", means["scope"].alias("scope"), means["stability"].alias("stability"), means["uniqueness"].alias("uniqueness"))
+
+
+@query("SELECT p_partkey, starts_with(p_type, 'PROMO ') AS below, p_type LIKE 'STANDARD%BRUSHED%' AS shell FROM part")
+def f31_path_matches(t: Testbed) -> DataFrame:
+    path = F.replace("p_type", F.lit(" "), F.lit("/"))
+    return t.table("part").select("p_partkey", text.path_matches(F.lit("./PROMO/**"), path).alias("below"), text.path_matches(F.lit("STANDARD*BRUSHED*"), path).alias("shell"))
+
+
+@query("SELECT doc_id, replace(replace(replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(34), '&quot;'), chr(39), '&#x27;') AS escaped FROM documents")
+def f32_html_escaped(t: Testbed) -> DataFrame:
+    return t.table("documents").select("doc_id", text.html_escaped(F.col("text")).alias("escaped"))
+
+
+@query("SELECT c_custkey, CAST(CASE WHEN regexp_matches(c_phone, '^[0-9]+$') THEN c_phone END AS BIGINT) AS phone, CAST(c_custkey AS BIGINT) AS padded FROM customer")
+def f34_strict_int(t: Testbed) -> DataFrame:
+    padded = F.concat(F.lit(" +"), F.col("c_custkey").cast("string"), F.lit("\n"))
+    return t.table("customer").select("c_custkey", text.strict_int(F.col("c_phone")).alias("phone"), text.strict_int(padded).alias("padded"))
+
+
+@query("SELECT person_id, CAST(1 AS BIGINT) AS identifiers, CAST(CASE WHEN birth_year IS NULL THEN 1 ELSE 2 END AS BIGINT) AS attributes FROM person", "person")
+def e25_legacy_values(t: Testbed) -> DataFrame:
+    from .sources.imports import legacy_values
+
+    of = lambda p, v: F.struct(F.lit(p).alias("platform"), F.col(v).cast("string").alias("value"))
+    each = t.person().select("person_id", F.explode(F.array(of("GitHub-Login", "person_id"), of("Real-Name", "name"), of("bio", "birth_year"))).alias("x")).select("person_id", "x.*", F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("string").alias("source"))
+    found, described = legacy_values(each.filter("value IS NOT NULL"))
+    return found.join(described, "person_id", "full").select("person_id", F.size("identifiers").cast("long").alias("identifiers"), F.size("attributes").cast("long").alias("attributes"))
+
+
+@query("SELECT c_custkey AS entity_id, CAST(CASE WHEN c_custkey % 2 = 0 THEN 10 ELSE 11 END AS BIGINT) AS missing FROM customer")
+def h01_missing_fields(t: Testbed) -> DataFrame:
+    from .sources.imports import missing_fields
+
+    people = t.table("customer").select(F.col("c_custkey").alias("entity_id"))
+    receipts = people.filter("entity_id % 2 = 0").select("entity_id", F.lit("github_api").alias("source"), F.lit("bio").alias("field"))
+    old = people.select(F.col("entity_id").alias("person_id"), F.lit("github_login").alias("platform"))
+    return missing_fields(people, receipts, old).select("entity_id", F.size("fields").cast("long").alias("missing"))
+
+
+@query("SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'viaf' WHEN 1 THEN NULL ELSE 'orcid' END AS scheme FROM customer")
+def h03_evidence_scheme(t: Testbed) -> DataFrame:
+    kinds = F.when(F.col("c_custkey") % 3 == 0, F.array(F.lit("name=x"), F.lit("viaf=1"))).when(F.col("c_custkey") % 3 == 1, F.array(F.lit("orcid=1"), F.lit("viaf=1"))).otherwise(F.array(F.lit("orcid=1"), F.lit("orcid=2")))
+    return t.table("customer").select("c_custkey", identity.evidence_scheme(kinds).alias("scheme"))
+
+
+@query("""SELECT l_orderkey, l_linenumber FROM lineitem JOIN part ON l_partkey = p_partkey
+ WHERE (l_linenumber = 1 AND p_size % 4 NOT IN (0, 1)) OR (l_linenumber <> 1 AND p_size % 2 = 1)""")
+def v08_scheme_contradictions(t: Testbed) -> DataFrame:
+    classes = F.array(*[F.lit(c) for c in ("unique", "conditional", "non_unique", "unknown")])
+    schemes = t.table("part").select(F.col("p_partkey").alias("scheme_id"), F.get(classes, F.col("p_size") % 4).alias("uniqueness_class"), F.when(F.col("p_size") % 2 == 1, "mutable").otherwise("stable").alias("mutability_class"))
+    first = F.col("l_linenumber") == 1
+    given = t.table("lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("scheme_id"), F.when(first, "unique").otherwise("non_unique").alias("uniqueness"), F.when(first, "mutable").otherwise("stable").alias("stability"))
+    return lanes.scheme_contradictions(given, schemes).select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT p_partkey FROM part WHERE p_size % 5 = 0 AND NOT (p_size % 2 = 0 AND p_size % 3 = 0)")
+def v08_unfit_schemes(t: Testbed) -> DataFrame:
+    size = F.col("p_size")
+    rows = t.table("part").select("p_partkey", (size % 5 == 0).alias("auto_resolution_eligible"), F.when(size % 2 == 0, "unique").otherwise("unknown").alias("uniqueness_class"), F.when(size % 3 == 0, "stable").otherwise("mutable").alias("mutability_class"))
+    return lanes.unfit_schemes(rows).select("p_partkey")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem JOIN part ON l_partkey = p_partkey WHERE NOT starts_with(p_type, 'PROMO')")
+def v10_wrong_kind(t: Testbed) -> DataFrame:
+    entities = t.table("part").select(F.col("p_partkey").alias("entity_id"), F.when(F.startswith("p_type", F.lit("PROMO")), "work").otherwise("concept").alias("entity_kind"))
+    return lanes.wrong_kind(t.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey", entities).select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT 'P2' AS severity, count(*) AS n FROM (SELECT l_partkey FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) > 1) HAVING count(*) > 0")
+def a23_severity_counts(t: Testbed) -> DataFrame:
+    changes = t.table("lineitem").select(F.col("l_suppkey").alias("request"), F.col("l_partkey").cast("string").alias("path"))
+    return lanes.severity_counts(bridges.merge_risk(changes))
+
+
+def lane_records(t: Testbed, **parts) -> DataFrame:
+    """Events as records of a lane; `parts` are JSON texts put into each."""
+    day = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    before = F.when(F.col("event_id") % 7 == 0, F.lit("1990-01-01T00:00:00Z")).otherwise(day)
+    source = F.struct(F.lit("s").alias("source_id"), F.lit("p").alias("snapshot_id"), F.col("event_id").cast("string").alias("record_native_id"), day.alias("observed_at"), before.alias("retrieved_at"), F.lit("t").alias("terms_revision"), F.lit("open_data").alias("rights_state"), F.sha2(F.col("event_id").cast("string"), 256).alias("payload_sha256"))
+    head = F.to_json(F.struct(F.lit("pg-observation-0.1").alias("envelope_version"), source.alias("source"), F.lit("x").alias("raw_pointer")))
+    tail = F.concat(*[F.concat(F.lit(f', "{k}": '), v) for k, v in parts.items()], F.lit(', "subject": {"kind": "event", "source_native_id": "n", "label": "", "attributes": {}}}'))
+    return t.observations().select("event_id", F.concat(F.regexp_replace(head, r"\}$", ""), tail).alias("raw"))
+
+
+@query("""SELECT event_id, CAST(CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) AS late, CAST(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS agents, CAST(CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END + CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS issues FROM events""")
+def v02_software_issues(t: Testbed) -> DataFrame:
+    agent = F.when(F.col("event_id") % 3 == 0, "work").otherwise("account")
+    contributions = F.concat(F.lit('[{"role": "r", "observed_at": "2024-01-01T00:00:00Z", "agent": {"kind": "'), agent, F.lit('", "source_native_id": "a", "label": ""}}]'))
+    checked = lanes.lane_issues(lane_records(t, identifiers=F.lit("[]"), contributions=contributions, relationships=F.lit("[]"), evidence=F.lit("[]")), "raw", "software")
+    count = lambda code: F.size(F.filter("issues", lambda i: i["code"] == code)).cast("long")
+    return checked.select("event_id", count("source.time_order").alias("late"), count("agent.kind").alias("agents"), F.size("issues").cast("long").alias("issues"))
+
+
+@query("""SELECT event_id, CAST(CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) AS twice, CAST(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS models, CAST(CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END + CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS issues FROM events""")
+def v03_creator_issues(t: Testbed) -> DataFrame:
+    one = lambda v: F.concat(F.lit('{"scheme": "ORCID", "scope": "global", "stability": "stable", "uniqueness": "unique", "evidence": "e", "value": "'), v.cast("string"), F.lit('"}'))
+    identifiers = F.concat(F.lit("["), one(F.col("event_id")), F.lit(","), one(F.when(F.col("event_id") % 5 == 0, F.col("event_id")).otherwise(-1)), F.lit("]"))
+    evidence = F.concat(F.lit('[{"kind": "k", "locator": "l", "inference": '), F.when(F.col("event_id") % 3 == 0, "false").otherwise("true"), F.lit(', "model": {"name": "m", "version": "1", "input_sha256": "'), F.sha2(F.lit("x"), 256), F.lit('"}}]'))
+    checked = lanes.lane_issues(lane_records(t, identifiers=identifiers, contributions=F.lit("[]"), relationships=F.lit("[]"), evidence=evidence), "raw", "creators")
+    count = lambda code: F.size(F.filter("issues", lambda i: i["code"] == code)).cast("long")
+    return checked.select("event_id", count("identifier.duplicate").alias("twice"), count("evidence.model_not_inference").alias("models"), F.size("issues").cast("long").alias("issues"))
+
+
+@query("""SELECT CASE WHEN c_custkey % 2 = 0 THEN 'old:' || c_custkey ELSE 'new' END AS claim, CASE WHEN c_custkey % 3 = 0 THEN 'accepted' WHEN c_custkey % 2 = 0 AND c_custkey % 5 = 0 THEN 'rejected' ELSE 'proposed' END AS status,
+ CASE WHEN c_custkey % 2 = 1 THEN 'inserted' WHEN c_custkey % 3 = 0 THEN 'accepted' ELSE 'kept' END AS action, c_custkey FROM customer""")
+def g22_claims_written(t: Testbed) -> DataFrame:
+    key = F.col("c_custkey")
+    found = t.table("customer").select(key.cast("string").alias("entity_a"), F.lit("z").alias("entity_b"), F.lit("shared_external_id").alias("method"), F.lit(0.995).alias("confidence"), (key % 3 == 0).alias("auto_eligible"), F.array(F.lit("viaf=1")).alias("evidence"), F.array().cast("array<string>").alias("conflicts"))
+    old = t.table("customer").filter("c_custkey % 2 = 0").select(F.concat(F.lit("old:"), key).alias("claim_id"), key.cast("string").alias("person_a"), F.lit("z").alias("person_b"), F.lit("shared_external_id").alias("method"), F.lit(0.5).alias("confidence"), F.lit("{}").alias("evidence"), F.when(key % 5 == 0, "rejected").otherwise("proposed").alias("status"), F.lit(None).cast("string").alias("decided_by"), F.lit("2020").alias("created_at"))
+    out = identity.claims_written(old, found, "2024", auto_accept=True)
+    return out.select(F.when(F.startswith("claim_id", F.lit("old:")), F.col("claim_id")).otherwise("new").alias("claim"), "status", "action", F.col("person_a").cast("long").alias("c_custkey"))
+
+
+@query("SELECT entity_id, min(entity_id) OVER (PARTITION BY digest) AS canonical_id, entity_id <> min(entity_id) OVER (PARTITION BY digest) AS redirected, count(*) OVER (PARTITION BY digest) AS members FROM entities", "entities")
+def g20_resolved(t: Testbed) -> DataFrame:
+    people = t.entities()
+    least = people.groupBy("digest").agg(F.min("entity_id").alias("canonical_id"))
+    members = people.join(least, "digest").select("entity_id", F.col("digest").alias("cluster_id"), "canonical_id")
+    return identity.resolved(members, people).select("entity_id", "canonical_id", "redirected", F.size("members").cast("long").alias("members"))
+
+
+@query("""SELECT person_a, person_b, CASE WHEN k % 4 = 0 THEN 'accepted' WHEN k % 4 = 3 THEN 'rejected' ELSE 'proposed' END AS review_state FROM (SELECT 'c:' || c_custkey AS person_a, 'd:' || c_custkey AS person_b, c_custkey AS k FROM customer)""")
+def e27_imported_claims(t: Testbed) -> DataFrame:
+    from .sources.imports import import_people
+
+    k = F.col("c_custkey")
+    base = t.table("customer")
+    person = base.select(F.concat(F.lit("c:"), k).alias("person_id"), F.col("c_name").alias("name")).unionByName(base.select(F.concat(F.lit("d:"), k).alias("person_id"), F.col("c_name").alias("name")))
+    person = person.select("*", *[F.lit(None).cast("string").alias(c) for c in ("kind", "origin", "state")], *[F.lit(None).cast("int").alias(c) for c in ("birth_year", "death_year")])
+    # a fourth of the claims each: by a scheme that may decide, by one that may not, of nobody, and rejected
+    proof = F.when(k % 4 == 0, "orcid=0000").when(k % 4 == 1, "company=x").otherwise("{}")
+    claims = base.select(k.cast("string").alias("claim_id"), F.concat(F.lit("d:"), k).alias("person_a"), F.concat(F.lit("c:"), k).alias("person_b"), F.when(k % 4 < 2, "shared_external_id").otherwise("exact_name").alias("method"), F.lit(0.9).alias("confidence"), proof.alias("evidence"), F.when(k % 4 == 3, "rejected").otherwise("accepted").alias("status"), F.lit(None).cast("string").alias("decided_by"))
+    old = person.select("person_id", F.lit("github_login").alias("platform"), F.col("name").alias("value"), F.lit(1.0).alias("confidence"), F.lit(None).cast("string").alias("source"))
+    found = import_people(person, old, claims, "2024-01-01T00:00:00Z").candidates
+    return found.select(F.col("entity_a").alias("person_a"), F.col("entity_b").alias("person_b"), "review_state")
+
+
 FLAGSHIP = a04_person_layers

@@ -7,7 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ids import absent, classified, normalised, observation_id
+from ..functions.ids import ELIGIBLE, absent, classified, normalised, observation_id, platform_key, semantics, stable_id
+from ..operators.contracts import ATTRIBUTES as DESCRIPTIVE
+from ..operators.identity import accept
+from ..plans.scratch import Scratch
 
 PROFILE = ("name", "company", "location", "bio", "blog", "twitter_username", "type", "followers", "created_at")
 # Under which attribute a profile's field is kept.
@@ -82,3 +85,91 @@ def with_policy(frame: DataFrame, registry: DataFrame, source: Column | str = "s
 def stale(frame: DataFrame, registry: DataFrame, now: str) -> DataFrame:
     """Rows (source_id, retrieved_at) past their source's refresh window."""
     return with_policy(frame, registry).filter(F.col("refresh_days").isNotNull() & (F.try_to_timestamp(F.lit(now)) > F.try_to_timestamp("retrieved_at") + F.make_interval(days=F.col("refresh_days"))))
+
+
+# Which field of a profile an old platform's value answers.
+LEGACY_FIELDS = {"github_id": "id", "github_node_id": "node_id", "github_login": "login", "real_name": "name", "x_handle": "twitter_username", "website": "blog", "company": "company", "location": "location", "biography": "bio"}
+REQUIRED = ("id", "node_id", "login", *PROFILE)
+
+
+def missing_fields(people: DataFrame, receipts: DataFrame, external_ids: DataFrame) -> DataFrame:
+    """(entity_id, fields): what is still to be asked of each account (entity_id): the profile's fields without a receipt (entity_id,
+    source, field) of that source and without an old value (person_id, platform). Those that lack nothing are left out."""
+    fields = F.create_map(*[F.lit(x) for pair in LEGACY_FIELDS.items() for x in pair])
+    legacy = external_ids.select(F.col("person_id").alias("entity_id"), fields[F.col("platform")].alias("field")).filter("field IS NOT NULL")
+    seen = receipts.filter("source = 'github_api'").select("entity_id", "field").unionByName(legacy).groupBy("entity_id").agg(F.collect_set("field").alias("seen"))
+    wanted = F.array(*[F.lit(f) for f in REQUIRED])
+    left = people.select("entity_id").distinct().join(seen, "entity_id", "left").select("entity_id", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))).alias("fields"))
+    return left.filter(F.size("fields") > 0)
+
+
+def legacy_values(external_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Old values (person_id, platform, value, confidence, source) as identifiers and as attributes of each person: a name, a place or
+    a text about a person never becomes an identifier."""
+    by = F.coalesce("source", F.lit("unknown"))
+    rows = external_ids.withColumn("_described", F.coalesce(platform_key(F.col("platform")).isin(*DESCRIPTIVE), F.lit(False)))
+    means = semantics(F.col("platform"))
+    said = F.concat(F.lit("legacy external_ids literal; source="), by, F.lit("; confidence="), F.coalesce(F.col("confidence").cast("string"), F.lit("None")))
+    one = F.struct(F.col("platform").alias("scheme"), F.col("value").cast("string").alias("value"), means["scope"].alias("scope"), means["stability"].alias("stability"), means["uniqueness"].alias("uniqueness"), said.alias("evidence"))
+    other = F.struct(F.col("platform").alias("field"), F.col("value").cast("string").alias("value"), by.alias("source"), "confidence")
+    return rows.filter("NOT _described").groupBy("person_id").agg(F.array_sort(F.collect_list(one)).alias("identifiers")), rows.filter("_described").groupBy("person_id").agg(F.array_sort(F.collect_list(other)).alias("attributes"))
+
+
+def legacy_scheme(evidence: Column) -> Column:
+    """The scheme that an old claim's evidence names: of a JSON object its `scheme` or `platform`, or the one scheme of all its
+    `positive` entries; of other texts what stands before the first `=`."""
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(evidence)).startswith("OBJECT"), F.lit(False))
+    field = lambda k: F.nullif(F.get_json_object(evidence, f"$.{k}"), F.lit(""))
+    positive = F.from_json(F.get_json_object(evidence, "$.positive"), "array<struct<scheme:string>>")
+    schemes = F.array_distinct(F.transform(F.filter(positive, lambda x: F.coalesce(x["scheme"] != "", F.lit(False))), lambda x: F.lower(x["scheme"])))
+    only = F.when(F.size(schemes) == 1, F.get(schemes, 0))
+    return F.when(is_object, F.coalesce(F.lower(F.coalesce(field("scheme"), field("platform"))), only)).otherwise(F.lower(F.nullif(F.regexp_extract(evidence, r"^([A-Za-z0-9_.:-]+)=", 1), F.lit(""))))
+
+
+@dataclass
+class People:
+    """A person graph in the identity store: `candidates` are its claims after review of their grounds, `decisions` those that hold."""
+
+    store: Store
+    candidates: DataFrame
+    decisions: DataFrame
+
+
+def import_people(person: DataFrame, external_ids: DataFrame, claims: DataFrame, at: str, scratch: Scratch | None = None) -> People:
+    """A person graph's rows, old values and claims in the identity store.
+
+    person: person_id, name, kind, origin, birth_year, death_year, state. external_ids: person_id, platform, value, confidence, source.
+    claims: claim_id, person_a, person_b, method, confidence, evidence, status, decided_by. Old values go by the registry: those of
+    unknown platforms are kept as attributes. An accepted claim stays so if its shared identifier may decide, or if a reviewer is
+    named and it doesn't rest on a shared identifier; and only if no cluster would then hold two values of a unique scheme. All
+    others go back to review, with the reason in `quarantined`. A claim of a person with themselves is left out.
+    """
+    scratch = scratch or Scratch(person.sparkSession, "imported")
+    entities = person.select(F.col("person_id").alias("entity_id"), F.col("name").alias("label"), F.coalesce("kind", F.lit("unknown")).alias("kind"), "origin", "birth_year", "death_year", F.col("state").alias("source_state")).dropDuplicates(["entity_id"])
+    each = classified(external_ids.select(F.col("person_id").alias("entity_id"), "platform", F.lower(F.trim("platform")).alias("scheme"), F.col("value").alias("raw"), "confidence", F.coalesce("source", F.lit("external_ids")).alias("source")))
+    each = scratch.write(each.withColumn("value", normalised(F.col("scheme"), F.col("raw"))), "values")
+    none = F.lit(None).cast("string").alias("valid_to")
+    ids = scratch.write(each.filter((F.col("category") == "identifier") & (F.col("value") != "")).select("entity_id", "scheme", "value", "uniqueness", "auto_eligible", absent(F.col("scheme"), F.col("value")).alias("absent"), F.lit(at).alias("observed_at"), none).dropDuplicates(["entity_id", "scheme", "value"]), "identifiers")
+    account = ids.filter("scheme = 'github_id'").groupBy("entity_id").agg(F.max("value").alias("_account"))
+    tied = (F.col("scheme") == "github_login") & F.col("_account").isNotNull()
+    aliases = each.filter((F.col("category") == "alias") & (F.col("value") != "")).join(account, "entity_id", "left").select("entity_id", "scheme", F.col("value").alias("alias"), F.lit(at).alias("observed_at"), F.when(tied, "github_id").alias("stable_identifier_scheme"), F.when(tied, F.col("_account")).alias("stable_identifier_value")).dropDuplicates(["entity_id", "scheme", "alias"])
+    named = F.when(F.col("category").isin("attribute", "metric"), F.col("platform")).otherwise(F.concat(F.lit("legacy_external_id:"), "platform"))
+    attributes = each.filter(~F.col("category").isin("identifier", "alias")).select("entity_id", named.alias("attribute"), F.col("raw").alias("value"), F.lit(at).alias("observed_at"), F.sha2("raw", 256).alias("payload_sha256"))
+
+    shared = F.col("method") == "shared_external_id"
+    rows = claims.filter("person_a <> person_b").withColumns({"entity_a": F.least("person_a", "person_b"), "entity_b": F.greatest("person_a", "person_b"), "scheme": F.when(shared, legacy_scheme(F.col("evidence")))})
+    safe = F.coalesce(F.col("scheme").isin(*ELIGIBLE), F.lit(False))
+    state = F.when(F.col("status").isin("proposed", "accepted", "rejected"), F.col("status")).otherwise("proposed")
+    holds = F.when(shared, safe).otherwise(F.coalesce(F.col("decided_by") != "", F.lit(False)))
+    rows = rows.withColumns({"review_state": F.when((state == "accepted") & ~holds, "proposed").otherwise(state), "auto_eligible": safe, "quarantined": F.when((state == "accepted") & ~holds, F.when(shared, "legacy_noneligible_external_id").otherwise("no_reviewer"))})
+    rows = scratch.write(rows.withColumn("candidate_id", stable_id("legacy-cand", F.col("entity_a").cast("string"), F.col("entity_b").cast("string"), F.col("method"))), "claims")
+    strongest = rows.groupBy("candidate_id", "entity_a", "entity_b", "method").agg(F.max_by(F.struct("review_state", "quarantined", "confidence", "auto_eligible", "scheme", "claim_id", "decided_by"), F.struct((F.col("review_state") != "proposed").cast("int"), F.col("claim_id").cast("string"))).alias("c")).select("candidate_id", "entity_a", "entity_b", "method", "c.*")
+    # sequential in meaning, so the import accepts as any batch does: components that hold a conflict replay their edges in order
+    log = strongest.filter(F.lit(False)).select(F.lit("").alias("decision_id"), "candidate_id", "entity_a", "entity_b", F.lit("").alias("outcome"), F.lit(True).alias("active"), F.lit(0).cast("long").alias("seq"))
+    judged = accept(strongest.filter("review_state = 'accepted'").withColumn("conflicts", F.array().cast("array<string>")), log, ids, scratch)
+    refused = judged.filter("verdict <> 'accepted'").select("candidate_id", F.lit("legacy_transitive_identifier_conflict").alias("_refused"))
+    final = strongest.join(refused, "candidate_id", "left").withColumns({"review_state": F.when(F.col("_refused").isNotNull(), "proposed").otherwise(F.col("review_state")), "quarantined": F.coalesce("_refused", "quarantined")}).drop("_refused")
+    final = scratch.write(final, "candidates")
+    by = F.coalesce(F.nullif("decided_by", F.lit("")), F.when(F.col("auto_eligible"), "legacy-safe-auto").otherwise("legacy-review"))
+    decisions = final.filter("review_state <> 'proposed'").select(stable_id("legacy-decision", F.col("claim_id").cast("string"), F.col("candidate_id"), F.col("review_state")).alias("decision_id"), "candidate_id", "entity_a", "entity_b", F.col("review_state").alias("outcome"), F.lit(True).alias("active"), F.lit(1).cast("long").alias("seq"), by.alias("decided_by"))
+    return People(Store(entities, ids, aliases, attributes), final, decisions)

@@ -13,6 +13,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from ..functions.jsonx import canonical, ld_blocks, ld_nodes
+from ..operators.contracts import ENVELOPE, envelope_issues
+from ..operators.lanes import lane_issues
+
+# Where whole envelopes may be.
+SEAM_TABLES = ("source_observation", "source_observations", "observation", "observations", "source_record")
+SEAM_COLUMNS = ("envelope_json", "observation_json", "record_json", "payload_json")
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -25,9 +31,60 @@ def read_ndjson(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files with their number in their file; a file is read by one task, as line numbers need."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select("path", F.posexplode(F.split(F.decode("content", "UTF-8"), "\r?\n")).alias("n", "line")).select("path", (F.col("n") + 1).alias("line_number"), "line").filter(F.trim("line") != "")
+    """Lines of text files with their number in their file, blank ones counted and left out.
+
+    Files are read in blocks by as many tasks as they need: a line's number is its place in its block, by the scan's own running id,
+    and the lines of the blocks before it.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line"))
+    before = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("path", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return lines.join(blocks, ["path", "_block"]).select("path", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_number"), "line").filter(F.trim("line") != "")
+
+
+def read_checked(spark: SparkSession, path: str, lane: str | None = None) -> DataFrame:
+    """Records of NDJSON files (path, line_number, line, issues) with all issues of each, by the shared contract or by a lane's rules; a
+    line that is no JSON object has the one issue `record.object`."""
+    lines = numbered_lines(spark, path)
+    if lane is not None:
+        return lane_issues(lines, "line", lane)
+    parsed = lines.withColumn("_r", F.from_json("line", ENVELOPE)).select("path", "line_number", "line", "_r.*")
+    whole = F.coalesce(F.schema_of_variant(F.try_parse_json("line")).startswith("OBJECT"), F.lit(False))
+    none = F.array(F.struct(F.lit("record.object").alias("code"), F.lit("$").alias("path")))
+    return envelope_issues(parsed, "line").select("path", "line_number", "line", F.when(whole, F.col("issues")).otherwise(none).alias("issues"))
+
+
+def write_checked(records: DataFrame, raw: str, path: str, lane: str | None = None) -> None:
+    """Records given as JSON text as canonical NDJSON, if none has an issue; else nothing is written."""
+    checked = lane_issues(records, raw, lane) if lane is not None else envelope_issues(records.withColumn("_r", F.from_json(raw, ENVELOPE)).select(F.col(raw).alias("_raw"), "_r.*"), "_raw").withColumnRenamed("_raw", raw)
+    bad = checked.filter(F.size("issues") > 0).select("issues").first()
+    if bad is not None:
+        raise ValueError(f"invalid record: {bad['issues'][0]['code']} at {bad['issues'][0]['path']}")
+    checked.select(canonical(F.col(raw)).alias("value")).write.mode("overwrite").text(path)
+
+
+def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Whole files of one JSON value each, or of an array of rows."""
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+
+
+def receipts(spark: SparkSession, path: str) -> DataFrame:
+    """(name, sha256) of each file as it is stored."""
+    return spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"))
+
+
+def json_seam(tables: dict[str, DataFrame]) -> tuple[str, str] | None:
+    """The first table and column, of those known to, that hold whole envelopes as JSON text."""
+    return next(((t, c) for t in SEAM_TABLES if t in tables for c in SEAM_COLUMNS if c in tables[t].columns), None)
+
+
+def seam_records(tables: dict[str, DataFrame]) -> DataFrame:
+    """Envelopes of a database's seam as text (`raw`) with their issues."""
+    found = json_seam(tables)
+    if found is None:
+        raise ValueError("no table holds whole envelopes")
+    rows = tables[found[0]].select(F.col(found[1]).alias("raw"))
+    return envelope_issues(rows.withColumn("_r", F.from_json("raw", ENVELOPE)).select("raw", "_r.*"), "raw").select("raw", "issues")
 
 
 def write_ndjson(frame: DataFrame, path: str, order: list[str | Column] | None = None) -> None:
