@@ -1022,10 +1022,10 @@ def f24_identifier_semantics(t: Testbed) -> DataFrame:
     return t.table("customer").select("c_custkey", means["scope"].alias("scope"), means["stability"].alias("stability"), means["uniqueness"].alias("uniqueness"))
 
 
-@query("SELECT p_partkey, starts_with(p_type, 'PROMO ') AS below, p_type LIKE 'STANDARD%BRUSHED%' AS shell FROM part")
+@query("SELECT p_partkey, p_type = 'PROMO' AS below, starts_with(p_type, 'S') AND regexp_full_match(p_brand, '[^#]*#[^1].') AS shell FROM part")
 def f31_path_matches(t: Testbed) -> DataFrame:
-    path = F.replace("p_type", F.lit(" "), F.lit("/"))
-    return t.table("part").select("p_partkey", text.path_matches(F.lit("./PROMO/**"), path).alias("below"), text.path_matches(F.lit("STANDARD*BRUSHED*"), path).alias("shell"))
+    path = F.concat(F.lit("./"), F.concat_ws("/", "p_type", "p_brand", F.lit("x.py")))
+    return t.table("part").select("p_partkey", text.path_matches(F.lit("./PROMO/**"), path).alias("below"), text.path_matches(F.lit("S*/*#[!1]?/*.py"), path).alias("shell"))
 
 
 @query("SELECT doc_id, replace(replace(replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(34), '&quot;'), chr(39), '&#x27;') AS escaped FROM documents")
@@ -1033,10 +1033,11 @@ def f32_html_escaped(t: Testbed) -> DataFrame:
     return t.table("documents").select("doc_id", text.html_escaped(F.col("text")).alias("escaped"))
 
 
-@query("SELECT c_custkey, CAST(CASE WHEN regexp_matches(c_phone, '^[0-9]+$') THEN c_phone END AS BIGINT) AS phone, CAST(c_custkey AS BIGINT) AS padded FROM customer")
+@query("SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN CAST(c_custkey AS BIGINT) WHEN 1 THEN CAST(7 AS BIGINT) END AS given, CAST(-1000 - c_custkey AS BIGINT) AS padded FROM customer")
 def f34_strict_int(t: Testbed) -> DataFrame:
-    padded = F.concat(F.lit(" +"), F.col("c_custkey").cast("string"), F.lit("\n"))
-    return t.table("customer").select("c_custkey", text.strict_int(F.col("c_phone")).alias("phone"), text.strict_int(padded).alias("padded"))
+    key = F.col("c_custkey")
+    given = F.when(key % 3 == 0, F.concat(F.lit(" +"), key.cast("string"), F.lit("\n"))).when(key % 3 == 1, "").otherwise(F.concat(key.cast("string"), F.lit(".0")))
+    return t.table("customer").select("c_custkey", text.strict_int(given, 7).alias("given"), text.strict_int(F.regexp_replace((-1000 - key).cast("string"), "^-(.)", "-$1_")).alias("padded"))
 
 
 @query("SELECT person_id, CAST(1 AS BIGINT) AS identifiers, CAST(CASE WHEN birth_year IS NULL THEN 1 ELSE 2 END AS BIGINT) AS attributes FROM person", "person")
