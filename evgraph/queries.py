@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import authors, dates, ids, text, urls
 from .functions.jsonx import digest
-from .operators import bridges, contracts, graph, identity, lanes, rollups, search
+from .operators import bridges, contracts, graph, identity, lanes, metrics, rollups, search
 from .operators.components import clusters
 from .plans.testbed import Testbed, sql
 from .sources import adapters, records
@@ -1158,4 +1158,46 @@ def e27_imported_claims(t: Testbed) -> DataFrame:
     return found.select(F.col("entity_a").alias("person_a"), F.col("entity_b").alias("person_b"), "review_state")
 
 
+@query("""SELECT 'records_by_source' AS metric, 'events' AS key, count(*) AS n FROM events UNION ALL SELECT 'subjects_by_kind', 'event', count(*) FROM events UNION ALL SELECT 'rights_states', 'open_data', count(*) FROM events
+ UNION ALL SELECT 'identifier_schemes', 'github_event_id', count(*) FROM events UNION ALL SELECT 'relationship_types', 'performed_by', count(*) FROM events UNION ALL SELECT 'relationship_types', 'occurred_on', count(*) FROM events""")
+def a18_counters(t: Testbed) -> DataFrame:
+    return metrics.counters(event_envelopes(t))
+
+
+@query("""SELECT count(*) AS records, CAST(1 AS BIGINT) AS sources, CAST(0 AS BIGINT) AS contribution_edges, CAST(2 * count(*) AS BIGINT) AS relationship_edges, CAST(count(*) AS BIGINT) AS identifier_observations, count(*) AS temporal_events,
+ count(DISTINCT event_id) AS stable_unique_identifiers, CAST(100.0 AS DOUBLE) AS rights_percent, CAST(0.0 AS DOUBLE) AS license_percent FROM events""")
+def a18_software_summary(t: Testbed) -> DataFrame:
+    return metrics.software_summary(event_envelopes(t)).select("records", "sources", "contribution_edges", "relationship_edges", "identifier_observations", "temporal_events", "stable_unique_identifiers", F.col("rights_percent").cast("double").alias("rights_percent"), F.col("license_percent").cast("double").alias("license_percent"))
+
+
+@query("SELECT count(*) AS records, count(*) AS works_and_appearances, CAST(0 AS BIGINT) AS contribution_edges, count(DISTINCT event_id) AS unique_source_subjects, CAST(0 AS BIGINT) AS candidates FROM events")
+def a20_creator_summary(t: Testbed) -> DataFrame:
+    return metrics.creator_summary(event_envelopes(t)).select("records", "works_and_appearances", "contribution_edges", "unique_source_subjects", "candidates")
+
+
+@query("SELECT 'pkg:pypi/' || lower(replace(p_brand, '#', '')) || '-' || p_partkey AS subject, CAST(2 AS INTEGER) AS ids FROM part UNION ALL SELECT 'pkg:pypi/' || lower(replace(p_brand, '#', '')) || '-' || p_partkey || '@1.' || p_size, CAST(1 AS INTEGER) FROM part")
+def e05_pypi_envelopes(t: Testbed) -> DataFrame:
+    none = F.lit(None)
+    rows = t.table("part").select(F.concat_ws("_", F.replace("p_brand", F.lit("#"), F.lit("")), "p_partkey").alias("name"), *[none.cast("string").alias(c) for c in ("summary", "license", "requires_python")], none.cast("boolean").alias("abandoned"), none.cast(adapters.OWNERS).alias("owners"), none.cast(adapters.PLACES).alias("source_repositories"), F.array(F.struct(F.concat(F.lit("1."), "p_size").alias("version"), none.cast("string").alias("published_at"))).alias("versions"))
+    return adapters.pypi_packages(rows, SOURCE).select(F.col("subject.source_native_id").alias("subject"), F.size("identifiers").alias("ids"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS subject, CAST(count(*) AS INTEGER) AS authors, CAST(max(l_linenumber) AS INTEGER) AS last FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey")
+def e16_catalogue_works(t: Testbed) -> DataFrame:
+    lines = t.table("lineitem").groupBy(F.col("l_orderkey").cast("string").alias("id")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey"))).alias("l"))
+    none = lambda *c: [F.lit(None).cast("string").alias(x) for x in c]
+    author = lambda x: F.struct(F.struct(x["l_suppkey"].cast("string").alias("id"), x["l_linenumber"].cast("string").alias("display_name"), F.lit(None).cast("string").alias("orcid")).alias("author"))
+    e = adapters.catalogue_works(lines.select("id", *none("display_name", "title", "type", "publication_date", "updated_date", "doi"), F.transform("l", author).alias("authorships")), SOURCE)
+    return e.select(F.col("subject.source_native_id").alias("subject"), F.size("contributions").alias("authors"), F.element_at("contributions", -1)["agent"]["label"].cast("int").alias("last"))
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS subject, CASE WHEN event_id % 2 = 0 THEN 'host' ELSE 'guest' END AS role, CAST(user_id AS VARCHAR) AS person FROM events")
+def e12_podcast_episodes(t: Testbed) -> DataFrame:
+    none = lambda *c: [F.lit(None).cast("string").alias(x) for x in c]
+    person = F.struct(F.col("user_id").cast("string").alias("id"), F.lit("n").alias("name"), F.lit(None).cast("string").alias("href"), F.when(F.col("event_id") % 2 == 0, "Host").alias("role"))
+    e = adapters.podcast_episodes(t.observations().select(F.col("event_id").cast("string").alias("id"), *none("guid", "enclosure_url", "title", "feed_id", "feed_title", "transcript_url"), F.array(person).alias("persons")), SOURCE)
+    first = F.element_at("contributions", 1)
+    return e.select(F.col("subject.source_native_id").alias("subject"), first["role"].alias("role"), first["agent"]["source_native_id"].alias("person"))
+
+
 FLAGSHIP = a04_person_layers

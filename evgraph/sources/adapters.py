@@ -238,3 +238,116 @@ def decision_stream(claims: DataFrame) -> DataFrame:
     """Identity claims as decisions for review: accepted only where someone decided."""
     state = F.when((F.col("status") == "accepted") & F.col("decided_by").isNotNull(), "accepted").when(F.col("status") == "rejected", "rejected").otherwise("proposed")
     return claims.select(F.least("person_a", "person_b").alias("a"), F.greatest("person_a", "person_b").alias("b"), "method", "confidence", state.alias("state"), "decided_by")
+
+
+OWNERS = "array<struct<id:string,login:string,name:string,kind:string,role:string>>"
+PLACES = "array<struct<native_id:string,label:string>>"
+
+
+def _owners(column: str, scheme: str | Column, role: str, at: Column) -> Column:
+    """Owners of a package in order, by id, login or name; without a role of their own they have the registry's."""
+    prefix = F.lit(scheme) if isinstance(scheme, str) else scheme
+
+    def one(o: Column, i: Column) -> Column:
+        who = F.coalesce(F.nullif(o["id"], F.lit("")), F.nullif(o["login"], F.lit("")), o["name"])
+        label = F.coalesce(F.nullif(o["login"], F.lit("")), F.nullif(o["name"], F.lit("")), who)
+        return contribution(F.coalesce(o["role"], F.lit(role)), agent(F.when(o["kind"] == "organisation", "organisation").otherwise("account"), F.concat(prefix, F.lit(":"), who), label), at, i + 1)
+
+    return F.transform(F.coalesce(F.col(column).cast(OWNERS), F.array().cast(OWNERS)), one)
+
+
+def _package_envelopes(rows: DataFrame, source: dict[str, str], registry: Column, name: Column, ids: Column, attributes: list[Column | str], who: Column, made: Column, versions: str | None) -> DataFrame:
+    """A package's envelope, and one for each release of `versions` (version, published_at)."""
+    at, none = F.lit(source["observed_at"]), F.lit(None).cast("string")
+    native = package_url(registry, name, none)
+    fields = F.struct(F.lit("software_package").alias("work_type"), "license", F.coalesce("abandoned", F.lit(False)).alias("abandoned"), *attributes)
+    whole = envelope(rows, source, name, "work", native, F.col("name"), fields, F.concat(F.array(identifier("purl", native, scope="global")), ids), who, made)
+    if versions is None:
+        return whole
+    each = rows.select("*", F.explode(versions).alias("_v"))
+    release = package_url(registry, name, F.col("_v.version"))
+    of = F.array(relation("version_of", agent("work", native, F.col("name")), at))
+    return whole.unionByName(envelope(each, source, F.concat_ws("@", name, "_v.version"), "work", release, F.concat_ws("@", "name", "_v.version"), F.struct(F.lit("software_release").alias("work_type"), "_v.version", "_v.published_at"), F.array(identifier("purl", release, scope="global")), None, of, raw=F.struct("name", "_v"), observed_at=F.coalesce("_v.published_at", at)))
+
+
+def _repositories(places: Column, at: Column) -> Column:
+    return F.transform(F.coalesce(places.cast(PLACES), F.array().cast(PLACES)), lambda r: relation("source_repository", agent("work", r["native_id"], r["label"]), at))
+
+
+def pypi_packages(rows: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Projects (name, summary, license, requires_python, abandoned, owners[], source_repositories[], versions[]): a name's case, and
+    whether it has underscores, make no other project."""
+    at, name = F.lit(source["observed_at"]), F.replace(F.lower("name"), F.lit("_"), F.lit("-"))
+    return _package_envelopes(rows, source, F.lit("pypi"), name, F.array(identifier("pypi_project", name)), ["summary", "requires_python"], _owners("owners", "pypi_user", "maintainer", at), _repositories(F.col("source_repositories"), at), "versions")
+
+
+def crates(rows: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Crates (name, description, license, abandoned, owners[], repository, versions[])."""
+    at = F.lit(source["observed_at"])
+    return _package_envelopes(rows, source, F.lit("cargo"), F.col("name"), F.array(identifier("crates_io_crate", F.col("name"))), ["description"], _owners("owners", "crates_user_id", "owner", at), _repositories(F.array_compact(F.array("repository")), at), "versions")
+
+
+def ecosystem_packages(rows: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Packages of any registry (id, ecosystem, name, license, latest_release, abandoned, maintainers[], dependencies[purl, name],
+    repository); releases are not listed here."""
+    at, none = F.lit(source["observed_at"]), "array<struct<purl:string,name:string>>"
+    needs = F.transform(F.coalesce(F.col("dependencies").cast(none), F.array().cast(none)), lambda d: relation("depends_on", agent("work", d["purl"], F.coalesce(d["name"], d["purl"])), at))
+    registry = F.when(F.col("ecosystem") == "crates", "cargo").otherwise(F.col("ecosystem"))
+    who = _owners("maintainers", F.concat(F.col("ecosystem"), F.lit("_maintainer")), "maintainer", at)
+    return _package_envelopes(rows, source, registry, F.col("name"), F.array(identifier("ecosystems_package_id", F.col("id"))), ["ecosystem", "latest_release"], who, F.concat(needs, _repositories(F.array_compact(F.array("repository")), at)), None)
+
+
+def _text(*columns: Column | str) -> Column:
+    """The first that isn't blank, trimmed."""
+    return F.coalesce(*[F.nullif(F.trim(F.col(c) if isinstance(c, str) else c), F.lit("")) for c in columns])
+
+
+def catalogue_works(rows: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Works of a scholarly catalogue (id, display_name, title, type, publication_date, updated_date, doi, authorships[author{id,
+    display_name, orcid}]): authors in order; one without an id is known by its place."""
+    at = _text("updated_date", F.lit(source["retrieved_at"]))
+    kind = "array<struct<author:struct<id:string,display_name:string,orcid:string>>>"
+    doi = F.nullif(F.lower(F.replace(_text("doi"), F.lit("https://doi.org/"), F.lit(""))), F.lit(""))
+
+    def one(a: Column, i: Column) -> Column:
+        who = F.coalesce(_text(a["author"]["id"]), F.concat(F.col("id"), F.lit("#author-"), i.cast("string")))
+        return contribution("author", agent("person", who, F.coalesce(_text(a["author"]["display_name"]), who)), at, i + 1)
+
+    who = F.transform(F.coalesce(F.col("authorships").cast(kind), F.array().cast(kind)), one)
+    fields = F.struct(F.coalesce(_text("type"), F.lit("scholarly_work")).alias("work_type"), "publication_date")
+    return envelope(rows, source, F.col("id"), "work", F.col("id"), F.coalesce(_text("display_name", "title"), F.col("id")), fields, F.array(identifier("openalex_work_id", F.col("id")), F.when(doi.isNotNull(), identifier("doi", doi, scope="global"))), who, observed_at=at)
+
+
+def podcast_feeds(rows: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Feeds of an index (id, podcast_guid, url, title, original_title)."""
+    native = _text("id", "podcast_guid", "url")
+    return envelope(rows, source, native, "work", native, F.coalesce(_text("title", "original_title"), native), F.struct(F.lit("podcast_show").alias("work_type")), F.array(identifier("podcast_index_feed_id", native)))
+
+
+def podcast_episodes(rows: DataFrame, source: dict[str, str]) -> DataFrame:
+    """Episodes of an index (id, guid, enclosure_url, title, feed_id, feed_title, transcript_url, persons[id, name, href, role]).
+
+    A person without a role is a guest, one without a name is left out, and one without an id or link is known by the label. A
+    transcript is pointed to, never fetched.
+    """
+    at, kind = F.lit(source["observed_at"]), "array<struct<id:string,name:string,href:string,role:string>>"
+    native = _text("id", "guid", "enclosure_url")
+
+    def one(p: Column, i: Column) -> Column:
+        label = _text(p["name"])
+        who = F.coalesce(_text(p["id"], p["href"]), F.concat(F.lit("label:"), label))
+        return F.when(label.isNotNull(), contribution(F.lower(F.coalesce(_text(p["role"]), F.lit("guest"))), agent("person", who, label), at, i + 1))
+
+    who = F.transform(F.coalesce(F.col("persons").cast(kind), F.array().cast(kind)), one)
+    feed, script = _text("feed_id"), _text("transcript_url")
+    made = F.array(F.when(feed.isNotNull(), relation("part_of", agent("work", feed, F.coalesce(_text("feed_title"), feed)), at)), F.when(script.isNotNull(), relation("has_transcript_pointer", agent("work", script, F.lit("transcript")), at)))
+    ids = F.array(identifier("podcast_index_episode_id", native), F.when(_text("guid") != native, identifier("rss_item_guid", _text("guid"))))
+    return envelope(rows, source, native, "work", native, F.coalesce(_text("title"), native), F.struct(F.lit("podcast_episode").alias("work_type")), ids, who, made)
+
+
+def all_records(*frames: DataFrame) -> DataFrame:
+    """Envelopes of several adapters as one table."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
