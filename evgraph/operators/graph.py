@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import assumed_death
+from ..functions.dates import as_of, assumed_death
 from ..plans.scratch import Scratch
 
 
@@ -77,3 +77,11 @@ def topic_people(topics: DataFrame, person: DataFrame, topic: str, scheme: str |
     if scheme is not None:
         chosen = chosen.filter(F.col("scheme") == scheme)
     return chosen.join(person.select("person_id", "name"), "person_id").select("person_id", "name", "topic", "scheme", "weight")
+
+
+def relationships_at(relationships: DataFrame, types: DataFrame, at: Column, subjects: DataFrame | None = None) -> DataFrame:
+    """Accepted relationships (subject_entity_id, relationship_type_id, review_state, valid_from, valid_to) that hold at a time, with
+    their type's namespace and name; of all subjects, or of those given (subject_entity_id)."""
+    rows = relationships.filter((F.col("review_state") == "accepted") & as_of(F.col("valid_from"), F.col("valid_to"), at))
+    rows = rows if subjects is None else rows.join(subjects.select("subject_entity_id").distinct(), "subject_entity_id", "left_semi")
+    return rows.join(types.select("relationship_type_id", "namespace", "local_name"), "relationship_type_id")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.authors import parsed, person_key
 from ..functions.jsonx import string_list
-from ..functions.text import after_slash, before_slash, shortened
+from ..functions.text import after_slash, before_slash, collapsed, shortened
+from ..plans.scratch import Scratch
 from .graph import top
 
 # Words of repository topics that say nothing, and parts of logins that organisations have.
@@ -118,3 +121,56 @@ def name_merge(incoming: DataFrame, existing: DataFrame, key: Column) -> DataFra
 
 def latest(frame: DataFrame, keys: list[str], order: Column) -> DataFrame:
     return frame.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).filter("_n = 1").drop("_n")
+
+
+@dataclass
+class Graph:
+    """Tables of a built people graph."""
+
+    person: DataFrame
+    content: DataFrame
+    external_ids: DataFrame
+    topics: DataFrame
+
+    def summary(self) -> DataFrame:
+        """(what, n): rows of each table, people with life dates and in several domains, and people by state."""
+        several = self.content.groupBy("person_id").agg(F.count_distinct("domain").alias("d")).filter("d >= 2")
+        counts = {"person": self.person, "with_life_dates": self.person.filter("birth_year IS NOT NULL"), "person_content": self.content, "person_topic": self.topics, "external_ids": self.external_ids, "multi_domain": several}
+        out = self.person.groupBy(F.concat(F.lit("state:"), "state").alias("what")).agg(F.count("*").alias("n"))
+        for name, frame in counts.items():
+            out = out.unionByName(frame.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n"))
+        return out
+
+
+def build_graph(known: DataFrame, known_content: DataFrame, known_ids: DataFrame, book_people: DataFrame, book_works: DataFrame, books: DataFrame, book_subjects: DataFrame, at: str, scratch: Scratch | None = None) -> Graph:
+    """A people graph of known people (person_id, name, origin, rank_score) with the people of books (person_key, display_name,
+    birth_year, death_year, work_count, is_corporate).
+
+    A book person of a known name is that person, of several the one of the least id; else book people of one name are one new
+    person. Corporate ones are none. Dates of books fill empty ones only. Of repeated edges (person, domain, work, role) a book's
+    goes first. known_content: person_id, domain, content_ref, score, title; known_ids: person_id, platform, value; book_works:
+    person_key, gid, role; books: gid, title; book_subjects: gid, subject. A null name is an empty one.
+    """
+    scratch = scratch or Scratch(known.sparkSession, "built")
+    key = lambda c: collapsed(F.coalesce(F.col(c), F.lit("")))
+    old = known.dropDuplicates(["person_id"]).withColumn("_key", key("name"))
+    people = book_people.filter(~F.coalesce("is_corporate", F.lit(False))).withColumn("_key", key("display_name"))
+    named = old.groupBy("_key").agg(F.min("person_id").alias("_old"))
+    fresh = people.groupBy("_key").agg(F.min("person_key").alias("_first"))
+    linked = scratch.write(people.join(fresh, "_key").join(named, "_key", "left").withColumn("person_id", F.coalesce("_old", F.concat(F.lit("bk:"), "_first"))), "linked")
+    dates = linked.filter("birth_year IS NOT NULL").groupBy("person_id").agg(F.min_by(F.struct("birth_year", "death_year"), "person_key").alias("_d"))
+    new = linked.filter("_old IS NULL AND person_key = _first").dropDuplicates(["person_id"]).select("person_id", F.col("display_name").alias("name"), F.lit("books").alias("origin"), F.col("work_count").cast("double").alias("rank_score"), "birth_year", "death_year")
+    none = F.lit(None).cast("int")
+    every = old.select("person_id", "name", "origin", F.col("rank_score").cast("double").alias("rank_score"), none.alias("birth_year"), none.alias("death_year")).unionByName(new)
+    empty = F.col("birth_year").isNull() & F.col("_d").isNotNull()
+    person = every.join(dates, "person_id", "left").select("person_id", "name", F.lit("human").alias("kind"), "origin", "rank_score", *[F.when(empty, F.col(f"_d.{c}")).otherwise(F.col(c)).alias(c) for c in ("birth_year", "death_year")], F.lit("linked").alias("state"), F.lit(at).alias("built_at"))
+    titles = books.groupBy("gid").agg(F.min("title").alias("title"))
+    edges = book_works.join(linked.select("person_key", "person_id").distinct(), "person_key").join(titles, "gid", "left").select("person_id", F.lit("book").alias("domain"), F.col("gid").cast("string").alias("content_ref"), "role", F.lit(None).cast("double").alias("score"), "title", F.lit("gutenberg").alias("source"), F.lit(0).alias("_n"))
+    moved = known_content.select("person_id", "domain", "content_ref", F.lit("author").alias("role"), F.col("score").cast("double").alias("score"), "title", F.lit("v1_migration").alias("source"), F.lit(1).alias("_n"))
+    keys = ["person_id", "domain", "content_ref", "role"]
+    # the first of repeated edges by aggregation, which combines before the shuffle; a window would not
+    row = F.struct("_n", "title", "score", "source")
+    content = scratch.write(edges.unionByName(moved).groupBy(*keys).agg(F.min(row).alias("r")).select(*keys, "r.score", "r.title", "r.source", F.lit(at).alias("observed_at")), "content")
+    ids = known_ids.select("person_id", "platform", "value").distinct().select("*", F.lit(1.0).alias("confidence"), F.lit("v1_migration").alias("source"))
+    topics = subjects(content, book_subjects).select("person_id", "topic", F.lit("lcsh").alias("scheme"), "weight", F.lit("gutenberg").alias("source"))
+    return Graph(scratch.write(mark_tracked(person, content), "person"), content, ids, topics)

@@ -1200,4 +1200,27 @@ def e12_podcast_episodes(t: Testbed) -> DataFrame:
     return e.select(F.col("subject.source_native_id").alias("subject"), first["role"].alias("role"), first["agent"]["source_native_id"].alias("person"))
 
 
+@query("""SELECT 'c:' || c_custkey AS person_id, CAST(CASE WHEN c_mktsegment <> 'BUILDING' THEN 1900 END AS INTEGER) AS birth_year, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 'linked' ELSE 'tracked' END AS state FROM customer
+ UNION ALL SELECT 'bk:s' || s_suppkey, NULL, CASE WHEN s_suppkey IN (SELECT l_suppkey FROM lineitem) THEN 'linked' ELSE 'tracked' END FROM supplier""")
+def g27_built_people(t: Testbed) -> DataFrame:
+    none = lambda kind, *c: [F.lit(None).cast(kind).alias(x) for x in c]
+    customer, supplier = t.table("customer"), t.table("supplier")
+    known = customer.select(F.concat(F.lit("c:"), "c_custkey").alias("person_id"), F.col("c_name").alias("name"), F.lit("github").alias("origin"), *none("double", "rank_score"))
+    books = customer.select(F.concat(F.lit("b"), "c_custkey").alias("person_key"), F.concat(F.lit("  "), F.upper("c_name")).alias("display_name"), F.lit(1900).alias("birth_year"), (F.col("c_mktsegment") == "BUILDING").alias("is_corporate"))
+    books = books.unionByName(supplier.select(F.concat(F.lit("s"), "s_suppkey").alias("person_key"), F.col("s_name").alias("display_name"), *none("int", "birth_year"), F.lit(False).alias("is_corporate"))).select("*", *none("int", "death_year", "work_count"))
+    moved = t.table("orders").select(F.concat(F.lit("c:"), "o_custkey").alias("person_id"), F.lit("order").alias("domain"), F.col("o_orderkey").cast("string").alias("content_ref"), *none("double", "score"), *none("string", "title"))
+    works = t.table("lineitem").select(F.concat(F.lit("s"), "l_suppkey").alias("person_key"), F.col("l_partkey").cast("long").alias("gid"), F.lit("author").alias("role"))
+    part = t.table("part").select(F.col("p_partkey").cast("long").alias("gid"), F.col("p_name").alias("title"), F.col("p_type").alias("subject"))
+    built = rollups.build_graph(known, moved, known.select("person_id", F.lit("name").alias("platform"), F.col("name").alias("value")), books, works, part.select("gid", "title"), part.select("gid", "subject"), "now")
+    return built.person.select("person_id", "birth_year", "state")
+
+
+@query("SELECT l_orderkey, l_linenumber, o_orderstatus AS local_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate <= DATE '1995-06-17' AND o_orderdate > DATE '1994-01-01' AND l_returnflag = 'R'")
+def j17_relationships_at(t: Testbed) -> DataFrame:
+    types = t.table("orders").select(F.col("o_orderkey").alias("relationship_type_id"), F.lit("n").alias("namespace"), F.col("o_orderstatus").alias("local_name"))
+    lines = t.table("lineitem").select("l_orderkey", "l_linenumber", F.col("l_orderkey").alias("relationship_type_id"), F.col("l_suppkey").alias("subject_entity_id"), F.when(F.col("l_returnflag") == "R", "accepted").otherwise("proposed").alias("review_state"), F.col("l_shipdate").cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+    late = t.table("orders").filter("o_orderdate > DATE '1994-01-01'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return graph.relationships_at(lines.join(late, "l_orderkey", "left_semi"), types, F.lit("1995-06-17").cast("date")).select("l_orderkey", "l_linenumber", "local_name")
+
+
 FLAGSHIP = a04_person_layers

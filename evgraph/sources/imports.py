@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import ELIGIBLE, absent, classified, normalised, observation_id, platform_key, semantics, stable_id
 from ..operators.contracts import ATTRIBUTES as DESCRIPTIVE
+from ..operators.contracts import RIGHTS
 from ..operators.identity import accept
 from ..plans.scratch import Scratch
 
@@ -75,6 +76,21 @@ def policies(spark: SparkSession, rows: list[tuple[str, str, str, int]]) -> Data
     return spark.createDataFrame(rows, "source_id string, rights_state string, terms_revision string, refresh_days int")
 
 
+# The vocabularies of a source's policy.
+POLICY_TEXTS = ("source_id", "official_access", "terms_revision", "rights_state_default", "attribution", "quota_or_rate_limit", "refresh_rule", "deletion_update_method", "retention_boundary", "payload_boundary", "recommended_state")
+RECOMMENDED = ("pilot_now", "research_more", "discovery_only", "do_not_ingest")
+
+
+def policy_problems(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Adds `problems` of source policies (POLICY_TEXTS, official_docs[]): missing fields, a source that isn't known (source_id), words
+    outside the vocabularies, documents that aren't HTTPS addresses."""
+    docs = F.coalesce((F.size("official_docs") > 0) & F.forall("official_docs", lambda u: F.coalesce(F.startswith(u, F.lit("https://")), F.lit(False))), F.lit(False))
+    listed = known.select("source_id").distinct().withColumn("_known", F.lit(True))
+    rules = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in POLICY_TEXTS]
+    rules += [F.when(F.col("_known").isNull(), "source.unknown"), F.when(~F.col("rights_state_default").isin(*RIGHTS), "rights_state"), F.when(~F.col("recommended_state").isin(*RECOMMENDED), "recommended_state"), F.when(~docs, "official_docs")]
+    return rows.join(listed, "source_id", "left").withColumn("problems", F.array_compact(F.array(*rules))).drop("_known")
+
+
 def with_policy(frame: DataFrame, registry: DataFrame, source: Column | str = "source_id") -> DataFrame:
     """Adds each row's policy; a source without one has pending rights and unrecorded terms."""
     known = registry.select(F.col("source_id").alias("_source"), "rights_state", "terms_revision", "refresh_days")

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from evgraph.operators import metrics
-from evgraph.sources import adapters
+from evgraph.operators import graph, metrics, rollups
+from evgraph.sources import adapters, imports
 from tests.test_sources import SOURCE
 
 VERSIONS = "versions array<struct<version:string,published_at:string>>"
@@ -63,3 +63,28 @@ def test_metrics(spark):
     made = metrics.creator_summary(link(pypi, "X").unionByName(link(eco, "x"))).first()
     assert (made["records"], made["unique_source_subjects"], made["unique_observed_entities"], made["candidates"], made["strong"], made["subjects_with_bridge"], made["mean_sources"]) == (5, 5, 8, 1, 1, 5, 2.0) and made["bridge_rate"] == 5 / 8
     assert metrics.creator_summary(pypi.limit(0)).first()["bridge_rate"] is None
+
+
+def test_build_graph(spark):
+    make = spark.createDataFrame
+    known = make([("k1", "Plato", "registry", 1.0), ("k2", " plato ", "registry", 1.0), ("k3", "Zed", "github", None)], "person_id string, name string, origin string, rank_score double")
+    moved = make([("k1", "book", "1", None, "old"), ("k1", "github", "a/b", 2.0, "t")], "person_id string, domain string, content_ref string, score double, title string")
+    people = make([("p", "PLATO", -428, -348, 3, False), ("u", "United States", None, None, 9, True), ("b", "Ada  X", None, None, 1, False), ("a", "ada x", 1815, None, 2, None)], "person_key string, display_name string, birth_year int, death_year int, work_count int, is_corporate boolean")
+    works = make([("p", 1, "author"), ("p", 1, "author"), ("p", 1, "editor"), ("u", 2, "author"), ("b", 3, "author"), ("x", 4, "author")], "person_key string, gid long, role string")
+    out = rollups.build_graph(known, moved, make([("k3", "orcid", "1"), ("k3", "orcid", "1")], "person_id string, platform string, value string"), people, works, make([(1, "Republic")], "gid long, title string"), make([(1, "Politics")], "gid long, subject string"), "now")
+    assert sorted((r["person_id"], r["birth_year"], r["state"], r["name"]) for r in out.person.collect()) == [("bk:a", 1815, "linked", "ada x"), ("k1", -428, "linked", "Plato"), ("k2", None, "tracked", " plato "), ("k3", None, "tracked", "Zed")]
+    assert sorted((r["person_id"], r["content_ref"], r["role"], r["source"], r["title"]) for r in out.content.collect()) == [("bk:a", "3", "author", "gutenberg", None), ("k1", "1", "author", "gutenberg", "Republic"), ("k1", "1", "editor", "gutenberg", "Republic"), ("k1", "a/b", "author", "v1_migration", "t")]
+    assert [(r["topic"], r["weight"]) for r in out.topics.collect()] == [("Politics", 2.0)]
+    assert {r["what"]: r["n"] for r in out.summary().collect()} == {"person": 4, "with_life_dates": 2, "person_content": 4, "person_topic": 1, "external_ids": 1, "multi_domain": 1, "state:linked": 2, "state:tracked": 2}
+
+
+def test_relationships_and_policies(spark):
+    rows = spark.createDataFrame([(1, 1, "accepted", "2020", None), (1, 1, "accepted", "2022", None), (1, 1, "proposed", None, None), (2, 1, "accepted", None, "2021"), (2, 9, "accepted", None, None)], "subject_entity_id int, relationship_type_id int, review_state string, valid_from string, valid_to string")
+    types = spark.createDataFrame([(1, "n", "knows")], "relationship_type_id int, namespace string, local_name string")
+    at = lambda t, s=None: sorted(r["subject_entity_id"] for r in graph.relationships_at(rows, types, F.lit(t), s).collect())
+    assert at("2020") == [1, 2] and at("2021") == [1] and at("2023") == [1, 1] and at("2020", rows.filter("subject_entity_id = 2")) == [2]
+    text = {c: "x" for c in imports.POLICY_TEXTS} | {"rights_state_default": "open_data", "recommended_state": "pilot_now"}
+    policies = [{**text, "official_docs": ["https://a"]}, {**text, "source_id": "y", "attribution": None, "official_docs": ["http://a"]}, {**text, "rights_state_default": "free", "recommended_state": "now", "official_docs": []}]
+    schema = ", ".join(f"{c} string" for c in imports.POLICY_TEXTS) + ", official_docs array<string>"
+    got = imports.policy_problems(spark.createDataFrame([tuple(p[c] for c in (*imports.POLICY_TEXTS, "official_docs")) for p in policies], schema), spark.createDataFrame([("x",)], "source_id string")).collect()
+    assert sorted(r["problems"] for r in got) == [[], ["missing:attribution", "source.unknown", "official_docs"], ["rights_state", "recommended_state", "official_docs"]]
