@@ -351,3 +351,55 @@ def all_records(*frames: DataFrame) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+_PERSON = "array<struct<_VALUE:string,_role:string,_href:string>>"
+_ATOM_LINK = "array<struct<_href:string>>"
+_ITEM = f"title:string,`podcast:guid`:string,guid:string,link:string,`atom:link`:{_ATOM_LINK},pubDate:string,`podcast:person`:{_PERSON},`podcast:transcript`:array<struct<_url:string,_type:string>>,enclosure:struct<_url:string,_type:string>"
+_CHANNEL = f"title:string,`podcast:guid`:string,link:string,`atom:link`:{_ATOM_LINK},language:string,`podcast:person`:{_PERSON},`itunes:author`:string,author:string,managingEditor:string,item:array<struct<{_ITEM}>>"
+
+
+def _people(persons: Column, at: Column) -> Column:
+    """Named people in order; one without a role is a host, one without a link is known by the label."""
+
+    def one(p: Column, i: Column) -> Column:
+        label, href = _text(p["_VALUE"]), _text(p["_href"])
+        return F.when(label.isNotNull(), contribution(F.lower(F.coalesce(_text(p["_role"]), F.lit("host"))), agent("person", F.coalesce(href, F.concat(F.lit("label:"), label)), label), at, i + 1))
+
+    return F.array_compact(F.transform(F.coalesce(persons, F.array().cast(_PERSON)), one))
+
+
+def _link(link: Column, atom: Column) -> Column:
+    """The text of a link, else the first address of an Atom link."""
+    found = F.filter(F.transform(atom, lambda a: _text(a["_href"])), lambda a: a.isNotNull())
+    return F.coalesce(_text(link), F.get(found, 0))
+
+
+def rss_feeds(feeds: DataFrame, source: dict[str, str]) -> DataFrame:
+    """RSS documents (feed_url, xml) as their shows and episodes.
+
+    An item's people take the place of the show's; without any, the show's author is its host. Transcripts and media are pointed to,
+    never fetched. An item without guid, link or enclosure is known by its place. A text that isn't a channel, or null, is a show
+    of the feed's address without items. A feed is one row, so a task holds one feed at a time.
+    """
+    at = F.lit(source["observed_at"])
+    rows = feeds.select("feed_url", F.sha2("xml", 256).alias("digest"), F.from_xml("xml", f"channel struct<{_CHANNEL}>", {"rowTag": "rss"})["channel"].alias("c"))
+    author = _text("c.itunes:author", "c.author", "c.managingEditor")
+    own = _people(F.col("c.podcast:person"), at)
+    fallback = F.array_compact(F.array(F.when(author.isNotNull(), contribution("host", agent("person", F.concat(F.lit("label:"), author), author), at))))
+    guid = _text("c.podcast:guid")
+    show = rows.select("feed_url", "digest", "c", guid.alias("guid"), F.coalesce(guid, F.col("feed_url")).alias("show"), F.when(F.size(own) > 0, own).otherwise(fallback).alias("hosts"), _link(F.col("c.link"), F.col("c.atom:link")).alias("site")).withColumn("show_title", F.coalesce(_text("c.title"), F.col("show")))
+    raw = F.struct("feed_url", "digest")
+    pointer = F.concat(F.lit("sha256:"), "digest")
+    ids = F.array(identifier("rss_feed_url", F.col("feed_url"), "mutable"), F.when(F.col("guid").isNotNull(), identifier("podcast_guid", F.col("guid"), scope="global")), F.when(F.col("site").isNotNull(), identifier("official_website", F.col("site"), "unknown", "unknown", "global")))
+    shows = envelope(show, source, F.col("show"), "work", F.col("show"), F.col("show_title"), F.struct(F.lit("podcast_show").alias("work_type"), F.col("c.language").alias("language")), ids, F.col("hosts"), raw=raw, pointer=pointer)
+
+    each = show.select("feed_url", "digest", "show", "show_title", "hosts", F.posexplode("c.item").alias("n", "i"))
+    episode = each.select("*", _text("i.podcast:guid", "i.guid").alias("guid"), _link(F.col("i.link"), F.col("i.atom:link")).alias("site"), _text("i.enclosure._url").alias("media"), _people(F.col("i.podcast:person"), at).alias("people"))
+    episode = episode.withColumn("native", F.coalesce("guid", "site", "media", F.concat("show", F.lit(":item:"), F.col("n").cast("string"))))
+    scripts = F.transform("i.podcast:transcript", lambda t: F.when(_text(t["_url"]).isNotNull(), relation("has_transcript_pointer", agent("work", _text(t["_url"]), F.coalesce(t["_type"], F.lit("transcript"))), at)))
+    made = F.concat(F.array(relation("part_of", agent("work", F.col("show"), F.col("show_title")), at)), F.coalesce(scripts, F.array().cast(RELATION)).cast(RELATION), F.array(F.when(F.col("media").isNotNull(), relation("has_media_pointer", agent("work", F.col("media"), F.coalesce("i.enclosure._type", F.lit("media"))), at))).cast(RELATION))
+    ids = F.array(F.when(F.col("guid").isNotNull(), identifier("rss_item_guid", F.col("guid"))), F.when(F.col("site").isNotNull(), identifier("episode_url", F.col("site"), "unknown", "unknown", "global")))
+    who = F.when(F.size("people") > 0, F.col("people")).otherwise(F.col("hosts"))
+    items = envelope(episode, source, F.col("native"), "work", F.col("native"), F.coalesce(_text("i.title"), F.col("native")), F.struct(F.lit("podcast_episode").alias("work_type"), _text("i.pubDate").alias("published")), ids, who, made, raw=F.struct("feed_url", "digest", "n"), pointer=pointer)
+    return shows.unionByName(items)

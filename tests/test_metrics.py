@@ -88,3 +88,18 @@ def test_relationships_and_policies(spark):
     schema = ", ".join(f"{c} string" for c in imports.POLICY_TEXTS) + ", official_docs array<string>"
     got = imports.policy_problems(spark.createDataFrame([tuple(p[c] for c in (*imports.POLICY_TEXTS, "official_docs")) for p in policies], schema), spark.createDataFrame([("x",)], "source_id string")).collect()
     assert sorted(r["problems"] for r in got) == [[], ["missing:attribution", "source.unknown", "official_docs"], ["rights_state", "recommended_state", "official_docs"]]
+
+
+def test_rss(spark):
+    xml = """<?xml version="1.0"?><rss version="2.0" xmlns:podcast="p" xmlns:atom="a" xmlns:itunes="i"><channel><title>Show</title><podcast:guid>G</podcast:guid><atom:link href=" "/><atom:link href="http://s"/>
+ <itunes:author>Ann</itunes:author>
+ <item><title>One</title><guid isPermaLink="false">g1</guid><link>http://l</link><podcast:person role="Guest" href="http://b">Bo</podcast:person><podcast:person>Cy</podcast:person><podcast:person> </podcast:person><podcast:transcript url="http://t" type="text/vtt"/><podcast:transcript url=""/><enclosure url="http://m" type="audio/mpeg" length="1"/></item>
+ <item><enclosure url="http://m2"/></item><item><title> </title></item></channel></rss>"""
+    feeds = spark.createDataFrame([("http://f", xml), ("http://bad", "<rss"), ("http://none", None)], "feed_url string, xml string")
+    got = {r["subject"]["source_native_id"]: r for r in adapters.rss_feeds(feeds, SOURCE).collect()}
+    assert sorted(got) == ["G", "G:item:2", "g1", "http://bad", "http://m2", "http://none"]
+    assert [i["value"] for i in got["G"]["identifiers"]] == ["http://f", "G", "http://s"] and [(c["role"], c["agent"]["source_native_id"]) for c in got["G"]["contributions"]] == [("host", "label:Ann")] and got["G"]["subject"]["label"] == "Show"
+    one = got["g1"]
+    assert [(c["role"], c["order"], c["agent"]["source_native_id"]) for c in one["contributions"]] == [("guest", 1, "http://b"), ("host", 2, "label:Cy")]
+    assert [(r["predicate"], r["object"]["source_native_id"]) for r in one["relationships"]] == [("part_of", "G"), ("has_transcript_pointer", "http://t"), ("has_media_pointer", "http://m")] and [i["scheme"] for i in one["identifiers"]] == ["rss_item_guid", "episode_url"]
+    assert got["http://m2"]["contributions"] == got["G"]["contributions"] and got["G:item:2"]["subject"]["label"] == "G:item:2" and got["http://none"]["identifiers"][0]["value"] == "http://none"
