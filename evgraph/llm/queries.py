@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bit_planes, block_naming, bpe, fingerprints, html_text, language_id, lattice, ngram_join, packing, secret_scan, suffix_tree_lm
+from . import bit_planes, block_naming, bpe, collocations, fingerprints, html_text, language_id, lattice, ngram_join, packing, secret_scan, suffix_tree_lm, treaps
 from .common import Scratch, remainder, table, tune
 
 
@@ -65,6 +65,14 @@ def op11_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact(table(spark, sf_dir, "documents"), Scratch(spark, "exact"))
 
 
+def op12_treaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treaps.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "treaps"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), Scratch(spark, "collocations"))
+
+
 def queries() -> dict:
     return {k: _tuned(f) for k, f in globals().items() if k.startswith("op")}
 
@@ -87,7 +95,24 @@ OP2 = """WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(t
 OP11 = """WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents), g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY t)
  SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM t JOIN g USING (t)"""
 
+#: Terms of documents and items, weights by document frequency, and the twenty best scores of each item.
+OP12 = r"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+ s AS (SELECT count(*) AS nn, CAST(sum(len(t)) AS BIGINT) AS ll FROM d WHERE len(t) > 0), p AS (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d), tf AS (SELECT doc_id, n, term, count(*) AS tf FROM p GROUP BY doc_id, n, term), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+ q AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark), c AS (SELECT item_id, term, count(*) AS c FROM q GROUP BY item_id, term),
+ w AS (SELECT item_id, term, c * CAST(floor(1000 * ln((2 * nn + 2) / (2 * df + 1))) AS BIGINT) AS w FROM c JOIN df USING (term), s),
+ r AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll)))) AS BIGINT) AS score FROM w JOIN tf USING (term), s GROUP BY item_id, doc_id),
+ k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0) SELECT * FROM k WHERE rank <= 20"""
+
+#: All n-grams of pieces, the lowest cut of each candidate, those within a longer one as frequent left out.
+OP13 = r"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]') AS p FROM documents), p AS (SELECT lang, unnest(p) AS p FROM d),
+ w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda x: x <> '') AS w FROM p), g AS (SELECT lang, w, unnest(range(1, 6)) AS n FROM w), i AS (SELECT lang, w, n, unnest(range(1, CAST(len(w) - n + 2 AS BIGINT))) AS i FROM g WHERE len(w) >= n),
+ f AS (SELECT lang, n AS size, array_to_string(w[i:i + n - 1], ' ') AS phrase, count(*) AS f FROM i GROUP BY 1, 2, 3), t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang), c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 100),
+ k AS (SELECT *, unnest(range(1, size)) AS k FROM c), x AS (SELECT k.lang, k.phrase, k.a, k.k, l.f AS l, r.f AS r, t.n, CAST((1000 * CAST(k.a AS HUGEINT) * t.n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+ FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.w[1:k.k], ' ') JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.w[k.k + 1:], ' ') JOIN t ON t.lang = k.lang),
+ b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM x), o AS (SELECT lang, phrase, a, l, r, n, score FROM b WHERE nth = 1 AND NOT EXISTS (SELECT 1 FROM c WHERE c.lang = b.lang AND c.a = b.a AND c.size > len(string_split(b.phrase, ' ')) AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' '))),
+ z AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o) SELECT * FROM z WHERE rank <= 2000"""
+
 
 def oracle_sql() -> dict[str, str]:
     """Of the operators whose whole result SQL can express in reasonable time; the others are tested against brute force."""
-    return {"op1_lattice": OP1, "op2_ngram_join": OP2, "op11_block_naming": OP11}
+    return {"op1_lattice": OP1, "op2_ngram_join": OP2, "op11_block_naming": OP11, "op12_treaps": OP12, "op13_collocations": OP13}
