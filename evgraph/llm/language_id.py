@@ -5,17 +5,18 @@ the longest match of the text from where the last phrase ended; the language tha
 being weighed by the log of its sample's length, as longer samples give longer matches (the cross-parsing estimate of relative
 entropy).
 
-The sample: rows are chosen by a hash of their key at a rate that leaves a bounded number for each language, and of each a window
-of its text, which starts anywhere in it by that hash; at most `sample_chars` normalised characters for each language are used,
-evenly over those rows. Everything else covers all rows and whole texts. Texts are normalised to lower-case letters with single
-spaces for all else.
+The sample: of each language the distinct texts of least hash, among rows with a letter, as many as it takes; of each a window,
+which starts anywhere in it by that hash. At most `sample_chars` normalised characters for each language are used, first evenly
+over those texts, then what is left of them in order. Nothing but text and label decides what is learnt, so a language is learnt
+however its rows are numbered or repeated. Everything else covers all rows and whole texts. Texts are normalised to lower-case
+letters with single spaces for all else.
 
 One parse goes over a whole text. To do many steps at once it is computed in blocks: each block is first parsed as if a phrase began
 with it, and then again from the state that the block before really ends in, until both parses are in the same state; from there on
 they agree. Blocks don't change any count, and a very long text costs what its length costs.
 
 `und` with a score of 0: null texts, texts without a letter, or no learned language at all. Ties go to the language that
-comes first by name. Repeated rows are predicted each; an empty table gives an empty result. Other columns pass through, unless
+comes first by name. Repeated rows are predicted each and learnt once; an empty table gives an empty result. Other columns pass through, unless
 they bear the name of a result column, which wins. A row with a null key is predicted; whether it is learnt from is the caller's
 filter (in the query its remainder is null, so it isn't).
 """
@@ -33,8 +34,11 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-#: Bounds of the fit: normalised characters and rows for each language.
-SAMPLE_CHARS, SAMPLE_ROWS = 30_000, 200
+#: Bounds of the fit for each language: normalised characters, rows that they are from where there are so many, and the most rows
+#: that are used where texts are short.
+SAMPLE_CHARS, SAMPLE_ROWS, MOST_ROWS = 30_000, 200, 3_000
+#: Letters beyond which an automaton keeps its edges in a sorted array and not in a table; results don't depend on it.
+TABLE = 256
 #: Letters that are parsed one after another, many blocks at once; results don't depend on it.
 BLOCK = 256
 UNKNOWN = "und"
@@ -86,11 +90,14 @@ def normalise(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Automaton:
-    """A suffix automaton as a table: of a state and a letter's number, the next state, above END if a phrase ends before."""
+    """A suffix automaton: of a state and a letter's number, the next state, above END if a phrase ends before.
+
+    A table of states and the sample's own letters, or, where those are many, its edges in order; there are at most three for each
+    character, so either is bounded by the sample."""
 
     END = 1 << 30
 
-    def __init__(self, text: str, alphabet: dict[str, int]):
+    def __init__(self, text: str, alphabet: dict[str, int], most: int | None = None):
         link, length, nexts, last = [-1], [0], [{}], 0
         for c in text:
             cur = len(link)
@@ -115,30 +122,49 @@ class Automaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
+        own = {c: i for i, c in enumerate(sorted(set(text)))}
         # one more column for unknown letters and one more state after one: such a letter is a phrase of its own
-        width, lost = len(alphabet) + 1, len(link)
+        width, lost = len(own) + 1, len(link)
         self.width = width
+        self.own = np.full(len(alphabet) + 1, width - 1, np.int32)
+        for c, i in own.items():
+            self.own[alphabet[c]] = i
         root = np.full(width, lost | self.END, np.int32)
         for c, state in nexts[0].items():
-            root[alphabet[c]] = state | self.END
-        table = np.tile(root, (len(link) + 1, 1))
-        table[0] &= ~np.int32(self.END)
-        for state, edges in enumerate(nexts):
-            for c, to in edges.items():
-                table[state, alphabet[c]] = to
-        self.table = table.reshape(-1)
+            root[own[c]] = state | self.END
+        self.root = root
+        if len(own) <= (TABLE if most is None else most):
+            table = np.tile(root, (len(link) + 1, 1))
+            table[0] &= ~np.int32(self.END)
+            for state, edges in enumerate(nexts):
+                for c, to in edges.items():
+                    table[state, own[c]] = to
+            self.table = table.reshape(-1)
+        else:
+            self.table = None
+            pairs = sorted((state * width + own[c], to) for state, edges in enumerate(nexts) for c, to in edges.items())
+            pairs.append((width - 1, lost))  # at the start no phrase ends before an unknown letter either
+            pairs.sort()
+            self.keys, self.to = (np.array(x, kind) for x, kind in zip(zip(*pairs, strict=True), (np.int64, np.int32), strict=True))
         self.bits = float(np.log2(max(2, len(text))))
 
+    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        if self.table is not None:
+            return self.table[state * self.width + letter]
+        key = state.astype(np.int64) * self.width + letter
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.to[at], self.root[letter])
+
 
 class Model:
-    def __init__(self, samples: tuple[tuple[str, str], ...]):
+    def __init__(self, samples: tuple[tuple[str, str], ...], most: int | None = None):
         self.names = [k for k, _ in samples]
         chars = sorted({c for _, text in samples for c in text})
-        self.alphabet = {c: i for i, c in enumerate(chars)}
-        self.codes = np.full(0x110000, len(chars), np.int16)
-        for c, i in self.alphabet.items():
+        alphabet = {c: i for i, c in enumerate(chars)}
+        self.codes = np.full(0x110000, len(chars), np.int32)
+        for c, i in alphabet.items():
             self.codes[ord(c)] = i
-        self.automata = [Automaton(text, self.alphabet) for _, text in samples]
+        self.automata = [Automaton(text, alphabet, most) for _, text in samples]
 
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases that each language needs for each text, [language, text], and the texts' normalised lengths."""
@@ -158,22 +184,22 @@ class Model:
         more = np.flatnonzero(owner[1:] == owner[:-1])
         following[place[more]] = place[more + 1]
         size, start, owner = size[order], start[order], owner[order]
-        codes = self.codes[points].astype(np.int32)
+        codes = self.codes[points]
         for a, automaton in enumerate(self.automata):
-            total[a] = (n > 0) + np.bincount(owner, self.ended(automaton, codes, start, size, following), len(n))
+            total[a] = (n > 0) + np.bincount(owner, self.ended(automaton, automaton.own[codes], start, size, following), len(n))
         return total, n
 
     @staticmethod
     def ended(automaton: Automaton, codes: np.ndarray, start: np.ndarray, size: np.ndarray, following: np.ndarray) -> np.ndarray:
         """How many phrases end within each block, before one of its letters, in the one parse of its text."""
-        table, width, bits = automaton.table, automaton.width, Automaton.END - 1
+        bits = Automaton.END - 1
         longest = int(size[0])
         live = np.searchsorted(-size, -np.arange(1, longest + 1), "right")
         states, counts = np.zeros((longest, len(size)), np.int32), np.zeros((longest, len(size)), np.int16)
         state, count = np.zeros(len(size), np.int32), np.zeros(len(size), np.int16)
         for k in range(longest):
             m = live[k]
-            to = table[state[:m] * width + codes[start[:m] + k]]
+            to = automaton.step(state[:m], codes[start[:m] + k])
             count[:m] += (to >> 30).astype(np.int16)
             state[:m] = to & bits
             states[k, :m], counts[k, :m] = state[:m], count[:m]
@@ -184,7 +210,7 @@ class Model:
             changed = []
             at, now, seen, k = todo, begin.copy(), np.zeros(len(todo), np.int16), 0
             while len(at):
-                to = table[now * width + codes[start[at] + k]]
+                to = automaton.step(now, codes[start[at] + k])
                 seen = seen + (to >> 30).astype(np.int16)
                 now = to & bits
                 same, over = now == states[k, at], size[at] == k + 1
@@ -219,36 +245,43 @@ class Model:
         return [self.names[b] if k else UNKNOWN for b, k in zip(best, n, strict=True)], np.clip(score, 0.0, 1.0)
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_chars: int = SAMPLE_CHARS, sample_rows: int = SAMPLE_ROWS) -> tuple[tuple[str, str], ...]:
+@lru_cache(maxsize=1)
+def model(samples: tuple[tuple[str, str], ...]) -> Model:
+    """The model of a worker, which it keeps from task to task."""
+    return Model(samples)
+
+
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_chars: int = SAMPLE_CHARS, sample_rows: int = SAMPLE_ROWS, most_rows: int = MOST_ROWS) -> tuple[tuple[str, str], ...]:
     """A bounded sample of each language's text, which is all that a model is made from: `sample_chars` characters of `sample_rows`
-    rows, of which windows twice as long as needed come to the driver, as white space and the like go."""
-    rows = labelled.filter(F.col(lang).isNotNull()).select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    # a rate for each label, of which there are few; rows are chosen where they are read, before any shuffle
-    found = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not found:
+    texts, or of more of them where those are short. Hashes and lengths of at most `most_rows` texts for each label come to the
+    driver, and windows of those that are used, twice as long as needed, as white space and the like go. Labels without a letter in
+    any text are none. The number of labels isn't bounded: each is a model of its own."""
+    rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(lang).cast("string").alias("lang"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
+    # the least hashes are cut before they are shuffled, so a label of most rows is as light as any
+    least = rows.groupBy("lang", "h").agg(F.max(F.length("text")).alias("size")).withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("i") <= most_rows)
+    by: dict[str, list[tuple[int, int]]] = {}
+    for r in least.select("lang", "h", "size").orderBy("lang", "h").collect():
+        by.setdefault(r["lang"], []).append((r["h"], r["size"]))
+    chosen = []
+    for name, found in by.items():
+        enough = np.searchsorted(np.cumsum([min(size, 300) for _, size in found]), 1.5 * sample_chars) + 1
+        found = found[: max(sample_rows, int(enough))]
+        window = 2 * -(-sample_chars // len(found)) + 200
+        chosen += [(name, h, window) for h, _ in found]
+    if not chosen:
         return ()
-
-    def of_label(values: dict):
-        return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col("lang")]
-
-    rate = of_label({k: min(1.0, 3.0 * sample_rows / n) for k, n in found.items()})
-    window = of_label({k: 2 * -(-sample_chars // min(sample_rows, n)) + 200 for k, n in found.items()})
-    chosen = rows.filter((F.pmod("h", F.lit(1 << 30)) / float(1 << 30)) < rate)
-    ordered = Window.partitionBy("lang").orderBy("h", "text")
-    first = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - window + 1, F.lit(1))).cast("int") + 1
-    kept = chosen.withColumn("text", F.col("text").substr(first, window)).withColumn("i", F.row_number().over(ordered)).filter(F.col("i") <= sample_rows).select("lang", "i", "text").orderBy("lang", "i").collect()
-    by: dict[str, list[str]] = {}
-    for r in kept:
-        by.setdefault(r["lang"], []).append(r["text"] or "")
+    wanted = labelled.sparkSession.createDataFrame(chosen, "lang string, h long, window int")
+    first = (F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - F.col("window") + 1, F.lit(1))) + 1).cast("int")
+    windows: dict[str, list[str]] = {}
+    for r in rows.join(wanted, ["lang", "h"]).groupBy("lang", "h").agg(F.min(F.col("text").substr(first, F.col("window"))).alias("text")).orderBy("lang", "h").collect():
+        windows.setdefault(r["lang"], []).append(r["text"])
     out = []
-    for name, texts in sorted(by.items()):
-        each, parts, held = max(1, sample_chars // len(texts)), [], 0
+    for name, texts in sorted(windows.items()):
         codes, n = normalise(texts)
-        for start, size in zip(np.cumsum(n) - n, n, strict=True):
-            parts.append(codes[start : start + min(size, max(each, 150))].astype("<u4").tobytes().decode("utf-32-le"))
-            held += len(parts[-1]) + 1
-            if held >= sample_chars:
-                break
+        starts = np.cumsum(n) - n
+        even = np.minimum(n, max(1, sample_chars // len(texts) - 1))
+        spare = np.maximum(0, sample_chars - np.sum(even + 1) - np.concatenate([[0], np.cumsum(n - even)[:-1]]))
+        parts = [codes[a : a + size].astype("<u4").tobytes().decode("utf-32-le") for a, size in zip(starts, even + np.minimum(spare, n - even), strict=True) if size]
         if joined := " ".join(parts)[:sample_chars].strip():
             out.append((name, joined))
     return tuple(out)
@@ -260,7 +293,7 @@ def predict(docs: DataFrame, samples: tuple[tuple[str, str], ...], text: str = "
     schema = docs.select(*kept).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(samples)  # a fraction of a second, and gone with the task
+        own = model(samples)
         for whole in batches:
             for batch in slices(whole, text, 1 << 20):
                 names, scores = own.predict(batch.column(text).to_pylist())

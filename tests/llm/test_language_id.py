@@ -46,8 +46,43 @@ def test_parses_that_never_meet(monkeypatch):
         assert [got[a, i] for a in range(3)] == [plain_phrases(t, s) for _, s in samples], t
 
 
+def test_many_letters_are_edges_in_order():
+    rng = random.Random(5)
+    signs = [chr(0x4E00 + i) for i in range(600)]
+    samples = (("zh", "".join(rng.choice(signs) for _ in range(2000))), ("en", "the cat sat on the mat and the dog sat on the cat"))
+    texts = ["".join(rng.choice([*signs, "a", " the ", "Z"]) for _ in range(rng.randrange(700))) for _ in range(20)] + [samples[0][1][100:900], "the dog", "", None, "漢", "zzz"]
+    sparse, dense = li.Model(samples), li.Model(samples, most=1 << 20)
+    assert sparse.automata[0].table is None and dense.automata[0].table is not None and sparse.automata[1].table is not None
+    assert sparse.automata[1].width < 30 and sparse.automata[0].keys.nbytes < 100_000
+    (got, n), (want, _) = sparse.phrases(texts), dense.phrases(texts)
+    assert (got == want).all()
+    for i, t in enumerate(texts):
+        norm = " ".join("".join(c if c.isalpha() else " " for c in (t or "").lower()).split())
+        assert got[0, i] == plain_phrases(norm, samples[0][1]) and n[i] == len(norm)
+
+
+def test_labels_are_learnt_however_their_rows_are_numbered(spark):
+    words = {"en": "the quick brown fox", "es": "el zorro salta rapido", "fr": "le renard saute vite"}
+    rows = [(7, f"{words['es']} {i}", "es") for i in range(3000)] + [(i, f"{words['en']} {'x' * (i % 50)}", "en") for i in range(3000)]
+    rows += [(9, None, "fr")] * 2000 + [(9, "123", "fr")] * 50 + [(i, words["fr"] + chr(97 + i), "fr") for i in range(20)] + [(9, None, "none"), (9, "12", "none")]
+    schema = "doc_id long, text string, lang string"
+    got = li.fit(spark.createDataFrame(rows, schema), sample_chars=3000, sample_rows=50)
+    assert [k for k, _ in got] == ["en", "es", "fr"]
+    assert all(li.predict(spark.createDataFrame([(1, w, None)], schema), got).first()["lang_pred"] == k for k, w in words.items())
+    assert len(got[2][1]) > 20 * len(words["fr"]) and all(len(s) <= 3000 for _, s in got)
+    again = li.fit(spark.createDataFrame([(i, t, k) for i, (_, t, k) in enumerate(rows + rows[:100])], schema).repartition(3), sample_chars=3000, sample_rows=50)
+    assert again == got
+
+
+def test_short_texts_fill_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} abc", "l") for i in range(2000)], "doc_id long, text string, lang string")
+    ((_, sample),) = li.fit(docs, sample_chars=4000, sample_rows=40)
+    assert 3500 < len(sample) <= 4000
+    assert len(li.fit(docs, sample_chars=4000, sample_rows=40, most_rows=100)[0][1]) <= 800
+
+
 def test_windows_from_anywhere(spark):
-    docs = spark.createDataFrame([(i, "x" * 5000 + "y" * 5000, "l") for i in range(40)], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame([(i, "x" * (5000 + i) + "y" * 5000, "l") for i in range(40)], "doc_id long, text string, lang string")
     ((_, sample),) = li.fit(docs, sample_chars=4000, sample_rows=40)
     assert len(sample) <= 4000 and {"x", "y"} <= set(sample)
 
