@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.textindex import TextIndex
+
 DOMAINS = ("people", "books", "github", "awesome", "locator")
 #: Tables that answers use when they are there: of the people domain, and those of the later schema.
 EXPECTED = ("person", "person_content", "external_ids", "person_topic", "identity_claim", "person_search")
@@ -42,24 +44,28 @@ class Catalog:
 
     def __init__(self, spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame] | None = None):
         self.spark, self.tables, self.notes = spark, dict(tables or {}), []
+        self.indexes: dict[tuple[str, str], TextIndex] = {}
 
     @classmethod
     def open(cls, spark: SparkSession, config: Config) -> Catalog:
-        """A folder of Parquet tables for each domain; one that can't be read is a note."""
+        """A folder of Parquet tables and text indexes for each domain; one that can't be read is a note."""
         out = cls(spark)
         for domain, path in config.paths.items():
             try:
                 jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-                for status in jpath.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jpath):
+                fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+                for status in fs.listStatus(jpath):
                     name = status.getPath().getName()
-                    if not name.startswith(("_", ".")):
+                    if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_versions")):
+                        out.indexes[domain, name] = TextIndex(spark, f"{path}/{name}")
+                    elif not name.startswith(("_", ".")):
                         out.tables[domain, name.removesuffix(".parquet")] = spark.read.parquet(f"{path}/{name}")
             except Exception as e:  # noqa: BLE001  any reader's failure is the same to a caller
                 out.notes.append(f"could not attach {domain}: {type(e).__name__}")
         return out
 
     def has(self, domain: str, table: str) -> bool:
-        return (domain, table) in self.tables
+        return (domain, table) in self.tables or (domain, table) in self.indexes
 
     def get(self, domain: str, table: str) -> DataFrame:
         return self.tables[domain, table]

@@ -103,23 +103,39 @@ class Engine:
         return clusters(person.select(F.col("person_id").alias("id")), every, Scratch(person.sparkSession, "members")).select(F.col("id").alias("person_id"), F.col("component").alias("cluster_id"))
 
     def found(self, name: str) -> tuple[DataFrame, str]:
-        """Person rows of a name, by phrase; by substring where no token of it can be one."""
-        person = self.catalog.get("people", "person")
+        """(person_id, relevance) of the person rows of a name: by the phrase in the search index; without one by reading all rows, by
+        phrase, or by substring where no token of it can be one. An index that can't be read is a note."""
+        index = self.catalog.indexes.get(("people", "person_search"))
+        if index is not None:
+            try:
+                return index.ranked_phrase(name).select(F.col("key").alias("person_id"), F.col("score").alias("relevance")), "index"
+            except Exception as e:  # noqa: BLE001  whatever a reader raises, the answer is the scan's
+                self.catalog.notes.append(f"person_search is there but can't be read ({type(e).__name__}); names are searched by a scan")
+        person, none = self.catalog.get("people", "person"), F.lit(None).cast("double").alias("relevance")
         hits = search.phrase(person, F.col("name"), name)
         if hits.isEmpty():
-            return search.containing(person, "name", name), "scan"
-        return hits, "phrase"
+            return search.containing(person, "name", name).select("person_id", none), "scan"
+        return hits.select("person_id", none), "phrase"
 
     def who(self, name: str, limit: int = 8, offset: int = 0) -> Answer:
         """People of a name: clusters with all their rows, the one that stands for them and why it may be contested, identifiers, topics,
-        the coverage of their works, and what decisions, refused merges and open claims touch them."""
+        the coverage of their works, and what decisions, refused merges and open claims touch them.
+
+        With a search index the page is of person rows, best matches first, and counts them; the people that these rows are of are
+        ordered by coverage. Without one the page is of people."""
         out = self._answer("who", name=name, limit=limit, offset=offset)
         if not self.catalog.has("people", "person"):
             return out
         person, (hits, way) = self.catalog.get("people", "person"), self.found(name)
-        out.execution["search_path"] = way
+        out.warnings = list(self.catalog.notes)
+        out.execution |= {"search_path": way, "search_path_is_indexed": way == "index"}
         if way == "scan":
             out.gaps.append("the name was searched as a substring: order is by coverage, not relevance")
+        if way == "index":
+            scratch = Scratch(person.sparkSession, "found")
+            known = scratch.write(hits.join(person.select("person_id"), "person_id", "left_semi"), "hits")
+            out.limit, out.offset, out.total = clamped(limit, 1, MOST_ROWS), max(0, offset), known.count()
+            hits = scratch.write(known.orderBy(F.desc("relevance"), "person_id").offset(out.offset).limit(out.limit), "page")
         members = self.members()
         chosen = Scratch(person.sparkSession, "who").write(members.join(members.join(hits.select("person_id"), "person_id", "left_semi").select("cluster_id").distinct(), "cluster_id", "left_semi"), "chosen")
         rows = chosen.join(person, "person_id", "left").groupBy("cluster_id").agg(
@@ -134,6 +150,15 @@ class Engine:
         rows = self._represented(rows, chosen).join(self._identifiers(chosen), "cluster_id", "left").join(self._topics(chosen), "cluster_id", "left")
         rows = self._decided(out, rows, chosen)
         rows = rows.withColumns({"lived": life_span(F.col("birth_year"), F.col("death_year")), "content_count": F.coalesce("content_count", F.lit(0).cast("long")), "evidence": evidence("source_observation", detail="person rows as their loaders made them")})
+        if way == "index":
+            out.rows = rows.orderBy(F.desc("content_count"), "cluster_id")
+            out.returned = max(0, min(out.limit, out.total - out.offset))
+            people = rows.count()
+            if out.truncated:
+                out.gaps.append(f"{out.total} person rows matched; this page has {out.returned} of them from {out.offset} on, which are {people} people")
+            elif people < out.returned:
+                out.gaps.append(f"{out.returned} person rows are {people} people by the decisions that hold; the counts differ for that reason")
+            return out
         return self._paged(out, rows, [F.desc("content_count"), "cluster_id"], limit, offset)
 
     def _represented(self, rows: DataFrame, chosen: DataFrame) -> DataFrame:
