@@ -155,56 +155,128 @@ def current(decisions: DataFrame) -> DataFrame:
     return decisions.filter("active").withColumn("_n", F.row_number().over(Window.partitionBy("candidate_id").orderBy(F.desc("seq")))).filter("_n = 1").drop("_n")
 
 
-def accept(wanted: DataFrame, decisions: DataFrame, identifiers: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+def _values(held: DataFrame, by: str) -> DataFrame:
+    """(by, values): of each cluster the least and the greatest value of each unique scheme, which is all that a conflict needs."""
+    each = held.groupBy(by, "scheme").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return each.groupBy(by).agg(F.collect_list(F.struct("scheme", "lo", "hi")).alias("values"))
+
+
+def _clash(*lists: str) -> Column:
+    """Whether clusters would hold two values of one scheme together."""
+    every = F.flatten(F.array(*[F.coalesce(F.col(x), F.array().cast("array<struct<scheme:string,lo:string,hi:string>>")) for x in lists]))
+    return F.exists(every, lambda a: F.exists(every, lambda b: (a["scheme"] == b["scheme"]) & (a["lo"] != b["hi"])))
+
+
+def _replay(frame: pd.DataFrame) -> pd.DataFrame:
+    """Edges (at, x, y, va, vb) in order: whether each joins two clusters without a conflict."""
+    top: dict = {}
+    held: dict = {}
+
+    def find(x):
+        while top.setdefault(x, x) != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    out = []
+    for r in frame.sort_values("at").itertuples():
+        for x, values in ((r.x, r.va), (r.y, r.vb)):
+            if x not in held:
+                held[x] = {} if values is None else {v["scheme"]: (v["lo"], v["hi"]) for v in values}
+        x, y = sorted((find(r.x), find(r.y)))
+        joined = dict(held[x])
+        for scheme, (lo, hi) in held[y].items():
+            was = joined.get(scheme, (lo, hi))
+            joined[scheme] = (min(lo, was[0]), max(hi, was[1]))
+        fine = all(lo == hi for lo, hi in joined.values())
+        if fine and x != y:
+            top[y] = x
+            held[x] = joined
+        out.append((r.at, fine))
+    return pd.DataFrame(out, columns=["at", "fine"])
+
+
+def accept(wanted: DataFrame, decisions: DataFrame, identifiers: DataFrame, scratch: Scratch | None = None, bound: int = 100_000) -> DataFrame:
     """Adds `verdict` to candidates to be accepted together: accepted, already, rejected_before, conflict or cluster_conflict.
 
-    Acceptance is sequential in meaning: a candidate is refused if the cluster that it would make holds two values of one unique
-    scheme. Components of all wanted edges without such a conflict are accepted whole, in parallel; only components with one
-    replay their edges in order of the pair, each component in one task.
+    Acceptance is sequential in meaning, in order of the pair: a candidate is refused if the cluster that it would make holds two
+    values of one unique scheme. It is done in rounds over clusters as they are by then, each of which decides, wherever they are:
+
+    - candidates within a cluster, and those between two that conflict as they are: clusters only grow, so that stays so;
+    - all of a component of undecided candidates that holds no conflict as a whole;
+    - of the others, those of up to `bound` candidates, one after another in one task each;
+    - in what is left, all of a component of the earlier half of its candidates, if that holds none: what comes later in order can't
+      touch it before; and of those that do the first `bound` candidates (or the first thousandth), one after another in one task.
+
+    So a task holds about `bound` candidates, however large a component is, and all else is joins and aggregations.
     """
     scratch = scratch or Scratch(wanted.sparkSession, "accept")
     now = current(decisions).select("candidate_id", "outcome")
     state = wanted.join(now, "candidate_id", "left").withColumn("verdict", F.when(F.col("outcome") == "accepted", "already").when(F.col("outcome") == "rejected", "rejected_before").when(F.size("conflicts") > 0, "conflict")).drop("outcome")
     state = scratch.write(state, "state")
     old = decisions.filter("active AND outcome = 'accepted'").select(F.col("entity_a").alias("u"), F.col("entity_b").alias("v"))
-    new = state.filter("verdict IS NULL")
-    members = components(old.unionByName(new.select(F.col("entity_a").alias("u"), F.col("entity_b").alias("v"))), scratch)
-    unique = identifiers.filter(F.col("valid_to").isNull() & F.col("scheme").isin(*UNIQUE))
-    held = unique.join(members, unique["entity_id"] == members["id"]).select("component", "entity_id", "scheme", "value").distinct()
-    bad = held.groupBy("component", "scheme").agg(F.count_distinct("value").alias("n")).filter("n > 1").select("component").distinct()
-    placed = scratch.write(new.join(members, F.col("entity_a") == F.col("id")).drop("id"), "placed")
-    calm = placed.join(bad, "component", "left_anti").withColumn("verdict", F.lit("accepted")).drop("component")
-    edges = placed.join(bad, "component", "left_semi").select("component", "entity_a", "entity_b", "candidate_id", F.lit(2).alias("rank"), F.lit(None).cast("string").alias("scheme"), F.lit(None).cast("string").alias("value"))
-    before = old.join(members, F.col("u") == F.col("id")).join(bad, "component", "left_semi").select("component", F.col("u").alias("entity_a"), F.col("v").alias("entity_b"), F.lit(None).cast("string").alias("candidate_id"), F.lit(1).alias("rank"), F.lit(None).cast("string").alias("scheme"), F.lit(None).cast("string").alias("value"))
-    values = held.join(bad, "component", "left_semi").select("component", F.col("entity_id").alias("entity_a"), F.col("entity_id").alias("entity_b"), F.lit(None).cast("string").alias("candidate_id"), F.lit(0).alias("rank"), "scheme", "value")
-
-    def replay(frame: pd.DataFrame) -> pd.DataFrame:
-        top: dict = {}
-        seen: dict = {}
-
-        def find(x):
-            while top.setdefault(x, x) != x:
-                x = top[x]
-            return x
-
-        out = []
-        for r in frame.sort_values(["rank", "entity_a", "entity_b"], kind="stable").itertuples():
-            if r.rank == 0:
-                seen.setdefault(r.entity_a, {}).setdefault(r.scheme, set()).add(r.value)
-                continue
-            x, y = sorted((find(r.entity_a), find(r.entity_b)))
-            joined = {k: seen.get(x, {}).get(k, set()) | seen.get(y, {}).get(k, set()) for k in {*seen.get(x, {}), *seen.get(y, {})}}
-            fine = r.rank == 1 or all(len(v) < 2 for v in joined.values())
-            if fine and x != y:
-                top[y] = x
-                seen[x] = joined
-            if r.rank == 2:
-                out.append((r.candidate_id, "accepted" if fine else "cluster_conflict"))
-        return pd.DataFrame(out, columns=["candidate_id", "replayed"])
-
-    replayed = edges.unionByName(before).unionByName(values).groupBy("component").applyInPandas(replay, "candidate_id string, replayed string")
-    hard = placed.join(replayed, "candidate_id").withColumn("verdict", F.col("replayed")).drop("replayed", "component")
-    return state.filter("verdict IS NOT NULL").unionByName(calm).unionByName(hard)
+    new = state.filter("verdict IS NULL").select("candidate_id", "entity_a", "entity_b").distinct()
+    order = scratch.write(new.orderBy("entity_a", "entity_b", "candidate_id").withColumn("at", F.monotonically_increasing_id()), "order")
+    placed = components(old, scratch, "old")  # (id, component)
+    unique = identifiers.filter(F.col("valid_to").isNull() & F.col("scheme").isin(*UNIQUE)).select(F.col("entity_id").alias("id"), "scheme", F.col("value").alias("lo"), F.col("value").alias("hi"))
+
+    def moved(rows: DataFrame, column: str, to: DataFrame) -> DataFrame:
+        """Rows with a cluster replaced by what it is part of now."""
+        return rows.join(to.select(F.col("id").alias(column), F.col("component").alias("_to")), column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to")
+
+    edges = order.select("at", F.col("entity_a").alias("x"), F.col("entity_b").alias("y"))
+    edges = scratch.write(moved(moved(edges, "x", placed), "y", placed).select("at", "x", "y"), "edges-0")
+    ends = edges.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+    held = scratch.write(moved(unique, "id", placed).join(ends, "id", "left_semi").groupBy("id", "scheme").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "held-0")
+
+    def mixed(part: DataFrame) -> DataFrame:
+        """Components of (id, component) that hold a conflict."""
+        return held.join(part, "id").groupBy("component", "scheme").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("component").distinct()
+
+    replayed = lambda rows: rows.groupBy("component").applyInPandas(lambda f: _replay(f), "at long, fine boolean")
+    done, k = [], 0
+    while not edges.isEmpty():
+        k += 1
+        values = _values(held, "id")
+        of = lambda c, name, v=values: v.select(F.col("id").alias(c), F.col("values").alias(name))
+        judged = scratch.write(edges.join(of("x", "va"), "x", "left").join(of("y", "vb"), "y", "left").select("at", "x", "y", "va", "vb", _clash("va", "vb").alias("clash")), f"judged-{k}")
+        open_ = judged.filter("NOT clash AND x <> y")
+        whole = scratch.write(components(open_.select(F.col("x").alias("u"), F.col("y").alias("v")), scratch, f"whole-{k}"), f"in-{k}")
+        bad = scratch.write(mixed(whole), f"bad-{k}")
+        inside = open_.join(whole.select(F.col("id").alias("x"), "component"), "x")
+        said = judged.filter("clash OR x = y").select("at", (~F.col("clash")).alias("fine")).unionByName(inside.join(bad, "component", "left_anti").select("at", F.lit(True).alias("fine")))
+        if bad.isEmpty():
+            done.append(scratch.write(said, f"decided-{k}"))
+            break
+        rough = scratch.write(inside.join(bad, "component", "left_semi"), f"rough-{k}")
+        large = scratch.write(rough.groupBy("component").agg(F.count("*").alias("n"), F.percentile_approx("at", F.lit(0.5), F.lit(10000)).alias("middle")).filter(F.col("n") > bound), f"large-{k}")
+        said = said.unionByName(replayed(rough.join(large, "component", "left_anti").select("component", "at", "x", "y", "va", "vb")))
+        if not large.isEmpty():
+            early = scratch.write(rough.join(large, "component").filter("at <= middle").select("at", "x", "y", "va", "vb"), f"early-{k}")
+            part = scratch.write(components(early.select(F.col("x").alias("u"), F.col("y").alias("v")), scratch, f"half-{k}"), f"part-{k}")
+            worse = scratch.write(mixed(part), f"worse-{k}")
+            within = early.join(part.select(F.col("id").alias("x"), "component"), "x")
+            loud = scratch.write(within.join(worse, "component", "left_semi"), f"loud-{k}")
+            steps = loud.groupBy("component").agg(F.count("*").alias("n"), F.percentile_approx("at", F.lit([i / 1000 for i in range(1, 1001)]), F.lit(100000)).alias("steps"))
+            step = F.when(F.col("n") <= bound, 1000).otherwise(F.greatest(F.lit(1), F.floor(F.lit(1000.0) * bound / F.col("n")).cast("int")))
+            first = loud.join(steps.select("component", F.element_at("steps", step).alias("last")), "component").filter("at <= last")
+            said = said.unionByName(within.join(worse, "component", "left_anti").select("at", F.lit(True).alias("fine"))).unionByName(replayed(first.select("component", "at", "x", "y", "va", "vb")))
+        verdict = scratch.write(said, f"decided-{k}")
+        done.append(verdict)
+        if large.isEmpty():
+            break
+        joined = edges.join(verdict.filter("fine"), "at", "left_semi").filter("x <> y")
+        to = scratch.write(components(joined.select(F.col("x").alias("u"), F.col("y").alias("v")), scratch, f"to-{k}"), f"moved-{k}")
+        edges = scratch.write(moved(moved(edges.join(verdict.select("at"), "at", "left_anti"), "x", to), "y", to).select("at", "x", "y"), f"edges-{k}")
+        held = scratch.write(moved(held, "id", to).groupBy("id", "scheme").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), f"held-{k}")
+    verdicts = order.select("candidate_id", "entity_a", "entity_b").withColumn("verdict", F.lit(None).cast("string")).limit(0)
+    if done:
+        every = done[0]
+        for one in done[1:]:
+            every = every.unionByName(one)
+        verdicts = order.join(every, "at").select("candidate_id", "entity_a", "entity_b", F.when(F.col("fine"), "accepted").otherwise("cluster_conflict").alias("verdict"))
+    hard = state.filter("verdict IS NULL").drop("verdict").join(verdicts, ["candidate_id", "entity_a", "entity_b"])
+    return state.filter("verdict IS NOT NULL").unionByName(hard.select(*state.columns))
 
 
 def decided(verdicts: DataFrame, decisions: DataFrame, by: str, at: str, outcome: str = "accepted") -> DataFrame:

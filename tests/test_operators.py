@@ -127,6 +127,43 @@ def test_decisions_are_sequential_and_reversible(spark):
     assert counts["clusters"] == 4 and counts["active_acceptances"] == 2 and counts["cluster_conflicts"] == 0
 
 
+def one_by_one(edges, old, values):
+    """Verdicts of edges in order, with whole sets of values."""
+    top, held = {}, {}
+
+    def find(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for x, scheme, value in values:
+        held.setdefault(x, set()).add((scheme, value))
+    out = {}
+    for forced, pairs in ((True, old), (False, sorted(edges))):
+        for a, b in pairs:
+            x, y = find(a), find(b)
+            both = held.get(x, set()) | held.get(y, set())
+            fine = forced or len({s for s, _ in both}) == len(both)
+            if fine and x != y:
+                top[y] = x
+                held[x] = both
+            out[a, b] = "accepted" if fine else "cluster_conflict"
+    return {e: out[e] for e in edges}
+
+
+@pytest.mark.parametrize(("seed", "bound"), [(1, 5), (4, 100)])
+def test_acceptance_in_rounds_equals_one_by_one(spark, seed, bound):
+    rng = random.Random(seed)
+    edges = sorted({tuple(sorted(rng.sample(range(60), 2))) for _ in range(40)} | {(100, 101 + i) for i in range(12)} | {(200 + i, 201 + i) for i in range(20)})
+    old = [(100, 300), (300, 301), (5, 302)]
+    values = [(x, rng.choice(["viaf", "orcid"]), rng.choice("123")) for x in rng.sample(range(60), 25)] + [(104, "viaf", "1"), (107, "viaf", "2"), (109, "viaf", "1"), (300, "isni", "1"), (111, "isni", "2"), (203, "viaf", "1"), (217, "viaf", "2"), (211, "viaf", "1"), (302, "viaf", "3")]
+    wanted = spark.createDataFrame([(f"k{a}-{b}", a, b, []) for a, b in edges], "candidate_id string, entity_a long, entity_b long, conflicts array<string>")
+    log = spark.createDataFrame([(f"d{i}", f"old{i}", a, b, "accepted", True, i) for i, (a, b) in enumerate(old)], LOG.replace("entity_a string, entity_b string", "entity_a long, entity_b long"))
+    ids = spark.createDataFrame([(x, s, v, None) for x, s, v in values], "entity_id long, scheme string, value string, valid_to string")
+    got = {(r["entity_a"], r["entity_b"]): r["verdict"] for r in identity.accept(wanted, log, ids, bound=bound).collect()}
+    assert got == one_by_one(edges, old, values)
+
+
 def test_claims_decide_over_pointers(spark):
     person = spark.createDataFrame([("a", "merged", "b"), ("b", "linked", None), ("c", "merged", "b"), ("d", "merged", "b"), ("e", "linked", None), ("f", "merged", "f")], "person_id string, state string, merged_into string")
     claims = spark.createDataFrame([("b", "c", "rejected"), ("b", "d", "proposed"), ("b", "d", "rejected"), ("e", "a", "accepted"), ("b", "e", "accepted"), ("b", "e", "rejected")], "person_a string, person_b string, status string")
