@@ -255,7 +255,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_char
     """A bounded sample of each language's text, which is all that a model is made from: `sample_chars` characters of `sample_rows`
     texts, or of more of them where those are short. Hashes and lengths of at most `most_rows` texts for each label come to the
     driver, and windows of those that are used, twice as long as needed, as white space and the like go. Labels without a letter in
-    any text are none. The number of labels isn't bounded: each is a model of its own."""
+    any text are none. The number of labels isn't bounded: each is a model of its own, which every worker holds, as it holds the
+    hashes of the texts that are used."""
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(lang).cast("string").alias("lang"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
     # the least hashes are cut before they are shuffled, so a label of most rows is as light as any
     least = rows.groupBy("lang", "h").agg(F.max(F.length("text")).alias("size")).withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("i") <= most_rows)
@@ -273,7 +274,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_char
     wanted = labelled.sparkSession.createDataFrame(chosen, "lang string, h long, window int")
     first = (F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - F.col("window") + 1, F.lit(1))) + 1).cast("int")
     windows: dict[str, list[str]] = {}
-    for r in rows.join(wanted, ["lang", "h"]).groupBy("lang", "h").agg(F.min(F.col("text").substr(first, F.col("window"))).alias("text")).orderBy("lang", "h").collect():
+    for r in rows.join(F.broadcast(wanted), ["lang", "h"]).groupBy("lang", "h").agg(F.min(F.col("text").substr(first, F.col("window"))).alias("text")).orderBy("lang", "h").collect():
         windows.setdefault(r["lang"], []).append(r["text"])
     out = []
     for name, texts in sorted(windows.items()):
