@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, mix, partitions, slices, word_hashes
 
 LEAST, BITS = 32, 8.0
-#: A successor is stored from a FOLLOW-th of a context's own limit on, 4 at least.
+#: A successor is stored from a FOLLOW-th of a context's own limit on.
 FOLLOW, DISCOUNT = 4, 0.75
 #: Words and weights that are sent to all tasks, the most frequent ones: 8 and 32 MB, whatever the corpus.
 HEAD, HEAVY = 500_000, 2_000_000
@@ -365,7 +365,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     limit = head_of(words, head, n + 1)
     tree = Tree(n, v, *sorted_by_key(words.filter(F.col("n") >= limit), "h", "n"))
-    follow_of = max(4, least // FOLLOW)
+    follow_of = max(1, least // FOLLOW)
     often = (F.col("n") >= least) & (F.col("token") != int(END))
     first = words.select(F.col("h").alias("token"), F.col("n").alias("total")).filter((F.col("total") >= least) & (F.col("token") != int(END)))
     start = lambda c: [longer(np.full(len(c["token"]), SEED, np.uint64), c["token"]), np.full(len(c["token"]), SEED, np.uint64)]
