@@ -1,15 +1,16 @@
 """Main text of HTML pages by tree scoring.
 
 A page is parsed into a tree, with the end tags that HTML lets authors omit supplied. Elements that are never article text (scripts,
-styles, menus, asides, forms, page headers and footers, what is hidden or bears such a role) go first. Words of class and id alone
-delete nothing: they make an element doubtful, and it goes only if the rest of the page bears that out. What such words name for
-certain (an advert, a menu, reader comments) goes unless it holds most of the page's prose and isn't built like comments; words
-that articles use of their own parts, too (discussion, related, legal), count only where the element is built like what they
-name: of links, controls or repeated replies. Every paragraph then gives points (one, one for each comma, one for each hundred
-characters up to three) to its parent in full, to its grandparent by half and to further ancestors by ever less; a container's points
-count by the share of its text that is outside links. The best container is kept (of equal ones the first), and those siblings of it
-that score near it or are dense prose. Containers that hold all of the best one's paragraphs and headings of the article are
-preferred to parts of it.
+styles, menus, asides, forms, page headers and footers, what is hidden or bears such a role) go first. Then those whose class or id
+names no part of an article (an advert, a menu, a sidebar, reader comments), whatever their size, if the page has an article
+outside of them: some prose under no such name. Where it has none, the largest of them is taken for a wrapper of the page, its
+comments last, until there is. Inside an article, a section of prose with a heading is one of its parts, whatever its id, unless it
+is an advert, comments or the like for certain. Words that articles use of their own parts, too (discussion, related, legal), count
+only where the element is built like what they name: of links, controls or repeated replies. Every paragraph then gives points (one,
+one for each comma, one for each hundred characters up to three) to its parent in full, to its grandparent by half and to further
+ancestors by ever less; a container's points count by the share of its text that is outside links. The best container is kept (of
+equal ones the first), or the article or main element that holds it, and those siblings of it that score near it, are articles or
+dense prose. Several articles of one main element are all kept.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined by two line
 feeds in page order. Nothing else is dropped or capped.
@@ -59,6 +60,13 @@ UNLIKELY = _words(
     "comments?|commentlist|comment-list|disqus|respond|related-(?:posts?|articles?|stories|links|content|news|items?)|recommended|read-more|more-stories|trending|tagcloud|"
     "cookie-notice|searchbox|skip|sr-only|visually-hidden|author-bio|shoutbox"
 )
+#: Those of them that name no section of an article either.
+CERTAIN = _words(
+    "ads?|adverts?|advertisements?|advertorial|sponsor(?:ed|s)?|promos?|outbrain|taboola|breadcrumbs?|crumbs?|pagination|pager|sidebars?|footers?|masthead|topbar|toolbar|cookies?|cookie-notice|consent|gdpr|popups?|pop-up|modals?|"
+    "newsletter|subscribe|signup|sign-up|share|sharing|comments?|commentlist|comment-list|disqus|respond|related-(?:posts?|articles?|stories|links|content|news|items?)|recommended|read-more|more-stories|tagcloud|searchbox|skip|sr-only|visually-hidden|author-bio|shoutbox"
+)
+#: Characters of prose that an article has at least.
+LEAST = 40
 #: Words that may name a part of an article.
 AMBIGUOUS = _words("side|foot|notices?|alerts?|register|replies|reply|responses?|discussion|forum|related|recommendations?|popular|tags|disclaimer|copyright|legal|search|print|hidden|ratings?|remarks?")
 COMMENTS = _words("comments?|commentlist|comment-list|disqus|replies|reply|respond|responses?|discussion|forum|shoutbox|remarks?")
@@ -186,21 +194,58 @@ def controls(node: Node) -> bool:
     return any(x.name in ("form", "input", "button", "select", "textarea") for x in order(node)[1:])
 
 
-def doubtful(node: Node, prose: int, beside: bool) -> bool:
-    """Whether a node goes for its class and id, on a page with so much text outside links; `beside` is whether the page marks its
-    article as such and the node is beside that."""
+def section(node: Node) -> bool:
+    """Whether a node is built like a section of an article: headed prose, without controls and with few links."""
+    if density(node) >= 0.25 or controls(node):
+        return False
+    inner = order(node)[1:]
+    return any(x.name == "p" and x.size >= LEAST for x in inner) and (node.name == "section" or any(x.name in ("h1", "h2", "h3", "h4", "h5", "h6") for x in inner))
+
+
+def own(node: Node) -> int:
+    return node.size - node.linked
+
+
+def unlike(nodes: list[Node], gone: set[int], beside, inside: dict[int, bool]) -> set[int]:
+    """The nodes that go because their class or id names no part of an article."""
+    named_so: dict[int, bool] = {}  # and whether they are comments
+    for node in nodes if own(nodes[0]) >= LEAST else ():
+        if id(node) in gone or node.name in SMALL or not (said := named(node)) or not UNLIKELY.search(said):
+            continue
+        if inside[id(node)] and not CERTAIN.search(said) and not replies(node, said) and section(node):
+            continue
+        named_so[id(node)] = COMMENTS.search(said) is not None
+    out = {id(x) for x in nodes if id(x) in named_so and (beside(x) or named_so[id(x)] and replies(x, named(x)))}
+    doubted = {x for x in named_so if x not in out}
+    while doubted:
+        # the topmost of them, and the page's prose outside all
+        tops, rest, stack = [], own(nodes[0]), [nodes[0]]
+        while stack:
+            at = stack.pop()
+            for x in at.children:
+                if isinstance(x, Node) and id(x) not in gone:
+                    if id(x) in doubted or id(x) in out:
+                        rest -= own(x)
+                        if id(x) in doubted:
+                            tops.append(x)
+                    else:
+                        stack.append(x)
+        if rest >= LEAST or not tops:
+            return out | doubted
+        wrapper = max(tops, key=lambda x: (not named_so[id(x)], own(x)))
+        doubted.discard(id(wrapper))
+    return out
+
+
+def doubtful(node: Node, prose: int) -> bool:
+    """Whether a node goes for words that parts of an article bear as well, by how it is built."""
     said = named(node)
     if not said:
         return False
-    own = node.size - node.linked
     if node.name in SMALL:
-        return re.search(r"(?:^|[\s_-])(?:ads?|adverts?|hidden|sr-only|notice|copyright)(?=$|[\s_-])", said, re.I) is not None and 2 * own <= prose
-    built = replies(node, said)
-    if UNLIKELY.search(said):
-        # of most of the page's prose, a word of class isn't enough
-        return built or beside or own <= (0.75 if COMMENTS.search(said) else 0.5) * prose
+        return re.search(r"(?:^|[\s_-])(?:ads?|adverts?|hidden|sr-only|notice|copyright)(?=$|[\s_-])", said, re.I) is not None and 2 * own(node) <= prose
     if AMBIGUOUS.search(said):
-        return built or (density(node) >= 0.3 or controls(node)) and own <= 0.5 * prose
+        return replies(node, said) or (density(node) >= 0.3 or controls(node)) and own(node) <= 0.5 * prose
     return False
 
 
@@ -241,7 +286,9 @@ def prune(root: Node) -> None:
         for x in node.children:
             if isinstance(x, Node):
                 inside[id(x)] = inside[id(x)] or inside[id(node)]
-    walk(lambda x, within: id(x) in gone or doubtful(x, prose, bool(marked) and not inside[id(x)] and id(x) not in marked))
+    beside = lambda x: bool(marked) and not inside[id(x)] and id(x) not in marked
+    gone |= unlike(sizes, gone, beside, inside)
+    walk(lambda x, within: id(x) in gone or doubtful(x, prose))
 
 
 def order(root: Node) -> list[Node]:
@@ -320,8 +367,12 @@ def choose(root: Node, nodes: list[Node]) -> list[Node]:
     holder = best
     while holder is not None and holder.name not in ("article", "main"):
         holder = holder.parent
-    if holder is not None and holder.size <= 1.5 * best.size + 400 and density(holder) < 0.5:
+    if holder is not None and density(holder) < 0.5:
         best = holder
+        while holder is not None and holder.name != "main":
+            holder = holder.parent
+        if holder is not None and density(holder) < 0.5 and sum(x.name == "article" and x.points > 0 for x in order(holder)) > 1:
+            best = holder
     if best.parent is None:
         return [best]
     value, kept = best.points * (1 - density(best)), []
@@ -329,7 +380,7 @@ def choose(root: Node, nodes: list[Node]) -> list[Node]:
         if not isinstance(x, Node):
             continue
         d = density(x)
-        if x is best or x.points * (1 - d) >= max(10.0, 0.2 * value):
+        if x is best or x.points * (1 - d) >= max(10.0, 0.2 * value) or x.name == "article" == best.name and x.points > 0 and d < 0.25:
             kept.append(x)
         elif x.name in ("p", "h1", "h2", "h3", "h4", "blockquote", "pre", "ul", "ol", "div", "section") and (x.size > 80 and d < 0.25 or 0 < x.size <= 80 and d == 0 and x.name == "p" or d < 0.5 and any(n.name == "h1" for n in order(x))):
             kept.append(x)

@@ -36,6 +36,17 @@ def page(body):
         (page(f"<div class=post><p>{LONG}</p><div class=tags><a href=a>one</a> <a href=b>two</a></div><div class=search><p>Find it <input name=q></p></div></div>"), LONG),
         (page(f"<h1>T</h1><div class='comments-page'><p>{LONG}</p><p>{LONG}</p></div>"), f"T\n\n{LONG}\n\n{LONG}"),
         (page(f"<div class='notice'><p>{LONG}</p><p>{LONG}</p></div>"), f"{LONG}\n\n{LONG}"),
+        (page(f"<article><h1>A</h1><p>{LONG}</p><section id=promotion><h2>Promotion of officers</h2><p>{LONG}</p></section><section id=navigation><h2>Navigation at sea</h2><p>{LONG}</p></section><section class=social><p>{LONG}</p></section></article>"), f"A\n\n{LONG}\n\nPromotion of officers\n\n{LONG}\n\nNavigation at sea\n\n{LONG}\n\n{LONG}"),
+        (page(f"<div class=post><h1>A</h1><p>{LONG}</p></div><div id=comments>{f'<p>{LONG}</p>' * 5}</div>"), f"A\n\n{LONG}"),
+        (page(f"<div class=post><h1>A</h1><p>{LONG}</p></div><div id=comments>{f'<div><b>Ann</b><p>{LONG} {LONG}</p></div>' * 4}</div>"), f"A\n\n{LONG}"),
+        (page(f"<div class=sidebar><p>{LONG}</p><p>{LONG}</p></div><div class=text><p>{LONG} End.</p></div>"), f"{LONG} End."),
+        (page(f"<div class=header><p>{LONG}</p><p>{LONG}</p></div><div class=text><p>{LONG} End.</p></div>"), f"{LONG} End."),
+        (page(f"<main><article><h2>One</h2><p>{LONG}</p></article><article><h2>Two</h2><p>{LONG} {LONG}</p><p>{LONG} {LONG}</p></article></main>"), f"One\n\n{LONG}\n\nTwo\n\n{LONG} {LONG}\n\n{LONG} {LONG}"),
+        (page(f"<article><h2>One</h2><p>{LONG}</p></article><article><h2>Two</h2><p>{LONG} {LONG}</p></article>"), f"One\n\n{LONG}\n\nTwo\n\n{LONG} {LONG}"),
+        (page(f"<article><div class=lead><p>Short, but first.</p></div><div><p>{LONG} {LONG}</p><p>{LONG}</p></div><div class=end><p>Fine.</p></div></article>"), f"Short, but first.\n\n{LONG} {LONG}\n\n{LONG}\n\nFine."),
+        (page(f"<article><p>{LONG}</p><div class=advert><h3>Buy</h3><p>{LONG}</p></div><div class='newsletter'><h3>News</h3><p>{LONG}</p></div></article>"), LONG),
+        (page(f"<div class='page sidebar-right'><div class=text><p>{LONG}</p></div><div class=sidebar><p>{LONG} {LONG} {LONG}</p></div></div>"), LONG),
+        (page(f"<div><p>{LONG}</p></div><div><p>{LONG[:-1]}!</p></div>"), f"{LONG}\n\n{LONG[:-1]}!"),
     ],
 )
 def test_pages(html, text):
@@ -48,6 +59,11 @@ def test_deep_and_broken():
     assert html_text.main_text(f"<p>{LONG}</p></div></b></p><p x='1>2'>{LONG}") == f"{LONG}\n\n{LONG}"
 
 
+def test_large_broken_pages():
+    html = f"<div class=a><p>{LONG}<b>" * 20000
+    assert html_text.main_text(html).count("The river") == 20000
+
+
 def test_given_pages(spark):
     real = pd.read_parquet("/root/testdata/sf0.01/pages.parquet").set_index("page_id")
     got = queries.queries()["op4_html_text"](spark, "/root/testdata/sf0.01").toPandas().set_index("page_id")
