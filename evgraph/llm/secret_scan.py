@@ -4,7 +4,13 @@ A value that follows a credential word is segmented at minimum cost, in bits of
 backwards, in other case, or with look-alike characters), dates, repeats of a character or of a short block, straight walks over a
 keyboard, the alphabet or digits, and brute-force spans. A value that costs at least `bits` is a secret: the scan adds a span of
 kind `guess` over it. Placeholders (`password123`, `aaaaaaaa`, `qwertyuiop`, `1qaz2wsx`), words and short phrases of prose cost few
-bits and are left alone. After a colon or an equals sign any value is judged; after `is` only one of letters and digits together.
+bits and are left alone. After a colon or an equals sign any value of six characters or more is judged; after `is` only one of
+letters and digits together.
+
+What a value is counts, too. A link costs the parts of it that are no words, so one with a key in its query is found; a reference to
+a variable or a file (`os.environ['X']`, `process.env.DB_PASSWORD`) costs half of what its words do, and all of its other parts. A
+single word that is spelt like those of the world's languages, by the letters that follow each other in the vocabulary of a public
+tokenizer for many of them, costs no more than its place in a large lexicon.
 
 The dictionary is the words of a public tokenizer's vocabulary, most common first, after a short list of words that are often
 passwords or placeholders. A password of several rare words costs as much as it is worth.
@@ -16,6 +22,7 @@ through `scan` untouched unless they bear the name of a result column, which win
 
 from __future__ import annotations
 
+import base64
 import json
 import math
 import re
@@ -181,6 +188,77 @@ def block_bits(block: str) -> float:
     return sum(map(_alphabet, block))
 
 
+# Words of code and of links.
+CODE = frozenset(
+    "env environ getenv process os sys config settings conf cfg self this request req params param args kwargs opts options props vars var context ctx app main index json yaml toml http https www com org net io html php "
+    "asp aspx jsp js css py db sql id url uri src lib bin etc usr auth oauth login signin file path dir credentials credential keys secrets tokens passwords vault store get set read load".split()
+)
+LINK = re.compile(r"(?ai)(?:[a-z][a-z+]*://|www\.)\S+")
+REFERENCE = re.compile(r"""(?a)[$@%&*]*[{(]{0,2}\.{0,2}/?[A-Za-z_][A-Za-z_0-9-]*(?:(?:\.|::|->|/|:)[A-Za-z_][A-Za-z_0-9-]*|\[["']?[A-Za-z_0-9.-]*["']?\]?|\(["']?[A-Za-z_0-9.-]*["']?\)?)*[})\]"'`.!?]*""")
+PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+|[^\W\d_a-zA-Z]+")
+#: Bits of what kind of name a value is, of a word's place in a large lexicon, and of a letter after two others in natural words.
+NAME, LEXICON, NATURAL = 8.0, 20.0, 4.6
+MANY = "byte_bpe_multi_50k.tiktoken"
+
+
+def _parts(value: str, words: float, rank: dict[str, int]) -> float:
+    """Bits of the parts of a name: a share of those of words, all of those of others. Names of one or two letters are words."""
+    total, chunks = NAME, re.split(r"[\W_]+", value)
+    for chunk in chunks:
+        parts = PART.findall(chunk)
+        each = [0.0 if p.lower() in CODE or p.isalpha() and len(p) < SHORTEST else words * word_bits(p, rank) if word_bits(p, rank) < math.inf else math.inf for p in parts]
+        # a chunk with a part that is no word, or of many short ones, is judged as a whole
+        total += sum(each) if all(x < math.inf for x in each) and sum(len(p) < SHORTEST for p in parts) <= 1 else guess_bits(chunk, rank)
+    return total
+
+
+@lru_cache(maxsize=2)
+def letters(path: str | None = None) -> tuple[dict[str, int], dict[str, int]]:
+    """How often three letters, and two before a third, stand in the words of a public vocabulary for many languages."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(MANY)
+    three: dict[str, int] = {}
+    two: dict[str, int] = {}
+    with open(path, "rb") as f:
+        for line in f:
+            word = base64.b64decode(line.split()[0]).decode("utf-8", "replace")
+            if (low := word.strip().lower()).isalpha() and len(low) > 2:
+                low = f" {low}" if word[0] == " " else low
+                for i in range(len(low) - 2):
+                    three[low[i : i + 3]] = three.get(low[i : i + 3], 0) + 1
+                    two[low[i : i + 2]] = two.get(low[i : i + 2], 0) + 1
+    return three, two
+
+
+def natural_bits(value: str) -> float:
+    """Bits of one word in one case, or with a capital, that is spelt like natural ones, or of a few joined by hyphens; else infinite."""
+    words = value.rstrip(".!?:)").split("-")
+    if len(words) > 1:
+        rank = dictionary()
+        each = [8.0 if w.isalpha() and len(w) < SHORTEST else min(word_bits(w, rank), natural_bits(w)) for w in words]
+        return sum(each) if all(words) else math.inf
+    word = words[0]
+    if not word.isalpha() or len(word) < 3 or word[1:] != word[1:].lower():
+        return math.inf
+    three, two = letters()
+    low = f" {word.lower()}"
+    bits = sum(-math.log2((three.get(low[i : i + 3], 0) + 0.05) / (two.get(low[i : i + 2], 0) + 2.0)) for i in range(len(low) - 2)) / (len(low) - 2)
+    return LEXICON if bits < NATURAL else math.inf
+
+
+def value_bits(value: str) -> float:
+    """Bits of a value as the cheapest of what it may be: a password, a link, a reference, a word of some language."""
+    rank = dictionary()
+    best = min(guess_bits(value, rank), natural_bits(value))
+    if LINK.fullmatch(value):
+        best = min(best, _parts(value, 0.0, rank))
+    elif re.search(r"[A-Za-z0-9](?:[._/]|::|->|\[|\()[A-Za-z_\"')]|^[$%{]", value) and REFERENCE.fullmatch(value):
+        best = min(best, _parts(value, 0.5, rank))
+    return best
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
     if "AKIA" in text:
@@ -189,7 +267,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def guess_spans(text: str, bits: float) -> list[tuple[int, int, str]]:
-    return [(*m.span(m.lastindex), "guess") for m in CONTEXT.finditer(text) if guess_bits(m[m.lastindex]) >= bits]
+    return [(*m.span(m.lastindex), "guess") for m in CONTEXT.finditer(text) if value_bits(m[m.lastindex]) >= bits]
 
 
 def _order(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:

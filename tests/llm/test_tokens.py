@@ -210,6 +210,28 @@ def test_guess_cost():
     assert secret_scan.guess_bits("a" * 100_000) < 40
 
 
+@pytest.mark.parametrize(
+    "value",
+    "process.env.DB_PASSWORD settings.API_KEY_VALUE os.environ['X'] ${DB_PASSWORD} config.get('database.password') self.token_value {{secret_name}} getPasswordFromVault() /etc/ssl/private.key "
+    "https://example.com/reset-password https://accounts.example.com/users/settings/reset-password www.example.org/help Verschlüsselungsverfahren unglaubwürdig contraseña désormais".split(),
+)
+def test_references_links_and_words_are_no_secrets(value):
+    assert secret_scan.guess_spans(f"password: {value}\n", 36.0) == []
+
+
+@pytest.mark.parametrize("value", "Zx9Kq2LmP0vB kdjfhgkdjfqx https://x.com/?token=Zx9Kq2LmP0vB sk.live.Zx9Kq2LmP0vB correct-horse-battery-staple xK.9f.Lq.2v.Rt.7p".split())
+def test_secrets_among_names_and_in_links(value):
+    assert secret_scan.guess_spans(f"password: {value} ", 36.0) == [(10, 10 + len(value), "guess")]
+
+
+def test_random_letters_are_no_words():
+    import random
+
+    dice = random.Random(4)
+    made = ["".join(dice.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(300)]
+    assert sum(secret_scan.natural_bits(m) < 36 for m in made) <= 1 and secret_scan.natural_bits("mixedCase") == secret_scan.natural_bits("word9") == np.inf
+
+
 def test_guess_cost_against_all_segmentations():
     """Each kind of segment at each place, with the same prices but no bookkeeping of runs."""
     rank = secret_scan.dictionary()
