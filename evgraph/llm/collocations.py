@@ -167,6 +167,7 @@ def frequent(docs: DataFrame, scratch: Scratch, least: int = LEAST, max_words: i
     sums = lambda rows: rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     words = scratch.write(sums(grams(texts, 1, 1)), "words")
     totals = scratch.write(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+    scratch.release()
     found = [words.filter(F.col("f") >= least)]
     for low, high in ((2, 2), (3, max_words)):
         if max_words < low:
