@@ -97,5 +97,5 @@ def exact(docs: DataFrame, scratch: Scratch | None = None, size: int = BLOCK, ke
     """
     scratch = scratch or Scratch(docs.sparkSession, "exact")
     found = scratch.write(identities(docs.select("doc_id", "text"), scratch, size, key), "identities")
-    groups = found.groupBy("level", "name").agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
+    groups = scratch.write(found.groupBy("level", "name").agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size")), "groups")
     return found.join(groups, ["level", "name"]).select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256")
