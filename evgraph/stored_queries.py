@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .catalog import Catalog
 from .engine import Engine
+from .operators import identity
+from .operators.generations import Generations
 from .operators.textindex import TextIndex
 from .plans.scratch import Scratch
 from .plans.testbed import Testbed
@@ -80,3 +84,36 @@ def g08_who(t: Testbed) -> DataFrame:
 def g09_works(t: Testbed) -> DataFrame:
     """The first page of the works of one person, found by name and merged of two rows."""
     return _engine(t).works("Customer#000000039").rows.select("domain", "content_ref", "role")
+
+
+# ---------------------------------------------------------------- decisions and generations
+
+
+def _stars(t: Testbed, keep: F.Column | None = None) -> DataFrame:
+    """An acceptance of each document with the least document of the same text, active where `keep` of the first says so."""
+    people = t.entities()
+    stars = identity.block_stars(people, ["digest"]).join(people.select(F.col("entity_id").alias("v"), "origin"), "v")
+    active = F.lit(True) if keep is None else keep
+    return stars.select(F.concat(F.lit("d"), "v").alias("decision_id"), F.concat(F.lit("c"), "v").alias("candidate_id"), F.col("u").alias("entity_a"), F.col("v").alias("entity_b"), F.lit("accepted").alias("outcome"), active.alias("active"), F.lit(1).cast("long").alias("seq"), "origin")
+
+
+@query("""WITH m AS (SELECT entity_id, origin, digest, min(entity_id) OVER (PARTITION BY digest) AS u FROM entities), leaf AS (SELECT *, first_value(origin) OVER (PARTITION BY digest ORDER BY entity_id) AS first FROM m WHERE entity_id > u)
+ SELECT u AS entity_a, entity_id AS entity_b, CASE WHEN origin = first THEN 'accepted' ELSE 'cluster_conflict' END AS verdict FROM leaf""", "entities")
+def g18_stars_accepted(t: Testbed) -> DataFrame:
+    """All copies of a text at once, where each but the first bears its source as a unique identifier: the first of them decides."""
+    wanted = _stars(t).select("candidate_id", "entity_a", "entity_b", F.array().cast("array<string>").alias("conflicts"))
+    held = _stars(t).select(F.col("entity_b").alias("entity_id"), F.lit("viaf").alias("scheme"), F.col("origin").alias("value"), F.lit(None).cast("string").alias("valid_to"))
+    log = t.spark.createDataFrame([], "decision_id string, candidate_id string, entity_a long, entity_b long, outcome string, active boolean, seq long")
+    return identity.accept(wanted, log, held).select("entity_a", "entity_b", "verdict")
+
+
+@query("""WITH m AS (SELECT entity_id, origin, min(entity_id) OVER (PARTITION BY digest) AS u FROM entities) SELECT 1 AS generation, entity_id, u AS canonical_id FROM m
+ UNION ALL SELECT 2, entity_id, CASE WHEN origin = 'src1' THEN entity_id ELSE u END FROM m UNION ALL SELECT 3, entity_id, u FROM m""", "entities")
+def g19_generations(t: Testbed) -> DataFrame:
+    """Three generations read back: of all acceptances, of those whose second side is not of one source, and of all again."""
+    people, none = t.entities(), t.spark.createDataFrame([], "entity_id long, scheme string, value string, valid_to string")
+    last = Generations(t.spark, Scratch(t.spark, "generations").root)
+    for log in (_stars(t), _stars(t, F.col("origin") != "src1"), _stars(t)):
+        last = last.apply(people, log.drop("origin"), none)
+    rows = [last.at(n).members().select(F.lit(n).alias("generation"), "entity_id", "canonical_id") for n in range(1, last.latest + 1)]
+    return reduce(DataFrame.unionByName, rows)
