@@ -136,11 +136,14 @@ def keep_last(target: DataFrame, incoming: DataFrame, keys: list[str], *order: C
     return target.join(new.select(*keys), keys, "left_anti").unionByName(new.select(*target.columns))
 
 
-def merge(target: DataFrame, incoming: DataFrame, keys: list[str], **rules: Column) -> DataFrame:
-    """Upsert: new values win where they aren't null; `rules` give other columns' values from `old_` and `new_` columns."""
+def merge(target: DataFrame, incoming: DataFrame, keys: list[str], *order: Column, **rules: Column) -> DataFrame:
+    """Upsert: new values win where they aren't null; `rules` give other columns' values from `old_` and `new_` columns. Of incoming rows
+    of one key each column's last value in `order` that isn't null counts, without an order the greatest, as if the rows came one after
+    another; a rule sees that value."""
     rest = [c for c in target.columns if c not in keys]
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))) if order else F.max(c)
     old = target.select(*keys, *[F.col(c).alias(f"old_{c}") for c in rest])
-    new = incoming.select(*keys, *[F.col(c).alias(f"new_{c}") for c in rest])
+    new = incoming.groupBy(*keys).agg(*[last(c).alias(f"new_{c}") for c in rest]) if rest else incoming.select(*keys).distinct()
     both = old.join(new, keys, "full")
     return both.select(*keys, *[rules.get(c, F.coalesce(f"new_{c}", f"old_{c}")).alias(c) for c in rest])
 

@@ -15,6 +15,7 @@ from .operators.textindex import TextIndex
 from .plans.scratch import Scratch
 from .plans.testbed import Testbed
 from .queries import query
+from .streaming import observations
 
 #: Tokens of a text as the index has them.
 TOKENS = r"list_filter(regexp_split_to_array(translate(lower(coalesce({0}, '')), 'àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ', 'aaaaaaceeeeiiiinoooooouuuuyy'), '[^\p{{L}}\p{{N}}\p{{M}}]+'), lambda w: w <> '')"
@@ -117,3 +118,18 @@ def g19_generations(t: Testbed) -> DataFrame:
         last = last.apply(people, log.drop("origin"), none)
     rows = [last.at(n).members().select(F.lit(n).alias("generation"), "entity_id", "canonical_id") for n in range(1, last.latest + 1)]
     return reduce(DataFrame.unionByName, rows)
+
+
+# ---------------------------------------------------------------- streams
+
+
+@query("SELECT account, alias, valid_from, valid_to FROM (SELECT *, lead(valid_from) OVER (PARTITION BY account ORDER BY valid_from, alias) AS valid_to FROM (SELECT user_id AS account, event_type AS alias, ts AS valid_from, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_type) AS before FROM events) WHERE before IS NULL OR before <> alias) WHERE valid_to <= (SELECT date_trunc('milliseconds', max(ts)) FROM events)")
+def w07_settled_history(t: Testbed) -> DataFrame:
+    """What users did as intervals, settled by a stream over all events, as far as its watermark has come: to the last millisecond."""
+    scratch = Scratch(t.spark, "history")
+    schema = t.table("events").schema
+    events = t.spark.readStream.schema(schema).parquet(f"{t.sf_dir}/events.parquet*")
+    rows = events.select(F.col("user_id").cast("string").alias("account"), F.col("event_type").alias("alias"), F.col("ts").cast("timestamp").alias("observed_at"))
+    observations.append_sink(observations.alias_intervals(rows, late="0 seconds"), f"{scratch.root}/rows", f"{scratch.root}/log").awaitTermination()
+    found = t.spark.read.parquet(f"{scratch.root}/rows").filter("valid_to IS NOT NULL")
+    return found.select(F.col("account").cast("long").alias("account"), "alias", F.col("valid_from").cast("timestamp_ntz").alias("valid_from"), F.col("valid_to").cast("timestamp_ntz").alias("valid_to"))

@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 
 def deduplicated(stream: DataFrame, at: str = "retrieved_at", key: str = "payload_sha256", window: str = "30 days") -> DataFrame:
@@ -25,22 +26,73 @@ def counts(stream: DataFrame, at: str, kind: str, size: str = "1 hour", late: st
     return stream.withWatermark(at, late).groupBy(F.window(at, size), kind).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
-def alias_intervals(stream: DataFrame) -> DataFrame:
-    """Closed intervals of mutable aliases (account, alias, observed_at) as renames arrive; the open one is state."""
+class AliasHistory(StatefulProcessor):
+    """Renames of one account: events wait in a list until the watermark has passed them, then they are settled in order of time and
+    alias; the alias that holds is a value. An account that is silent for `idle` milliseconds leaves: its open interval is put out
+    with no end, and nothing of it is kept."""
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        alias, since = state.get if state.exists else (None, None)
-        out = []
-        for r in pd.concat(list(frames)).sort_values("observed_at").itertuples():
-            if alias is not None and r.alias != alias:
-                out.append((key[0], alias, since, r.observed_at))
-            if r.alias != alias:
-                alias, since = r.alias, r.observed_at
-        state.update((alias, since))
-        yield pd.DataFrame(out, columns=["account", "alias", "valid_from", "valid_to"])
+    def __init__(self, idle: int):
+        self.idle = idle
 
-    schema = "account string, alias string, valid_from timestamp, valid_to timestamp"
-    return stream.groupBy("account").applyInPandasWithState(step, schema, "alias string, since timestamp", "append", GroupStateTimeout.NoTimeout)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "observed_at timestamp, alias string")
+        self.held = handle.getValueState("held", "alias string, since timestamp, last timestamp")
+
+    def _ring(self, at) -> None:
+        self.handle.registerTimer(int(pd.Timestamp(at, tz="UTC").timestamp() * 1000))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        new = [(r.observed_at.to_pydatetime(), r.alias) for frame in rows for r in frame.itertuples() if r.alias is not None and r.observed_at is not pd.NaT]
+        if new:
+            self.waiting.appendList(new)
+            self._ring(min(new)[0])
+        yield pd.DataFrame(columns=["account", "alias", "valid_from", "valid_to"])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = pd.Timestamp(timerValues.getCurrentWatermarkInMs(), unit="ms").to_pydatetime()
+        waiting = sorted(tuple(x) for x in self.waiting.get()) if self.waiting.exists() else []
+        ready, later = [x for x in waiting if x[0] <= mark], [x for x in waiting if x[0] > mark]
+        alias, since, last = self.held.get() if self.held.exists() else (None, None, None)
+        out, silent = [], pd.Timedelta(milliseconds=self.idle)
+        for at, name in ready:
+            if last is not None and at - last > silent:
+                out.append((key[0], alias, since, None))
+                alias = None
+            if name != alias:
+                if alias is not None:
+                    out.append((key[0], alias, since, at))
+                alias, since = name, at
+            last = at
+        if ready:
+            self.waiting.clear()
+            if later:
+                self.waiting.put(later)
+        if later:
+            self._ring(later[0][0])
+        if last is not None:
+            leaves = pd.Timestamp(last) + silent
+            if leaves < mark:
+                out.append((key[0], alias, since, None))
+                self.held.clear()
+            else:
+                self.held.update((alias, since, last))
+                self._ring(leaves + pd.Timedelta(milliseconds=1))
+        frame = pd.DataFrame(out, columns=["account", "alias", "valid_from", "valid_to"])
+        yield frame.astype({"valid_from": "datetime64[us]", "valid_to": "datetime64[us]"})
+
+
+def alias_intervals(stream: DataFrame, late: str = "2 hours", idle: str = "3650 days") -> DataFrame:
+    """Intervals of mutable aliases (account, alias, observed_at) as renames are settled, in append mode: whatever the order that
+    events arrive in, those within the watermark give the intervals that `sources.records.alias_history` gives of all of them; a
+    later one is dropped and counted by the stream. An interval is put out when the next alias begins, or without an end when the
+    account has been silent for `idle`, which is when its state goes. Null aliases and times are no events.
+
+    Timers need the RocksDB state store, which is set for streams that start from now on."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = stream.select(F.col("account").cast("string").alias("account"), F.col("alias").cast("string").alias("alias"), F.col("observed_at").cast("timestamp").alias("observed_at"))
+    processor = AliasHistory(int(pd.Timedelta(idle).total_seconds() * 1000))
+    return rows.withWatermark("observed_at", late).groupBy("account").transformWithStateInPandas(processor, "account string, alias string, valid_from timestamp, valid_to timestamp", "Append", "EventTime")
 
 
 def append_sink(stream: DataFrame, path: str, checkpoint: str):
