@@ -11,6 +11,7 @@ from .catalog import Catalog
 from .engine import Engine
 from .operators import identity
 from .operators.generations import Generations
+from .operators.published import Change, Published, Rejected, append_only, check, reference, unique
 from .operators.textindex import TextIndex
 from .plans.scratch import Scratch
 from .plans.testbed import Testbed
@@ -133,3 +134,27 @@ def w07_settled_history(t: Testbed) -> DataFrame:
     observations.append_sink(observations.alias_intervals(rows, late="0 seconds"), f"{scratch.root}/rows", f"{scratch.root}/log").awaitTermination()
     found = t.spark.read.parquet(f"{scratch.root}/rows").filter("valid_to IS NOT NULL")
     return found.select(F.col("account").cast("long").alias("account"), "alias", F.col("valid_from").cast("timestamp_ntz").alias("valid_from"), F.col("valid_to").cast("timestamp_ntz").alias("valid_to"))
+
+
+# ---------------------------------------------------------------- published tables
+
+
+@query("""SELECT 1 AS version, 'customer' AS what, count(*) AS n FROM customer UNION ALL SELECT 2, 'orders', count(*) FROM orders UNION ALL SELECT 2, 'orders.unique(o_orderkey)', count(*) FROM orders
+ UNION ALL SELECT 2, 'orders.check price', count(*) FROM orders WHERE o_orderkey IS NOT NULL UNION ALL SELECT 2, 'orders.o_custkey of customer', count(*) FROM orders UNION ALL SELECT 3, 'orders', 2 * count(*) FROM orders""")
+def v09_published_orders(t: Testbed) -> DataFrame:
+    """Orders published under rules: those that break them leave the version as it was, those that don't make the next."""
+    rules = [unique("orders", "o_orderkey"), reference("orders", "o_custkey", "customer", "c_custkey"), check("orders", price=F.col("o_totalprice") >= 0), append_only("orders", "o_orderkey")]
+    store, orders = Published(t.spark, Scratch(t.spark, "published").root, rules), t.table("orders")
+    store.commit({"customer": Change(t.table("customer"))})
+    store.commit({"orders": Change(orders)})
+    said = []
+    for bad in (orders, orders.withColumns({"o_orderkey": -1 - F.col("o_orderkey"), "o_custkey": -5 - F.col("o_custkey"), "o_totalprice": -1 - F.col("o_totalprice")})):
+        try:
+            store.commit({"orders": Change(bad)})
+        except Rejected as e:
+            said += [(store.version(), rule, n) for rule, n, _ in e.findings]
+    store.commit({"orders": Change(orders.unionByName(orders.withColumn("o_orderkey", -1 - F.col("o_orderkey"))), "ignore", ("o_orderkey",))})
+    rows = t.spark.createDataFrame(said, "version int, what string, n long")
+    for version, name in ((1, "customer"), (2, "orders"), (3, "orders")):
+        rows = rows.unionByName(store.table(name, version).agg(F.count("*").alias("n")).select(F.lit(version).alias("version"), F.lit(name).alias("what"), "n"))
+    return rows
