@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .catalog import Catalog
 from .engine import Engine
-from .operators import identity
+from .operators import identity, ownership
 from .operators.generations import Generations
 from .operators.published import Change, Published, Rejected, append_only, check, reference, unique
 from .operators.textindex import TextIndex
@@ -158,3 +158,20 @@ def v09_published_orders(t: Testbed) -> DataFrame:
     for version, name in ((1, "customer"), (2, "orders"), (3, "orders")):
         rows = rows.unionByName(store.table(name, version).agg(F.count("*").alias("n")).select(F.lit(version).alias("version"), F.lit(name).alias("what"), "n"))
     return rows
+
+
+# ---------------------------------------------------------------- owners of paths
+
+
+@query("""WITH p AS (SELECT DISTINCT p_brand || '/' || replace(p_type, ' ', '/') || '/' || p_partkey || '.py' AS path, p_brand, p_type, p_partkey FROM part),
+ o AS (SELECT DISTINCT p_brand || '/**' AS pattern, p_brand AS owner FROM part UNION SELECT DISTINCT p_brand || '/' || split_part(p_type, ' ', 1) || '/**', p_brand || ' ' || split_part(p_type, ' ', 1) FROM part WHERE p_partkey % 2 = 0 UNION SELECT '*7.py', 'sevens')
+ SELECT path, CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.owner = p.p_brand || ' ' || split_part(p.p_type, ' ', 1)) THEN p.p_brand || ' ' || split_part(p.p_type, ' ', 1) ELSE p.p_brand END AS owner, CAST(1 + CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.owner = p.p_brand || ' ' || split_part(p.p_type, ' ', 1)) THEN 1 ELSE 0 END + CASE WHEN p_partkey % 10 = 7 THEN 1 ELSE 0 END AS BIGINT) AS owners FROM p""")
+def h20_path_owners(t: Testbed) -> DataFrame:
+    """Files named by brand, type and key, owned by brands, by some types of brands and by a glob: the most specific and how many."""
+    part, repo = t.table("part"), F.lit("r").alias("repository")
+    first = F.split("p_type", " ")[0]
+    paths = part.select(repo, F.concat("p_brand", F.lit("/"), F.replace("p_type", F.lit(" "), F.lit("/")), F.lit("/"), "p_partkey", F.lit(".py")).alias("path"))
+    owned = part.select(repo, F.col("p_brand").alias("owner"), F.concat("p_brand", F.lit("/**")).alias("pattern")).unionByName(part.filter("p_partkey % 2 = 0").select(repo, F.concat_ws(" ", "p_brand", first).alias("owner"), F.concat("p_brand", F.lit("/"), first, F.lit("/**")).alias("pattern"))).distinct()
+    owned = owned.unionByName(t.spark.createDataFrame([("r", "sevens", "*7.py")], "repository string, owner string, pattern string"))
+    many = ownership.owners(paths, owned).groupBy("repository", "path").agg(F.count("*").alias("owners"))
+    return ownership.most_specific(paths, owned).join(many, ["repository", "path"]).select("path", "owner", "owners")
