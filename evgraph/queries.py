@@ -615,15 +615,14 @@ def p21_organisational(t: Testbed) -> DataFrame:
     return rows.select("c_custkey", rollups.organisational(F.col("login")).alias("organisational"))
 
 
-@query("SELECT a.c_custkey AS a, b.c_custkey AS b FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey WHERE a.c_custkey % 3 = 0 AND b.c_custkey % 3 = 0")
+@query("SELECT a.s_suppkey AS a, b.s_suppkey AS b FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND (a.s_acctbal < 0) = (b.s_acctbal < 0) AND a.s_suppkey < b.s_suppkey")
 def j12_two_key_blocks(t: Testbed) -> DataFrame:
-    rows = t.table("customer").filter("c_custkey % 3 = 0").withColumnRenamed("c_custkey", "entity_id")
-    return identity.block_pairs(rows, ["c_nationkey", "c_mktsegment"], chunk=16).select("a", "b")
+    rows = t.table("supplier").select(F.col("s_suppkey").alias("entity_id"), "s_nationkey", (F.col("s_acctbal") < 0).alias("debtor"))
+    return identity.block_pairs(rows, ["s_nationkey", "debtor"], chunk=2).select("a", "b")
 
 
 @query("SELECT a.c_custkey AS a, b.c_custkey AS b FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey")
 def j12_all_two_key_blocks(t: Testbed) -> DataFrame:
-    """Of all customers; j12_two_key_blocks has every third, as its SQL."""
     rows = t.table("customer").withColumnRenamed("c_custkey", "entity_id")
     return identity.block_pairs(rows, ["c_nationkey", "c_mktsegment"], chunk=16).select("a", "b")
 
@@ -660,21 +659,21 @@ def a14_build_summary(t: Testbed) -> DataFrame:
     return rollups.build_summary(*rollups.book_people(books(t))).drop("edges")
 
 
-@query("SELECT person_id, CASE WHEN person_id IN ('c:1', 'c:3') THEN 0 ELSE 1 END AS far FROM (SELECT DISTINCT person_id FROM content WHERE domain = 'order')", "content")
+@query("""WITH RECURSIVE k AS (SELECT c_custkey AS k FROM customer), e AS (SELECT a.k AS u, a.k + 1 AS v FROM k a JOIN k b ON b.k = a.k + 1 WHERE a.k % 12 <> 0), r(id, step) AS (SELECT k, 0 FROM k WHERE k % 12 = 1 UNION SELECT e.v, step + 1 FROM r JOIN e ON e.u = r.id WHERE step < 8)
+ SELECT DISTINCT id, EXISTS (SELECT 1 FROM r JOIN e ON e.u = r.id WHERE step = 8) = FALSE AS complete FROM r""")
 def g02_expansion(t: Testbed) -> DataFrame:
+    """What eight steps along chains of twelve customers reach from their heads: not all of it."""
     from .operators.components import expand
 
-    start = t.spark.createDataFrame([("c:1",)], "id string")
-    edges = t.spark.createDataFrame([("c:1", "c:3")], "u string, v string")
-    near, _ = expand(start, edges)
-    people = t.content().filter("domain = 'order'").select("person_id").distinct()
-    return people.join(near.withColumn("hit", F.lit(0)), F.col("person_id") == F.col("id"), "left").select("person_id", F.coalesce("hit", F.lit(1)).alias("far"))
+    keys = t.table("customer").select(F.col("c_custkey").alias("k"))
+    edges = keys.filter("k % 12 <> 0").select(F.col("k").alias("u"), (F.col("k") + 1).alias("v")).join(keys.withColumnRenamed("k", "v"), "v", "left_semi").select("u", "v")
+    near, complete = expand(keys.filter("k % 12 = 1").select(F.col("k").alias("id")), edges)
+    return near.select("id", F.lit(complete).alias("complete"))
 
 
 @query("WITH RECURSIVE e AS (SELECT person_id AS u, merged_into AS v FROM person WHERE merged_into IS NOT NULL UNION SELECT merged_into, person_id FROM person WHERE merged_into IS NOT NULL), r(id, step) AS (SELECT merged_into, 0 FROM person WHERE merged_into IS NOT NULL UNION SELECT v, step + 1 FROM r JOIN e ON id = u WHERE step < 9) SELECT id AS person_id, (SELECT count(*) = 0 FROM r WHERE step = 9 AND id NOT IN (SELECT id FROM r WHERE step <= 8)) AS complete FROM r WHERE step <= 8 GROUP BY id", "person")
 def g02_merged_expansion(t: Testbed) -> DataFrame:
-    """All people within 8 steps of those that others were merged into, and whether a further step would add none;
-    g02_expansion has one literal edge, as its SQL."""
+    """All people within 8 steps of those that others were merged into, and whether a further step would add none;"""
     from .operators.components import expand
 
     merged = t.person().filter("merged_into IS NOT NULL")
@@ -755,24 +754,8 @@ def v16_evidence(t: Testbed) -> DataFrame:
     return t.table("customer").select("c_custkey", evidence("source_observation", F.col("c_mktsegment")).alias("e")).select("c_custkey", "e.grade", "e.source")
 
 
-@query("SELECT CAST(p_partkey AS VARCHAR) AS subject, CAST(1 + count(l_orderkey) AS BIGINT) AS envelopes FROM part LEFT JOIN (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem WHERE l_linenumber = 1) ON p_partkey = l_partkey GROUP BY p_partkey")
-def e05_package_envelopes(t: Testbed) -> DataFrame:
-    made = t.table("lineitem").filter("l_linenumber = 1").select("l_partkey", "l_orderkey").distinct().groupBy("l_partkey").agg(F.collect_list(F.struct(F.col("l_orderkey").cast("string").alias("version"), F.lit("2024-01-01T00:00:00Z").alias("published_at"))).alias("versions"))
-    rows = t.table("part").join(made, F.col("p_partkey") == F.col("l_partkey"), "left").select(F.col("p_partkey").cast("string").alias("name"), F.lit("MIT").alias("license"), F.array(F.col("p_brand")).alias("owners"), "versions")
-    e = adapters.packages(rows, SOURCE, "npm")
-    return e.groupBy(F.substring_index("subject.label", "@", 1).alias("subject")).agg(F.count("*").alias("envelopes"))
-
-
-@query("SELECT 'talk:' || l_orderkey || '-' || l_linenumber AS subject, CAST(1 AS INTEGER) AS speakers FROM lineitem WHERE l_linenumber <= 2")
-def e18_schedule_envelopes(t: Testbed) -> DataFrame:
-    talk = F.struct(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("guid"), F.lit("t").alias("title"), F.array(F.struct(F.col("l_returnflag").alias("name"), F.lit(None).cast("string").alias("code"))).alias("persons"))
-    rows = t.table("lineitem").filter("l_linenumber <= 2").select(F.col("l_orderkey").cast("string").alias("conference"), F.array(F.struct(F.lit("2024-01-01").alias("date"), F.create_map(F.lit("room"), F.array(talk)).alias("rooms"))).alias("days"))
-    return adapters.schedule_talks(rows, SOURCE).select(F.col("subject.source_native_id").alias("subject"), F.size("contributions").alias("speakers"))
-
-
 @query("SELECT 'talk:' || l_orderkey || '-' || l_linenumber AS subject, CAST(1 AS INTEGER) AS speakers FROM lineitem")
 def e18_all_schedule_envelopes(t: Testbed) -> DataFrame:
-    """Of all lines; e18_schedule_envelopes has the first two of each order, as its SQL."""
     talk = F.struct(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("guid"), F.lit("t").alias("title"), F.array(F.struct(F.col("l_returnflag").alias("name"), F.lit(None).cast("string").alias("code"))).alias("persons"))
     rows = t.table("lineitem").select(F.col("l_orderkey").cast("string").alias("conference"), F.array(F.struct(F.lit("2024-01-01").alias("date"), F.create_map(F.lit("room"), F.array(talk)).alias("rooms"))).alias("days"))
     return adapters.schedule_talks(rows, SOURCE).select(F.col("subject.source_native_id").alias("subject"), F.size("contributions").alias("speakers"))
@@ -780,7 +763,6 @@ def e18_all_schedule_envelopes(t: Testbed) -> DataFrame:
 
 @query("SELECT CAST(p_partkey AS VARCHAR) AS subject, CAST(1 + count(l_orderkey) AS BIGINT) AS envelopes FROM part LEFT JOIN (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) ON p_partkey = l_partkey GROUP BY p_partkey")
 def e05_all_package_envelopes(t: Testbed) -> DataFrame:
-    """Of all lines; e05_package_envelopes has the first of each order, as its SQL."""
     made = t.table("lineitem").select("l_partkey", "l_orderkey").distinct().groupBy("l_partkey").agg(F.collect_list(F.struct(F.col("l_orderkey").cast("string").alias("version"), F.lit("2024-01-01T00:00:00Z").alias("published_at"))).alias("versions"))
     rows = t.table("part").join(made, F.col("p_partkey") == F.col("l_partkey"), "left").select(F.col("p_partkey").cast("string").alias("name"), F.lit("MIT").alias("license"), F.array(F.col("p_brand")).alias("owners"), "versions")
     e = adapters.packages(rows, SOURCE, "npm")
@@ -935,17 +917,25 @@ def g07_members_and_missing(t: Testbed) -> DataFrame:
     return pointed.join(there, "merged_into", "left").select("person_id", "merged_into", F.coalesce("missing", F.lit(True)).alias("missing"))
 
 
-@query("SELECT a.entity_id AS a, b.entity_id AS b, CASE WHEN a.kind <> b.kind THEN 'human_organisation_conflict' ELSE '' END AS conflicts FROM entities a JOIN entities b ON a.origin = b.origin AND a.entity_id < b.entity_id WHERE a.entity_id % 10 = 0 AND b.entity_id % 10 = 0", "entities")
+@query(
+    """WITH c AS (SELECT c_custkey AS k, c_nationkey AS n, c_mktsegment AS m, CASE WHEN c_acctbal < 0 THEN 'organisation' ELSE 'human' END AS kind, birth_year AS born, CASE WHEN c_custkey % 2 = 0 THEN last_year END AS died, CASE WHEN c_custkey % 3 > 0 THEN c_custkey % 5 END AS viaf FROM customer LEFT JOIN years ON c_custkey = o_custkey)
+    SELECT a.k AS a, b.k AS b, array_to_string(list_filter([CASE WHEN a.viaf <> b.viaf THEN 'conflicting_viaf' END, CASE WHEN a.kind <> b.kind THEN 'human_organisation_conflict' END, CASE WHEN abs(a.born - b.born) > 2 OR abs(a.died - b.died) > 2 THEN 'life_date_conflict' END], lambda x: x IS NOT NULL), ',') AS conflicts
+    FROM c a JOIN c b ON a.n = b.n AND a.m = b.m AND a.k < b.k""",
+    "years",
+)
 def g17_pair_conflicts(t: Testbed) -> DataFrame:
-    people = t.entities().filter("entity_id % 10 = 0").withColumns({"birth_year": F.lit(None).cast("int"), "death_year": F.lit(None).cast("int")})
-    pairs = identity.block_pairs(people, ["origin"]).select("a", "b")
-    none = t.spark.createDataFrame([], "entity_id long, scheme string, value string, valid_to string")
-    return identity.conflicts(pairs, people, none).select("a", "b", F.array_join("conflicts", ",").alias("conflicts"))
+    """Pairs of customers of a nation and segment with all three reasons: kinds, life dates, identifiers."""
+    years = t.table("orders").groupBy("o_custkey").agg(F.year(F.min("o_orderdate")).alias("birth_year"), F.year(F.max("o_orderdate")).alias("last_year"))
+    key = F.col("c_custkey")
+    people = t.table("customer").join(years, key == F.col("o_custkey"), "left").select(key.alias("entity_id"), "c_nationkey", "c_mktsegment", F.when(F.col("c_acctbal") < 0, "organisation").otherwise("human").alias("kind"), "birth_year", F.when(key % 2 == 0, F.col("last_year")).alias("death_year"))
+    held = t.table("customer").filter("c_custkey % 3 > 0").select(key.alias("entity_id"), F.lit("viaf").alias("scheme"), (key % 5).cast("string").alias("value"), F.lit(None).cast("string").alias("valid_to"))
+    pairs = identity.block_pairs(people, ["c_nationkey", "c_mktsegment"]).select("a", "b")
+    return identity.conflicts(pairs, people, held).select("a", "b", F.array_join("conflicts", ",").alias("conflicts"))
 
 
 @query("SELECT a.entity_id AS a, b.entity_id AS b, CASE WHEN a.kind <> b.kind THEN 'human_organisation_conflict' ELSE '' END AS conflicts FROM entities a JOIN entities b ON a.digest = b.digest AND a.entity_id < b.entity_id", "entities")
 def g17_digest_conflicts(t: Testbed) -> DataFrame:
-    """The pairs of all entities that have the same digest; g17_pair_conflicts has every tenth entity, as its SQL."""
+    """The pairs of all entities that have the same digest."""
     people = t.entities().withColumns({"birth_year": F.lit(None).cast("int"), "death_year": F.lit(None).cast("int")})
     none = t.spark.createDataFrame([], "entity_id long, scheme string, value string, valid_to string")
     return identity.conflicts(identity.block_pairs(people, ["digest"]).select("a", "b"), people, none).select("a", "b", F.array_join("conflicts", ",").alias("conflicts"))
