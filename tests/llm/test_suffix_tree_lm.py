@@ -34,7 +34,7 @@ def plain_tree(docs, train, least, bits, depth=2):
     texts = [words(t) for t in train]
     c1 = Counter(w for t in texts for w in t)
     n, v = sum(c1.values()), len(c1)
-    limit, follow = least, max(4, least // lm.FOLLOW)
+    limit, follow = least, max(1, least // lm.FOLLOW)
     root = lambda w: (c1[w] + 1) / (n + v + 1)
     levels = []
 
