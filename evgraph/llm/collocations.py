@@ -16,6 +16,8 @@ from .common import LOWER, Scratch, mix, span_hashes, utf8
 LEAST, MAX_WORDS, FIRST = 100, 5, 2000
 #: Texts are taken in runs of so many bytes, cut between pieces.
 RUN = 4 << 20
+#: Parts in which pairs, by far the most phrases, are counted one after another, so that less of them is on disk at once.
+PARTS = 2
 #: A filter has 2 to this power bits whatever it holds.
 FILTER_BITS = 27
 
@@ -133,9 +135,10 @@ def _filter(frequent: DataFrame, words: int) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def grams(docs: DataFrame, low: int, high: int, bits=None) -> DataFrame:
+def grams(docs: DataFrame, low: int, high: int, bits=None, part: int = 0) -> DataFrame:
     """(lang, phrase, f): rows of all phrases of `low` to `high` words within the pieces of `docs` (lang, text), counted for each
-    run of text. `bits`, a broadcast filter of words (for two words) or of pairs (beyond), leaves out what can't be frequent."""
+    run of text. `bits`, a broadcast filter of words (for two words) or of pairs (beyond), leaves out what can't be frequent. Pairs
+    are those of one part, by their first word."""
 
     def explode(batches):
         for table in _gathered(batches, RUN):
@@ -145,7 +148,7 @@ def grams(docs: DataFrame, low: int, high: int, bits=None) -> DataFrame:
                     continue
                 if high == 2:
                     known = _holds(bits.value, w.hashes)
-                    alive = w.together(2) & known[:-1] & known[1:]
+                    alive = w.together(2) & known[:-1] & known[1:] & (w.hashes[:-1] % np.uint64(PARTS) == part)
                     yield _rows(lang, w.phrases(np.flatnonzero(alive), 2))
                     continue
                 alive = two = w.together(2) & _holds(bits.value, w.pairs()) if len(w.hashes) > 1 else np.zeros(0, bool)
@@ -159,8 +162,8 @@ def grams(docs: DataFrame, low: int, high: int, bits=None) -> DataFrame:
 def frequent(docs: DataFrame, scratch: Scratch, least: int = LEAST, max_words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, f) of all phrases of up to `max_words` words that occur `least` times, and (lang, n), all word occurrences.
 
-    All n-grams are exploded into rows and summed by a hash aggregation, in three passes: words; pairs of frequent words; longer
-    ones of which each pair is frequent. A phrase cannot occur more often than a part of it, so nothing frequent is left out, and
+    All n-grams are exploded into rows and summed by a hash aggregation: words; pairs of frequent words, in parts; longer ones of
+    which each pair is frequent. A phrase cannot occur more often than a part of it, so nothing frequent is left out, and
     what could not be is never shuffled."""
     context = docs.sparkSession.sparkContext
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -173,9 +176,13 @@ def frequent(docs: DataFrame, scratch: Scratch, least: int = LEAST, max_words: i
         if max_words < low:
             break
         bits = context.broadcast(_filter(found[-1], low - 1))
-        found.append(scratch.write(sums(grams(texts, low, high, bits)).filter(F.col("f") >= least), f"grams-{low}"))
+        rows = None
+        for part in range(PARTS if high == 2 else 1):
+            one = scratch.write(sums(grams(texts, low, high, bits, part)).filter(F.col("f") >= least), f"grams-{low}-{part}")
+            rows = one if rows is None else rows.unionByName(one)
+            scratch.release()
+        found.append(rows)
         bits.unpersist()
-        scratch.release()
     every = found[0]
     for one in found[1:]:
         every = every.unionByName(one)
