@@ -8,9 +8,9 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 
 def string_list(text: Column) -> Column:
@@ -43,6 +43,24 @@ def canonical(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(of)
 
 
+def _sorted(value: Column, kind: DataType) -> Column:
+    if isinstance(kind, StructType):
+        parts = [_sorted(value[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), F.struct(*parts)) if parts else value
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _sorted(x, kind.elementType))
+    if isinstance(kind, MapType):
+        return F.map_from_entries(F.array_sort(F.map_entries(F.transform_values(value, lambda _, v: _sorted(v, kind.valueType)))))
+    return value
+
+
+def canonical_of(frame: DataFrame, value: Column) -> Column:
+    """JSON text of a typed column of a frame: keys sorted at any depth, no spaces, nulls as such, so that a field that is null and one
+    that is absent differ. All built in; what has no type but is text goes through `canonical`."""
+    kind = frame.select(value.alias("v")).schema["v"].dataType
+    return F.to_json(_sorted(value, kind), {"ignoreNullFields": "false"})
+
+
 @F.pandas_udf(ArrayType(StringType()))
 def keys_at_any_depth(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Lower-case keys of all objects in a JSON text, sorted, once each."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import canonical
+from ..functions.jsonx import canonical_of
 from ..functions.urls import package_url
 from ..operators.contracts import VERSION
 
@@ -37,7 +37,7 @@ def envelope(
 ) -> DataFrame:
     """Envelopes of records. source: source_id, snapshot_id, observed_at, retrieved_at, terms_revision, rights_state."""
     at = observed_at if observed_at is not None else F.lit(source["observed_at"])
-    text = canonical(F.to_json(raw if raw is not None else F.struct(*records.columns)))
+    text = canonical_of(records, raw if raw is not None else F.struct(*records.columns))
     none = lambda kind_: F.array().cast(kind_)
     return records.select(
         F.lit(VERSION).alias("envelope_version"),

@@ -114,3 +114,19 @@ def test_small_text(spark):
     assert one(spark, text.shortened(F.col("t"), 3), t="abcdef") == "abc" and one(spark, text.shortened(F.col("t")), t="") is None
     assert (one(spark, text.before_slash(F.col("t")), t="a/b/c"), one(spark, text.after_slash(F.col("t")), t="a/b/c"), one(spark, text.after_slash(F.col("t")), t="a")) == ("a", "b/c", "")
     assert one(spark, ids.percent_encoded(F.col("t")), t="a b/ü") == "a%20b%2F%C3%BC"
+
+
+def test_canonical_text_of_typed_columns(spark):
+    import json
+
+    from evgraph.functions import jsonx
+
+    kind = "b struct<z:int,a:array<struct<y:string,x:double>>>, a map<string,struct<d:int,c:string>>, n string, `é` string"
+    rows = [((1, [("q", 0.5), (None, None), None]), {"k2": (1, None), "k1": None}, None, 'x "y" ü'), (None, None, "", None)]
+    frame = spark.createDataFrame(rows, kind)
+    got = [r["t"] for r in frame.select(jsonx.canonical_of(frame, F.struct(*frame.columns)).alias("t")).collect()]
+    for (b, a, n, e), text in zip(rows, got, strict=True):
+        plain = {"b": None if b is None else {"z": b[0], "a": [None if x is None else {"y": x[0], "x": x[1]} for x in b[1]]}, "a": None if a is None else {k: None if v is None else {"d": v[0], "c": v[1]} for k, v in a.items()}, "n": n, "é": e}
+        assert text == json.dumps(plain, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    plan = frame.select(jsonx.canonical_of(frame, F.struct(*frame.columns)))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
