@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -495,6 +496,35 @@ def v01_envelope_report(t: Testbed) -> DataFrame:
     return contracts.report(contracts.envelope_issues(broken))
 
 
+#: What an envelope of each remainder of its event's id is broken by; the last is whole.
+BROKEN = (
+    "envelope.version", "required.text", "source.rights_state", "subject.kind", "format.sha256", "pointer.private_path", "format.iso8601", "format.timezone", "type.list", "required.text", "type.mapping", "identifier.attribute_promoted", "identifier.handle_global", "identifier.handle_stable",
+    "identifier.handle_unique", "identifier.scope", "identifier.stability", "identifier.uniqueness", "relationship.type", "identity.relationship_not_review_only", "identity.name_only_merge", "identity.canonical_id_forbidden", "identity.merge_directive_forbidden", "",
+)
+
+
+@query(f"SELECT code, count(*) AS n FROM (SELECT [{', '.join(repr(c) for c in BROKEN)}][event_id % 24 + 1] AS code FROM events) WHERE code <> '' GROUP BY code")
+def v01_every_code(t: Testbed) -> DataFrame:
+    """Envelopes of all events, each broken in one way or none: how often each code is raised."""
+    m = F.pmod(F.col("source.record_native_id").cast("long"), F.lit(24))
+    at = lambda cases, other: reduce(lambda c, kv: F.when(m.isin(kv[0]) if isinstance(kv[0], int) else m.isin(*kv[0]), F.lit(kv[1])).otherwise(c), cases.items(), other)
+    source, subject = F.col("source"), F.col("subject")
+    source = source.withField("source_id", at({1: " "}, source["source_id"])).withField("rights_state", at({2: "any"}, source["rights_state"])).withField("payload_sha256", at({4: "12"}, source["payload_sha256"])).withField("observed_at", at({6: "yesterday", 7: "2024-01-01T00:00:00"}, source["observed_at"]))
+    subject = subject.withField("kind", at({3: "any"}, subject["kind"])).withField("label", at({9: " "}, subject["label"]))
+    ids = F.transform(
+        "identifiers", lambda x: x.withField("scheme", at({11: "name", (12, 13, 14): "login"}, x["scheme"])).withField("scope", at({12: "global", 15: "any"}, x["scope"])).withField("stability", at({(12, 14): "mutable", 16: "any"}, x["stability"])).withField("uniqueness", at({(12, 13): "unknown", 17: "any"}, x["uniqueness"]))
+    )
+    none = F.lit(None).cast("string")
+    relations = F.transform(
+        F.slice("relationships", 1, 1), lambda r: F.struct(at({18: "", (19, 20): "same_as"}, r["predicate"]).alias("type"), at({19: "accepted"}, F.lit("proposed")).alias("review_state"), at({19: "orcid", 20: "exact_name"}, none).alias("method"), F.lit(None).cast("array<string>").alias("basis"), r["evidence"].alias("evidence"))
+    )
+    e = event_envelopes(t).select(
+        at({0: "other"}, F.col("envelope_version")).alias("envelope_version"), source.alias("source"), F.when(m != 10, subject).alias("subject"), F.when(m != 8, ids).alias("identifiers"), "contributions", relations.alias("relationships"), "evidence",
+        at({5: "/home/x"}, F.col("raw_pointer")).alias("raw_pointer"), at({21: '{"a": [{"Canonical_ID": 1}]}', 22: '{"b": {"auto_merge": true}}'}, F.lit("{}")).alias("raw"),
+    )
+    return contracts.envelope_issues(e, "raw").select(F.explode("issues.code").alias("code")).groupBy("code").agg(F.count("*").alias("n"))
+
+
 @query("SELECT source, n_chars, count(*) AS n FROM documents WHERE lang = 'en' GROUP BY source, n_chars HAVING count(*) > 1")
 def v09_duplicate_keys(t: Testbed) -> DataFrame:
     return contracts.duplicates(t.table("documents"), ["source", "n_chars"], F.col("lang") == "en")
@@ -644,9 +674,12 @@ def a26_coverage_ratio(t: Testbed) -> DataFrame:
     return rows.groupBy("source").agg(F.count("*").alias("n"), bridges.percent(F.count("quality"), F.count("*")).alias("pct"))
 
 
-@query("SELECT DISTINCT event_type || ':' || user_id AS account FROM events")
+@query("SELECT 'github_account_id' AS scheme, CAST(c_custkey AS VARCHAR) AS value FROM customer UNION ALL SELECT 'github_node_id', 'N' || c_custkey FROM customer WHERE c_custkey % 2 = 0 UNION SELECT 'github_event_id', CAST(event_id AS VARCHAR) FROM events")
 def a24_distinct_accounts(t: Testbed) -> DataFrame:
-    return t.observations().select(F.concat_ws(":", "event_type", F.col("user_id").cast("string")).alias("account")).distinct()
+    """Stable identifiers of account and event envelopes; logins, which change, are none."""
+    none, key = F.lit(None).cast("string"), F.col("c_custkey")
+    rows = t.table("customer").select(key.alias("id"), F.when(key % 2 == 0, F.concat(F.lit("N"), key)).alias("node_id"), F.col("c_name").alias("login"), F.lit(None).cast("array<struct<login:string,valid_from:string,valid_to:string>>").alias("previous_logins"), F.lit("User").alias("type"), *[none.alias(c) for c in ("name", "company", "location", "bio")])
+    return bridges.stable_ids(adapters.code_accounts(rows, SOURCE).unionByName(event_envelopes(t)))
 
 
 @query("SELECT source, lang, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id DESC) AS n FROM documents) WHERE n = 1")
@@ -728,6 +761,14 @@ def a17_method_histogram(t: Testbed) -> DataFrame:
     return rows.groupBy("n_name").agg(F.count("c_custkey").alias("customers"), F.count_if(F.col("c_acctbal") < 0).alias("negative"))
 
 
+@query("SELECT 'shared_external_id' AS method, count(*) AS candidates, count(*) FILTER (a.kind = b.kind) AS auto_eligible, count(*) FILTER (a.kind <> b.kind) AS conflicted FROM entities a JOIN entities b ON a.digest = b.digest AND a.entity_id < b.entity_id HAVING count(*) > 0", "entities")
+def a17_method_counts(t: Testbed) -> DataFrame:
+    """Candidates of all documents by method, where labels are their own and equal texts share an identifier."""
+    people = t.entities().withColumns({"label": F.concat(F.lit("n"), "entity_id"), "birth_year": F.lit(None).cast("int"), "death_year": F.lit(None).cast("int")})
+    numbers = t.entities().select("entity_id", F.lit("viaf").alias("scheme"), F.col("digest").alias("value"), F.lit(None).cast("string").alias("valid_to"))
+    return identity.method_counts(identity.candidates(people, numbers))
+
+
 @query("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type HAVING count(*) > 1")
 def v09_repeated_status(t: Testbed) -> DataFrame:
     return contracts.duplicates(t.observations(), ["user_id", "event_type"])
