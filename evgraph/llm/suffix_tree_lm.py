@@ -28,7 +28,6 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -50,9 +49,6 @@ RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 SEED = 0x5EED
 #: Bits of the array that is sent to all tasks, as a power of two: at most these, and fewer for few tokens.
 FILTER = 27
-#: Parts in which the successors of single words, by far the most tuples, are counted one after another, so that less of them is on
-#: disk at once.
-PASSES = 2
 #: Tuples that a task holds before it counts them, and groups of buckets that tuples are dealt in.
 FLUSH, GROUPS = 1_000_000, 64
 
@@ -388,25 +384,20 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
 
         asked = spark.sparkContext.broadcast(added(np.zeros_like(tree.bits), *enough))
 
-        def rows(h: np.ndarray, n: np.ndarray, level=level, table=table, asked=asked, part: int = 0) -> list[np.ndarray]:
+        def rows(h: np.ndarray, n: np.ndarray, level=level, table=table, asked=asked) -> list[np.ndarray]:
             # a successor is seen often enough only where it is after the suffix, too: others aren't counted
             often = among(asked.value, h) if level == 1 else np.zeros(len(h), bool)
             for k, (at, key) in enumerate(chain(h, n, table.value, level), 1):
                 if k == level - 1:
                     often[at] = among(asked.value, follow(key, h[at]))
             keep = often[at]
-            if level == 1:
-                keep &= key % np.uint64(PASSES) == part
             return [key[keep], h[at[keep]]]
 
-        made = None
-        for part in range(PASSES if level == 1 else 1):  # each state is of one part
-            grams = scratch.write(counted(docs, ["state", "token"], partial(rows, part=part), follow_of, known), f"grams-{level}")
-            scratch.release()
-            one = scratch.write(probable(grams, states, lower), f"level-{level}-{part}")
-            made = one if made is None else made.unionByName(one)
-            scratch.drop(f"grams-{level}")
-            scratch.release()
+        grams = scratch.write(counted(docs, ["state", "token"], rows, follow_of, known), f"grams-{level}")
+        scratch.release()
+        made = scratch.write(probable(grams, states, lower), f"level-{level}")
+        scratch.drop(f"grams-{level}")
+        scratch.release()
         table.destroy()
         asked.destroy()
         kept = scratch.write(retained(made, bits), f"kept-{level}")
