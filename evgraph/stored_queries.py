@@ -16,6 +16,7 @@ from .operators.textindex import TextIndex
 from .plans.scratch import Scratch
 from .plans.testbed import Testbed
 from .queries import query
+from .sources import sinks
 from .streaming import observations
 
 #: Tokens of a text as the index has them.
@@ -175,3 +176,37 @@ def h20_path_owners(t: Testbed) -> DataFrame:
     owned = owned.unionByName(t.spark.createDataFrame([("r", "sevens", "*7.py")], "repository string, owner string, pattern string"))
     many = ownership.owners(paths, owned).groupBy("repository", "path").agg(F.count("*").alias("owners"))
     return ownership.most_specific(paths, owned).join(many, ["repository", "path"]).select("path", "owner", "owners")
+
+
+# ---------------------------------------------------------------- database files and lines, published as a whole
+
+
+def _by_customer(t: Testbed, conflict: str) -> DataFrame:
+    """Orders of three statuses, a batch each, put by customer into a table of database files."""
+    path, orders = Scratch(t.spark, conflict).root, t.table("orders").select("o_custkey", "o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("date").cast("string").alias("day"))
+    for status in ("F", "O", "P"):
+        sinks.upsert_files(orders.filter(F.col("o_orderstatus") == status), path, "latest", ["o_custkey"], ["day", "o_orderkey"], conflict, batch=status)
+        sinks.upsert_files(orders, path, "latest", ["o_custkey"], ["day"], conflict, batch=status)  # a batch that is there: nothing changes
+    return sinks.read_files(t.spark, path, "latest")
+
+
+BY_CUSTOMER = "SELECT o_custkey, o_orderkey, o_orderstatus, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus{0}, CAST(CAST(o_orderdate AS DATE) AS VARCHAR){0}, o_orderkey{0}) AS n FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')) WHERE n = 1"
+
+
+@query(BY_CUSTOMER.format(""))
+def s14_insert_or_ignore(t: Testbed) -> DataFrame:
+    return _by_customer(t, "ignore")
+
+
+@query(BY_CUSTOMER.format(" DESC"))
+def s15_insert_or_replace(t: Testbed) -> DataFrame:
+    return _by_customer(t, "replace")
+
+
+@query("SELECT '{\"customer\":' || o_custkey || ',\"day\":\"' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '\",\"order\":' || o_orderkey || ',\"status\":\"' || o_orderstatus || '\"}' AS value FROM orders")
+def s07_published_lines(t: Testbed) -> DataFrame:
+    """Orders as canonical NDJSON by customer and day, whole once it is there."""
+    path, orders = Scratch(t.spark, "lines").root, t.table("orders")
+    rows = orders.select(F.col("o_custkey").alias("customer"), F.col("o_orderkey").alias("order"), F.col("o_orderdate").cast("date").cast("string").alias("day"), F.col("o_orderstatus").alias("status"))
+    sinks.publish_ndjson(rows, path, ["customer", "day", "order"])
+    return sinks.published_ndjson(t.spark, path)
