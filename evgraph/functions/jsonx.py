@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 
 def string_list(text: Column) -> Column:
@@ -61,29 +60,15 @@ def canonical_of(frame: DataFrame, value: Column) -> Column:
     return F.to_json(_sorted(value, kind), {"ignoreNullFields": "false"})
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def keys_at_any_depth(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Lower-case keys of all objects in a JSON text, sorted, once each."""
-
-    def walk(value, out):
-        stack = [value]
-        while stack:
-            x = stack.pop()
-            if isinstance(x, dict):
-                out.update(str(k).strip().lower() for k in x)
-                stack += x.values()
-            elif isinstance(x, list):
-                stack += x
-        return sorted(out)
-
-    def of(text):
-        try:
-            return [] if text is None else walk(json.loads(text), set())
-        except ValueError:
-            return []
-
-    for s in parts:
-        yield s.map(of)
+def keys_at_any_depth(text: Column) -> Column:
+    """Lower-case keys of all objects in a JSON text at any depth, sorted, once each; none for what isn't JSON. All built in: the text is
+    written anew by the JSON library, so that a quote that is no end of a string can be renamed and strings are what lies between two
+    quotes; those that a colon follows are keys. An object that has a key twice has it."""
+    whole = F.get_json_object(text, "$")
+    plain = F.replace(F.replace(whole, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
+    strings = F.regexp_extract_all(F.when(F.substring(whole, 1, 1).isin("{", "["), plain), F.lit('"[^"]*+"(?:[ \\t\\r\\n]*+:)?'), F.lit(0))
+    keys = F.array_join(F.transform(F.filter(strings, lambda k: F.endswith(k, F.lit(":"))), lambda k: F.rtrim(F.rtrim(k, F.lit(":")))), ",")
+    return F.array_sort(F.array_distinct(F.transform(string_list(F.concat(F.lit("["), F.coalesce(keys, F.lit("")), F.lit("]"))), lambda k: F.lower(F.trim(k)))))
 
 
 def digest(text: Column) -> Column:
@@ -99,38 +84,9 @@ def canonical_digest(value: object) -> str:
     return hashlib.sha256(json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
-NODES = ArrayType(StructType([StructField("id", StringType()), StructField("types", ArrayType(StringType())), StructField("name", StringType()), StructField("url", StringType()), StructField("same_as", ArrayType(StringType()))]))
 LD_BLOCK = r"(?is)<script[^>]*type\s*=\s*[\"']?application/ld\+json[\"']?[^>]*>(.*?)</script>"
 
 
 def ld_blocks(html: Column) -> Column:
     """Texts of a page's linked-data blocks."""
     return F.filter(F.regexp_extract_all(html, F.lit(LD_BLOCK), 1), lambda b: F.trim(b) != "")
-
-
-@F.pandas_udf(NODES)
-def ld_nodes(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Nodes of a linked-data text, `@graph` and lists flattened."""
-
-    def listed(x):
-        return [] if x is None else x if isinstance(x, list) else [x]
-
-    def of(text):
-        try:
-            stack, out = [json.loads(text)] if text else [], []
-        except ValueError:
-            return []
-        while stack:
-            x = stack.pop(0)
-            if isinstance(x, list):
-                stack = x + stack
-            elif isinstance(x, dict):
-                if "@graph" in x:
-                    stack = listed(x["@graph"]) + stack
-                if any(k for k in x if k not in ("@context", "@graph")):
-                    name = x.get("name") or x.get("headline")
-                    out.append({"id": x.get("@id") or x.get("url"), "types": [re.sub(r".*[/#]", "", str(t)) for t in listed(x.get("@type"))], "name": str(name) if name else None, "url": str(x["url"]) if isinstance(x.get("url"), str) else None, "same_as": [str(s) for s in listed(x.get("sameAs")) if isinstance(s, str)]})
-        return out
-
-    for s in parts:
-        yield s.map(of)

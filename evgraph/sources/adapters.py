@@ -10,21 +10,25 @@ from ..functions.urls import package_url
 from ..operators.contracts import VERSION
 
 IDENTIFIER = "array<struct<scheme:string,value:string,scope:string,stability:string,uniqueness:string,evidence:string>>"
-CONTRIBUTION = "array<struct<role:string,order:int,agent:struct<kind:string,source_native_id:string,label:string>,observed_at:string,evidence:string>>"
+CONTRIBUTION = "array<struct<role:string,order:int,agent:struct<kind:string,source_native_id:string,label:string,identifiers:array<struct<scheme:string,value:string,scope:string,stability:string,uniqueness:string,evidence:string>>>,observed_at:string,evidence:string>>"
 RELATION = "array<struct<predicate:string,object:struct<kind:string,source_native_id:string,label:string>,observed_at:string,evidence:string>>"
 EVIDENCE = "array<struct<kind:string,locator:string,observed_at:string>>"
 
 
-def identifier(scheme: str, value: Column, stability: str = "stable", uniqueness: str = "unique", scope: str = "source", evidence: str = "source field") -> Column:
-    return F.struct(F.lit(scheme).alias("scheme"), value.cast("string").alias("value"), F.lit(scope).alias("scope"), F.lit(stability).alias("stability"), F.lit(uniqueness).alias("uniqueness"), F.lit(evidence).alias("evidence"))
+def identifier(scheme: str, value: Column, stability: str = "stable", uniqueness: str = "unique", scope: str = "source", evidence: str | Column = "source field") -> Column:
+    proof = F.lit(evidence) if isinstance(evidence, str) else evidence
+    return F.struct(F.lit(scheme).alias("scheme"), value.cast("string").alias("value"), F.lit(scope).alias("scope"), F.lit(stability).alias("stability"), F.lit(uniqueness).alias("uniqueness"), proof.alias("evidence"))
 
 
 def agent(kind: str | Column, native: Column, label: Column) -> Column:
     return F.struct((F.lit(kind) if isinstance(kind, str) else kind).alias("kind"), native.cast("string").alias("source_native_id"), label.cast("string").alias("label"))
 
 
-def contribution(role: str | Column, who: Column, at: Column, order: Column | None = None, evidence: str = "source field") -> Column:
-    return F.struct((F.lit(role) if isinstance(role, str) else role).alias("role"), (order if order is not None else F.lit(None)).cast("int").alias("order"), who.alias("agent"), at.cast("string").alias("observed_at"), F.lit(evidence).alias("evidence"))
+def contribution(role: str | Column, who: Column, at: Column, order: Column | None = None, evidence: str | Column = "source field", identifiers: Column | None = None) -> Column:
+    """Who did what, by an agent and the identifiers that the record gives of it."""
+    known = F.coalesce(F.array_compact(identifiers).cast(IDENTIFIER), F.array().cast(IDENTIFIER)) if identifiers is not None else F.array().cast(IDENTIFIER)
+    proof = F.lit(evidence) if isinstance(evidence, str) else evidence
+    return F.struct((F.lit(role) if isinstance(role, str) else role).alias("role"), (order if order is not None else F.lit(None)).cast("int").alias("order"), who.withField("identifiers", known).alias("agent"), at.cast("string").alias("observed_at"), proof.alias("evidence"))
 
 
 def relation(predicate: str, what: Column, at: Column, evidence: str = "source field") -> Column:
@@ -33,23 +37,25 @@ def relation(predicate: str, what: Column, at: Column, evidence: str = "source f
 
 def envelope(
     records: DataFrame, source: dict[str, str], record: Column, kind: str | Column, native: Column, label: Column, attributes: Column, identifiers: Column | None = None, contributions: Column | None = None, relationships: Column | None = None,
-    raw: Column | None = None, observed_at: Column | None = None, pointer: Column | None = None,
+    raw: Column | None = None, observed_at: Column | None = None, pointer: Column | None = None, payload: Column | None = None,
 ) -> DataFrame:
-    """Envelopes of records. source: source_id, snapshot_id, observed_at, retrieved_at, terms_revision, rights_state."""
+    """Envelopes of records. source: source_id, snapshot_id, observed_at, retrieved_at, terms_revision, rights_state. With `payload`, the
+    digest of what each record is from, a snapshot is known by it; else the digest is of `raw`, or of the whole record."""
     at = observed_at if observed_at is not None else F.lit(source["observed_at"])
-    text = canonical_of(records, raw if raw is not None else F.struct(*records.columns))
+    of = payload if payload is not None else F.sha2(canonical_of(records, raw if raw is not None else F.struct(*records.columns)), 256)
+    snapshot = F.concat(F.lit("sha256:"), payload) if payload is not None else F.lit(source["snapshot_id"])
     none = lambda kind_: F.array().cast(kind_)
     return records.select(
         F.lit(VERSION).alias("envelope_version"),
         F.struct(
-            F.lit(source["source_id"]).alias("source_id"), F.lit(source["snapshot_id"]).alias("snapshot_id"), record.cast("string").alias("record_native_id"), at.cast("string").alias("observed_at"), F.lit(source["retrieved_at"]).alias("retrieved_at"),
-            F.lit(source["terms_revision"]).alias("terms_revision"), F.lit(source["rights_state"]).alias("rights_state"), F.sha2(text, 256).alias("payload_sha256"),
+            F.lit(source["source_id"]).alias("source_id"), snapshot.alias("snapshot_id"), record.cast("string").alias("record_native_id"), at.cast("string").alias("observed_at"), F.lit(source["retrieved_at"]).alias("retrieved_at"),
+            F.lit(source["terms_revision"]).alias("terms_revision"), F.lit(source["rights_state"]).alias("rights_state"), of.alias("payload_sha256"),
         ).alias("source"),
         F.struct((F.lit(kind) if isinstance(kind, str) else kind).alias("kind"), native.cast("string").alias("source_native_id"), label.cast("string").alias("label"), F.to_json(attributes).alias("attributes")).alias("subject"),
         (F.array_compact(identifiers) if identifiers is not None else none(IDENTIFIER)).cast(IDENTIFIER).alias("identifiers"),
         (F.array_compact(contributions) if contributions is not None else none(CONTRIBUTION)).cast(CONTRIBUTION).alias("contributions"),
         (F.array_compact(relationships) if relationships is not None else none(RELATION)).cast(RELATION).alias("relationships"),
-        F.array(F.struct(F.lit("source_record").alias("kind"), F.concat(F.lit(f"{source['source_id']}:{source['snapshot_id']}#"), record.cast("string")).alias("locator"), at.cast("string").alias("observed_at"))).cast(EVIDENCE).alias("evidence"),
+        F.array(F.struct(F.lit("source_record").alias("kind"), F.concat(F.lit(f"{source['source_id']}:"), snapshot, F.lit("#"), record.cast("string")).alias("locator"), at.cast("string").alias("observed_at"))).cast(EVIDENCE).alias("evidence"),
         (pointer if pointer is not None else F.concat(F.lit(f"{source['source_id']}/"), record.cast("string"))).alias("raw_pointer"),
     )
 
@@ -96,7 +102,7 @@ def scholarly_works(rows: DataFrame, source: dict[str, str]) -> DataFrame:
         def one(p, i):
             name = F.concat_ws(" ", F.nullif(F.trim(p["given"]), F.lit("")), F.nullif(F.trim(p["family"]), F.lit("")))
             orcid = F.regexp_replace(F.lower(p["orcid"]), "^https?://orcid.org/", "")
-            return contribution(role, agent("person", F.coalesce(F.concat(F.lit("orcid:"), orcid), F.concat(F.lit("name:"), name)), name), F.lit(source["observed_at"]), i)
+            return contribution(role, agent("person", F.coalesce(F.concat(F.lit("orcid:"), orcid), F.concat(F.lit("name:"), name)), name), F.lit(source["observed_at"]), i, identifiers=F.array(F.when(orcid.isNotNull(), identifier("orcid", orcid, scope="global"))))
 
         return F.transform(F.coalesce(F.col(role).cast(people), F.array().cast(people)), one)
 
@@ -131,15 +137,6 @@ def schedule_talks(schedules: DataFrame, source: dict[str, str]) -> DataFrame:
     return envelope(talks, source, F.col("t.guid"), "work", F.concat(F.lit("talk:"), F.col("t.guid")), F.col("t.title"), F.struct("room", "date"), F.array(identifier("talk_guid", F.col("t.guid"))), who, made)
 
 
-def page_nodes(nodes: DataFrame, source: dict[str, str]) -> DataFrame:
-    """Linked-data nodes of pages as people, organisations and works, with their `sameAs` links as identifiers."""
-    first = F.element_at("types", 1)
-    kind = F.when(first == "Person", "person").when(first.isin("Organization", "Corporation"), "organisation").when(first == "Event", "event").otherwise("work")
-    native = F.coalesce("id", "url", F.concat_ws("#", F.col("page_id").cast("string"), F.col("name")))
-    links = F.transform(F.coalesce("same_as", F.array().cast("array<string>")), lambda u: identifier("same_as_url", u, "mutable", "non_unique", "global"))
-    return envelope(nodes, source, native, kind, native, F.coalesce("name", native), F.struct("types", "url"), links)
-
-
 def people_rows(person: DataFrame, identifiers: DataFrame, topics: DataFrame, source: dict[str, str]) -> DataFrame:
     """People of a graph with what hangs on them, as envelopes; a person without any keeps empty lists."""
     ids = identifiers.groupBy("person_id").agg(F.array_sort(F.collect_list(F.struct("platform", "value"))).alias("ids"))

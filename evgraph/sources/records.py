@@ -1,4 +1,4 @@
-"""Reading and writing records: NDJSON, XML, linked data in pages, database files, and merges into tables."""
+"""Reading and writing records: NDJSON, XML, database files, and merges into tables."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-from ..functions.jsonx import canonical, ld_blocks, ld_nodes
+from ..functions.jsonx import canonical
 from ..operators.contracts import ENVELOPE, envelope_issues
 from ..operators.lanes import lane_issues
 
@@ -105,12 +105,6 @@ def read_xml(spark: SparkSession, path: str, row: str, schema: str) -> DataFrame
     return spark.read.format("xml").option("rowTag", row).schema(schema).load(path)
 
 
-def linked_data(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Nodes of all linked-data blocks of pages."""
-    blocks = pages.select(key, F.posexplode(ld_blocks(F.col(html))).alias("block", "text"))
-    return blocks.select(key, "block", F.explode(ld_nodes(F.col("text"))).alias("node")).select(key, "block", "node.*")
-
-
 def resolve_within(root: str, pointer: str) -> Path:
     """A file under a root folder; addresses, absolute paths and ways out of the root are refused."""
     if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", pointer) or Path(pointer).is_absolute():

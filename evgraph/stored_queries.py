@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .catalog import Catalog
 from .engine import Engine
+from .functions.jsonx import keys_at_any_depth
 from .operators import identity, ownership
 from .operators.generations import Generations
 from .operators.published import Change, Published, Rejected, append_only, check, reference, unique
@@ -16,7 +17,7 @@ from .operators.textindex import TextIndex
 from .plans.scratch import Scratch
 from .plans.testbed import Testbed
 from .queries import query
-from .sources import sinks
+from .sources import linked, sinks
 from .streaming import observations
 
 #: Tokens of a text as the index has them.
@@ -210,3 +211,42 @@ def s07_published_lines(t: Testbed) -> DataFrame:
     rows = orders.select(F.col("o_custkey").alias("customer"), F.col("o_orderkey").alias("order"), F.col("o_orderdate").cast("date").cast("string").alias("day"), F.col("o_orderstatus").alias("status"))
     sinks.publish_ndjson(rows, path, ["customer", "day", "order"])
     return sinks.published_ndjson(t.spark, path)
+
+
+# ---------------------------------------------------------------- linked data, and keys at any depth
+
+
+def _order_pages(t: Testbed) -> DataFrame:
+    """A page for each order: a graph of a book with its author, editor and organiser, and of the customer as a person."""
+    k, c = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    book = F.format_string('{"@type": ["http://schema.org/Book"], "@id": "order:%s", "name": "Order %s", "author": [{"name": "Customer %s", "sameAs": ["http://c/%s", "http://d/%s"]}], "editor": "%s", "organizer": {"@type": "Organization", "name": "%s", "url": "http://s/%s", "sameAs": null}}', k, k, c, c, c, F.col("o_orderpriority"), "o_orderstatus", "o_orderstatus")
+    who = F.format_string('{"@type": "Person", "name": "Customer %s"}', c)
+    html = F.concat(F.lit('<p>x</p><script type="application/ld+json">{"@graph": [['), book, F.lit("], {"), F.lit('"@graph": '), who, F.lit("}]}</script>"))
+    return t.table("orders").select(F.col("o_orderkey").alias("page_id"), F.concat(F.lit("http://o/"), k).alias("url"), html.alias("html"))
+
+
+PAGE_SOURCE = {"source_id": "pages", "snapshot_id": "", "observed_at": "2024-01-01T00:00:00Z", "retrieved_at": "2024-01-01T00:00:00Z", "terms_revision": "t", "rights_state": "pending"}
+
+
+@query("""SELECT 'order:' || o_orderkey AS subject, 'work' AS kind, 'Order ' || o_orderkey AS label, 'author,editor,organizer' AS roles, 'label:Customer ' || o_custkey || ',label:' || o_orderpriority || ',http://s/' || o_orderstatus AS agents, 'http://o/' || o_orderkey AS page FROM orders
+ UNION ALL SELECT 'http://o/' || o_orderkey || '#jsonld-node-1', 'person', 'Customer ' || o_custkey, '', '', 'http://o/' || o_orderkey || '#jsonld-node-1' FROM orders""")
+def e19_page_observations(t: Testbed) -> DataFrame:
+    found, each = linked.page_observations(_order_pages(t), PAGE_SOURCE), F.col("contributions")
+    joined = lambda f: F.array_join(F.transform(each, f), ",")
+    return found.select(F.col("subject.source_native_id").alias("subject"), "subject.kind", "subject.label", joined(lambda c: c["role"]).alias("roles"), joined(lambda c: c["agent"]["source_native_id"]).alias("agents"), F.col("identifiers")[0]["value"].alias("page"))
+
+
+@query("""SELECT scheme, value, count(*) AS n FROM (SELECT 'page_url' AS scheme, 'http://o/' || o_orderkey AS value FROM orders UNION ALL SELECT 'page_url', 'http://o/' || o_orderkey || '#jsonld-node-1' FROM orders UNION ALL SELECT 'same_as_url', 'http://c/' || o_custkey FROM orders
+ UNION ALL SELECT 'same_as_url', 'http://d/' || o_custkey FROM orders UNION ALL SELECT 'official_website', 'http://s/' || o_orderstatus FROM orders) GROUP BY scheme, value""")
+def h29_all_identifiers(t: Testbed) -> DataFrame:
+    return linked.all_identifiers(linked.page_observations(_order_pages(t), PAGE_SOURCE)).groupBy("scheme", "value").agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_orderkey AS orderkey, array_to_string(list_sort(list_distinct(list_concat(['lines', 'modes', 'l_quantity'], list('tax ' || CAST(round(l_tax * 100) AS INTEGER)), list('flag \"' || lower(l_returnflag) || '\"')))), ',') AS keys FROM lineitem GROUP BY l_orderkey")
+def f25_nested_keys(t: Testbed) -> DataFrame:
+    """Keys of a document for each order, nested in lists and objects, some with quotes."""
+    line = F.struct(F.create_map(F.concat(F.lit("Tax "), F.round(F.col("l_tax") * 100).cast("int").cast("string")), F.struct("l_quantity")).alias("modes"))
+    flags = F.map_from_entries(F.transform(F.collect_set("l_returnflag"), lambda f: F.struct(F.concat(F.lit('Flag "'), f, F.lit('"')), F.array(F.lit('a": "b')))))
+    text = F.concat(F.lit('{"lines": [['), F.array_join(F.collect_list(F.to_json(line)), ","), F.lit("]], \"modes\": "), F.to_json(flags), F.lit("}"))
+    rows = t.table("lineitem").groupBy(F.col("l_orderkey").alias("orderkey")).agg(text.alias("text"))
+    return rows.select("orderkey", F.array_join(keys_at_any_depth(F.col("text")), ",").alias("keys"))
