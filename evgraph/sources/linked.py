@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,8 +80,8 @@ def nodes(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFra
 def _contributors(node: Column, page: Column, at: Column) -> Column:
     """People and organisations in the seven fields that name them, objects or plain names, with their links."""
 
-    def of(field: str, role: str) -> Column:
-        v = _get(node, field)
+    def of(said_in: Column) -> Column:
+        v, field = said_in["v"], said_in["field"]
         members = F.filter(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.schema_of_variant(x).startswith("OBJECT"))
         named = F.try_parse_json(F.to_json(F.struct(F.try_variant_get(v, "$", "string").alias("name"))))
         actors = F.when(_shape(v).startswith("OBJECT"), F.array(v)).when(_shape(v).startswith("ARRAY"), members).when(_shape(v) == "STRING", F.array(named))
@@ -93,17 +91,16 @@ def _contributors(node: Column, page: Column, at: Column) -> Column:
             label = F.coalesce(said("name"), said("@id"))
             address = F.coalesce(said("@id"), said("url"))
             native = F.coalesce(address, F.concat(F.lit("label:"), label))
-            receipt = F.concat(page, F.lit(f" JSON-LD {field}["), i.cast("string"), F.lit("]"))
+            receipt = F.concat(page, F.lit(" JSON-LD "), field, F.lit("["), i.cast("string"), F.lit("]"))
             same = _shape(_get(x, "sameAs"))
             site = F.array(identifier("official_website", native, "unknown", "unknown", "global", F.concat(receipt, F.lit(" @id|url")))).cast(IDENTIFIER)
             ids = F.when((same == "") | (same == "STRING") | same.startswith("ARRAY"), _links(x, receipt)).when(address.isNotNull(), site)
             kind = F.when(F.array_contains(_types(x), "Organization"), "organisation").otherwise("unknown")
-            return F.when(label.isNotNull(), contribution(role, agent(kind, native, label), at, i, receipt, ids))
+            return F.when(label.isNotNull(), contribution(said_in["role"], agent(kind, native, label), at, i, receipt, ids))
 
-        none = F.array_compact(F.array(F.when(F.lit(False), one(node, F.lit(0)))))
-        return F.coalesce(F.array_compact(F.transform(actors, one)), none)
+        return F.array_compact(F.transform(F.coalesce(actors, F.array().cast("array<variant>")), one))
 
-    return F.concat(*[of(f, r) for f, r in ROLES.items()])
+    return F.flatten(F.transform(F.array(*[F.struct(_get(node, f).alias("v"), F.lit(f).alias("field"), F.lit(r).alias("role")) for f, r in ROLES.items()]), of))
 
 
 def page_observations(pages: DataFrame, source: dict[str, str], key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -112,17 +109,17 @@ def page_observations(pages: DataFrame, source: dict[str, str], key: str = "page
     copied. A node without an identity of its own gets one by its place among those of its page (key, url and html) that are kept."""
     of = F.struct(F.col(key), F.coalesce(F.col(url), F.lit("")).alias("url"), F.sha2(F.coalesce(html, F.lit("")), 256).alias("digest"))
     rows = nodes(pages.select(of.alias("_page"), html), "_page", html).withColumn("_types", _types(F.col("node")))
-    first = F.element_at(F.filter("_types", lambda t: t.isin(*KINDS)), 1)
-    known = rows.withColumn("_type", F.when(F.size(F.filter("_types", lambda t: t.isin(*KINDS))) > 0, first)).filter(F.col("_type").isNotNull())
+    known = rows.withColumn("_type", F.try_element_at(F.filter("_types", lambda t: t.isin(*KINDS)), F.lit(1))).filter(F.col("_type").isNotNull())
     placed = known.withColumn("_at", F.row_number().over(Window.partitionBy("_page").orderBy("block", "path")) - 1)
     node, page, digest = F.col("node"), F.col("_page.url"), F.col("_page.digest")
     own = F.coalesce(*[F.nullif(F.trim(_text(node, k)), F.lit("")) for k in IDENTITY], F.concat(page, F.lit("#jsonld-node-"), F.col("_at").cast("string")))
     named = placed.withColumn("_native", own).withColumn("_label", F.coalesce(*[_text(node, k) for k in LABEL], F.col("_native")))
-    pick = lambda at: reduce(lambda c, k: c.when(F.col("_type") == k, KINDS[k][at]), list(KINDS)[1:], F.when(F.col("_type") == next(iter(KINDS)), KINDS[next(iter(KINDS))][at]))
-    attributes = F.struct(*[_get(node, k).alias(k) for k in KEPT], F.col("_types").alias("schema_types"), pick(1).cast("string").alias("work_type"))
+    kinds = F.create_map(*[F.lit(x) for k, v in KINDS.items() for x in (k, v[0])])
+    works = F.create_map(*[F.lit(x) for k, v in KINDS.items() if v[1] for x in (k, v[1])])
+    attributes = F.struct(*[_get(node, k).alias(k) for k in KEPT], F.col("_types").alias("schema_types"), F.try_element_at(works, F.col("_type")).alias("work_type"))
     address = identifier("page_url", F.when(F.col("_native").startswith("http"), F.col("_native")).otherwise(page), "unknown", "unknown", "source", F.concat(page, F.lit(" JSON-LD node identity")))
     ids = F.concat(F.array(address).cast(IDENTIFIER), _links(node, F.concat(page, F.lit(" JSON-LD"))))
-    return envelope(named, source, F.col("_native"), pick(0), F.col("_native"), F.col("_label"), attributes, ids, _contributors(node, page, F.lit(source["observed_at"])), pointer=F.concat(F.lit("sha256:"), digest), payload=digest)
+    return envelope(named, source, F.col("_native"), F.try_element_at(kinds, F.col("_type")), F.col("_native"), F.col("_label"), attributes, ids, _contributors(node, page, F.lit(source["observed_at"])), pointer=F.concat(F.lit("sha256:"), digest), payload=digest)
 
 
 def all_identifiers(envelopes: DataFrame) -> DataFrame:
