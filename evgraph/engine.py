@@ -73,8 +73,11 @@ class Engine:
             out.warnings.append("the person table is absent; this query cannot be answered")
         return out
 
-    def _paged(self, out: Answer, rows: DataFrame, order: list[Column | str], limit: int, offset: int) -> Answer:
+    def _paged(self, out: Answer, rows: DataFrame, order: list[Column | str], limit: int, offset: int, derived: bool = False) -> Answer:
+        """The page, its exact total beside it. Rows that are `derived` by joins or groups are computed once: they are written, then counted
+        and sorted from there. (An observed metric of the page's own job would count the rows of a stage twice that runs again.)"""
         out.limit, out.offset = clamped(limit, 1, MOST_ROWS), max(0, offset)
+        rows = Scratch(rows.sparkSession, out.kind).write(rows, "rows") if derived else rows
         out.total = rows.count()
         out.rows = rows.orderBy(*order).offset(out.offset).limit(out.limit)
         out.returned = max(0, min(out.limit, out.total - out.offset))
@@ -159,7 +162,7 @@ class Engine:
             elif people < out.returned:
                 out.gaps.append(f"{out.returned} person rows are {people} people by the decisions that hold; the counts differ for that reason")
             return out
-        return self._paged(out, rows, [F.desc("content_count"), "cluster_id"], limit, offset)
+        return self._paged(out, rows, [F.desc("content_count"), "cluster_id"], limit, offset, derived=True)
 
     def _represented(self, rows: DataFrame, chosen: DataFrame) -> DataFrame:
         """Adds the member that stands for each cluster, with its name and kind; `contested` if the smaller id alone chose it."""
@@ -213,11 +216,24 @@ class Engine:
             rows = rows.join(found, "cluster_id", "left").withColumn(name, F.coalesce(name, F.array().cast(pair)))
         return rows
 
-    def _cluster(self, name: str) -> DataFrame | None:
-        """The members of the best match of a name: of most works, then the smaller id."""
-        best = self.who(name, 1).rows
-        row = best.select("cluster_id").first() if best is not None else None
-        return self.members().filter(F.col("cluster_id") == row["cluster_id"]) if row else None
+    def _cluster(self, name: str, members: DataFrame | None = None) -> DataFrame | None:
+        """The members of the best match of a name, as `who` has it first: by a search index the best row's cluster; without one the
+        cluster of most works, then of the smaller id. Nothing but ids is read for it."""
+        if not self.catalog.has("people", "person"):
+            return None
+        members = self.members() if members is None else members
+        hits, way = self.found(name)
+        if way == "index":
+            hits = hits.join(self.catalog.get("people", "person").select("person_id"), "person_id", "left_semi").orderBy(F.desc("relevance"), "person_id").limit(1)
+        chosen = members.join(hits.select("person_id"), "person_id", "left_semi").select("cluster_id").distinct()
+        if way != "index" and self.catalog.has("people", "person_content"):
+            of = members.join(chosen, "cluster_id", "left_semi")
+            works = self.catalog.get("people", "person_content").select("person_id").join(of, "person_id").groupBy("cluster_id").agg(F.count("*").alias("_n"))
+            chosen = chosen.join(works, "cluster_id", "left").orderBy(F.coalesce("_n", F.lit(0)).desc(), "cluster_id")
+        else:
+            chosen = chosen.orderBy("cluster_id")
+        row = chosen.first()
+        return members.filter(F.col("cluster_id") == row["cluster_id"]) if row else None
 
     def works(self, name: str, limit: int = 100, offset: int = 0, domain: str | None = None) -> Answer:
         out = self._answer("works", name=name, limit=limit, offset=offset, domain=domain)
@@ -237,15 +253,16 @@ class Engine:
         if who is None:
             return out
         rows = graph.co_contributors(self.catalog.get("people", "person_content"), who).join(self.catalog.get("people", "person").select("person_id", "name"), "person_id", "left").withColumn("evidence", evidence("derived_relation", detail="works in common"))
-        return self._paged(out, rows, [F.desc("shared"), "person_id"], limit, offset)
+        return self._paged(out, rows, [F.desc("shared"), "person_id"], limit, offset, derived=True)
 
     def path(self, start: str, goal: str, hops: int = MOST_HOPS) -> Answer:
         out = self._answer("path", start=start, goal=goal, hops=hops)
-        a, b = (self._cluster(x) if self.catalog.has("people", "person_content") else None for x in (start, goal))
+        members = self.members() if self.catalog.has("people", "person_content") and self.catalog.has("people", "person") else None
+        a, b = (self._cluster(x, members) if members is not None else None for x in (start, goal))
         if a is None or b is None:
             return out
         rows = graph.path(self.catalog.get("people", "person_content"), a, b, clamped(hops, 1, MOST_HOPS))
-        return self._paged(out, rows, ["hops", "people", "works"], 1, 0)
+        return self._paged(out, rows, ["hops", "people", "works"], 1, 0, derived=True)
 
     def claims(self, status: str | None = None, limit: int = 100, offset: int = 0) -> Answer:
         out = self._answer("claims", status=status, limit=limit, offset=offset)
@@ -259,13 +276,13 @@ class Engine:
         who = self._cluster(name) if self.catalog.has("people", "person") else None
         if who is None:
             return out
-        return self._paged(out, graph.contemporaries(self.catalog.get("people", "person"), who), ["overlap_start", "contemporary_id"], limit, offset)
+        return self._paged(out, graph.contemporaries(self.catalog.get("people", "person"), who), ["overlap_start", "contemporary_id"], limit, offset, derived=True)
 
     def about(self, topic: str, scheme: str | None = None, limit: int = 100, offset: int = 0) -> Answer:
         out = self._answer("about", topic=topic, scheme=scheme, limit=limit, offset=offset)
         if not self.catalog.has("people", "person_topic"):
             return out
-        return self._paged(out, graph.topic_people(self.catalog.get("people", "person_topic"), self.catalog.get("people", "person"), topic, scheme), [F.desc("weight"), "person_id", "scheme"], limit, offset)
+        return self._paged(out, graph.topic_people(self.catalog.get("people", "person_topic"), self.catalog.get("people", "person"), topic, scheme), [F.desc("weight"), "person_id", "scheme"], limit, offset, derived=True)
 
     def inventory(self) -> Answer:
         out = self._answer("inventory")
