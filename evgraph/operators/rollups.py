@@ -23,7 +23,9 @@ ORGANISATIONAL = ("-org", "-team", "-labs", "-inc", "-io", "foundation", "instit
 def chunks(books: DataFrame, authors: str = "authors") -> DataFrame:
     """A row for each author of a catalogue row: gid, chunk and what it says; chunks without a name have a null `author`."""
     texts = books.filter((F.col("media_type") == "Text") & (F.col(authors) != ""))
-    return texts.select("gid", F.posexplode(F.split(authors, ";")).alias("i", "chunk")).withColumn("author", parsed(F.col("chunk")))
+    # read before they become rows: a filter on what is read would read it again
+    each = F.transform(F.split(authors, ";"), lambda c: F.struct(c.alias("chunk"), parsed(c).alias("author")))
+    return texts.select("gid", F.posexplode(each).alias("i", "c")).select("gid", "i", "c.chunk", "c.author")
 
 
 def book_people(books: DataFrame) -> tuple[DataFrame, DataFrame]:
