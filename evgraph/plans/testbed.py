@@ -6,6 +6,8 @@ vocabularies, documents are identity entities (exact copies share a unique ident
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,16 +34,24 @@ class Testbed:
         )
         return customers.unionByName(suppliers)
 
-    def content(self) -> DataFrame:
+    def _works(self) -> list[tuple[str, str, str, DataFrame]]:
+        """(prefix, domain, role, distinct keys of person and work): numbers are a fraction of the strings that they become."""
         lines, orders = self.table("lineitem"), self.table("orders")
-        buyers = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.concat(F.lit("c:"), F.col("o_custkey")).alias("person_id"), F.lit("part").alias("domain"), F.col("l_partkey").cast("string").alias("content_ref"), F.lit("buyer").alias("role"))
-        sellers = lines.select(F.concat(F.lit("s:"), F.col("l_suppkey")).alias("person_id"), F.lit("part").alias("domain"), F.col("l_partkey").cast("string").alias("content_ref"), F.lit("supplier").alias("role"))
-        owners = orders.select(F.concat(F.lit("c:"), F.col("o_custkey")).alias("person_id"), F.lit("order").alias("domain"), F.col("o_orderkey").cast("string").alias("content_ref"), F.lit("owner").alias("role"))
-        return buyers.unionByName(sellers).unionByName(owners).distinct()
+        buyers = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("person"), F.col("l_partkey").alias("work"))
+        sellers = lines.select(F.col("l_suppkey").alias("person"), F.col("l_partkey").alias("work"))
+        owners = orders.select(F.col("o_custkey").alias("person"), F.col("o_orderkey").alias("work"))
+        return [(*what, keys.distinct()) for *what, keys in (("c:", "part", "buyer", buyers), ("s:", "part", "supplier", sellers), ("c:", "order", "owner", owners))]
+
+    def content(self) -> DataFrame:
+        """The three kinds differ in role, so rows are distinct within each."""
+        each = [keys.select(F.concat(F.lit(prefix), "person").alias("person_id"), F.lit(domain).alias("domain"), F.col("work").cast("string").alias("content_ref"), F.lit(role).alias("role")) for prefix, domain, role, keys in self._works()]
+        return reduce(DataFrame.unionByName, each)
 
     def topics(self) -> DataFrame:
-        parts = self.table("part").select(F.col("p_partkey").cast("string").alias("content_ref"), F.explode(F.array(F.struct(F.lit("type").alias("scheme"), F.col("p_type").alias("topic")), F.struct(F.lit("brand").alias("scheme"), F.col("p_brand").alias("topic")))).alias("t"))
-        return self.content().filter("domain = 'part'").join(parts, "content_ref").groupBy("person_id", F.col("t.topic").alias("topic"), F.col("t.scheme").alias("scheme")).agg(F.count("*").cast("double").alias("weight"))
+        """A prefix has one role among parts, so what it counts by number is a person's."""
+        parts = self.table("part").select(F.col("p_partkey").alias("work"), F.explode(F.array(F.struct(F.lit("type").alias("scheme"), F.col("p_type").alias("topic")), F.struct(F.lit("brand").alias("scheme"), F.col("p_brand").alias("topic")))).alias("t"))
+        each = [keys.join(parts, "work").groupBy("person", F.col("t.topic").alias("topic"), F.col("t.scheme").alias("scheme")).agg(F.count("*").cast("double").alias("weight")).select(F.concat(F.lit(prefix), "person").alias("person_id"), "topic", "scheme", "weight") for prefix, domain, _, keys in self._works() if domain == "part"]
+        return reduce(DataFrame.unionByName, each)
 
     def entities(self) -> DataFrame:
         """Identity entities: the label is a text's first two words."""
