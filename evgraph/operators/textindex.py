@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +16,8 @@ from ..plans.versions import Versions
 
 #: Buckets of a segment by token, parts of a bucket by key, and segments beyond which a batch compacts.
 BUCKETS, SALTS, SEGMENTS = 32, 8, 8
+#: Bytes of words that become blocks at once, keys that a broadcast may hold, and what files look like.
+BLOCK, BROADCAST, LAYOUT = 16 << 20, 1_000_000, 2
 
 
 def _bucket(token: Column, buckets: int) -> Column:
@@ -22,14 +28,59 @@ def _moved(positions: Column, by: int) -> Column:
     return F.transform(positions, lambda p: p - by)
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in runs of about BLOCK bytes of words; one longer text is a run of its own."""
+    held, size = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("words")).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(ends):
+            base = ends[start - 1] if start else 0
+            stop = max(start + (not held), int(np.searchsorted(ends, base + BLOCK - size, "right")))
+            if stop > start:
+                held.append(batch.slice(start, stop - start))
+                size += int(ends[stop - 1] - base)
+                start = stop
+            if start < len(ends) or size >= BLOCK:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings of texts (key, words with a space between them, size), a row for each token of a run of texts."""
+    for run in _runs(batches):
+        run = run.sort_by("key").combine_chunks()
+        key, size = run["key"].combine_chunks(), run["size"].to_numpy()
+        token = pc.split_pattern(run["words"], " ").combine_chunks().flatten().dictionary_encode()
+        text = np.repeat(np.arange(len(size)), size)
+        position = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
+        order = np.sort((token.indices.to_numpy().astype(np.int64) << 32) | np.arange(len(text)))
+        code, order = order >> 32, order & 0xFFFFFFFF
+        text, position = text[order], position[order].astype(np.int32)
+        posting = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (text[1:] != text[:-1])])  # where each posting begins
+        group = np.flatnonzero(np.r_[True, code[posting][1:] != code[posting][:-1]])  # where each token begins among postings
+        start = posting[group]
+        per = np.diff(np.r_[group, len(posting)])
+        ends = (np.r_[posting[1:], len(text)] - np.repeat(start, per)).astype(np.int32)
+        listed = lambda values, at, of: pa.ListArray.from_arrays(pa.array(np.r_[at, len(of)].astype(np.int32)), values)
+        yield pa.RecordBatch.from_arrays(
+            [token.dictionary.take(pa.array(code[start])), listed(key.take(pa.array(text[posting])), group, posting), listed(pa.array(size[text[posting]].astype(np.int32)), group, posting), listed(pa.array(ends), group, posting), listed(pa.array(position), start, text)],
+            ["token", "keys", "sizes", "ends", "positions"],
+        )
+
+
 class TextIndex:
     """An inverted index as versions of segments.
 
     A segment holds postings (token, key, positions, size) in folders by a hash of the token, sorted by token, so that a search reads
     the folders of its words and of those the row groups that hold them; the number of documents of each token; the documents with
     their sizes; and the keys of earlier segments that it takes away. A posting counts if no later segment takes its key away. Each
-    batch of changes is one segment, and one version; compaction writes the live postings as one segment. Postings of a frequent
-    token are dealt over tasks by key.
+    batch of changes is one segment, and one version; compaction writes the live postings as one segment.
+
+    Texts become postings where they are read, so no text is shuffled, and postings of a token are a row for each run of texts: its
+    keys, their sizes, and all positions with where each key's end. Rows of a frequent token are dealt over tasks.
 
     A null or blank text is a document without tokens; a row without a key isn't indexed. Rows of one key in a batch are one
     change: the greatest text, if any of them has one, else a removal.
@@ -50,8 +101,8 @@ class TextIndex:
     def build(cls, spark: SparkSession, root: str, frame: DataFrame, key: str, text: Column, buckets: int = BUCKETS) -> TextIndex:
         """A first version over all rows of a table."""
         empty = cls(spark, root, 0)
-        rows = frame.select(F.col(key).alias("key"), text.cast("string").alias("text")).filter("key IS NOT NULL").groupBy("key").agg(F.max("text").alias("text"))
-        empty.manifest = {"buckets": buckets, "key": rows.schema["key"].dataType.simpleString(), "segments": [], "documents": 0, "tokens": 0}
+        rows = empty._single(frame.select(F.col(key).alias("key"), text.cast("string").alias("text")).filter("key IS NOT NULL"))
+        empty.manifest = {"layout": LAYOUT, "buckets": buckets, "key": rows.schema["key"].dataType.simpleString(), "segments": [], "documents": 0, "tokens": 0}
         return empty._publish(rows, None)
 
     def apply(self, changes: DataFrame, most: int = SEGMENTS) -> TextIndex:
@@ -59,36 +110,49 @@ class TextIndex:
         if not self.exists:
             raise ValueError("no index has been built here")
         kind = self.manifest["key"]
-        batch = changes.filter("key IS NOT NULL").groupBy(F.col("key").cast(kind).alias("key")).agg(F.max(F.when(F.coalesce("gone", F.lit(False)), None).otherwise(F.coalesce("text", F.lit("")))).alias("text"))
+        text = F.when(F.coalesce("gone", F.lit(False)), None).otherwise(F.coalesce("text", F.lit("")))
+        batch = self._single(changes.filter("key IS NOT NULL").select(F.col("key").cast(kind).alias("key"), text.alias("text")))
         after = self._publish(batch.filter("text IS NOT NULL"), batch.select("key"))
         return after.compact() if len(after.manifest["segments"]) > most else after
 
     def compact(self) -> TextIndex:
         """A version of one segment with what counts of all."""
         store, name, seq = self.store, self.store.stage(), max(s["seq"] for s in self.manifest["segments"]) + 1
-        self._write(name, self.postings().drop("seq"), self.documents().select("key", "size"), None)
-        return self._next({**self.manifest, "segments": [{"name": name, "seq": seq, "gone": False}]}, store)
+        each = self.postings().select("token", F.array("key").alias("keys"), F.array(F.col("size").cast("int")).alias("sizes"), F.array(F.size("positions")).alias("ends"), "positions")
+        self._write(name, each, self.documents().select("key", "size"), None)
+        return self._next({**self.manifest, "segments": [{"name": name, "seq": seq, "gone": 0}]}, store)
+
+    def _single(self, rows: DataFrame) -> DataFrame:
+        """Rows (key, text) with the greatest text of each key. Only texts of keys that come twice are grouped."""
+        twice = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+        if twice.isEmpty():
+            return rows
+        name = f"{self.store.stage()}/twice"
+        self.store.write(twice, name)
+        twice = self.store.read(name)
+        return rows.join(twice, "key", "left_anti").unionByName(rows.join(twice, "key", "left_semi").groupBy("key").agg(F.max("text").alias("text")))
 
     def _publish(self, rows: DataFrame, touched: DataFrame | None) -> TextIndex:
         store, name = self.store, self.store.stage()
         words = rows.select("key", search_tokens(F.coalesce("text", F.lit(""))).alias("w")).select("key", "w", F.size("w").cast("long").alias("size"))
-        each = words.select("key", "size", F.posexplode("w").alias("position", "token"))
-        postings = each.groupBy("token", "key", "size").agg(F.array_sort(F.collect_list("position")).alias("positions"))
+        held = words.filter("size > 0").select("key", F.array_join("w", " ").alias("words"), "size")
+        postings = held.mapInArrow(_blocks, f"token string, {self._lists()}")
         before = self.documents().join(touched, "key", "left_semi") if touched is not None else None
         self._write(name, postings, words.select("key", "size"), before.select("key", "size") if before is not None else None)
         total = lambda part: store.read(f"{name}/{part}").agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
         added, lost = total("documents"), total("gone") if before is not None else None
         seq = max((s["seq"] for s in self.manifest["segments"]), default=0) + 1
         sums = {"documents": self.manifest["documents"] + added["n"] - (lost["n"] if lost else 0), "tokens": self.manifest["tokens"] + added["size"] - (lost["size"] if lost else 0)}
-        return self._next({**self.manifest, **sums, "segments": [*self.manifest["segments"], {"name": name, "seq": seq, "gone": bool(lost and lost["n"])}]}, store)
+        return self._next({**self.manifest, **sums, "segments": [*self.manifest["segments"], {"name": name, "seq": seq, "gone": lost["n"] if lost else 0}]}, store)
 
     def _write(self, name: str, postings: DataFrame, documents: DataFrame, gone: DataFrame | None) -> None:
-        placed = postings.select(_bucket(F.col("token"), self.manifest["buckets"]).alias("bucket"), "token", "key", "positions", "size")
-        dealt = placed.repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(SALTS))).sortWithinPartitions("bucket", "token", "key")
+        first = F.col("keys")[0]
+        placed = postings.select(_bucket(F.col("token"), self.manifest["buckets"]).alias("bucket"), "token", first.alias("key"), "keys", "sizes", "ends", "positions")
+        dealt = placed.repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(SALTS))).sortWithinPartitions("bucket", "token", "key").drop("key")
         self.store.write(dealt, f"{name}/postings", "bucket")
         self.store.write(documents, f"{name}/documents")
         schema = self._schema()
-        self.store.write(self.store.read(f"{name}/postings", schema).groupBy("bucket", "token").agg(F.count("*").alias("df")).select("token", "df").sortWithinPartitions("token"), f"{name}/tokens")
+        self.store.write(self.store.read(f"{name}/postings", schema).groupBy("bucket", "token").agg(F.sum(F.size("keys")).alias("df")).select("token", "df").sortWithinPartitions("token"), f"{name}/tokens")
         if gone is not None:
             self.store.write(gone, f"{name}/gone")
 
@@ -97,25 +161,36 @@ class TextIndex:
 
     # ------------------------------------------------------------ reading
 
+    def _lists(self) -> str:
+        return f"keys array<{self.manifest['key']}>, sizes array<int>, ends array<int>, positions array<int>"
+
     def _schema(self) -> str:
-        return f"token string, key {self.manifest['key']}, positions array<int>, size long, bucket int"
+        if self.manifest.get("layout") != LAYOUT:
+            raise ValueError("this index is of another layout: build it anew")
+        return f"token string, {self._lists()}, bucket int"
 
     def _union(self, part: str, schema: str, keep=lambda f: f) -> DataFrame:
         found = [keep(self.store.read(f"{s['name']}/{part}", schema)).withColumn("seq", F.lit(s["seq"])) for s in self.manifest["segments"] if part != "gone" or s["gone"]]
         return reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], f"{schema}, seq int")
 
     def _live(self, rows: DataFrame) -> DataFrame:
-        if not any(s["gone"] for s in self.manifest["segments"]):
+        """Rows of segments that a later one takes from are held against the keys that it takes; the others count as they are. The
+        keys are broadcast where they are few, else hashed, so that no row is sorted for it."""
+        gone = [s for s in self.manifest["segments"] if s["gone"]]
+        if not gone:
             return rows
+        last = max(s["seq"] for s in gone)
         until = self._union("gone", f"key {self.manifest['key']}, size long").groupBy("key").agg(F.max("seq").alias("_until"))
-        return rows.join(until, "key", "left").filter("_until IS NULL OR seq >= _until").drop("_until")
+        until = until.hint("broadcast" if sum(s["gone"] for s in gone) <= BROADCAST else "shuffle_hash")
+        old = rows.filter(F.col("seq") < last).join(until, "key", "left").filter("_until IS NULL OR seq >= _until").drop("_until")
+        return old.unionByName(rows.filter(F.col("seq") >= last))
 
     def documents(self) -> DataFrame:
         """(key, size, seq) of all indexed rows."""
         return self._live(self._union("documents", f"key {self.manifest['key']}, size long"))
 
-    def postings(self, tokens: list[str] | None = None) -> DataFrame:
-        """(token, key, positions, size, seq) that count, of some tokens or all."""
+    def _each(self, tokens: list[str] | None, *columns: Column | str) -> DataFrame:
+        """What counts of some tokens or all, a row for each key of a token: _i is its place in the lists, _from where its positions begin."""
 
         def keep(frame: DataFrame) -> DataFrame:
             if tokens is not None:
@@ -123,7 +198,17 @@ class TextIndex:
                 frame = frame.filter(F.col("bucket").isin(buckets) & F.col("token").isin(tokens))
             return frame.drop("bucket")
 
-        return self._live(self._union("postings", self._schema(), keep))
+        found = self._union("postings", self._schema(), keep).select("*", F.posexplode("keys").alias("_i", "key"))
+        begin = F.when(F.col("_i") == 0, 0).otherwise(F.get("ends", F.col("_i") - 1))
+        return self._live(found.withColumns({"_from": begin, "_n": F.get("ends", F.col("_i")) - begin, "size": F.get("sizes", F.col("_i")).cast("long")}).select("token", "key", *columns, "size", "seq"))
+
+    def postings(self, tokens: list[str] | None = None) -> DataFrame:
+        """(token, key, positions, size, seq) that count, of some tokens or all."""
+        return self._each(tokens, F.slice("positions", F.col("_from") + 1, F.col("_n")).alias("positions"))
+
+    def counts(self, tokens: list[str] | None = None) -> DataFrame:
+        """(token, key, n, size, seq): how often a key has a token, without reading where."""
+        return self._each(tokens, F.col("_n").alias("n"))
 
     def words(self, phrase: str) -> list[str]:
         return self.spark.range(1).select(search_tokens(F.lit(phrase)).alias("w")).first()["w"]
@@ -164,6 +249,6 @@ class TextIndex:
     def relevance(self, words: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
         """(key, score) of rows that hold any of the words, by BM25."""
         tokens = list(dict.fromkeys(self.words(words)))
-        hits = self.postings(tokens).select("token", "key", F.size("positions").alias("n"), "size")
+        hits = self.counts(tokens).select("token", "key", "n", "size")
         both = hits.join(hits.groupBy("token").agg(F.count("*").alias("df")), "token")
         return both.groupBy("key").agg(F.sum(self._scored(both, F.col("df"), k1, b)).alias("score"))

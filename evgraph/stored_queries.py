@@ -64,7 +64,7 @@ def v13_index_in_step(t: Testbed) -> DataFrame:
     changes = changes.unionByName(docs.filter("lang = 'de'").select(F.col("doc_id").alias("key"), F.concat_ws(" ", "text", "source").alias("text"), no))
     changes = changes.unionByName(docs.filter("lang = 'fr'").select((F.col("doc_id") + 1_000_000_000).alias("key"), F.concat_ws(" ", "text", "lang").alias("text"), no))
     index = _documents(t, "v13").apply(changes)
-    return index.postings().groupBy("token").agg(F.count("*").alias("df"), F.sum(F.size("positions")).alias("n"))
+    return index.counts().groupBy("token").agg(F.count("*").alias("df"), F.sum("n").alias("n"))
 
 
 # ---------------------------------------------------------------- pages of the engine

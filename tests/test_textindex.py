@@ -2,12 +2,13 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from evgraph.catalog import Catalog, Config
 from evgraph.engine import Engine
-from evgraph.operators import search
+from evgraph.operators import search, textindex
 from evgraph.operators.textindex import TextIndex
 from evgraph.plans.versions import Conflict, Versions
 
@@ -64,6 +65,28 @@ def test_batches_equal_a_rebuild(spark, tmp_path):
     assert first.manifest["documents"] == 60 and first.documents().count() == 60
 
 
+def test_postings_are_written_by_runs_of_texts(spark, tmp_path, monkeypatch):
+    """A token of many texts is a few rows, and no text is shuffled: what is written and dealt doesn't grow with a row for each posting."""
+    frame = spark.range(400).select("id", F.concat(F.lit("the end of the "), F.col("id").cast("string")).alias("text")).coalesce(2)
+    index = TextIndex.build(spark, str(tmp_path), frame, "id", F.col("text"))
+    stored = spark.read.parquet(f"{tmp_path}/{index.manifest['segments'][0]['name']}/postings")
+    assert stored.filter("token = 'the'").count() <= 2 and index.counts(["the"]).count() == 400
+    assert rows(index.counts().select("token", "key", "n", "size")) == rows(index.postings().select("token", "key", F.size("positions").alias("n"), "size"))
+    assert rows(index.postings(["the"]).filter("key = 7").select("positions", "size")) == [([0, 3], 5)]
+    changes = frame.select(F.col("id").alias("key"), F.lit("no more").alias("text"), (F.col("id") % 2 == 0).alias("gone")).filter("key < 300")
+    monkeypatch.setattr(textindex, "BROADCAST", 0)  # keys taken away are hashed
+    after = index.apply(changes)
+    assert after.counts(["the"]).count() == 100 and after.counts(["more"]).count() == 150 and after.documents().count() == 250
+    assert content(after.compact()) == content(after)
+
+
+def test_runs_are_bounded(monkeypatch):
+    monkeypatch.setattr(textindex, "BLOCK", 10)
+    batch = lambda texts: pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["key", "words"])
+    runs = [r["words"].to_pylist() for r in textindex._runs(iter([batch(["a" * 4, "b" * 4, "c" * 4]), batch(["d" * 30, "e"]), batch([]), batch(["f"])]))]
+    assert [w for r in runs for w in r] == ["aaaa", "bbbb", "cccc", "d" * 30, "e", "f"] and all(sum(map(len, r)) <= 10 or len(r) == 1 for r in runs)
+
+
 def test_empty(spark, tmp_path):
     index = TextIndex.build(spark, f"{tmp_path}/a", spark.createDataFrame([], SCHEMA), "id", F.col("text"))
     assert index.phrase("the").count() == 0 and index.relevance("the").count() == 0
