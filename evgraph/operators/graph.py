@@ -47,10 +47,11 @@ def path(content: DataFrame, start: DataFrame, goal: DataFrame, most_hops: int =
     """Shortest chains from any start to any goal person over shared works: hops, people, works; ties by the smaller ids.
 
     A frontier at a time: each person is reached once, from the smallest parent over the smallest work. Start and goal in common are
-    a path of no hop.
+    a path of no hop. Edges are written once, and what a hop has reached before it meets them: so few works are known to be few, and
+    the edges aren't shuffled for them.
     """
     scratch = scratch or Scratch(content.sparkSession, "path")
-    edge = content.select("person_id", F.concat_ws(":", "domain", "content_ref").alias("work")).distinct()
+    edge = None
     none = F.array().cast("array<string>")
     seen = scratch.write(start.select("person_id").distinct().select("person_id", F.array("person_id").alias("people"), none.alias("works")), "hop-0")
     goal, frontier, all_seen = goal.select("person_id").distinct(), seen, seen.select("person_id")
@@ -58,8 +59,10 @@ def path(content: DataFrame, start: DataFrame, goal: DataFrame, most_hops: int =
         found = frontier.join(goal, "person_id", "left_semi")
         if not found.isEmpty() or hop == most_hops:
             return found.select(F.lit(hop).alias("hops"), "people", "works").orderBy("people", "works")
+        if edge is None:
+            edge = scratch.write(content.select("person_id", F.concat_ws(":", "domain", "content_ref").alias("work")), "edges")
         # of each work the first of the frontier's people that has it
-        reached = frontier.join(edge, "person_id").groupBy("work").agg(F.min(F.struct("people", "works")).alias("by"))
+        reached = scratch.write(frontier.join(edge, "person_id").groupBy("work").agg(F.min(F.struct("people", "works")).alias("by")), f"works-{hop + 1}")
         steps = reached.join(edge, "work").join(all_seen, "person_id", "left_anti").groupBy("person_id").agg(F.min(F.struct(F.col("by.people").alias("people"), F.col("work"), F.col("by.works").alias("works"))).alias("s"))
         frontier = scratch.write(steps.select("person_id", F.concat("s.people", F.array("person_id")).alias("people"), F.concat("s.works", F.array("s.work")).alias("works")), f"hop-{hop + 1}")
         all_seen = all_seen.unionByName(frontier.select("person_id"))

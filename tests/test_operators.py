@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evgraph.operators import bridges, contracts, graph, identity, rollups, search
 from evgraph.operators.components import clusters, components, expand
+from evgraph.plans.scratch import Scratch
 
 
 def closure(pairs):
@@ -56,6 +57,14 @@ def test_path(spark):
     assert [r["hops"] for r in graph.path(content(spark), one("a"), one("a")).collect()] == [0]
 
 
+def test_few_works_are_written_before_they_meet_all(spark):
+    """So that the works of many aren't shuffled for those of a few."""
+    scratch, who = Scratch(spark, "few"), spark.createDataFrame([("a",)], "person_id string")
+    twice = content(spark).unionByName(content(spark))
+    assert [tuple(r) for r in graph.path(twice, who, spark.createDataFrame([("c",)], "person_id string"), scratch=scratch).collect()] == [(2, ["a", "b", "c"], ["book:w1", "book:w2"])]
+    assert spark.read.parquet(f"{scratch.root}/edges").count() == twice.count() and spark.read.parquet(f"{scratch.root}/works-1").count() > 0
+
+
 def test_layers_keep_people_without_works(spark):
     person = spark.createDataFrame([("a", "A", "human", "linked", "x"), ("z", "Z", "human", "tracked", "x"), ("m", "M", "human", "merged", "x")], "person_id string, name string, kind string, state string, origin string")
     rows = content(spark).unionByName(spark.createDataFrame([("a", "youtube_talk", "v", "speaker"), ("a", "youtube", "v2", "speaker")], content(spark).schema))
