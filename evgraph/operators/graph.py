@@ -22,11 +22,14 @@ def layers(person: DataFrame, content: DataFrame) -> DataFrame:
     return person.filter("state <> 'merged'").select("person_id", "name", "kind", "state", "origin").join(per, "person_id", "left").withColumns({"domain_count": F.coalesce("domain_count", zero), "content_count": F.coalesce("content_count", zero)})
 
 
-def co_contributors(content: DataFrame, members: DataFrame) -> DataFrame:
-    """People who share works with the members (person_id), with the number of shared works; the members themselves are left out."""
-    theirs = content.join(members.select("person_id").distinct(), "person_id", "left_semi").select("domain", "content_ref").distinct()
-    others = content.join(members.select("person_id").distinct(), "person_id", "left_anti")
-    return others.join(theirs, ["domain", "content_ref"]).groupBy("person_id").agg(F.count_distinct("domain", "content_ref").alias("shared"))
+def co_contributors(content: DataFrame, members: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """People who share works with the members (person_id), with the number of shared works; the members themselves are left out.
+
+    The members' works are written first: where they are few, all the others' are held against them without a shuffle."""
+    scratch = scratch or Scratch(content.sparkSession, "works")
+    theirs = scratch.write(content.join(members.select("person_id").distinct(), "person_id", "left_semi").select("domain", "content_ref").distinct(), "theirs")
+    shared = content.join(theirs, ["domain", "content_ref"], "left_semi").join(members.select("person_id").distinct(), "person_id", "left_anti")
+    return shared.groupBy("person_id").agg(F.count_distinct("domain", "content_ref").alias("shared"))
 
 
 def contemporaries(person: DataFrame, of: DataFrame | None = None, lifespan: int = 80, bucket: int = 25) -> DataFrame:

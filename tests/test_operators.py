@@ -63,6 +63,8 @@ def test_few_works_are_written_before_they_meet_all(spark):
     twice = content(spark).unionByName(content(spark))
     assert [tuple(r) for r in graph.path(twice, who, spark.createDataFrame([("c",)], "person_id string"), scratch=scratch).collect()] == [(2, ["a", "b", "c"], ["book:w1", "book:w2"])]
     assert spark.read.parquet(f"{scratch.root}/edges").count() == twice.count() and spark.read.parquet(f"{scratch.root}/works-1").count() > 0
+    assert sorted(map(tuple, graph.co_contributors(twice, who, scratch).collect())) == sorted(map(tuple, graph.co_contributors(content(spark), who).collect()))
+    assert spark.read.parquet(f"{scratch.root}/theirs").count() > 0
 
 
 def test_layers_keep_people_without_works(spark):
