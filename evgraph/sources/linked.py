@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import ld_blocks
+from ..plans.scratch import Scratch
 from .adapters import IDENTIFIER, agent, contribution, envelope, identifier
 
 # What a node's type says of its kind, and of the type of a work.
@@ -19,6 +20,8 @@ ROLES = {"author": "author", "creator": "creator", "editor": "editor", "performe
 KEPT = ("affiliation", "dateModified", "datePublished", "endDate", "inLanguage", "isPartOf", "jobTitle", "location", "startDate")
 # Fields for a node's identity and its label, the first that is text counts.
 IDENTITY, LABEL = ("@id", "url", "identifier"), ("name", "headline", "title")
+# Levels of lists and graphs that are stepped into within a row.
+STEPS = 4
 
 
 def _get(node: Column, key: str, kind: str = "variant") -> Column:
@@ -56,51 +59,76 @@ def _links(node: Column, receipt: Column) -> Column:
     return F.array_compact(of).cast(IDENTIFIER)
 
 
-def nodes(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+def _placed(path: Column, node: Column) -> Column:
+    """A node with its place and, if it is a list or has a graph, what it holds."""
+    graph = F.filter(F.array(F.try_variant_get(node, '$["@graph"]', "variant")), lambda g: g.isNotNull() & ~F.is_variant_null(g))
+    return F.struct(path.alias("path"), node.alias("node"), F.coalesce(F.try_variant_get(node, "$", "array<variant>"), F.when(F.size(graph) > 0, graph)).alias("holds"))
+
+
+def _stepped(found: Column) -> Column:
+    """Nodes with what each holds in its stead."""
+    return F.flatten(F.transform(found, lambda n: F.when(n["holds"].isNull(), F.array(n)).otherwise(F.transform(n["holds"], lambda m, i: _placed(F.concat(n["path"], F.array(i)), m)))))
+
+
+def nodes(pages: DataFrame, key: str = "page_id", html: str = "html", scratch: Scratch | None = None) -> DataFrame:
     """(key, block, path, node) of all nodes in the linked-data blocks of pages, as variants.
 
-    Lists and `@graph`, nested however deep, are stepped into by a recursive query, a level of all pages at a time; only what still
-    holds others goes to the next. `path` is a node's place. A block that isn't JSON, or has a key twice in an object, has no nodes.
+    Lists and `@graph`, nested however deep, are stepped into: STEPS levels in the row of their block, which needs no shuffle, and what
+    still holds others then by a recursive query, a level of all pages at a time. Nodes are written once. `path` is a node's place. A
+    block that isn't JSON, or has a key twice in an object, has no nodes.
     """
     blocks = pages.select(F.col(key).alias("key"), F.posexplode(ld_blocks(F.col(html))).alias("block", "text"))
-    found = pages.sparkSession.sql(
+    found = F.transform(F.array(F.try_parse_json(F.col("text"))), lambda n: _placed(F.array().cast("array<int>"), n))
+    for _ in range(STEPS):
+        found = _stepped(found)
+    each = blocks.select("key", "block", F.explode(found).alias("n")).select("key", "block", "n.path", "n.node", F.col("n.holds").isNotNull().alias("open")).filter("node IS NOT NULL")
+    each = (scratch or Scratch(pages.sparkSession, "nodes")).write(each.filter(F.col("open") | _shape(F.col("node")).startswith("OBJECT")), "nodes")
+    flat, deep = each.filter("NOT open").drop("open"), each.filter("open").drop("open")
+    if deep.isEmpty():
+        return flat.withColumnRenamed("key", key)
+    walked = pages.sparkSession.sql(
         """WITH RECURSIVE walk(key, block, path, node) MAX RECURSION LEVEL 1001 AS (
-             SELECT key, block, CAST(array() AS array<int>), try_parse_json(text) FROM {blocks}
+             SELECT key, block, path, node FROM {deep}
              UNION ALL
              SELECT key, block, concat(path, array(pos)), member FROM walk LATERAL VIEW posexplode(
                CASE WHEN schema_of_variant(node) LIKE 'ARRAY%' THEN try_variant_get(node, '$', 'array<variant>')
                     WHEN schema_of_variant(node) LIKE 'OBJECT%' AND NOT is_variant_null(try_variant_get(node, '$["@graph"]', 'variant')) THEN array(try_variant_get(node, '$["@graph"]', 'variant')) END) AS pos, member)
            SELECT key, block, path, node FROM walk
            WHERE schema_of_variant(node) LIKE 'OBJECT%' AND (try_variant_get(node, '$["@graph"]', 'variant') IS NULL OR is_variant_null(try_variant_get(node, '$["@graph"]', 'variant'))) LIMIT ALL""",
-        blocks=blocks,
+        deep=deep,
     )
-    return found.withColumnRenamed("key", key)
+    return flat.unionByName(walked).withColumnRenamed("key", key)
 
 
 def _contributors(node: Column, page: Column, at: Column) -> Column:
     """People and organisations in the seven fields that name them, objects or plain names, with their links."""
 
     def of(said_in: Column) -> Column:
-        v, field = said_in["v"], said_in["field"]
+        v, field, shape = said_in["v"], said_in["field"], said_in["shape"]
         members = F.filter(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.schema_of_variant(x).startswith("OBJECT"))
         named = F.try_parse_json(F.to_json(F.struct(F.try_variant_get(v, "$", "string").alias("name"))))
-        actors = F.when(_shape(v).startswith("OBJECT"), F.array(v)).when(_shape(v).startswith("ARRAY"), members).when(_shape(v) == "STRING", F.array(named))
+        actors = F.when(shape.startswith("OBJECT"), F.array(v)).when(shape.startswith("ARRAY"), members).when(shape == "STRING", F.array(named))
 
-        def one(x: Column, i: Column) -> Column:
+        def read(x: Column) -> Column:
             said = lambda k: F.nullif(_get(x, k, "string"), F.lit(""))
-            label = F.coalesce(said("name"), said("@id"))
-            address = F.coalesce(said("@id"), said("url"))
+            return F.struct(x.alias("x"), said("name").alias("name"), said("@id").alias("id"), said("url").alias("url"), _shape(_get(x, "sameAs")).alias("same"))
+
+        def one(found: Column, i: Column) -> Column:
+            x, same = found["x"], found["same"]
+            label = F.coalesce(found["name"], found["id"])
+            address = F.coalesce(found["id"], found["url"])
             native = F.coalesce(address, F.concat(F.lit("label:"), label))
             receipt = F.concat(page, F.lit(" JSON-LD "), field, F.lit("["), i.cast("string"), F.lit("]"))
-            same = _shape(_get(x, "sameAs"))
             site = F.array(identifier("official_website", native, "unknown", "unknown", "global", F.concat(receipt, F.lit(" @id|url")))).cast(IDENTIFIER)
-            ids = F.when((same == "") | (same == "STRING") | same.startswith("ARRAY"), _links(x, receipt)).when(address.isNotNull(), site)
+            none = F.array().cast(IDENTIFIER)
+            ids = F.when(same == "", none).when((same == "STRING") | same.startswith("ARRAY"), _links(x, receipt)).when(address.isNotNull(), site)
             kind = F.when(F.array_contains(_types(x), "Organization"), "organisation").otherwise("unknown")
             return F.when(label.isNotNull(), contribution(said_in["role"], agent(kind, native, label), at, i, receipt, ids))
 
-        return F.array_compact(F.transform(F.coalesce(actors, F.array().cast("array<variant>")), one))
+        return F.array_compact(F.transform(F.transform(F.coalesce(actors, F.array().cast("array<variant>")), read), one))
 
-    return F.flatten(F.transform(F.array(*[F.struct(_get(node, f).alias("v"), F.lit(f).alias("field"), F.lit(r).alias("role")) for f, r in ROLES.items()]), of))
+    fields = F.filter(F.array(*[F.struct(_get(node, f).alias("v"), F.lit(f).alias("field"), F.lit(r).alias("role")) for f, r in ROLES.items()]), lambda s: s["v"].isNotNull())
+    return F.flatten(F.transform(F.transform(fields, lambda s: F.struct(s["v"].alias("v"), s["field"].alias("field"), s["role"].alias("role"), _shape(s["v"]).alias("shape"))), of))
 
 
 def page_observations(pages: DataFrame, source: dict[str, str], key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evgraph.functions.jsonx import keys_at_any_depth
+from evgraph.plans.scratch import Scratch
 from evgraph.sources import linked
 
 SOURCE = {"source_id": "src", "snapshot_id": "s1", "observed_at": "2024-01-01T00:00:00Z", "retrieved_at": "2024-02-01T00:00:00Z", "terms_revision": "t1", "rights_state": "open_data"}
@@ -86,3 +87,15 @@ def test_contributors(spark):
     assert json.loads(e["subject"]["attributes"]) == {"datePublished": "2020", "isPartOf": {"name": "S"}, "schema_types": ["Book"], "work_type": "book"}
     assert e["raw_pointer"] == e["source"]["snapshot_id"] == "sha256:" + e["source"]["payload_sha256"]
     assert sorted(r["value"] for r in linked.all_identifiers(observed(spark, page(node))).collect()) == ["c", "http://a", "http://o", "http://p0", "http://x", "http://y"]
+
+
+def test_shallow_nodes_are_written_once_and_deep_ones_walked(spark):
+    """Whatever the depth, nodes and their places are the same; shallow ones come without a recursive query."""
+    texts = ["[" * d + '{"@type":"Person","@id":"x"}, 7' + "]" * d for d in range(1, 9)] + ['{"@graph": [{"@id": "a"}, [{"@graph": {"@id": "b"}}], null]}']
+    pages = spark.createDataFrame([(i, f'<script type="application/ld+json">{t}</script>') for i, t in enumerate(texts)], "page_id int, html string")
+    want = sorted([(d - 1, [0] * d) for d in range(1, 9)] + [(8, [0, 0]), (8, [0, 1, 0, 0])])
+    scratch = Scratch(spark, "ld")
+    assert sorted((r["page_id"], r["path"]) for r in linked.nodes(pages, scratch=scratch).select("page_id", "path").collect()) == want
+    assert spark.read.parquet(f"{scratch.root}/nodes").filter("open").count() == 4
+    flat = linked.nodes(pages.filter("page_id < 4"))
+    assert "UnionLoop" not in flat._jdf.queryExecution().toString() and flat.count() == 4
