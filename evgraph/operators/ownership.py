@@ -17,6 +17,9 @@ RIGHTS = ("rights", "license", "terms", "source-methods/", "handoff", "manifest"
 SCHEMAS = ("schema/", "migration", "ddl")
 CONTRACTS = ("pg_observation", "pg-observation", "observation_contract", "observation-contract")
 
+#: Paths of one place that are held against the patterns there in one go.
+CHUNK = 50_000
+
 REQUIRED = ("lane_id", "name", "repository", "branch", "owned_paths", "expected_artifacts", "validation_commands", "compatibility_seam")
 
 
@@ -39,18 +42,25 @@ def owners(paths: DataFrame, owned: DataFrame) -> DataFrame:
 
     Each path meets the patterns that hang at one of its own prefixes, by an equality join, and only those are matched: a pattern that
     ends in /** owns its root and all below it, others are globs. Patterns without a literal head hang at the root and meet all
-    paths of their repository."""
+    paths of their repository. The paths below a folder of more than CHUNK are dealt in so many parts, each of which meets all
+    patterns there; there is at most one such folder for every CHUNK of the paths' prefixes, so they are broadcast."""
+    distinct, prefixes = paths.select("repository", "path").distinct(), _prefixes(repository_path(F.col("path")))
     hung = owned.select("repository", "owner", "pattern", _head(F.col("pattern")).alias("_at"))
-    each = paths.select("repository", "path").distinct().withColumn("_at", F.explode(_prefixes(repository_path(F.col("path")))))
-    return each.join(hung, ["repository", "_at"]).filter(path_matches(F.col("pattern"), F.col("path"))).select("repository", "path", "owner", "pattern", F.length("_at").alias("depth"))
+    folders = distinct.select("repository", F.explode(F.slice(prefixes, F.lit(1), F.greatest(F.size(prefixes) - 1, F.lit(1)))).alias("_at"))
+    large = folders.groupBy("repository", "_at").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("_parts")).filter("_parts > 1")
+    parts, last = F.broadcast(large), F.coalesce("_parts", F.lit(1)) - 1
+    each = distinct.withColumn("_at", F.explode(prefixes)).join(parts, ["repository", "_at"], "left").withColumn("_part", F.pmod(F.xxhash64("path"), last + 1).cast("int")).drop("_parts")
+    met = hung.join(parts, ["repository", "_at"], "left").withColumn("_part", F.explode(F.sequence(F.lit(0), last))).drop("_parts")
+    return each.join(met, ["repository", "_at", "_part"]).filter(path_matches(F.col("pattern"), F.col("path"))).select("repository", "path", "owner", "pattern", F.length("_at").alias("depth"))
 
 
 def most_specific(paths: DataFrame, owned: DataFrame) -> DataFrame:
-    """(repository, path, owner, pattern): of each path the owner of the deepest pattern, of equally deep ones the longest, then the
-    least by owner; a path that nobody owns has nulls."""
+    """(repository, path, owner, pattern, owners): of each path the owner of the deepest pattern, of equally deep ones the longest, then
+    the least by owner, and how many rows of `owned` own it; a path that nobody owns has nulls and 0."""
     found = owners(paths, owned)
-    best = found.groupBy("repository", "path").agg(F.min_by(F.struct("owner", "pattern"), F.struct(-F.col("depth"), -F.length("pattern"), F.col("owner"), F.col("pattern"))).alias("b"))
-    return paths.select("repository", "path").distinct().join(best, ["repository", "path"], "left").select("repository", "path", "b.owner", "b.pattern")
+    order = F.struct(-F.col("depth"), -F.length("pattern"), F.col("owner"), F.col("pattern"))
+    best = found.groupBy("repository", "path").agg(F.min_by(F.struct("owner", "pattern"), order).alias("b"), F.count("*").alias("owners"))
+    return paths.select("repository", "path").distinct().join(best, ["repository", "path"], "left").select("repository", "path", "b.owner", "b.pattern", F.coalesce("owners", F.lit(0)).cast("long").alias("owners"))
 
 
 def outside(changes: DataFrame, lanes: DataFrame) -> DataFrame:

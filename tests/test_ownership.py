@@ -1,6 +1,7 @@
 """Owners of paths, registries of lanes and risks of requests."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from evgraph.operators import ownership
 
@@ -56,3 +57,24 @@ def test_risks(spark):
         ("rights_surface", "P1", (10,), ("sources/a/x.py", "sources/a/y.py")), ("path_overlap", "P0", (11, 12), ("README.md",)), ("path_overlap", "P0", (11, 14), ("docs/handoff.md",)), ("path_overlap", "P0", (11, 14), ("lib/x.py",)), ("root_configuration", "P1", (11, 12), ("README.md",)), ("migration", "P0", (11, 12), ()), ("contract", "P0", (12, 13), ()),
     ])
     assert ownership.risks(rows.limit(0), registry).count() == 0
+
+
+def test_paths_of_one_folder_are_dealt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(ownership, "CHUNK", 50, raising=False)
+    paths = spark.range(2000).selectExpr("'r' AS repository", "concat(if(id % 4 = 0, 'a', 'b'), '/', id, '.py') AS path")
+    owned = spark.createDataFrame([("r", 1, "*.py"), ("r", 2, "a/**"), ("r", 3, "*8.py"), ("r", 4, "b/1.py")], "repository string, owner int, pattern string")
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        tasks = ownership.owners(paths, owned).groupBy(F.spark_partition_id()).count().collect()
+        found = {r["path"]: (r["owner"], r["owners"]) for r in ownership.most_specific(paths, owned).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in tasks) == 2000 + 500 + 200 + 1 and max(r["count"] for r in tasks) < 1500
+    for i in range(2000):
+        path = f"{'b' if i % 4 else 'a'}/{i}.py"
+        owner = 4 if i == 1 else 2 if i % 4 == 0 else 3 if i % 10 == 8 else 1
+        assert found[path] == (owner, 1 + (i % 10 == 8) + (i % 4 == 0) + (i == 1))
