@@ -1,9 +1,10 @@
 """Streams with state: rename histories whatever the order of arrival."""
 
 import random
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
+from pyspark.sql import Row
 
 from evgraph.sources import records
 from evgraph.streaming import observations as streams
@@ -44,3 +45,31 @@ def test_silent_accounts_leave(spark, tmp_path):
     got, dropped = drained(streams.alias_intervals(written(spark, tmp_path, batches), late="1 hours", idle="1 days"), tmp_path, "silent")
     assert sorted(map(tuple, got), key=repr) == sorted([("u", "a", at(0), at(1)), ("u", "b", at(1), None), ("v", "x", at(2), None), ("u", "c", at(91), None), ("w", "z", at(90), None)], key=repr)
     assert dropped == 1
+
+
+def test_waiting_events_are_few_values_of_the_state(spark, tmp_path, monkeypatch):
+    """The state costs a call for each value: an account's events of a batch wait in one, in several beyond CHUNK."""
+    from evgraph.streaming.observations import AliasHistory
+
+    class Values(list):
+        appendValue = list.append
+        appendList = list.extend
+
+    class Handle:
+        def getListState(self, name, schema):
+            return Values()
+
+        def getValueState(self, name, schema):
+            return None
+
+        def registerTimer(self, at):
+            self.at = at
+
+    monkeypatch.setattr(streams, "CHUNK", 100, raising=False)
+    history, handle = AliasHistory(10**15), Handle()
+    history.init(handle)
+    rows = [Row(account="u", alias=None if i == 7 else f"a{i}", observed_at=None if i == 8 else datetime(2024, 1, 1, 0, 0, 0, i, tzinfo=UTC)) for i in range(252)]
+    assert list(history.handleInputRows(("u",), iter(rows), None)) == []
+    start = int(datetime(2024, 1, 1, tzinfo=UTC).timestamp())
+    assert [len(at) for at, _ in history.waiting] == [100, 100, 50] and handle.at == start * 1000
+    assert history.waiting[0][0][:9] == [start * 10**6 + i for i in (*range(7), 9, 10)] and history.waiting[2][1][-1] == "a251"
