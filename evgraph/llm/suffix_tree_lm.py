@@ -28,6 +28,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -397,6 +398,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
         scratch.release()
         made = scratch.write(probable(grams, states, lower), f"level-{level}")
         scratch.drop(f"grams-{level}")
+        scratch.drop(f"states-{level}")
         scratch.release()
         table.destroy()
         asked.destroy()
@@ -419,14 +421,16 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
     while tree.levels and not tree.levels[-1][0] and depth is None:
         tree.levels.pop()
     if tree.levels:
-        every = tree.levels[0][1]
-        for _, weights in tree.levels[1:]:
-            every = every.unionByName(weights)
-        every = scratch.write(every, "weights")
+        each = [weights.withColumn("level", F.lit(i)) for i, (_, weights) in enumerate(tree.levels)]
+        every = scratch.write(reduce(DataFrame.unionByName, each), "weights")
+        tree.levels = [(states, every.filter(F.col("level") == i).drop("level")) for i, (states, _) in enumerate(tree.levels)]
         low = head_of(every, heavy, n + 1)
         tree.keys, tree.weights = sorted_by_key(every.filter(F.col("n") >= low), "key", "w")
         tree.tail = every.filter(F.col("n") < low)
         tree.far = added(tree.far, tree.tail, "key")
+    for k in range(1, level + 2):  # all that scoring reads are the words and the weights
+        for name in ("states", "level", "kept", "runs"):
+            scratch.drop(f"{name}-{k}")
     scratch.release()
     return tree, words, limit
 

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -192,3 +193,11 @@ def test_limits_do_not_rise_with_the_corpus(spark):
 def test_tokens():
     h, n = lm.tokens(pa.array(["a b", None, "A"]))
     assert n.tolist() == [3, 1, 2] and h[0] == h[4] and (h[[2, 3, 5]] == lm.END).all() and np.unique(h).size == 3
+
+
+def test_scoring_keeps_words_and_weights_alone(spark, made):
+    frame, scratch = spark.createDataFrame(made, "doc_id long, text string"), Scratch(spark, "test")
+    tree, words, limit = lm.learn(frame, scratch, least=8, bits=2.0, head=20, heavy=20)
+    assert {p.name for p in Path(scratch.root.removeprefix("file:").replace("//", "/")).iterdir()} == {"words", "weights"}
+    assert len(tree.levels) > 1 and all(weights.count() >= len(states) > 0 for states, weights in tree.levels)
+    assert lm.score(frame, tree, words, limit, scratch).count() == len(made)
