@@ -35,7 +35,7 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, mix, partitions, slices, word_hashes
@@ -171,59 +171,109 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
 
 
-class Packed:
-    """Columns of hashes as blobs. Of two columns the first is sorted and kept once for each run; the second is a number where it
-    is one of `known`, a sorted array, and the hash elsewhere."""
-
-    ELSE = 0xFFFFFFFF
-
-    def __init__(self, width: int, known: np.ndarray, counts: np.ndarray):
-        self.width, self.known = width, Table(known)
-        # numbers by count, so that those of most tokens are small
-        self.by_number = np.argsort(-counts, kind="stable")
-        self.number = np.empty(len(known), np.uint32)
-        self.number[self.by_number] = np.arange(len(known), dtype=np.uint32)
-        self.blobs = 1 if width == 1 else 4
-
-    def pack(self, arrays: list[np.ndarray], cut: list[tuple[int, int]]) -> list[list[bytes]]:
-        if self.width == 1:
-            return [[arrays[0][i:j].tobytes() for i, j in cut]]
-        at = self.known.find(arrays[1])
-        code = np.full(len(at), self.ELSE, np.uint32)
-        code[at >= 0] = self.number[at[at >= 0]]
-        out: list[list[bytes]] = [[], [], [], []]
-        for i, j in cut:
-            state, part = arrays[0][i:j], code[i:j]
-            first = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]]))
-            for blobs, x in zip(out, (state[first].tobytes(), planes(np.diff(np.append(first, j - i))), planes(part), arrays[1][i:j][part == self.ELSE].tobytes()), strict=True):
-                blobs.append(x)
+class Numbers:
+    """Hashes as their places among known ones, most frequent first, so that most are small; all others have the next number."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.none = keys, len(keys)
+        self.place = np.argsort(keys)
+        self.table = Table(keys[self.place])
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        at = self.table.find(hashes)
+        return np.where(at >= 0, self.place[at] if self.none else 0, self.none)
+
+    def back(self, numbers: np.ndarray, others: bytes) -> np.ndarray:
+        far = numbers == self.none
+        out = np.zeros(len(numbers), np.uint64)
+        out[far] = np.frombuffer(others, np.uint64)
+        out[~far] = self.keys[numbers[~far]]
         return out
 
-    def unpack(self, blobs: tuple[bytes, ...]) -> list[np.ndarray]:
-        if self.width == 1:
-            return [np.frombuffer(blobs[0], np.uint64)]
-        code = from_planes(blobs[2])
-        token = np.zeros(len(code), np.uint64)
-        far = code == self.ELSE
-        token[far] = np.frombuffer(blobs[3], np.uint64)
-        token[~far] = self.known.keys[self.by_number[code[~far]]]
-        return [np.repeat(np.frombuffer(blobs[0], np.uint64), from_planes(blobs[1])), token]
+
+def spread(spark: SparkSession) -> int:
+    """Buckets to a group of them."""
+    return -(-4 * partitions(spark) // GROUPS)
+
+
+class Packed:
+    """Tuples of one or two hashes, with counts, dealt in buckets, a row of blobs for each. A single hash is kept as it is. Of two, the
+    first is kept once for each run; both are numbers where they are among `known` ones, and go by them, so that these are kept as
+    differences. `heavy` first ones are spread over a group's buckets, so that none is a bucket's whole load; any other's tuples are
+    in one bucket, so that it isn't repeated in each."""
+
+    def __init__(self, spread: int, known: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None):
+        self.spread, self.buckets = spread, GROUPS * spread
+        self.top = np.uint64((self.buckets - 1).bit_length())
+        self.blobs = 2 if known is None else 6
+        if known is not None:
+            self.states, self.tokens, self.heavy = Numbers(known[0]), Numbers(known[1]), Table(np.sort(known[2]))
+
+    def within(self, state: np.ndarray, key: np.ndarray) -> np.ndarray:
+        return (state >> np.uint64(5)) % np.uint64(GROUPS) * np.uint64(self.spread) + (key >> np.uint64(20)) % np.uint64(self.spread)
+
+    def order(self, arrays: list[np.ndarray]) -> np.ndarray:
+        """What equal tuples are brought together by, as far as bits go; what it leaves mixed is summed in the bucket."""
+        if len(arrays) == 1:
+            return (self.within(arrays[0], arrays[0]) << (np.uint64(64) - self.top)) | (arrays[0] >> self.top)
+        return (arrays[0] >> np.uint64(32) << np.uint64(32)) | (arrays[1] >> np.uint64(32))
+
+    def pack(self, arrays: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
+        """Of tuples in their order."""
+        if len(arrays) == 1:
+            bucket, (h,) = self.within(arrays[0], arrays[0]).astype(np.int64), arrays
+            some, starts = np.unique(bucket, return_index=True)
+            cut = list(zip(starts, [*starts[1:], len(h)], strict=True))
+            columns = [[h[i:j].tobytes() for i, j in cut]]
+        else:
+            state, token = arrays
+            first = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]]))
+            size, one = np.diff(np.append(first, len(state))), state[first]
+            bucket = np.repeat((one >> np.uint64(5)) % np.uint64(self.buckets), size)
+            heavy = np.repeat(self.heavy.find(one) >= 0, size)
+            bucket[heavy] = self.within(state[heavy], follow(state[heavy], token[heavy]))
+            number, code = np.repeat(self.states.of(one), size).astype(np.uint64), self.tokens.of(token).astype(np.uint64)
+            rest = 64 - int(self.top) - self.states.none.bit_length()
+            last = np.where(number == self.states.none, state >> np.uint64(64 - rest), code >> np.uint64(max(0, self.tokens.none.bit_length() - rest)))
+            order = np.argsort((bucket << (np.uint64(64) - self.top)) | (number << np.uint64(rest)) | last)
+            bucket, state, token, number, code, n = (x[order] for x in (bucket, state, token, number, code, n))
+            some, starts = np.unique(bucket, return_index=True)
+            cut = list(zip(starts, [*starts[1:], len(state)], strict=True))
+            new = np.concatenate([[True], (state[1:] != state[:-1]) | (bucket[1:] != bucket[:-1])])
+            first = np.flatnonzero(new)
+            size, one, number = np.diff(np.append(first, len(state))), state[first], number[first]
+            opens = np.isin(first, starts)
+            step = np.where(opens, number, number - np.concatenate([number[:1], number[:-1]]))  # modulo 2^64, of which planes keep 2^32
+            code_step = np.where(new, code, code - np.concatenate([code[:1], code[:-1]]))
+            runs = list(zip(*(np.searchsorted(first, x) for x in zip(*cut, strict=True)), strict=True))
+            columns = [
+                [planes(step[p:q]) for p, q in runs],
+                [one[p:q][number[p:q] == self.states.none].tobytes() for p, q in runs],
+                [planes(size[p:q]) for p, q in runs],
+                [planes(code_step[i:j]) for i, j in cut],
+                [token[i:j][code[i:j] == self.tokens.none].tobytes() for i, j in cut],
+            ]
+        columns.append([planes(n[i:j]) for i, j in cut])
+        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(c, pa.binary()) for c in columns)], names=["bucket", *(f"b{i}" for i in range(self.blobs))])
+
+    def unpack(self, blobs: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+        n = from_planes(blobs[-1])
+        if self.blobs == 2:
+            return [np.frombuffer(blobs[0], np.uint64)], n
+        size, code = from_planes(blobs[2]), from_planes(blobs[3])
+        state = self.states.back(np.cumsum(from_planes(blobs[0])) & 0xFFFFFFFF, blobs[1])
+        first, steps = np.cumsum(size) - size, np.cumsum(code)
+        code = (steps - np.repeat(steps[first] - code[first], size)) & 0xFFFFFFFF
+        return [np.repeat(state, size), self.tokens.back(code, blobs[4])], n
 
 
 def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1, known: Broadcast | None = None) -> DataFrame:
     """Exact counts of the tuples of one or two hashes that `of` gives for a batch's tokens: `columns`, and `n` from `least` on.
 
-    Tasks count in arrays and deal tuples in buckets, as packed arrays, which are summed by bucket. A state's tuples are spread over
-    a GROUPS-th of all buckets, so that it isn't repeated in each and that a frequent one isn't a bucket's whole load.
+    Tasks count in arrays and deal tuples in buckets, as packed arrays, which are summed by bucket. Of tuples of two, `known` has
+    those of each that have numbers and the heavy ones of the first.
     """
-    spread = -(-4 * partitions(docs.sparkSession) // GROUPS)
-    buckets, top = GROUPS * spread, np.uint64((GROUPS * spread - 1).bit_length())
-
-    def keyed(arrays: list[np.ndarray]) -> np.ndarray:
-        return arrays[0] if len(arrays) == 1 else follow(*arrays)
-
-    def dealt(arrays: list[np.ndarray]) -> np.ndarray:
-        return (arrays[0] >> np.uint64(5)) % np.uint64(GROUPS) * np.uint64(spread) + (keyed(arrays) >> np.uint64(20)) % np.uint64(spread)
+    each = spread(docs.sparkSession)
 
     def summed(arrays: list[np.ndarray], n: np.ndarray, key: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         order = np.argsort(key)
@@ -234,44 +284,36 @@ def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1, k
         return [a[first] for a in arrays], np.add.reduceat(n, first) if len(first) else n[:0]
 
     def packing() -> Packed:
-        return Packed(len(columns), *(known.value if known is not None else (np.zeros(0, np.uint64), np.zeros(0))))
-
-    def merged(held: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
-        """By bucket, then state, then token, as far as bits go; what they leave mixed is summed in the bucket."""
-        arrays = [np.concatenate(x) for x in zip(*(a for a, _ in held), strict=True)]
-        order = (dealt(arrays) << (np.uint64(64) - top)) | (arrays[0] >> np.uint64(36) << (np.uint64(36) - top)) | (arrays[-1] >> (np.uint64(28) + top))
-        return summed(arrays, np.concatenate([n for _, n in held]), order)
-
-    def pack(arrays: list[np.ndarray], n: np.ndarray, form: Packed) -> pa.RecordBatch:
-        bucket = dealt(arrays).astype(np.int64)
-        ends = np.searchsorted(bucket, np.arange(buckets + 1))
-        some = [b for b in range(buckets) if ends[b + 1] > ends[b]]
-        cut = [(ends[b], ends[b + 1]) for b in some]
-        blobs = [*form.pack(arrays, cut), [planes(n[i:j]) for i, j in cut]]
-        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(b, pa.binary()) for b in blobs)], names=["bucket", *(f"b{i}" for i in range(len(blobs)))])
+        return Packed(each, known.value if known is not None else None)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, form = [], 0, packing()
+
+        def merged() -> tuple[list[np.ndarray], np.ndarray]:
+            arrays = [np.concatenate(x) for x in zip(*(a for a, _ in held), strict=True)]
+            return summed(arrays, np.concatenate([n for _, n in held]), form.order(arrays))
+
         for whole in batches:
             for batch in slices(whole, "text"):
                 arrays = of(*tokens(batch.column("text")))
                 held.append((arrays, np.ones(len(arrays[0]), np.int64)))
                 size += len(arrays[0])
                 if size > FLUSH:
-                    one = merged(held)
+                    one = merged()
                     held, size = [one], len(one[1])
                     if 2 * size > FLUSH:  # little of it repeats
-                        yield pack(*one, form)
+                        yield form.pack(*one)
                         held, size = [], 0
         if size:
-            yield pack(*merged(held), form)
+            yield form.pack(*merged())
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held, form = None, [], packing()
 
         def settle() -> pa.RecordBatch:
-            arrays = [np.concatenate(x) for x in zip(*(form.unpack(x[:-1]) for x in held), strict=True)]
-            arrays, n = summed(arrays, np.concatenate([from_planes(x[-1]) for x in held]), keyed(arrays))
+            found = [form.unpack(x) for x in held]
+            arrays = [np.concatenate(x) for x in zip(*(a for a, _ in found), strict=True)]
+            arrays, n = summed(arrays, np.concatenate([n for _, n in found]), arrays[0] if len(arrays) == 1 else follow(*arrays))
             keep = n >= least
             return pa.RecordBatch.from_arrays([*(pa.array(a[keep].view(np.int64)) for a in arrays), pa.array(n[keep])], names=[*columns, "n"])
 
@@ -285,10 +327,20 @@ def counted(docs: DataFrame, columns: list[str], of: Callable, least: int = 1, k
         if held:
             yield settle()
 
-    blobs = docs.mapInArrow(count, "bucket int" + "".join(f", b{i} binary" for i in range(2 if len(columns) == 1 else 5)))
+    blobs = docs.mapInArrow(count, "bucket int" + "".join(f", b{i} binary" for i in range(2 if len(columns) == 1 else 6)))
     return blobs.repartition(partitions(docs.sparkSession), "bucket").sortWithinPartitions("bucket").mapInArrow(total, ", ".join(f"{c} bigint" for c in columns) + ", n bigint")
 
 
+def numbered(states: DataFrame, words: np.ndarray, head: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of (state, token): the states and tokens that have numbers, the most frequent ones, and the states that have more than a bucket's
+    share of the tokens."""
+    low = head_of(states.withColumnRenamed("total", "n"), head, n + 1)
+    state, total = gathered(states.filter(F.col("total") >= low), "state", "total")
+    order = np.argsort(-total, kind="stable")
+    state, total = state.view(np.uint64)[order], total[order]
+    return state, words, state[total * (GROUPS * spread(states.sparkSession)) > total.sum()]
+
+
 def gathered(frame: DataFrame, *columns: str) -> list[np.ndarray]:
     """Columns of a table of bounded size, through Arrow."""
     found = frame.select(*columns).toArrow()
@@ -372,7 +424,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
     start = lambda c: [longer(np.full(len(c["token"]), SEED, np.uint64), c["token"]), np.full(len(c["token"]), SEED, np.uint64)]
     states = scratch.write(hashed(first, start, "state bigint, suffix bigint").select("state", "total", "suffix"), "states-1")
     lower = words.filter(F.col("n") >= follow_of).select(F.col("h").alias("word"), ((F.col("n") + 1) / float(n + v + 1)).alias("lower"))
-    known, enough = spark.sparkContext.broadcast((tree.words, tree.root)), (words.filter(F.col("n") >= follow_of), "h")
+    enough, often_words = (words.filter(F.col("n") >= follow_of), "h"), tree.words[np.argsort(-tree.root, kind="stable")]
     level = 0
     while level != depth:
         level += 1
@@ -384,6 +436,7 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
                 scratch.drop(f"runs-{(level - 1) // 2 + 1}")
 
         asked = spark.sparkContext.broadcast(added(np.zeros_like(tree.bits), *enough))
+        known = spark.sparkContext.broadcast(numbered(states, often_words, head, n))
 
         def rows(h: np.ndarray, n: np.ndarray, level=level, table=table, asked=asked) -> list[np.ndarray]:
             # a successor is seen often enough only where it is after the suffix, too: others aren't counted
@@ -395,13 +448,13 @@ def learn(docs: DataFrame, scratch: Scratch, depth: int | None = None, least: in
             return [key[keep], h[at[keep]]]
 
         grams = scratch.write(counted(docs, ["state", "token"], rows, follow_of, known), f"grams-{level}")
+        for sent in (table, asked, known):  # on the disk of each executor till then
+            sent.destroy()
         scratch.release()
         made = scratch.write(probable(grams, states, lower), f"level-{level}")
         scratch.drop(f"grams-{level}")
         scratch.drop(f"states-{level}")
         scratch.release()
-        table.destroy()
-        asked.destroy()
         kept = scratch.write(retained(made, bits), f"kept-{level}")
         stored = made.join(kept.select("state"), "state", "left_semi")
         weights = kept.select(F.col("state").alias("key"), F.col("total").alias("n"), F.log10("left").alias("w"))
@@ -488,6 +541,7 @@ def score(docs: DataFrame, tree: Tree, words: DataFrame, limit: int, scratch: Sc
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
     bag = "array<struct<h:bigint,m:bigint>>"
     part = scratch.write(docs.select(*kept, "text").mapInArrow(run, f"{schema}, row bigint, n_tokens bigint, known bigint, base double, more double, rare {bag}, far {bag}"), "scored")
+    shared.destroy()
 
     def exploded(column: str) -> DataFrame:
         return part.select("row", F.explode(column).alias("r")).select("row", F.col("r.h").alias("h"), F.col("r.m").alias("m"))

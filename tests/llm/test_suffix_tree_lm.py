@@ -201,3 +201,45 @@ def test_scoring_keeps_words_and_weights_alone(spark, made):
     assert {p.name for p in Path(scratch.root.removeprefix("file:").replace("//", "/")).iterdir()} == {"words", "weights"}
     assert len(tree.levels) > 1 and all(weights.count() >= len(states) > 0 for states, weights in tree.levels)
     assert lm.score(frame, tree, words, limit, scratch).count() == len(made)
+
+
+@pytest.mark.parametrize("spread, states, words, heavy", [(4, 300, 900, 3), (1, 800, 2000, 0), (188, 0, 0, 2)])
+def test_packed_tuples(spread, states, words, heavy):
+    """Tuples come back as they were; a state that isn't heavy is in one bucket, however many there are."""
+    rng = np.random.default_rng(3)
+    s, t = (rng.integers(0, 1 << 64, n, dtype=np.uint64) for n in (800, 2000))
+    made = np.unique(np.stack([s[np.minimum(rng.zipf(1.3, 20000), 800) - 1], t[np.minimum(rng.zipf(1.3, 20000), 2000) - 1]], 1), axis=0)
+    arrays, n = [made[:, 0].copy(), made[:, 1].copy()], rng.integers(1, 1 << 20, len(made))
+    form = lm.Packed(spread, (s[:states], t[:words], s[:heavy]))
+    order = np.argsort(form.order(arrays))
+    batch = form.pack([x[order] for x in arrays], n[order])
+    got, buckets = [], {}
+    for bucket, *blobs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        (a, b), m = form.unpack(blobs)
+        got += zip(a.tolist(), b.tolist(), m.tolist(), strict=True)
+        for x in set(a.tolist()):
+            buckets.setdefault(x, set()).add(bucket)
+    assert sorted(got) == sorted(zip(arrays[0].tolist(), arrays[1].tolist(), n.tolist(), strict=True))
+    assert {x for x, of in buckets.items() if len(of) > 1} <= set(s[:heavy].tolist())
+    assert spread == 1 or not heavy or len(buckets[int(s[0])]) > 1
+
+
+def test_known_states_cost_less_than_their_hashes():
+    s, t = (np.random.default_rng(4).integers(0, 1 << 64, n, dtype=np.uint64) for n in (20000, 500))
+    none, size = np.zeros(0, np.uint64), []
+    for states in (none, s):
+        form = lm.Packed(1, (states, t, none))
+        arrays = [s, t[np.arange(len(s)) % len(t)]]
+        order = np.argsort(form.order(arrays))
+        size.append(sum(len(x) for c in form.pack([x[order] for x in arrays], np.ones(len(s), np.int64)).columns[1:] for x in c.to_pylist()))
+    assert size[1] < size[0] - 6 * len(s)
+
+
+def test_what_was_sent_to_all_tasks_is_dropped(spark, made):
+    """Each executor has a copy on its disk."""
+    place, scratch = Path(spark.sparkContext._temp_dir), Scratch(spark, "test")
+    before = set(place.iterdir())
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    got = lm.score(frame, *lm.learn(frame, scratch, least=8, bits=2.0, head=20, heavy=20), scratch)
+    assert {p for p in set(place.iterdir()) - before if p.stat().st_size} == set()
+    assert got.count() == len(made)
