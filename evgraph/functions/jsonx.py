@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 
 def string_list(text: Column) -> Column:
@@ -84,9 +85,41 @@ def canonical_digest(value: object) -> str:
     return hashlib.sha256(json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
+NODES = ArrayType(StructType([StructField("id", StringType()), StructField("types", ArrayType(StringType())), StructField("name", StringType()), StructField("url", StringType()), StructField("same_as", ArrayType(StringType()))]))
 LD_BLOCK = r"(?is)<script[^>]*type\s*=\s*[\"']?application/ld\+json[\"']?[^>]*>(.*?)</script>"
 
 
 def ld_blocks(html: Column) -> Column:
     """Texts of a page's linked-data blocks."""
     return F.filter(F.regexp_extract_all(html, F.lit(LD_BLOCK), 1), lambda b: F.trim(b) != "")
+
+
+@F.pandas_udf(NODES)
+def ld_nodes(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Nodes of a linked-data text, `@graph` and lists flattened however deep; none for what isn't JSON. `sources.linked` has them as
+    variants with their places."""
+
+    def listed(x):
+        return [] if x is None else x if isinstance(x, list) else [x]
+
+    def plain(x):
+        return x if isinstance(x, str) and x else None
+
+    def of(text):
+        try:
+            stack, out = [json.loads(text)] if text else [], []
+        except (ValueError, RecursionError):
+            return []
+        while stack:
+            x = stack.pop()
+            if isinstance(x, list):
+                stack += x[::-1]
+            elif isinstance(x, dict):
+                if any(k not in ("@context", "@graph") for k in x):
+                    types = [re.sub(r".*[/#]", "", t) for t in listed(x.get("@type")) if isinstance(t, str)]
+                    out.append({"id": plain(x.get("@id")) or plain(x.get("url")), "types": types, "name": plain(x.get("name")) or plain(x.get("headline")), "url": plain(x.get("url")), "same_as": [s for s in listed(x.get("sameAs")) if isinstance(s, str)]})
+                stack += listed(x.get("@graph"))[::-1]
+        return out
+
+    for s in parts:
+        yield s.map(of)

@@ -130,3 +130,10 @@ def test_canonical_text_of_typed_columns(spark):
         assert text == json.dumps(plain, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
     plan = frame.select(jsonx.canonical_of(frame, F.struct(*frame.columns)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_nodes_of_odd_linked_data(spark):
+    deep = '{"@graph": ' * 3 + '[[{"@id": "a", "name": 5, "url": ["u"]}], 1, null, {"headline": "H", "url": "h", "@type": "http://s#T", "@graph": {"@id": "b"}}]' + "}" * 3
+    found = [one(spark, jsonx.ld_nodes(F.col("b")), b=b) for b in (deep, "[" * 5000 + "]" * 5000, "{", "", None, "7", '{"@context": "c"}')]
+    assert [(n["id"], n["types"], n["name"], n["url"]) for n in found[0]] == [("a", [], None, None), ("h", ["T"], "H", "h"), ("b", [], None, None)]
+    assert found[1:] == [[]] * 6
