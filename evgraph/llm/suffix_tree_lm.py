@@ -147,10 +147,14 @@ class Table:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """-1 where there is none."""
-        out = np.full(len(keys), -1, np.int64)
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int64)
         part = (keys >> self.shift).astype(np.int64)
         at, end = self.starts[part], self.starts[part + 1]
-        live = np.flatnonzero(at < end)
+        seen = self.keys.take(at, mode="clip")
+        out = np.where((seen == keys) & (at < end), at, -1).astype(np.int64)
+        at += 1
+        live = np.flatnonzero((seen < keys) & (at < end))  # all others are found, or passed, at the first place
         keys, at, end = keys[live], at[live], end[live]
         while len(live):
             seen = self.keys[at]
@@ -222,36 +226,37 @@ class Packed:
         """Of tuples in their order."""
         if len(arrays) == 1:
             bucket, (h,) = self.within(arrays[0], arrays[0]).astype(np.int64), arrays
-            some, starts = np.unique(bucket, return_index=True)
-            cut = list(zip(starts, [*starts[1:], len(h)], strict=True))
+            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            some, cut = bucket[starts], list(zip(starts, [*starts[1:], len(h)], strict=True))
             columns = [[h[i:j].tobytes() for i, j in cut]]
         else:
             state, token = arrays
             first = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]]))
             size, one = np.diff(np.append(first, len(state))), state[first]
-            bucket = np.repeat((one >> np.uint64(5)) % np.uint64(self.buckets), size)
-            heavy = np.repeat(self.heavy.find(one) >= 0, size)
-            bucket[heavy] = self.within(state[heavy], follow(state[heavy], token[heavy]))
-            number, code = np.repeat(self.states.of(one), size).astype(np.uint64), self.tokens.of(token).astype(np.uint64)
-            rest = 64 - int(self.top) - self.states.none.bit_length()
-            last = np.where(number == self.states.none, state >> np.uint64(64 - rest), code >> np.uint64(max(0, self.tokens.none.bit_length() - rest)))
-            order = np.argsort((bucket << (np.uint64(64) - self.top)) | (number << np.uint64(rest)) | last)
-            bucket, state, token, number, code, n = (x[order] for x in (bucket, state, token, number, code, n))
-            some, starts = np.unique(bucket, return_index=True)
-            cut = list(zip(starts, [*starts[1:], len(state)], strict=True))
-            new = np.concatenate([[True], (state[1:] != state[:-1]) | (bucket[1:] != bucket[:-1])])
+            number, code = self.states.of(one).astype(np.uint32), self.tokens.of(token).astype(np.uint32)
+            rest, low = 64 - int(self.top) - self.states.none.bit_length(), np.uint64(64) - self.top
+            last = code >> np.uint32(max(0, self.tokens.none.bit_length() - rest))
+            lead = ((one >> np.uint64(5)) % np.uint64(self.buckets) << low) | (number.astype(np.uint64) << np.uint64(rest))
+            key, run = np.repeat(lead, size), np.repeat(np.arange(len(one), dtype=np.int32), size)
+            heavy = np.flatnonzero(np.repeat(self.heavy.find(one) >= 0, size))
+            key[heavy] = (self.within(state[heavy], follow(state[heavy], token[heavy])) << low) | (key[heavy] & ((np.uint64(1) << low) - np.uint64(1)))
+            order = np.argsort(key | np.where((number == self.states.none)[run], state >> np.uint64(64 - rest), last))
+            bucket, run, code, n = (key[order] >> low).astype(np.int32), run[order], code[order], n[order]
+            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            some, cut = bucket[starts], list(zip(starts, [*starts[1:], len(bucket)], strict=True))
+            new = np.concatenate([[True], (run[1:] != run[:-1]) | (bucket[1:] != bucket[:-1])])
             first = np.flatnonzero(new)
-            size, one, number = np.diff(np.append(first, len(state))), state[first], number[first]
-            opens = np.isin(first, starts)
-            step = np.where(opens, number, number - np.concatenate([number[:1], number[:-1]]))  # modulo 2^64, of which planes keep 2^32
-            code_step = np.where(new, code, code - np.concatenate([code[:1], code[:-1]]))
+            size, one, number = np.diff(np.append(first, len(bucket))), one[run[first]], number[run[first]]
+            step, code_step = number.copy(), code.copy()  # differences modulo 2^32
+            step[1:] -= np.where(np.isin(first[1:], starts), 0, number[:-1]).astype(np.uint32)
+            code_step[1:] -= np.where(new[1:], 0, code[:-1]).astype(np.uint32)
             runs = list(zip(*(np.searchsorted(first, x) for x in zip(*cut, strict=True)), strict=True))
             columns = [
                 [planes(step[p:q]) for p, q in runs],
                 [one[p:q][number[p:q] == self.states.none].tobytes() for p, q in runs],
                 [planes(size[p:q]) for p, q in runs],
                 [planes(code_step[i:j]) for i, j in cut],
-                [token[i:j][code[i:j] == self.tokens.none].tobytes() for i, j in cut],
+                [token[order[i:j][code[i:j] == self.tokens.none]].tobytes() for i, j in cut],
             ]
         columns.append([planes(n[i:j]) for i, j in cut])
         return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(c, pa.binary()) for c in columns)], names=["bucket", *(f"b{i}" for i in range(self.blobs))])

@@ -243,3 +243,12 @@ def test_what_was_sent_to_all_tasks_is_dropped(spark, made):
     got = lm.score(frame, *lm.learn(frame, scratch, least=8, bits=2.0, head=20, heavy=20), scratch)
     assert {p for p in set(place.iterdir()) - before if p.stat().st_size} == set()
     assert got.count() == len(made)
+
+
+def test_places_of_keys():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 3, 5000):
+        keys = np.unique(np.concatenate([rng.integers(0, 1 << 64, n, dtype=np.uint64), np.arange(min(n, 50), dtype=np.uint64)]))
+        asked = np.concatenate([keys, keys + np.uint64(1), rng.integers(0, 1 << 64, 1000, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        places = {k: i for i, k in enumerate(keys.tolist())}
+        assert lm.Table(keys).find(asked).tolist() == [places.get(k, -1) for k in asked.tolist()]
