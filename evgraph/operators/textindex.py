@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -16,8 +16,8 @@ from ..plans.versions import Versions
 
 #: Buckets of a segment by token, parts of a bucket by key, and segments beyond which a batch compacts.
 BUCKETS, SALTS, SEGMENTS = 32, 8, 8
-#: Bytes of words that become blocks at once, keys that a broadcast may hold, and what files look like.
-BLOCK, BROADCAST, LAYOUT = 16 << 20, 1_000_000, 2
+#: Bytes of words that become blocks at once, what a text counts beside them, keys that a broadcast may hold, and what files look like.
+BLOCK, TEXT, BROADCAST, LAYOUT = 16 << 20, 256, 1_000_000, 2
 
 
 def _bucket(token: Column, buckets: int) -> Column:
@@ -29,10 +29,10 @@ def _moved(positions: Column, by: int) -> Column:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows in runs of about BLOCK bytes of words; one longer text is a run of its own."""
+    """Rows in runs of about BLOCK bytes of words, so of BLOCK / TEXT rows at most; one longer text is a run of its own."""
     held, size = [], 0
     for batch in batches:
-        ends = np.cumsum(pc.binary_length(batch.column("words")).to_numpy(zero_copy_only=False), dtype=np.int64)
+        ends = np.cumsum(pc.binary_length(batch.column("words")).to_numpy(zero_copy_only=False) + TEXT, dtype=np.int64)
         start = 0
         while start < len(ends):
             base = ends[start - 1] if start else 0
@@ -189,8 +189,10 @@ class TextIndex:
         """(key, size, seq) of all indexed rows."""
         return self._live(self._union("documents", f"key {self.manifest['key']}, size long"))
 
-    def _each(self, tokens: list[str] | None, *columns: Column | str) -> DataFrame:
-        """What counts of some tokens or all, a row for each key of a token: _i is its place in the lists, _from where its positions begin."""
+    def _each(self, tokens: list[str] | None, name: str, value: Callable[[Column, Column], Column]) -> DataFrame:
+        """What counts of some tokens or all, a row for each key of a token; `value` gets where its positions begin and how many they are.
+
+        The lists of a row become one list of what its keys have, so that no key's row bears the lists of all while it waits."""
 
         def keep(frame: DataFrame) -> DataFrame:
             if tokens is not None:
@@ -198,17 +200,19 @@ class TextIndex:
                 frame = frame.filter(F.col("bucket").isin(buckets) & F.col("token").isin(tokens))
             return frame.drop("bucket")
 
-        found = self._union("postings", self._schema(), keep).select("*", F.posexplode("keys").alias("_i", "key"))
-        begin = F.when(F.col("_i") == 0, 0).otherwise(F.get("ends", F.col("_i") - 1))
-        return self._live(found.withColumns({"_from": begin, "_n": F.get("ends", F.col("_i")) - begin, "size": F.get("sizes", F.col("_i")).cast("long")}).select("token", "key", *columns, "size", "seq"))
+        def one(key: Column, i: Column) -> Column:
+            begin = F.when(i == 0, 0).otherwise(F.get("ends", i - 1))
+            return F.struct(key.alias("key"), value(begin, F.get("ends", i) - begin).alias(name), F.get("sizes", i).cast("long").alias("size"))
+
+        return self._live(self._union("postings", self._schema(), keep).select("token", F.inline(F.transform("keys", one)), "seq"))
 
     def postings(self, tokens: list[str] | None = None) -> DataFrame:
         """(token, key, positions, size, seq) that count, of some tokens or all."""
-        return self._each(tokens, F.slice("positions", F.col("_from") + 1, F.col("_n")).alias("positions"))
+        return self._each(tokens, "positions", lambda begin, n: F.slice("positions", begin + 1, n))
 
     def counts(self, tokens: list[str] | None = None) -> DataFrame:
         """(token, key, n, size, seq): how often a key has a token, without reading where."""
-        return self._each(tokens, F.col("_n").alias("n"))
+        return self._each(tokens, "n", lambda _, n: n)
 
     def words(self, phrase: str) -> list[str]:
         return self.spark.range(1).select(search_tokens(F.lit(phrase)).alias("w")).first()["w"]

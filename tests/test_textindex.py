@@ -87,6 +87,30 @@ def test_runs_are_bounded(monkeypatch):
     assert [w for r in runs for w in r] == ["aaaa", "bbbb", "cccc", "d" * 30, "e", "f"] and all(sum(map(len, r)) <= 10 or len(r) == 1 for r in runs)
 
 
+def test_runs_have_a_bounded_number_of_texts(monkeypatch):
+    """Short texts, such as names, would be a run of a million else, and their common word one row of as many keys."""
+    monkeypatch.setattr(textindex, "BLOCK", textindex.TEXT * 4)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10)), pa.array(["a"] * 10)], ["key", "words"])
+    assert [len(r) for r in textindex._runs(iter([batch]))] == [3, 3, 3, 1]
+
+
+def test_rows_of_keys_do_not_bear_the_lists_of_their_token(spark, tmp_path):
+    """A row for each key of a run waits in memory, so the lists of all keys beside each of them were as many times as many bytes."""
+    frame = spark.range(40).select("id", F.lit("of the end of the").alias("text")).coalesce(1)
+    index = TextIndex.build(spark, str(tmp_path), frame, "id", F.col("text"))
+    for found in (index.postings(), index.postings(["the"]), index.counts(), index.phrase("of the"), index.ranked_phrase("of the"), index.relevance("of the")):
+        todo, seen = [found._jdf.queryExecution().optimizedPlan()], 0
+        while todo:
+            node = todo.pop()
+            if node.nodeName() == "Generate":
+                seen += 1
+                borne = node.requiredChildOutput()
+                assert {borne.apply(i).name() for i in range(borne.size())} <= {"token"}
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        assert seen
+    assert sorted(map(tuple, index.phrase("of the").collect())) == [(i, 2, 5) for i in range(40)]
+
+
 def test_empty(spark, tmp_path):
     index = TextIndex.build(spark, f"{tmp_path}/a", spark.createDataFrame([], SCHEMA), "id", F.col("text"))
     assert index.phrase("the").count() == 0 and index.relevance("the").count() == 0
